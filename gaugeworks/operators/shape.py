@@ -23,6 +23,15 @@ def scaled(entries: Sequence[tuple]) -> list[tuple[str, str, str, float]]:
     return [(e[0], e[1], e[2], float(e[3]) if len(e) > 3 else 1.0) for e in entries]
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters use.
+
+    A filter on a plain computed column is pushed below it and computes it again (a second
+    parse of every body). A filter on the output of a generator stays above it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def emit(df: DataFrame, rows: Column, attrs: Column) -> DataFrame:
     """Metric rows from an ``array<struct<name, value, unit>>`` column; absent values drop out."""
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import num_json
 from gaugeworks.functions.text import jmx_param
-from gaugeworks.operators.shape import to_metrics
+from gaugeworks.operators.shape import once, to_metrics
 
 # JMX attribute, metric name, unit; first of the broker, then of a queue.
 CLASSIC_BROKER = [
@@ -47,7 +47,7 @@ VARIANT = "messaging.activemq.variant"
 
 
 def _reply(df: DataFrame) -> DataFrame:
-    parsed = df.withColumn("v", F.from_json("body", "value map<string, variant>")["value"])
+    parsed = once(df, "v", F.from_json("body", "value map<string, variant>")["value"])
     return parsed.where("v is not null")
 
 

@@ -11,15 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import bool01, enum_code, lag_seconds, num_json, ratio, zero
 from gaugeworks.operators.aggregate import count_states, sum_nested
-from gaugeworks.operators.shape import emit, spec_rows, to_metrics
+from gaugeworks.operators.shape import once, to_metrics
 
 BAD = "_corrupt_record string"
+# Spark trims the schema of a call without options to the fields in use, and would then
+# overlook a misfit in the others.
+KEEP_FIELDS = {"mode": "PERMISSIVE"}
 QUEUE_CAP = 100
 
 
 def read_json(df: DataFrame, fields: str, body: str = "body") -> DataFrame:
     """Parse the body with a fixed schema into column ``j``; unfit replies drop out."""
-    parsed = df.withColumn("j", F.from_json(F.col(body), f"{fields}, {BAD}"))
+    parsed = once(df, "j", F.from_json(F.col(body), f"{fields}, {BAD}", KEEP_FIELDS))
     return parsed.where("j is not null and j._corrupt_record is null")
 
 
@@ -75,7 +78,7 @@ def mongo_server_status(df: DataFrame) -> DataFrame:
 def mongo_replset(df: DataFrame) -> DataFrame:
     """Seconds the own member trails the primary, when both are known."""
     fields = "members array<struct<stateStr: string, self: boolean, optimeDate: timestamp_ntz>>"
-    parsed = df.withColumn("j", F.from_json(F.col("body"), fields))
+    parsed = once(df, "j", F.from_json(F.col("body"), fields))
     members = F.filter("j.members", lambda m: m["optimeDate"].isNotNull())
 
     def last_optime(kept: Column) -> Column:

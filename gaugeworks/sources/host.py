@@ -9,7 +9,7 @@ from gaugeworks.functions.numbers import convert, num_strict, num_zero, ratio, t
 from gaugeworks.functions.records import record
 from gaugeworks.functions.text import after_first, before_first, fields, split_lines
 from gaugeworks.operators.ordered import DAY_US, counter_delta, first_per_key, share_of_delta
-from gaugeworks.operators.shape import emit, last_num, real_mount, spec_rows, to_metrics
+from gaugeworks.operators.shape import emit, last_num, once, real_mount, spec_rows, to_metrics
 from gaugeworks.schema import KEYS
 
 # Columns of the cpu line in file order.
@@ -24,10 +24,10 @@ def cpu_samples(df: DataFrame, cores: Column | None = None) -> DataFrame:
     lines = split_lines(F.col("body"))
     total_line = F.try_element_at(F.filter(lines, lambda l: l.startswith("cpu ")), F.lit(1))
     per_cpu = F.size(F.filter(lines, lambda l: l.rlike("^cpu[0-9]")))
-    split = df.select(
-        *KEYS,
-        fields(total_line).alias("f"),
-        (per_cpu if cores is None else cores).cast("double").alias("cores"),
+    split = once(
+        df.withColumn("cores", (per_cpu if cores is None else cores).cast("double")),
+        "f",
+        fields(total_line),
     ).where(F.size("f") >= 8)
     return split.select(
         *KEYS,
@@ -168,7 +168,7 @@ def disk(mounts: DataFrame) -> DataFrame:
 
 def load(df: DataFrame) -> DataFrame:
     """Load averages; a text with fewer than three fields gives no rows."""
-    split = df.select(*KEYS, fields(F.col("body")).alias("f")).where(F.size("f") >= 3)
+    split = once(df, "f", fields(F.col("body"))).where(F.size("f") >= 3)
     names = ["host.load.1m", "host.load.5m", "host.load.15m"]
     specs = [(n, num_zero(F.get("f", F.lit(i))), "1") for i, n in enumerate(names)]
     return emit(split, spec_rows(specs), base_attrs("host"))
