@@ -28,19 +28,24 @@ def trim_ws(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE))
 
 
-def _guarded(text: Column) -> Column:
-    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
+def as_number(text: Column) -> Column:
+    """Number, infinity when out of range, NULL when the text is no number."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def drop_out_of_range(number: Column, text: Column) -> Column:
+    """NULL for an infinity that came from a finite literal."""
+    return F.when((F.abs(number) < INF) | text.rlike(SPECIAL), number)
 
 
 def num_strict(text: Column) -> Column:
     """Number or NULL; a finite literal too large for a double is NULL too."""
-    number = _guarded(text)
-    return F.when((F.abs(number) < INF) | text.rlike(SPECIAL), number)
+    return drop_out_of_range(as_number(text), text)
 
 
 def num_zero(text: Column) -> Column:
     """Number, 0 when the text is not one, infinity when it is out of range."""
-    return F.coalesce(_guarded(text), F.lit(0.0))
+    return F.coalesce(as_number(text), F.lit(0.0))
 
 
 def num_prefix(text: Column) -> Column:

@@ -7,12 +7,22 @@ back, which would shuffle the raw data.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
-from gaugeworks.functions.numbers import num_strict, trim_ws
+from gaugeworks.functions.numbers import SPACE, as_number, drop_out_of_range, trim_ws
 from gaugeworks.functions.records import record
 
 
+# White space that may stand around a line (never the line feed itself).
+WS = r"[ \t\x0B\f\r\u0085\u00a0]"
+# The label of the 0.99 quantile, and how its samples are marked in a list.
+QUANTILE = 'quantile="0.99"'
+P99_MARK = "_p99!"
+
+
 def split_lines(body: Column) -> Column:
     return F.split(body, "\n")
 
@@ -31,52 +41,78 @@ def before_first(text: Column, sep: str) -> Column:
     return F.substring_index(text, sep, 1)
 
 
+def named_lines(body: Column, keys: Sequence[str], after: str) -> Column:
+    """Lines of a body that start with one of the given keys, in order.
+
+    One regular expression pass picks them out, so the other lines of a long body are never
+    turned into values. ``after`` is the pattern that must follow the key.
+    """
+    # Longer keys first, so that a key is not taken for a shorter one it starts with.
+    names = "|".join(re.escape(k) for k in sorted(keys, key=len, reverse=True))
+    return F.regexp_extract_all(body, F.lit(f"(?md)^{WS}*(?:{names}){after}"), F.lit(0))
+
+
 def _pairs(lines: Column, sep: str) -> Column:
-    with_sep = F.filter(lines, lambda line: F.instr(line, sep) > 0)
+    """``array<struct<key, value, num>>``; the number follows the strict rule."""
+    cut = F.transform(
+        F.transform(lines, trim_ws),
+        lambda l: record(key=before_first(l, sep), value=after_first(l, sep)),
+    )
+    return with_numbers(cut)
+
+
+def with_numbers(pairs: Column) -> Column:
+    """Add the strictly parsed number of each value. Two steps, so each is parsed once."""
+    read = F.transform(
+        pairs, lambda p: record(key=p["key"], value=p["value"], num=as_number(p["value"]))
+    )
     return F.transform(
-        with_sep,
-        lambda line: record(key=before_first(line, sep), value=after_first(line, sep)),
+        read,
+        lambda p: record(
+            key=p["key"], value=p["value"], num=drop_out_of_range(p["num"], p["value"])
+        ),
     )
 
 
-def info_pairs(body: Column) -> Column:
-    """``key:value`` lines in order, without blank lines and ``#`` comments."""
-    lines = F.transform(split_lines(body), trim_ws)
-    return _pairs(F.filter(lines, lambda line: (line != "") & ~line.startswith("#")), ":")
+def info_pairs(body: Column, keys: Sequence[str]) -> Column:
+    """``key:value`` lines of the given keys, in order."""
+    return _pairs(named_lines(body, keys, ":.*"), ":")
 
 
-def _reply_lines(body: Column) -> Column:
-    # Only lines closed by a line feed count, the first must say OK, and a blank line ends it.
-    closed = F.transform(F.slice(split_lines(body), 1, F.size(split_lines(body)) - 1), trim_ws)
-    rest = F.slice(closed, 2, F.greatest(F.size(closed) - 1, F.lit(0)))
-    blank = F.array_position(rest, F.lit("")).cast("int")
-    kept = F.when(blank > 0, F.slice(rest, 1, F.greatest(blank - 1, F.lit(0)))).otherwise(rest)
-    good = F.try_element_at(closed, F.lit(1)).startswith("OK")
-    return F.when(good, F.filter(kept, lambda line: ~line.startswith("---")))
+def _reply(body: Column) -> Column:
+    # The first line must say OK, and a blank line ends the reply.
+    head = F.get(F.split(body, rf"(?d)\n{WS}*(?=\n)", 2), F.lit(0))
+    ended = F.when(F.length(head) < F.length(body), F.concat(head, F.lit("\n"))).otherwise(body)
+    first = trim_ws(before_first(body, "\n"))
+    return F.when(first.startswith("OK") & (F.instr(body, "\n") > 0), ended)
 
 
-def yaml_pairs(body: Column) -> Column:
-    """``key: value`` lines of a stats reply; NULL when the reply is not OK."""
-    return _pairs(_reply_lines(body), ": ")
+def yaml_pairs(body: Column, keys: Sequence[str]) -> Column:
+    """``key: value`` lines of a stats reply; NULL when the reply is not OK.
+
+    Only lines closed by a line feed count.
+    """
+    return _pairs(named_lines(_reply(body), keys, r": .*(?=\n)"), ": ")
 
 
 def yaml_items(body: Column) -> Column:
     """``- item`` lines of a list reply in order; NULL when the reply is not OK."""
-    items = F.filter(_reply_lines(body), lambda line: line.startswith("- "))
-    return F.transform(items, lambda line: F.substr(line, F.lit(3)))
+    items = F.regexp_extract_all(
+        _reply(body), F.lit(rf"(?md)^{WS}*- (.*)(?=\n)"), F.lit(1)
+    )
+    return F.filter(F.transform(items, lambda i: F.rtrim(i, F.lit(SPACE))), lambda i: i != "")
 
 
-def exposition_samples(body: Column, mode: str = "first", timestamps: bool = False) -> Column:
-    """Samples of metric exposition text as ``array<struct<key, num, p99>>`` in order.
+def exposition_samples(
+    body: Column, names: Sequence[str], mode: str = "first", timestamps: bool = False
+) -> Column:
+    """Samples of the given names as ``array<struct<key, value, num>>`` in order.
 
     ``first`` takes what follows the first closing brace as the value, ``p99`` what
-    follows the last one, and also marks lines of the 0.99 quantile. Lines whose value
-    is no number are left out. ``timestamps`` lets labelled lines end in a timestamp.
+    follows the last one; in that mode a line of the 0.99 quantile is listed a second time
+    under ``<name>_p99!``. Lines whose value is no number are left out. ``timestamps`` lets
+    labelled lines end in a timestamp.
     """
-    lines = F.filter(
-        F.transform(split_lines(body), trim_ws),
-        lambda line: (line != "") & ~line.startswith("#"),
-    )
 
     def cut(line: Column) -> Column:
         labelled = F.instr(line, "{") > 0
@@ -92,20 +128,44 @@ def exposition_samples(body: Column, mode: str = "first", timestamps: bool = Fal
         name, value = F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(2))
         return record(
             key=F.when(labelled, before_first(line, "{")).otherwise(name),
-            text=F.when(labelled, tail).otherwise(value),
-            p99=labelled & F.contains(line, F.lit('quantile="0.99"')),
+            value=F.when(labelled, tail).otherwise(value),
         )
 
-    def parse(part: Column) -> Column:
-        return record(key=part["key"], num=num_strict(part["text"]), p99=part["p99"])
+    lines = F.transform(named_lines(body, names, r"[\s{].*"), trim_ws)
+    samples = F.transform(lines, cut)
+    if mode == "p99":
+        quantiles = F.filter(lines, lambda l: F.contains(l, F.lit(QUANTILE)) & l.like("%{%"))
+        marked = F.transform(F.transform(quantiles, cut), lambda p: record(
+            key=F.concat(p["key"], F.lit(P99_MARK)), value=p["value"]
+        ))
+        samples = F.concat(samples, marked)
+    return F.filter(with_numbers(samples), lambda p: p["num"].isNotNull())
+
+
+def keep_last(pairs: Column) -> Column:
+    """The last pair of each key."""
+    return _keep_one(pairs, lambda keys, i: F.slice(keys, i + 2, F.size(keys)))
 
-    samples = F.transform(F.transform(lines, cut), parse)
-    return F.filter(samples, lambda s: s["num"].isNotNull())
 
+def keep_first(pairs: Column) -> Column:
+    """The first pair of each key."""
+    return _keep_one(pairs, lambda keys, i: F.slice(keys, F.lit(1), i))
 
-def last_of(pairs: Column, key: Column | str) -> Column:
-    """Value of the last pair with this key, NULL when there is none."""
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["value"]
+
+def _keep_one(pairs: Column, rivals) -> Column:
+    # Bodies seldom repeat a key, and then there is nothing to compare.
+    keys = F.transform(pairs, lambda p: p["key"])
+    chosen = F.filter(pairs, lambda p, i: ~F.array_contains(rivals(keys, i), p["key"]))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(chosen)
+
+
+def pairs_map(pairs: Column) -> Column:
+    """``map<key, struct<value, num>>`` of pairs with distinct keys."""
+    return F.map_from_entries(
+        F.transform(
+            pairs, lambda p: record(key=p["key"], value=record(value=p["value"], num=p["num"]))
+        )
+    )
 
 
 def jmx_param(object_name: Column, param: str) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.attrs import ALIASES, FAMILIES
 from gaugeworks.functions.instance import instance_from_dsn
-from gaugeworks.functions.numbers import num_strict
 from gaugeworks.functions.records import record
+from gaugeworks.functions.text import keep_first, keep_last, pairs_map
 from gaugeworks.schema import METRIC_COLUMNS
 
 # name, value column, unit
@@ -61,41 +61,30 @@ def to_metrics(df: DataFrame, specs: Sequence[Spec], attrs: Column) -> DataFrame
     return emit(df, spec_rows(specs), attrs)
 
 
-def mapping_array(mapping: Mapping) -> Column:
-    """Fixed mapping entries as a constant array of structs."""
-    return F.array(
-        *[
-            record(key=F.lit(key), name=F.lit(name), unit=F.lit(unit), factor=F.lit(factor))
-            for key, name, unit, factor in scaled(mapping)
-        ]
-    )
+def keyed(df: DataFrame, pairs: Column, wins: str = "last") -> DataFrame:
+    """Add ``kv``, the map of a row's key/value pairs; the first or last of a key wins.
 
-
-def mapped_rows(mapping: Mapping, lookup) -> Column:
-    """Row-local rename: one ``struct<name, value, unit>`` per mapping entry.
-
-    ``lookup`` turns the entry's source key column into a number column.
+    All inside the row: no explode, no shuffle.
     """
-    return F.transform(
-        mapping_array(mapping),
-        lambda m: record(name=m["name"], value=(lookup(m["key"]) * m["factor"]), unit=m["unit"]),
-    )
+    keep = {"first": keep_first, "last": keep_last}[wins]
+    listed = df.withColumn("__pairs", pairs)
+    return listed.withColumn("kv", pairs_map(keep(F.col("__pairs")))).drop("__pairs")
 
 
-def wanted(pairs: Column, keys: Sequence[str]) -> Column:
-    """Pairs whose key is asked for, with the value parsed by the strict rule."""
-    return F.transform(
-        F.filter(pairs, lambda p: p["key"].isin(list(keys))),
-        lambda p: record(key=p["key"], value=p["value"], num=num_strict(p["value"])),
-    )
+def kv_num(key: str) -> Column:
+    return F.col("kv")[key]["num"]
 
 
-def last_num(pairs: Column, key: Column | str) -> Column:
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["num"]
+def kv_text(key: str) -> Column:
+    return F.col("kv")[key]["value"]
 
 
-def first_num(pairs: Column, key: Column | str) -> Column:
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(1))["num"]
+def kv_specs(mapping: Mapping) -> list[Spec]:
+    """Specs that read each mapped key out of ``kv``."""
+    return [
+        (name, kv_num(key) if factor == 1 else kv_num(key) * F.lit(factor), unit)
+        for key, name, unit, factor in scaled(mapping)
+    ]
 
 
 def map_names(df: DataFrame, mapping: Mapping, key: str = "key", value: str = "value") -> DataFrame:

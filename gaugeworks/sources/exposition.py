@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import num_json
 from gaugeworks.functions.records import record
-from gaugeworks.functions.text import exposition_samples
+from gaugeworks.functions.text import (
+    P99_MARK,
+    exposition_samples,
+    keep_first,
+    keep_last,
+    pairs_map,
+)
 from gaugeworks.operators.shape import (
     emit,
-    first_num,
-    last_num,
-    mapped_rows,
-    mapping_array,
+    keyed,
+    kv_num,
+    kv_specs,
     missing_metrics,
     scaled,
+    to_metrics,
 )
 from gaugeworks.schema import KEYS
 
@@ -92,25 +98,27 @@ P99 = "_p99"
 def cassandra_exposition(df: DataFrame, timestamps: bool = False) -> DataFrame:
     """Mapped samples; the first sample of a name that holds a number counts."""
     names = [m[0] for m in CASSANDRA] + [CASSANDRA_GENERAL_READ]
-    samples = exposition_samples(F.col("body"), "first", timestamps)
-    parsed = df.withColumn("kv", F.filter(samples, lambda s: s["key"].isin(names)))
-    kv = F.col("kv")
-    rows = mapped_rows(
-        CASSANDRA,
-        lambda key: F.coalesce(
-            first_num(kv, key),
-            F.when(key == CASSANDRA_READ, first_num(kv, CASSANDRA_GENERAL_READ)),
-        ),
-    )
-    return emit(parsed, rows, base_attrs("cassandra"))
+    samples = exposition_samples(F.col("body"), names, "first", timestamps)
+    (_, name, unit, factor), *others = scaled(CASSANDRA)
+    latency = F.coalesce(kv_num(CASSANDRA_READ), kv_num(CASSANDRA_GENERAL_READ)) * F.lit(factor)
+    specs = [(name, latency, unit), *kv_specs(others)]
+    return to_metrics(keyed(df, samples, "first"), specs, base_attrs("cassandra"))
 
 
 def cassandra_jmx(df: DataFrame) -> DataFrame:
     """One reply per attribute; a value that is no JSON number gives no row."""
     value = num_json(F.try_variant_get(F.try_parse_json("body"), "$.value", "variant"))
-    entry = F.try_element_at(
-        F.filter(mapping_array(CASSANDRA_JMX), lambda m: m["key"] == F.col("endpoint")), F.lit(1)
+    table = F.create_map(
+        *[
+            part
+            for key, name, unit, factor in CASSANDRA_JMX
+            for part in (
+                F.lit(key),
+                record(name=F.lit(name), unit=F.lit(unit), factor=F.lit(float(factor))),
+            )
+        ]
     )
+    entry = table[F.col("endpoint")]
     wanted = df.where(F.col("endpoint").isin([m[0] for m in CASSANDRA_JMX]))
     row = F.array(
         record(name=entry["name"], value=(value / entry["factor"]), unit=entry["unit"])
@@ -120,40 +128,33 @@ def cassandra_jmx(df: DataFrame) -> DataFrame:
 
 def _cockroach_samples(df: DataFrame) -> DataFrame:
     names = [m[0] for m in COCKROACH]
-    plain = [n.removesuffix(P99) for n in names]
-    samples = exposition_samples(F.col("body"), "p99")
-    return df.withColumn(
-        "kv", F.filter(samples, lambda s: s["key"].isin(sorted({*names, *plain})))
-    )
+    listed = sorted({*names, *[n.removesuffix(P99) for n in names]})
+    samples = df.withColumn("__s", exposition_samples(F.col("body"), listed, "p99"))
+    # The last quantile line counts, and the first one of everything else.
+    marked = F.filter("__s", lambda p: p["key"].endswith(P99_MARK))
+    plain = F.filter("__s", lambda p: ~p["key"].endswith(P99_MARK))
+    split = samples.withColumn("__q", marked).withColumn("__p", plain)
+    kept = F.concat(keep_last(F.col("__q")), keep_first(F.col("__p")))
+    return split.withColumn("kv", pairs_map(kept)).drop("__s", "__q", "__p")
 
 
-def _cockroach_value(kv, key):
-    # The last quantile line wins over a plain sample spelled with the same suffix.
-    quantiles = F.filter(kv, lambda s: s["p99"])
-    return F.coalesce(
-        last_num(F.transform(
-            quantiles,
-            lambda s: record(key=F.concat(s["key"], F.lit(P99)), num=s["num"]),
-        ), key),
-        first_num(kv, key),
-    )
+def _cockroach_value(name: str) -> Column:
+    # A quantile wins over a plain sample spelled with the same suffix.
+    if not name.endswith(P99):
+        return kv_num(name)
+    return F.coalesce(kv_num(name.removesuffix(P99) + P99_MARK), kv_num(name))
 
 
 def cockroach_vars(df: DataFrame) -> DataFrame:
     """Mapped samples, with 0.99 quantiles under their own name."""
-    parsed = _cockroach_samples(df)
-    rows = mapped_rows(COCKROACH, lambda key: _cockroach_value(F.col("kv"), key))
-    return emit(parsed, rows, base_attrs("cockroachdb"))
+    specs = [(name, _cockroach_value(key), unit) for key, name, unit in COCKROACH]
+    return to_metrics(_cockroach_samples(df), specs, base_attrs("cockroachdb"))
 
 
 def cockroach_missing(df: DataFrame) -> DataFrame:
     """Expected sample names a scrape did not deliver, one row each."""
-    parsed = _cockroach_samples(df)
-    expected = [m[0] for m in scaled(COCKROACH)]
-    found = F.transform(
-        F.filter(
-            mapping_array(COCKROACH), lambda m: _cockroach_value(F.col("kv"), m["key"]).isNotNull()
-        ),
-        lambda m: m["key"],
+    expected = [m[0] for m in COCKROACH]
+    found = F.array(*[F.when(_cockroach_value(k).isNotNull(), F.lit(k)) for k in expected])
+    return _cockroach_samples(df).select(
+        *KEYS, F.explode(missing_metrics(found, expected)).alias("missing")
     )
-    return parsed.select(*KEYS, F.explode(missing_metrics(found, expected)).alias("missing"))

@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
-from gaugeworks.functions.numbers import convert, num_strict, num_zero, ratio, trim_ws
+from gaugeworks.functions.numbers import convert, num_zero, ratio, trim_ws
 from gaugeworks.functions.records import record
-from gaugeworks.functions.text import after_first, before_first, fields, split_lines
+from gaugeworks.functions.text import (
+    WS,
+    after_first,
+    before_first,
+    fields,
+    named_lines,
+    split_lines,
+    with_numbers,
+)
 from gaugeworks.operators.ordered import DAY_US, counter_delta, first_per_key, share_of_delta
-from gaugeworks.operators.shape import emit, last_num, once, real_mount, spec_rows, to_metrics
+from gaugeworks.operators.shape import (
+    emit,
+    keyed,
+    kv_num,
+    once,
+    real_mount,
+    spec_rows,
+    to_metrics,
+)
 from gaugeworks.schema import KEYS
 
 # Columns of the cpu line in file order.
@@ -74,25 +90,21 @@ MEM_KEYS = ["MemTotal", "MemAvailable", "Buffers", "Cached", "SwapTotal", "SwapF
 
 def memory(df: DataFrame) -> DataFrame:
     """Memory gauges in bytes; utilisation and swap only where there is any."""
-    with_sep = F.filter(split_lines(F.col("body")), lambda l: F.instr(l, ":") > 0)
-    pairs = F.transform(
-        with_sep,
-        lambda l: record(key=trim_ws(before_first(l, ":")), raw=trim_ws(after_first(l, ":"))),
-    )
-    numbers = F.transform(
-        F.filter(pairs, lambda p: p["key"].isin(MEM_KEYS)),
-        lambda p: record(
-            key=p["key"],
-            num=convert(
-                num_strict(trim_ws(F.regexp_replace(p["raw"], r" kB\z", ""))), "kb_to_bytes"
-            ),
-        ),
-    )
-    good = F.filter(numbers, lambda p: p["num"].isNotNull())
-    parsed = df.select(*KEYS, good.alias("kv"))
+    def number(l: Column) -> Column:
+        return record(
+            key=trim_ws(before_first(l, ":")),
+            value=trim_ws(F.regexp_replace(trim_ws(after_first(l, ":")), r" kB\z", "")),
+        )
+
+    listed = named_lines(F.col("body"), MEM_KEYS, rf"{WS}*:.*")
+    numbers = with_numbers(F.transform(listed, number))
+    parsed = keyed(df, F.filter(numbers, lambda p: p["num"].isNotNull()))
     wide = parsed.select(
         *KEYS,
-        *[F.coalesce(last_num(F.col("kv"), k), F.lit(0.0)).alias(k) for k in MEM_KEYS],
+        *[
+            F.coalesce(convert(kv_num(k), "kb_to_bytes"), F.lit(0.0)).alias(k)
+            for k in MEM_KEYS
+        ],
     )
     total, free = F.col("MemTotal"), F.col("MemAvailable")
     swap = F.col("SwapTotal")

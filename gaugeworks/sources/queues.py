@@ -18,7 +18,7 @@ from gaugeworks.functions.records import record
 from gaugeworks.functions.text import key_part, strip_prefix, url_tail, yaml_items, yaml_pairs
 from gaugeworks.operators.aggregate import distinct_names
 from gaugeworks.operators.ordered import top_n
-from gaugeworks.operators.shape import emit, last_num, mapped_rows, to_metrics, wanted
+from gaugeworks.operators.shape import keyed, kv_specs, to_metrics
 from gaugeworks.schema import KEYS
 
 # ---- BullMQ
@@ -343,9 +343,8 @@ TUBE_COMMAND = "stats-tube "
 
 
 def _stats(df: DataFrame, mapping: list, attrs: Column) -> DataFrame:
-    kv = wanted(yaml_pairs(F.col("body")), [m[0] for m in mapping])
-    rows = mapped_rows(mapping, lambda key: last_num(F.col("kv"), key))
-    return emit(df.withColumn("kv", kv), rows, attrs)
+    parsed = keyed(df, yaml_pairs(F.col("body"), [m[0] for m in mapping]))
+    return to_metrics(parsed, kv_specs(mapping), attrs)
 
 
 def beanstalkd_stats(df: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.functions.attrs import base_attrs, make_attrs
 from gaugeworks.functions.numbers import ratio
-from gaugeworks.functions.text import info_pairs, last_of
+from gaugeworks.functions.text import info_pairs
 from gaugeworks.operators.ordered import log_head
-from gaugeworks.operators.shape import emit, last_num, mapped_rows, spec_rows, to_metrics, wanted
+from gaugeworks.operators.shape import keyed, kv_num, kv_specs, kv_text, to_metrics
 from gaugeworks.schema import KEYS
 
 # INFO key, metric name, unit.
@@ -26,40 +26,34 @@ INFO = [
     ("expired_keys", "db.redis.expired_keys", "{keys}"),
 ]
 OTHER_KEYS = ["role", "master_repl_offset", "slave_repl_offset"]
+VERSION_KEY = "redis_version"
 SLOWLOG_ENTRIES = 10
 
 
 def info(df: DataFrame) -> DataFrame:
     """Mapped INFO gauges, hit ratio, and the replication lag of replicas."""
     keys = [m[0] for m in INFO] + OTHER_KEYS
-    parsed = df.withColumn("kv", wanted(info_pairs(F.col("body")), keys))
-    kv = F.col("kv")
-    hits, misses = last_num(kv, "keyspace_hits"), last_num(kv, "keyspace_misses")
-    behind = last_num(kv, "master_repl_offset") - last_num(kv, "slave_repl_offset")
-    derived = spec_rows(
-        [
-            ("db.redis.keyspace.hit_ratio", ratio(hits, hits + misses), "1"),
-            ("db.redis.replication.lag", F.when(last_of(kv, "role") == "slave", behind), "{bytes}"),
-        ]
-    )
-    rows = F.concat(mapped_rows(INFO, lambda key: last_num(kv, key)), derived)
-    return emit(parsed, rows, base_attrs("redis"))
+    hits, misses = kv_num("keyspace_hits"), kv_num("keyspace_misses")
+    behind = kv_num("master_repl_offset") - kv_num("slave_repl_offset")
+    specs = kv_specs(INFO) + [
+        ("db.redis.keyspace.hit_ratio", ratio(hits, hits + misses), "1"),
+        ("db.redis.replication.lag", F.when(kv_text("role") == "slave", behind), "{bytes}"),
+    ]
+    return to_metrics(keyed(df, info_pairs(F.col("body"), keys)), specs, base_attrs("redis"))
 
 
 def instance_version(df: DataFrame) -> DataFrame:
     """Instance row with the version out of the INFO text."""
-    version = last_of(info_pairs(F.col("body")), "redis_version")
     attrs = make_attrs(
         {
             "db.system": F.lit("redis"),
-            "db.version": version,
+            "db.version": kv_text(VERSION_KEY),
             "db.name": F.col("target_name"),
             "db.instance": F.col("instance"),
         }
     )
-    return to_metrics(
-        df.where("body is not null"), [("db.instance.info", F.lit(1), "1")], attrs
-    )
+    parsed = keyed(df.where("body is not null"), info_pairs(F.col("body"), [VERSION_KEY]))
+    return to_metrics(parsed, [("db.instance.info", F.lit(1), "1")], attrs)
 
 
 def slowlog(df: DataFrame, scrapes: DataFrame | None = None) -> DataFrame:
