@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from gaugeworks.plans import table_queries, text_queries  # noqa: F401
+from gaugeworks.plans import json_queries, table_queries, text_queries  # noqa: F401
 from gaugeworks.plans.common import ORACLES, QUERIES  # noqa: F401
