@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
-from gaugeworks.plans import json_queries, table_queries, text_queries  # noqa: F401
+from gaugeworks.plans import (  # noqa: F401
+    json_queries,
+    operator_queries,
+    queue_queries,
+    table_queries,
+    text_queries,
+)
 from gaugeworks.plans.common import ORACLES, QUERIES  # noqa: F401
