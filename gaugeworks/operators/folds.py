@@ -1,0 +1,413 @@
+"""Circuit breaker and discovery cache over long logs.
+
+Both are state machines whose next step depends on the one before, so a plain window
+cannot express them. A log is cut into time slices and worked on in three passes:
+
+1. each (key, slice) is summed up as a table "state coming in -> state going out";
+2. per key, these small tables are chained in time order, which gives the state every
+   slice starts from;
+3. each (key, slice) is replayed from its starting state.
+
+Passes 1 and 3 hold the rows and run slice by slice in parallel; a key with most of the
+rows spreads over all of its slices. Pass 2 sees one short row per slice.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from gaugeworks.functions.numbers import micros
+from gaugeworks.operators.ordered import DAY_US, SLICE, status_of, with_slice
+
+# Failures that open a circuit, its cooldown, life time of a queue list.
+THRESHOLD = 5
+COOLDOWN_US = 300_000_000
+TTL_US = 300_000_000
+
+NEVER = -(1 << 62)
+
+
+def sliced_fold(
+    rows: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    summary: tuple[Callable[[pd.DataFrame], dict], str],
+    chain: tuple[Callable[[list[dict]], list[dict]], str],
+    replay: tuple[Callable[[pd.DataFrame], pd.DataFrame], str],
+) -> DataFrame:
+    """Run the three passes. ``rows`` has the keys, a slice number, ``__us`` and ``__seq``."""
+    keyed = [*keys, SLICE]
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    key_ddl = ", ".join(f"`{k}` {types[k]}" for k in keyed)
+    sum_up, sum_ddl = summary
+    link, state_ddl = chain
+    play, out_ddl = replay
+
+    def per_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["__us", "__seq"], ignore_index=True)
+        head = {k: pdf[k].iloc[0] for k in keyed}
+        return pd.DataFrame([{**head, **sum_up(pdf)}])
+
+    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(SLICE, ignore_index=True)
+        states = pd.DataFrame(link(pdf.to_dict("records")))
+        return pd.concat([pdf[keyed], states], axis=1)
+
+    def per_slice_again(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["__us", "__seq"], ignore_index=True)
+        return pd.concat([pdf[list(columns)], play(pdf)], axis=1)
+
+    needed = [c for c in rows.columns if c.startswith("__")]
+    summed = (
+        rows.select(*keys, *needed)
+        .groupBy(*keyed)
+        .applyInPandas(per_slice, f"{key_ddl}, {sum_ddl}")
+    )
+    states = summed.groupBy(*keys).applyInPandas(per_key, f"{key_ddl}, {state_ddl}")
+    out = ", ".join(f"`{c}` {types[c]}" for c in columns)
+    return (
+        rows.join(states, keyed)
+        .groupBy(*keyed)
+        .applyInPandas(per_slice_again, f"{out}, {out_ddl}")
+    )
+
+
+# ---- Circuit breaker
+
+
+class BreakerSlice:
+    """One slice of a probe log: where circuits open, and what follows."""
+
+    def __init__(self, ts: np.ndarray, ok: np.ndarray, threshold: int, cooldown: int):
+        self.ts, self.ok, self.threshold, self.cooldown = ts, ok, threshold, cooldown
+        at = np.arange(len(ts))
+        last_ok = np.maximum.accumulate(np.where(ok, at, -1))
+        self.run = at - last_ok  # failures in a row up to here, within the slice
+        self.oks = np.flatnonzero(ok)
+        self.trips = np.flatnonzero(self.run == threshold)
+
+    def trip_after(self, i: int) -> int:
+        """First row after a success at ``i`` that opens the circuit, or the row count."""
+        n = np.searchsorted(self.trips, i, side="right")
+        return int(self.trips[n]) if n < len(self.trips) else len(self.ts)
+
+    def trip_from(self, start: int, failures: int) -> tuple[int, int]:
+        """Opening row of a closed circuit, and the first success at or after ``start``."""
+        n = np.searchsorted(self.oks, start)
+        good = int(self.oks[n]) if n < len(self.oks) else len(self.ts)
+        need = self.threshold - failures
+        if good - start >= need:
+            return start + need - 1, good
+        return (self.trip_after(good) if good < len(self.ts) else len(self.ts)), good
+
+    def tried_at(self, until: int) -> int:
+        return int(np.searchsorted(self.ts, until, side="left"))
+
+    def outcome(self, failures: int, until: int) -> tuple[int, int]:
+        """State after the slice; ``until`` counts only for an open circuit."""
+        fails, skipped, ends = self.play(failures, until)
+        return (int(fails[-1]), int(ends[-1])) if len(fails) else (failures, until)
+
+    def play(self, failures: int, until: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per row: failures in a row after it, whether it was skipped, end of the cooldown."""
+        n = len(self.ts)
+        fails = np.zeros(n, dtype=np.int64)
+        skipped = np.zeros(n, dtype=bool)
+        ends = np.full(n, NEVER, dtype=np.int64)
+        at, is_open = 0, failures >= self.threshold
+        while at < n:
+            if is_open:
+                tried = self.tried_at(until)
+                skipped[at:tried], fails[at:tried], ends[at:tried] = True, failures, until
+                if tried == n:
+                    break
+                is_open = not self.ok[tried]
+                failures = failures + 1 if is_open else 0
+                until = int(self.ts[tried]) + self.cooldown if is_open else NEVER
+                fails[tried], ends[tried] = failures, until
+                at = tried + 1
+                continue
+            trip, good = self.trip_from(at, failures)
+            stop = min(trip + 1, n)
+            fails[at:stop] = self.run[at:stop]
+            lead = min(good, stop)
+            fails[at:lead] = failures + np.arange(1, lead - at + 1)
+            if trip < n:
+                failures, until, is_open = self.threshold, int(self.ts[trip]) + self.cooldown, True
+                ends[trip] = until
+            at = stop
+        return fails, skipped, ends
+
+    def from_opening(self, row: int, known: dict[int, tuple[bool, int, int]]):
+        """State after the slice when the circuit opens at ``row``.
+
+        (counted anew, failures, until): without a success in between, ``failures`` is what
+        comes on top of the count at ``row``. Shared tails are looked up in ``known``.
+        """
+        path, at, n = [], row, len(self.ts)
+        while at not in known:
+            until = int(self.ts[at]) + self.cooldown
+            tried = self.tried_at(until)
+            if tried == n:
+                known[at] = (False, 0, until)
+            elif not self.ok[tried]:
+                path.append((at, False))
+                at = tried
+            else:
+                trip = self.trip_after(tried)
+                if trip == n:
+                    known[at] = (True, int(self.run[-1]), NEVER)
+                else:
+                    path.append((at, True))
+                    at = trip
+        result = known[at]
+        for earlier, reset in reversed(path):
+            anew, failures, until = result
+            if not anew:
+                failures += self.threshold if reset else 1
+            result = (anew or reset, failures, until)
+            known[earlier] = result
+        return result
+
+    def table(self, start: int) -> dict[str, list]:
+        """Outcome for every state that can come in: closed by count, open by cooldown end."""
+        closed = [self.outcome(c, NEVER) for c in range(self.threshold)]
+        known: dict[int, tuple[bool, int, int]] = {}
+        bounds: list[int] = []
+        outs: list[tuple[bool, int, int]] = []
+        n = len(self.ts)
+        for j in range(min(self.tried_at(start + self.cooldown) + 1, n)):
+            if not self.ok[j]:
+                anew, failures, until = self.from_opening(j, known)
+                out = (anew, failures if anew else failures + 1, until)
+            else:
+                trip = self.trip_after(j)
+                if trip == n:
+                    out = (True, int(self.run[-1]), NEVER)
+                else:
+                    anew, failures, until = self.from_opening(trip, known)
+                    out = (True, failures if anew else failures + self.threshold, until)
+            if outs and outs[-1] == out:
+                bounds[-1] = int(self.ts[j])
+            else:
+                bounds.append(int(self.ts[j]))
+                outs.append(out)
+        return {
+            "closed_failures": [c[0] for c in closed],
+            "closed_until": [c[1] for c in closed],
+            "bounds": bounds,
+            "anew": [o[0] for o in outs],
+            "failures": [o[1] for o in outs],
+            "until": [o[2] for o in outs],
+        }
+
+
+BREAKER_TABLE = (
+    "closed_failures array<bigint>, closed_until array<bigint>, bounds array<bigint>, "
+    "anew array<boolean>, failures array<bigint>, until array<bigint>"
+)
+
+
+def breaker(
+    probes: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    ok: str = "ok",
+    seq: str | None = None,
+    threshold: int = THRESHOLD,
+    cooldown_us: int = COOLDOWN_US,
+    slice_us: int = DAY_US,
+) -> DataFrame:
+    """Circuit breaker over a log of probe outcomes.
+
+    Adds per row: ``skipped`` (the circuit was open, the row changed nothing),
+    ``consecutive_failures`` after it, ``open_until`` and ``status``. ``seq`` orders rows of
+    the same time.
+    """
+
+    def logs(pdf: pd.DataFrame) -> BreakerSlice:
+        return BreakerSlice(
+            pdf["__us"].to_numpy(), pdf["__ok"].to_numpy(dtype=bool), threshold, cooldown_us
+        )
+
+    def sum_up(pdf: pd.DataFrame) -> dict:
+        return logs(pdf).table(int(pdf[SLICE].iloc[0]) * slice_us)
+
+    def link(slices: list[dict]) -> list[dict]:
+        failures, until, states = 0, NEVER, []
+        for t in slices:
+            states.append({"__failures": failures, "__until": until})
+            if failures < threshold:
+                failures, until = int(t["closed_failures"][failures]), int(t["closed_until"][failures])
+                continue
+            n = int(np.searchsorted(t["bounds"], until, side="left"))
+            if n < len(t["bounds"]):
+                failures = int(t["failures"][n]) + (0 if t["anew"][n] else failures)
+                until = int(t["until"][n])
+        return states
+
+    def play(pdf: pd.DataFrame) -> pd.DataFrame:
+        start = int(pdf["__failures"].iloc[0]), int(pdf["__until"].iloc[0])
+        fails, skipped, ends = logs(pdf).play(*start)
+        return pd.DataFrame({"skipped": skipped, "consecutive_failures": fails, "__end": ends})
+
+    rows = with_slice(probes, order, slice_us).select(
+        "*",
+        micros(F.col(order)).alias("__us"),
+        (F.lit(0) if seq is None else F.col(seq)).cast("bigint").alias("__seq"),
+        F.coalesce(F.col(ok), F.lit(False)).alias("__ok"),
+    )
+    played = sliced_fold(
+        rows,
+        keys,
+        probes.columns,
+        (sum_up, BREAKER_TABLE),
+        (link, "__failures bigint, __until bigint"),
+        (play, "skipped boolean, consecutive_failures bigint, __end bigint"),
+    )
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    end = epoch + F.make_dt_interval(secs=(F.col("__end") / F.lit(1e6)).cast("decimal(18,6)"))
+    return played.withColumn(
+        "open_until", F.when(F.col("__end") != NEVER, end)
+    ).withColumn("status", status_of(F.col("consecutive_failures"), threshold)).drop("__end")
+
+
+# ---- Discovery cache
+
+# Whether a family takes an empty list as a success, and its stand-in list.
+POLICIES: dict[str, tuple[bool, list[str] | None]] = {
+    "bullmq": (True, None),
+    "celery": (False, ["celery"]),
+    "sidekiq": (False, None),
+}
+
+
+class DiscoverySlice:
+    """One slice of a discovery log: which tries renew the cached list."""
+
+    def __init__(self, ts: np.ndarray, sizes: np.ndarray, takes_empty: bool, ttl: int):
+        self.ts, self.sizes, self.ttl = ts, sizes, ttl
+        self.good = np.flatnonzero(sizes >= (0 if takes_empty else 1))
+        self.good_ts = ts[self.good]
+
+    def first_after(self, stale_from: int, row: int = -1) -> int:
+        """First usable row after ``row`` later than ``stale_from``, or the row count."""
+        n = max(
+            int(np.searchsorted(self.good_ts, stale_from, side="right")),
+            int(np.searchsorted(self.good, row, side="right")),
+        )
+        return int(self.good[n]) if n < len(self.good) else len(self.ts)
+
+    def next_renewal(self, row: int) -> int:
+        stale = NEVER if self.sizes[row] == 0 else int(self.ts[row]) + self.ttl
+        return self.first_after(stale, row)
+
+    def last_renewal(self, row: int, known: dict[int, int]) -> int:
+        path = []
+        while row not in known:
+            following = self.next_renewal(row)
+            if following == len(self.ts):
+                known[row] = row
+            else:
+                path.append(row)
+                row = following
+        for earlier in path:
+            known[earlier] = known[row]
+        return known[row]
+
+    def renewals(self, stale_from: int) -> list[int]:
+        rows, row = [], self.first_after(stale_from)
+        while row < len(self.ts):
+            rows.append(row)
+            row = self.next_renewal(row)
+        return rows
+
+
+def discovery_cache(
+    tries: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    queues: str = "queues",
+    policy: str = "bullmq",
+    ttl_us: int = TTL_US,
+    slice_us: int = DAY_US,
+) -> DataFrame:
+    """Queue list in force at each try, with a cache that is renewed when stale or empty.
+
+    ``queues`` is what discovery would find at that moment, NULL when it fails. Adds
+    ``renewed`` and ``in_force``; the latter is NULL where the collector fails because
+    nothing is cached.
+    """
+    takes_empty, stand_in = POLICIES[policy]
+
+    def logs(pdf: pd.DataFrame) -> DiscoverySlice:
+        sizes = np.array([-1 if q is None else len(q) for q in pdf["__queues"]], dtype=np.int64)
+        return DiscoverySlice(pdf["__us"].to_numpy(), sizes, takes_empty, ttl_us)
+
+    def sum_up(pdf: pd.DataFrame) -> dict:
+        log, start = logs(pdf), int(pdf[SLICE].iloc[0]) * slice_us
+        known: dict[int, int] = {}
+        bounds: list[int] = []
+        lasts: list[int] = []
+        for g in log.good:
+            last = log.last_renewal(int(g), known)
+            if lasts and lasts[-1] == last:
+                bounds[-1] = int(log.ts[g])
+            else:
+                bounds.append(int(log.ts[g]))
+                lasts.append(last)
+            if log.ts[g] > start + ttl_us:
+                break
+        return {
+            "bounds": bounds,
+            "at": [int(log.ts[r]) for r in lasts],
+            "lists": [list(pdf["__queues"].iloc[r]) for r in lasts],
+        }
+
+    def link(slices: list[dict]) -> list[dict]:
+        stale, cached, states = NEVER, None, []
+        for t in slices:
+            states.append({"__stale": stale, "__cached": cached})
+            # Bounds are times of usable rows; the first one later than ``stale`` renews.
+            n = int(np.searchsorted(t["bounds"], stale, side="right"))
+            if n < len(t["bounds"]):
+                cached = [str(q) for q in t["lists"][n]]
+                stale = int(t["at"][n]) + ttl_us if cached else NEVER
+        return states
+
+    def play(pdf: pd.DataFrame) -> pd.DataFrame:
+        log, stale = logs(pdf), int(pdf["__stale"].iloc[0])
+        cached = pdf["__cached"].iloc[0]
+        carried = None if cached is None else list(cached)
+        renewals = log.renewals(stale)
+        renewed = np.zeros(len(pdf), dtype=bool)
+        renewed[renewals] = True
+        found = [list(pdf["__queues"].iloc[r]) for r in renewals]
+        turn = np.cumsum(renewed)
+        in_force = []
+        for i in range(len(pdf)):
+            now = found[turn[i] - 1] if turn[i] else carried
+            # An empty list serves only the row that took it.
+            if not now and not renewed[i]:
+                now = stand_in
+            in_force.append(now)
+        return pd.DataFrame({"renewed": renewed, "in_force": in_force})
+
+    rows = with_slice(tries, order, slice_us).select(
+        "*",
+        micros(F.col(order)).alias("__us"),
+        F.lit(0).cast("bigint").alias("__seq"),
+        F.col(queues).alias("__queues"),
+    )
+    return sliced_fold(
+        rows,
+        keys,
+        tries.columns,
+        (sum_up, "bounds array<bigint>, at array<bigint>, lists array<array<string>>"),
+        (link, "__stale bigint, __cached array<string>"),
+        (play, "renewed boolean, in_force array<string>"),
+    )

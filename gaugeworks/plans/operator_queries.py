@@ -23,7 +23,7 @@ c = F.col
 DSNS = [
     ("postgres", "postgres://u:p@", ":5432/d?x=1#f", "{n}:5432"),
     ("mongodb", "mongodb://a@b:c@", "/admin", "{n}"),
-    ("redis", "{n}:6379", "", "unknown"),
+    ("redis", "10.{n}:6379", "", "unknown"),
     ("mysql", "u:p(x)@tcp({n}:3306)/", "d", "x"),
     ("mysql", "u:p@tcp {n}", "", "unknown"),
     ("kafka", "{n}:9092, b:9092", "", "{n}:9092"),

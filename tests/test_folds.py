@@ -1,0 +1,93 @@
+"""Breaker and discovery cache against a plain loop, over slices of every size."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from gaugeworks.operators.folds import breaker, discovery_cache
+
+T0 = datetime(2024, 1, 1)
+MIN = 60_000_000
+
+
+def loop_breaker(rows, threshold, cooldown):
+    out, fails, until = [], 0, None
+    for ts, ok in rows:
+        if fails >= threshold and ts < until:
+            out.append((ts, True, fails, until))
+            continue
+        fails = 0 if ok else fails + 1
+        until = ts + cooldown if fails >= threshold else None
+        out.append((ts, False, fails, until))
+    return out
+
+
+@pytest.mark.parametrize("slice_min", [1, 7, 60, 100_000])
+def test_breaker_equals_a_loop(spark, slice_min):
+    rng = random.Random(slice_min)
+    data, expected = [], {}
+    for key, bad in [("a", 0.3), ("b", 0.7), ("c", 0.95), ("d", 1.0), ("e", 0.85)]:
+        at, rows = T0, []
+        for _ in range(300):
+            at += timedelta(seconds=rng.choice([5, 15, 60, 400]))
+            rows.append((at, rng.random() > bad))
+        data += [(key, t, ok) for t, ok in rows]
+        expected[key] = loop_breaker(rows, 5, timedelta(minutes=5))
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, ok boolean")
+    got = breaker(df, ["k"], "ts", slice_us=slice_min * MIN).orderBy("k", "ts").collect()
+    for key, rows in expected.items():
+        mine = [
+            (r["ts"], r["skipped"], r["consecutive_failures"], r["open_until"])
+            for r in got
+            if r["k"] == key
+        ]
+        assert mine == rows
+
+
+def test_breaker_timeline(spark):
+    minutes = {0: False, 1: False, 2: False, 3: False, 4: False, 5: True, 9: False, 14: True}
+    rows = [("c", T0 + timedelta(minutes=m), ok) for m, ok in minutes.items()]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, ok boolean")
+    got = breaker(df, ["k"], "ts").orderBy("ts").collect()
+    assert [r["skipped"] for r in got] == [False] * 5 + [True, False, False]
+    assert [r["status"] for r in got] == ["degraded"] * 4 + ["open"] * 3 + ["ok"]
+    assert got[4]["open_until"] == T0 + timedelta(minutes=9)
+    assert got[6]["consecutive_failures"] == 6
+    assert got[7]["open_until"] is None
+
+
+def loop_discovery(rows, takes_empty, stand_in, ttl):
+    out, last, cached = [], None, None
+    for ts, queues in rows:
+        renewed = False
+        if last is None or ts - last > ttl or not cached:
+            if queues is not None and (queues or takes_empty):
+                cached, last, renewed = queues, ts, True
+        now = cached
+        if not now and not renewed:
+            now = stand_in
+        out.append((ts, renewed, now))
+    return out
+
+
+@pytest.mark.parametrize("policy", ["bullmq", "celery", "sidekiq"])
+@pytest.mark.parametrize("slice_min", [2, 11, 100_000])
+def test_discovery_equals_a_loop(spark, policy, slice_min):
+    rng = random.Random(slice_min)
+    rules = {"bullmq": (True, None), "celery": (False, ["celery"]), "sidekiq": (False, None)}
+    data, expected = [], {}
+    for key in ("a", "b", "c"):
+        at, rows = T0, []
+        for n in range(200):
+            at += timedelta(seconds=rng.choice([15, 60, 200, 301]))
+            queues = rng.choice([None, None, [], [f"q{n}"], [f"q{n}", "x"]])
+            rows.append((at, queues))
+        data += [(key, t, q) for t, q in rows]
+        expected[key] = loop_discovery(rows, *rules[policy], timedelta(minutes=5))
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, queues array<string>")
+    got = discovery_cache(df, ["k"], "ts", policy=policy, slice_us=slice_min * MIN)
+    rows = got.orderBy("k", "ts").collect()
+    for key, want in expected.items():
+        mine = [(r["ts"], r["renewed"], r["in_force"]) for r in rows if r["k"] == key]
+        assert mine == want
