@@ -17,8 +17,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.numbers import micros
 from gaugeworks.operators.ordered import DAY_US, SLICE, status_of, with_slice
@@ -35,9 +36,9 @@ def sliced_fold(
     rows: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    summary: tuple[Callable[[pd.DataFrame], dict], str],
+    summary: tuple[Callable[[pa.Table], dict], str],
     chain: tuple[Callable[[list[dict]], list[dict]], str],
-    replay: tuple[Callable[[pd.DataFrame], pd.DataFrame], str],
+    replay: tuple[Callable[[pa.Table], dict], str],
 ) -> DataFrame:
     """Run the three passes. ``rows`` has the keys, a slice number, ``__us`` and ``__seq``."""
     keyed = [*keys, SLICE]
@@ -47,32 +48,63 @@ def sliced_fold(
     link, state_ddl = chain
     play, out_ddl = replay
 
-    def per_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__us", "__seq"], ignore_index=True)
-        head = {k: pdf[k].iloc[0] for k in keyed}
-        return pd.DataFrame([{**head, **sum_up(pdf)}])
+    def in_order(table: pa.Table) -> pa.Table:
+        return table.sort_by([("__us", "ascending"), ("__seq", "ascending")])
 
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SLICE, ignore_index=True)
-        states = pd.DataFrame(link(pdf.to_dict("records")))
-        return pd.concat([pdf[keyed], states], axis=1)
+    def per_slice(table: pa.Table) -> pa.Table:
+        table = in_order(table)
+        found = {name: [value] for name, value in sum_up(table).items()}
+        return _typed({**{k: table[k].slice(0, 1) for k in keyed}, **found}, sum_ddl)
 
-    def per_slice_again(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__us", "__seq"], ignore_index=True)
-        return pd.concat([pdf[list(columns)], play(pdf)], axis=1)
+    def per_key(table: pa.Table) -> pa.Table:
+        table = table.sort_by(SLICE)
+        states = link(table.to_pylist())
+        found = {name: [s[name] for s in states] for name in states[0]}
+        return _typed({**{k: table[k] for k in keyed}, **found}, state_ddl)
+
+    def per_slice_again(table: pa.Table) -> pa.Table:
+        table = in_order(table)
+        return _typed({**{c: table[c] for c in columns}, **play(table)}, out_ddl)
 
     needed = [c for c in rows.columns if c.startswith("__")]
+    # A fixed number of partitions: the rows are few bytes but much work, and adaptive
+    # coalescing looks at bytes only.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.repartition(n, *keyed)
     summed = (
-        rows.select(*keys, *needed)
+        spread.select(*keys, *needed)
         .groupBy(*keyed)
-        .applyInPandas(per_slice, f"{key_ddl}, {sum_ddl}")
+        .applyInArrow(per_slice, f"{key_ddl}, {sum_ddl}")
     )
-    states = summed.groupBy(*keys).applyInPandas(per_key, f"{key_ddl}, {state_ddl}")
+    linked = summed.repartition(n, *keys).groupBy(*keys)
+    states = linked.applyInArrow(per_key, f"{key_ddl}, {state_ddl}")
     out = ", ".join(f"`{c}` {types[c]}" for c in columns)
     return (
-        rows.join(states, keyed)
+        spread.join(states, keyed)
         .groupBy(*keyed)
-        .applyInPandas(per_slice_again, f"{out}, {out_ddl}")
+        .applyInArrow(per_slice_again, f"{out}, {out_ddl}")
+    )
+
+
+# Arrow types of the columns the passes add.
+ARROW = {
+    "bigint": pa.int64(),
+    "boolean": pa.bool_(),
+    "array<bigint>": pa.list_(pa.int64()),
+    "array<boolean>": pa.list_(pa.bool_()),
+    "array<string>": pa.list_(pa.string()),
+    "array<array<string>>": pa.list_(pa.list_(pa.string())),
+}
+
+
+def _typed(columns: dict, ddl: str) -> pa.Table:
+    """Arrow table; the columns named in ``ddl`` get their declared type."""
+    declared = dict(field.split(" ", 1) for field in ddl.split(", "))
+    return pa.table(
+        {
+            name: pa.array(values, ARROW[declared[name]]) if name in declared else values
+            for name, values in columns.items()
+        }
     )
 
 
@@ -229,13 +261,13 @@ def breaker(
     the same time.
     """
 
-    def logs(pdf: pd.DataFrame) -> BreakerSlice:
+    def logs(table: pa.Table) -> BreakerSlice:
         return BreakerSlice(
-            pdf["__us"].to_numpy(), pdf["__ok"].to_numpy(dtype=bool), threshold, cooldown_us
+            table["__us"].to_numpy(), table["__ok"].to_numpy(), threshold, cooldown_us
         )
 
-    def sum_up(pdf: pd.DataFrame) -> dict:
-        return logs(pdf).table(int(pdf[SLICE].iloc[0]) * slice_us)
+    def sum_up(table: pa.Table) -> dict:
+        return logs(table).table(table[SLICE][0].as_py() * slice_us)
 
     def link(slices: list[dict]) -> list[dict]:
         failures, until, states = 0, NEVER, []
@@ -250,10 +282,10 @@ def breaker(
                 until = int(t["until"][n])
         return states
 
-    def play(pdf: pd.DataFrame) -> pd.DataFrame:
-        start = int(pdf["__failures"].iloc[0]), int(pdf["__until"].iloc[0])
-        fails, skipped, ends = logs(pdf).play(*start)
-        return pd.DataFrame({"skipped": skipped, "consecutive_failures": fails, "__end": ends})
+    def play(table: pa.Table) -> dict:
+        start = table["__failures"][0].as_py(), table["__until"][0].as_py()
+        fails, skipped, ends = logs(table).play(*start)
+        return {"skipped": skipped, "consecutive_failures": fails, "__end": ends}
 
     rows = with_slice(probes, order, slice_us).select(
         "*",
@@ -269,11 +301,18 @@ def breaker(
         (link, "__failures bigint, __until bigint"),
         (play, "skipped boolean, consecutive_failures bigint, __end bigint"),
     )
+    status = status_of(F.col("consecutive_failures"), threshold)
+    timed = played.withColumn("open_until", open_until(F.col("__end")))
+    return timed.withColumn("status", status).drop("__end")
+
+
+def open_until(end_us: Column) -> Column:
+    """Microseconds since 1970 as a zone-free timestamp, NULL for a closed circuit."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    end = epoch + F.make_dt_interval(secs=(F.col("__end") / F.lit(1e6)).cast("decimal(18,6)"))
-    return played.withColumn(
-        "open_until", F.when(F.col("__end") != NEVER, end)
-    ).withColumn("status", status_of(F.col("consecutive_failures"), threshold)).drop("__end")
+    # Whole seconds and the rest apart, to stay exact.
+    whole = F.make_dt_interval(secs=F.floor(end_us / 1_000_000).cast("decimal(18,6)"))
+    rest = F.make_dt_interval(secs=F.pmod(end_us, F.lit(1_000_000)) * F.lit(0.000001).cast("decimal(18,6)"))
+    return F.when(end_us != NEVER, epoch + whole + rest)
 
 
 # ---- Discovery cache
@@ -344,12 +383,12 @@ def discovery_cache(
     """
     takes_empty, stand_in = POLICIES[policy]
 
-    def logs(pdf: pd.DataFrame) -> DiscoverySlice:
-        sizes = np.array([-1 if q is None else len(q) for q in pdf["__queues"]], dtype=np.int64)
-        return DiscoverySlice(pdf["__us"].to_numpy(), sizes, takes_empty, ttl_us)
+    def logs(table: pa.Table) -> DiscoverySlice:
+        sizes = pc.fill_null(pc.list_value_length(table["__queues"]), -1).to_numpy()
+        return DiscoverySlice(table["__us"].to_numpy(), sizes, takes_empty, ttl_us)
 
-    def sum_up(pdf: pd.DataFrame) -> dict:
-        log, start = logs(pdf), int(pdf[SLICE].iloc[0]) * slice_us
+    def sum_up(table: pa.Table) -> dict:
+        log, start = logs(table), table[SLICE][0].as_py() * slice_us
         known: dict[int, int] = {}
         bounds: list[int] = []
         lasts: list[int] = []
@@ -365,7 +404,7 @@ def discovery_cache(
         return {
             "bounds": bounds,
             "at": [int(log.ts[r]) for r in lasts],
-            "lists": [list(pdf["__queues"].iloc[r]) for r in lasts],
+            "lists": [table["__queues"][r].as_py() for r in lasts],
         }
 
     def link(slices: list[dict]) -> list[dict]:
@@ -375,27 +414,23 @@ def discovery_cache(
             # Bounds are times of usable rows; the first one later than ``stale`` renews.
             n = int(np.searchsorted(t["bounds"], stale, side="right"))
             if n < len(t["bounds"]):
-                cached = [str(q) for q in t["lists"][n]]
+                cached = t["lists"][n]
                 stale = int(t["at"][n]) + ttl_us if cached else NEVER
         return states
 
-    def play(pdf: pd.DataFrame) -> pd.DataFrame:
-        log, stale = logs(pdf), int(pdf["__stale"].iloc[0])
-        cached = pdf["__cached"].iloc[0]
-        carried = None if cached is None else list(cached)
-        renewals = log.renewals(stale)
-        renewed = np.zeros(len(pdf), dtype=bool)
+    def play(table: pa.Table) -> dict:
+        log = logs(table)
+        carried = table["__cached"][0].as_py()
+        renewals = log.renewals(table["__stale"][0].as_py())
+        renewed = np.zeros(len(table), dtype=bool)
         renewed[renewals] = True
-        found = [list(pdf["__queues"].iloc[r]) for r in renewals]
-        turn = np.cumsum(renewed)
+        found = [table["__queues"][r].as_py() for r in renewals]
         in_force = []
-        for i in range(len(pdf)):
-            now = found[turn[i] - 1] if turn[i] else carried
+        for turn, fresh in zip(np.cumsum(renewed), renewed):
+            now = found[turn - 1] if turn else carried
             # An empty list serves only the row that took it.
-            if not now and not renewed[i]:
-                now = stand_in
-            in_force.append(now)
-        return pd.DataFrame({"renewed": renewed, "in_force": in_force})
+            in_force.append(now if now or fresh else stand_in)
+        return {"renewed": renewed, "in_force": in_force}
 
     rows = with_slice(tries, order, slice_us).select(
         "*",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from gaugeworks.plans import (  # noqa: F401
+    agent_queries,
     json_queries,
     operator_queries,
     queue_queries,
+    stream_queries,
     table_queries,
     text_queries,
 )

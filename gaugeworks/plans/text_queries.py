@@ -77,6 +77,10 @@ def order_cols() -> tuple[Column, Column]:
     ),
 )
 def info_text(spark, sf):
+    return flat(redis.info(info_replies(spark, sf)))
+
+
+def info_replies(spark, sf) -> DataFrame:
     key, cust = order_cols()
     body = lines(
         "# Clients\r",
@@ -96,7 +100,7 @@ def info_text(spark, sf):
         s("master_repl_offset:", key),
         s("slave_repl_offset:", cust * 3),
     )
-    return flat(redis.info(order_replies(spark, sf, body)))
+    return order_replies(spark, sf, body)
 
 
 @query(

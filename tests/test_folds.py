@@ -23,13 +23,13 @@ def loop_breaker(rows, threshold, cooldown):
     return out
 
 
-@pytest.mark.parametrize("slice_min", [1, 7, 60, 100_000])
+@pytest.mark.parametrize("slice_min", [7, 60, 100_000])
 def test_breaker_equals_a_loop(spark, slice_min):
     rng = random.Random(slice_min)
     data, expected = [], {}
     for key, bad in [("a", 0.3), ("b", 0.7), ("c", 0.95), ("d", 1.0), ("e", 0.85)]:
         at, rows = T0, []
-        for _ in range(300):
+        for _ in range(200):
             at += timedelta(seconds=rng.choice([5, 15, 60, 400]))
             rows.append((at, rng.random() > bad))
         data += [(key, t, ok) for t, ok in rows]
@@ -72,7 +72,7 @@ def loop_discovery(rows, takes_empty, stand_in, ttl):
 
 
 @pytest.mark.parametrize("policy", ["bullmq", "celery", "sidekiq"])
-@pytest.mark.parametrize("slice_min", [2, 11, 100_000])
+@pytest.mark.parametrize("slice_min", [11, 100_000])
 def test_discovery_equals_a_loop(spark, policy, slice_min):
     rng = random.Random(slice_min)
     rules = {"bullmq": (True, None), "celery": (False, ["celery"]), "sidekiq": (False, None)}
