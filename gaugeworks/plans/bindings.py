@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gaugeworks.plans import (  # noqa: F401
     agent_queries,
+    fleet,
     json_queries,
     operator_queries,
     queue_queries,
@@ -12,3 +13,8 @@ from gaugeworks.plans import (  # noqa: F401
     text_queries,
 )
 from gaugeworks.plans.common import ORACLES, QUERIES  # noqa: F401
+
+
+def entry(spark, sf_dir):
+    """The flagship query: a whole collection cycle, summed up per metric."""
+    return fleet.fleet_cycle(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks.plans import agent_queries, text_queries
-from gaugeworks.plans.common import ORACLES, flat, query, table
+from gaugeworks.plans.common import ORACLES, SCRAPED, flat, query, table
 from gaugeworks.session import run_dir
 from gaugeworks.sources import landing, redis
 from gaugeworks.streaming.run import metric_stream, run_stream, state_settings
@@ -63,7 +63,9 @@ def discovery_twin(spark, sf):
 @query("replicated_log", ORACLES["info_text"])
 def replicated_log(spark, sf):
     """Replies are landed, streamed in, turned into metrics, written and read back."""
-    replies = text_queries.info_replies(spark, sf)
+    # One scrape time for all: a live stream writes few dates at once, not years of them.
+    at = F.lit(SCRAPED).cast("timestamp_ntz")
+    replies = text_queries.info_replies(spark, sf).withColumn("collected_at", at)
     landed = run_dir(spark, "landed")
     landing.write_snapshots(replies, landed)
     metrics = redis.info(landing.read_snapshots(spark, landed, stream=True))
