@@ -61,6 +61,58 @@ def to_metrics(df: DataFrame, specs: Sequence[Spec], attrs: Column) -> DataFrame
     return emit(df, spec_rows(specs), attrs)
 
 
+def to_metric_groups(
+    df: DataFrame, groups: Sequence[tuple[Column | None, Sequence[Spec] | Column, Column]]
+) -> DataFrame:
+    """Several groups of metric rows out of one row, each with attributes of its own.
+
+    A group is (condition or None, specs, attributes). Instead of specs it may hold a ready
+    array of name, value, unit, attrs structs. One pass over the input serves all groups,
+    where a union of separate selections would read and shuffle it once per group.
+    """
+    none = F.lit(None).cast("map<string,string>")
+    arrays, attrs = [], F.coalesce(F.col("own"), none)
+    for number, (condition, specs, shared) in enumerate(groups):
+        if isinstance(specs, Column):
+            rows = F.transform(
+                specs,
+                lambda r: record(
+                    g=F.lit(number), name=r["name"], value=r["value"], unit=r["unit"], own=r["attrs"]
+                ),
+            )
+        else:
+            rows = F.array(
+                *[
+                    record(
+                        g=F.lit(number),
+                        name=F.lit(name),
+                        value=value.cast("double"),
+                        unit=F.lit(unit),
+                        own=none,
+                    )
+                    for name, value, unit in specs
+                ]
+            )
+            attrs = F.when(F.col("g") == number, shared).otherwise(attrs)
+        empty = F.array().cast(
+            "array<struct<g: int, name: string, value: double, unit: string, own: map<string,string>>>"
+        )
+        arrays.append(rows if condition is None else F.when(condition, rows).otherwise(empty))
+    return (
+        df.select("*", F.inline(F.concat(*arrays)))
+        .where(F.col("value").isNotNull())
+        .select(
+            F.col("collected_at").alias("ts"),
+            "cycle_id",
+            F.col("target_name").alias("target"),
+            "name",
+            "value",
+            "unit",
+            attrs.alias("attrs"),
+        )
+    )
+
+
 def keyed(df: DataFrame, pairs: Column, wins: str = "last") -> DataFrame:
     """Add ``kv``, the map of a row's key/value pairs; the first or last of a key wins.
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.schema import METRIC_COLUMNS
 
 
 def union_metrics(*parts: DataFrame) -> DataFrame:
-    """UNION ALL of metric tables by column name."""
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """UNION ALL of metric tables by column name.
+
+    Joined up in pairs: a chain would have Spark analyze the growing plan once per table.
+    """
+    frames = list(parts)
+    while len(frames) > 1:
+        pairs = zip(frames[::2], frames[1::2])
+        rest = frames[-1:] if len(frames) % 2 else []
+        frames = [a.unionByName(b) for a, b in pairs] + rest
+    return frames[0]
 
 
 def dedupe_series(

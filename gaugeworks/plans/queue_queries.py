@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.schema import KEYS
 from gaugeworks.sources import queues
+from gaugeworks.sources.landing import spread
 
 c = F.col
 
@@ -14,7 +15,7 @@ c = F.col
 def item_keys(spark, sf, key: Column, kind: Column, size: Column, value: Column | None = None):
     """One key row per lineitem, with the supplier as the target."""
     return land(
-        table(spark, sf, "lineitem"),
+        spread(table(spark, sf, "lineitem")),
         1,
         s("s", c("l_suppkey")),
         F.lit("r"),

@@ -20,6 +20,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Call-site capture asks the JVM several times per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

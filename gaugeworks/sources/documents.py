@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import bool01, enum_code, lag_seconds, num_json, ratio, zero
+from gaugeworks.functions.records import record
 from gaugeworks.operators.aggregate import count_states, sum_nested
-from gaugeworks.operators.shape import once, to_metrics
+from gaugeworks.operators.shape import once, to_metric_groups, to_metrics
 
 BAD = "_corrupt_record string"
 # Spark trims the schema of a call without options to the fields in use, and would then
@@ -20,6 +21,11 @@ KEEP_FIELDS = {"mode": "PERMISSIVE"}
 QUEUE_CAP = 100
 
 
+def _first() -> Column:
+    # The one row of an exploded reply that also carries what belongs to the whole reply.
+    return F.coalesce(F.col("pos"), F.lit(0)) == 0
+
+
 def read_json(df: DataFrame, fields: str, body: str = "body") -> DataFrame:
     """Parse the body with a fixed schema into column ``j``; unfit replies drop out."""
     parsed = once(df, "j", F.from_json(F.col(body), f"{fields}, {BAD}", KEEP_FIELDS))
@@ -322,8 +328,19 @@ JSZ_FIELDS = (
 )
 
 
-def nats_jetstream_totals(df: DataFrame) -> DataFrame:
-    specs = _zeros(
+def nats_jetstream(df: DataFrame) -> DataFrame:
+    """Totals, and stream rows; stream sizes may stand beside the stream state or inside it."""
+    accounts = F.filter("j.account_details", lambda a: a["stream_detail"].isNotNull())
+    streams = F.flatten(
+        F.transform(
+            accounts,
+            lambda a: F.transform(a["stream_detail"], lambda s: record(account=a["name"], s=s)),
+        )
+    )
+    parsed = read_json(df, JSZ_FIELDS)
+    each = parsed.select("*", F.posexplode_outer(streams).alias("pos", "q"))
+    either = {f: F.coalesce(f"q.s.{f}", f"q.s.state.{f}") for f in ("messages", "bytes")}
+    totals = _zeros(
         [
             ("messaging.nats.jetstream.memory", "j.memory", "By"),
             ("messaging.nats.jetstream.storage", "j.storage", "By"),
@@ -333,32 +350,23 @@ def nats_jetstream_totals(df: DataFrame) -> DataFrame:
             ("messaging.nats.jetstream.bytes", "j.bytes", "By"),
         ]
     )
-    return to_metrics(read_json(df, JSZ_FIELDS), specs, base_attrs("nats"))
-
-
-def nats_jetstream_streams(df: DataFrame) -> DataFrame:
-    """Stream rows; sizes may stand beside the stream state or inside it."""
-    accounts = read_json(df, JSZ_FIELDS).withColumn("a", F.explode("j.account_details"))
-    streams = accounts.withColumn("s", F.explode("a.stream_detail"))
-    either = {f: F.coalesce(f"s.{f}", f"s.state.{f}") for f in ("messages", "bytes")}
+    base = "messaging.nats.jetstream.stream."
     specs = [
-        ("messaging.nats.jetstream.stream.messages", zero(either["messages"]), "{messages}"),
-        ("messaging.nats.jetstream.stream.bytes", zero(either["bytes"]), "By"),
-        ("messaging.nats.jetstream.stream.consumers", zero(F.col("s.consumer_count")), "{consumers}"),
-        ("messaging.nats.jetstream.stream.last_seq", zero(F.col("s.state.last_seq")), "{sequence}"),
+        (base + "messages", zero(either["messages"]), "{messages}"),
+        (base + "bytes", zero(either["bytes"]), "By"),
+        (base + "consumers", zero(F.col("q.s.consumer_count")), "{consumers}"),
+        (base + "last_seq", zero(F.col("q.s.state.last_seq")), "{sequence}"),
     ]
     attrs = base_attrs(
         "nats",
         {
-            "messaging.nats.jetstream.stream": F.col("s.name"),
-            "messaging.nats.jetstream.account": F.col("a.name"),
+            "messaging.nats.jetstream.stream": F.col("q.s.name"),
+            "messaging.nats.jetstream.account": F.col("q.account"),
         },
     )
-    return to_metrics(streams, specs, attrs)
-
-
-def nats_jetstream(df: DataFrame) -> DataFrame:
-    return nats_jetstream_totals(df).unionByName(nats_jetstream_streams(df))
+    return to_metric_groups(
+        each, [(F.col("q").isNotNull(), specs, attrs), (_first(), totals, base_attrs("nats"))]
+    )
 
 
 # ---- IBM MQ
@@ -403,14 +411,10 @@ def ibmmq_queues(df: DataFrame, cap: int = QUEUE_CAP) -> DataFrame:
         F.lit(0).cast("bigint"),
         lambda acc, q: acc + F.coalesce(q["status"]["currentDepth"], F.lit(0)),
     )
-    totals = to_metrics(
-        parsed,
-        [
-            ("messaging.ibmmq.queues.count", F.size("items"), "{queues}"),
-            ("messaging.ibmmq.queues.total_depth", depth, "{messages}"),
-        ],
-        base_attrs("ibmmq"),
-    )
+    totals = [
+        ("messaging.ibmmq.queues.count", F.size("items"), "{queues}"),
+        ("messaging.ibmmq.queues.total_depth", depth, "{messages}"),
+    ]
     specs = _zeros(
         [
             ("messaging.ibmmq.queue.depth", "q.status.currentDepth", "{messages}"),
@@ -427,7 +431,10 @@ def ibmmq_queues(df: DataFrame, cap: int = QUEUE_CAP) -> DataFrame:
             "messaging.ibmmq.queue.type": F.col("q.type"),
         },
     )
-    return to_metrics(parsed.withColumn("q", F.explode(first)), specs, attrs).unionByName(totals)
+    each = parsed.select("*", F.posexplode_outer(first).alias("pos", "q"))
+    return to_metric_groups(
+        each, [(F.col("q").isNotNull(), specs, attrs), (_first(), totals, base_attrs("ibmmq"))]
+    )
 
 
 MQ_CHANNEL = (
@@ -456,17 +463,23 @@ def ibmmq_channels(df: DataFrame) -> DataFrame:
             "messaging.ibmmq.channel.state": F.col("q.status.state"),
         },
     )
-    rows = to_metrics(parsed.withColumn("q", F.explode("items")), specs, attrs)
-    count = to_metrics(
-        parsed,
-        [("messaging.ibmmq.channels.count", F.size("items"), "{channels}")],
-        base_attrs("ibmmq"),
-    )
     states = F.transform("items", lambda q: F.coalesce(q["status"]["state"], F.lit("")))
-    counted = parsed.withColumn("c", F.explode(count_states(states)))
-    by_state = to_metrics(
-        counted,
-        [("messaging.ibmmq.channels.by_state", F.col("c.n"), "{channels}")],
-        base_attrs("ibmmq", {"messaging.ibmmq.channel.state": F.col("c.state")}),
+    by_state = F.transform(
+        count_states(states),
+        lambda c: record(
+            name=F.lit("messaging.ibmmq.channels.by_state"),
+            value=c["n"].cast("double"),
+            unit=F.lit("{channels}"),
+            attrs=base_attrs("ibmmq", {"messaging.ibmmq.channel.state": c["state"]}),
+        ),
+    )
+    count = [("messaging.ibmmq.channels.count", F.size("items"), "{channels}")]
+    each = parsed.select("*", F.posexplode_outer("items").alias("pos", "q"))
+    return to_metric_groups(
+        each,
+        [
+            (F.col("q").isNotNull(), specs, attrs),
+            (_first(), count, base_attrs("ibmmq")),
+            (_first(), by_state, F.lit(None)),
+        ],
     )
-    return rows.unionByName(count).unionByName(by_state)

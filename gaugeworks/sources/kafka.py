@@ -8,7 +8,7 @@ from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.operators.aggregate import cluster_rollup, count_by, topic_rollup
 from gaugeworks.operators.join import consumer_lag
 from gaugeworks.operators.ordered import top_n
-from gaugeworks.operators.shape import is_internal_topic, to_metrics
+from gaugeworks.operators.shape import is_internal_topic, to_metric_groups, to_metrics
 from gaugeworks.schema import KEYS
 
 GROUP_CAP = 50
@@ -28,15 +28,21 @@ def brokers(df: DataFrame) -> DataFrame:
 def topics(df: DataFrame) -> DataFrame:
     """Per-topic gauges without internal topics, and cluster totals."""
     per_topic = topic_rollup(df, KEYS)
-    shown = per_topic.where(~is_internal_topic(F.col("topic")))
-    rows = to_metrics(
-        shown,
+    # The condition stays out of a filter, which would be pushed below the aggregate and give
+    # the two uses of it different inputs: this way they share one scan and one shuffle.
+    rows = to_metric_groups(
+        per_topic,
         [
-            ("messaging.kafka.topic.partitions", F.col("partitions"), "{partitions}"),
-            ("messaging.kafka.topic.replication_factor", F.col("replication"), "1"),
-            ("messaging.kafka.topic.under_replicated", F.col("under"), "{partitions}"),
+            (
+                ~is_internal_topic(F.col("topic")),
+                [
+                    ("messaging.kafka.topic.partitions", F.col("partitions"), "{partitions}"),
+                    ("messaging.kafka.topic.replication_factor", F.col("replication"), "1"),
+                    ("messaging.kafka.topic.under_replicated", F.col("under"), "{partitions}"),
+                ],
+                base_attrs("kafka", {"messaging.destination.name": F.col("topic")}),
+            )
         ],
-        base_attrs("kafka", {"messaging.destination.name": F.col("topic")}),
     )
     totals = to_metrics(
         cluster_rollup(per_topic, KEYS),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import num_zero
@@ -18,7 +18,7 @@ from gaugeworks.functions.records import record
 from gaugeworks.functions.text import key_part, strip_prefix, url_tail, yaml_items, yaml_pairs
 from gaugeworks.operators.aggregate import distinct_names
 from gaugeworks.operators.ordered import top_n
-from gaugeworks.operators.shape import keyed, kv_specs, to_metrics
+from gaugeworks.operators.shape import keyed, kv_specs, once, to_metric_groups, to_metrics
 from gaugeworks.schema import KEYS
 
 # ---- BullMQ
@@ -39,43 +39,48 @@ def bullmq_discovery(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def _bull_sizes(df: DataFrame) -> DataFrame:
-    key, size = F.col("key"), F.coalesce("size", F.lit(0))
-    parts = F.split(key, ":")
-    exact = F.size(parts) == 3
-    suffix = F.when(exact, F.try_element_at(parts, F.lit(3)))
+    listed = df.where(F.col("key").startswith(BULL_PREFIX + ":")).select(
+        *KEYS, "kind", F.coalesce("size", F.lit(0)).alias("size"), F.split("key", ":").alias("parts")
+    )
+    parts, n = F.col("parts"), F.size("parts")
+    named = listed.select(
+        *KEYS,
+        F.get(parts, F.lit(1)).alias("queue"),
+        F.when(n == 3, F.get(parts, F.lit(2))).alias("suffix"),
+        ((n >= 3) & (F.get(parts, n - 1) == "meta")).alias("meta"),
+        "kind",
+        "size",
+    )
 
     def total(state: str) -> Column:
         kinds = ["zset", "list"] if state in BULL_LISTS else ["zset"]
-        hit = (suffix == BULL_SUFFIX.get(state, state)) & F.col("kind").isin(kinds)
-        return F.coalesce(F.sum(F.when(hit, size)), F.lit(0)).alias(state)
-
-    meta = key.like(f"{BULL_PREFIX}:%:meta")
-    return (
-        df.where(key.startswith(BULL_PREFIX + ":"))
-        .withColumn("queue", F.try_element_at(parts, F.lit(2)))
-        .groupBy(*KEYS, "queue")
-        .agg(F.bool_or(meta).alias("found"), *[total(s) for s in BULL_STATES])
-        .where("found")
-    )
+        hit = (F.col("suffix") == BULL_SUFFIX.get(state, state)) & F.col("kind").isin(kinds)
+        return F.coalesce(F.sum(F.when(hit, F.col("size"))), F.lit(0)).alias(state)
+
+    found = F.bool_or("meta").alias("found")
+    return named.groupBy(*KEYS, "queue").agg(found, *[total(s) for s in BULL_STATES]).where("found")
+
+
+def _with_totals(df: DataFrame, shown: Column, cols: Sequence[str]) -> DataFrame:
+    """Add ``n`` and ``sum_*`` over the queues of a scrape; at most a few hundred rows each."""
+    whole = Window.partitionBy(*KEYS)
+    sums = [F.sum(F.when(shown, F.col(c))).over(whole).alias(f"sum_{c}") for c in cols]
+    return df.select("*", F.count(F.lit(1)).over(whole).alias("n"), *sums)
 
 
 def bullmq_jobs(df: DataFrame) -> DataFrame:
     """Six gauges per queue and the totals over the shown queues."""
     found = top_n(_bull_sizes(df), KEYS, [F.col("queue")], BULL_FOUND_CAP)
     shown = F.col("rank") <= BULL_SHOWN_CAP
-    rows = to_metrics(
-        found.where(shown),
-        [(f"messaging.bullmq.queue.{s}", F.col(s), "{jobs}") for s in BULL_STATES],
-        base_attrs("bullmq", {"messaging.destination.name": F.col("queue")}),
-    )
     summed = [s for s in BULL_STATES if s != "paused"]
-    totals = found.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("queues"),
-        *[F.sum(F.when(shown, F.col(s))).alias(s) for s in summed],
+    rows = [(f"messaging.bullmq.queue.{s}", F.col(s), "{jobs}") for s in BULL_STATES]
+    totals = [("messaging.bullmq.queues.count", F.col("n"), "{queues}")]
+    totals += [(f"messaging.bullmq.jobs.{s}", F.col(f"sum_{s}"), "{jobs}") for s in summed]
+    attrs = base_attrs("bullmq", {"messaging.destination.name": F.col("queue")})
+    return to_metric_groups(
+        _with_totals(found, shown, summed),
+        [(shown, rows, attrs), (F.col("rank") == 1, totals, base_attrs("bullmq"))],
     )
-    specs = [("messaging.bullmq.queues.count", F.col("queues"), "{queues}")]
-    specs += [(f"messaging.bullmq.jobs.{s}", F.col(s), "{jobs}") for s in summed]
-    return rows.unionByName(to_metrics(totals, specs, base_attrs("bullmq")))
 
 
 # ---- Celery
@@ -153,34 +158,33 @@ def celery_tasks(df: DataFrame) -> DataFrame:
     )
     found = top_n(sized, KEYS, [F.col("queue")], CELERY_FOUND_CAP)
     shown = F.col("rank") <= CELERY_SHOWN_CAP
-    rows = to_metrics(
-        found.where(shown),
-        [
-            ("messaging.celery.queue.pending", F.col("pending"), "{tasks}"),
-            ("messaging.celery.queue.reserved", F.col("reserved"), "{tasks}"),
-        ],
-        base_attrs("celery", {"messaging.destination.name": F.col("queue")}),
-    )
-    totals = found.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("queues"),
-        F.sum(F.when(shown, F.col("pending"))).alias("pending"),
-        F.sum(F.when(shown, F.col("reserved"))).alias("reserved"),
-    )
-    specs = [
-        ("messaging.celery.queues.count", F.col("queues"), "{queues}"),
-        ("messaging.celery.tasks.pending", F.col("pending"), "{tasks}"),
-        ("messaging.celery.tasks.reserved", F.col("reserved"), "{tasks}"),
-        ("messaging.celery.results.count", F.col("results"), "{results}"),
+    rows = [
+        ("messaging.celery.queue.pending", F.col("pending"), "{tasks}"),
+        ("messaging.celery.queue.reserved", F.col("reserved"), "{tasks}"),
+    ]
+    totals = [
+        ("messaging.celery.queues.count", F.col("n"), "{queues}"),
+        ("messaging.celery.tasks.pending", F.col("sum_pending"), "{tasks}"),
+        ("messaging.celery.tasks.reserved", F.col("sum_reserved"), "{tasks}"),
     ]
-    joined = totals.join(per_scrape, KEYS)
-    return rows.unionByName(to_metrics(joined, specs, base_attrs("celery")))
+    attrs = base_attrs("celery", {"messaging.destination.name": F.col("queue")})
+    queues = to_metric_groups(
+        _with_totals(found, shown, ["pending", "reserved"]),
+        [(shown, rows, attrs), (F.col("rank") == 1, totals, base_attrs("celery"))],
+    )
+    results = [("messaging.celery.results.count", F.col("results"), "{results}")]
+    return queues.unionByName(to_metrics(per_scrape, results, base_attrs("celery")))
 
 
 # ---- Sidekiq
 
 SIDEKIQ_SHOWN_CAP = 100
+SIDEKIQ_INFO = "concurrency bigint, busy bigint, _corrupt_record string"
+KEEP_FIELDS = {"mode": "PERMISSIVE"}
 # Sorted-set key, column.
 SIDEKIQ_SETS = {"schedule": "scheduled", "retry": "retries", "dead": "dead"}
+# Counter key, column.
+SIDEKIQ_COUNTERS = {"stat:processed": "processed", "stat:failed": "failed"}
 
 
 def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
@@ -192,7 +196,8 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
         return (key == prefix + name) & (kind == of)
 
     mine = df.where(key.startswith(prefix)) if prefix else df
-    # One entity name per row: a queue (member or list) or a process (member or hash).
+    # One entity name per row: a queue (member or list), a process (member or hash), or one of
+    # the single keys. All of them come out of one scan and one shuffle.
     queue = F.when(at("queues", "set"), F.col("value")).when(
         key.startswith(prefix + "queue:") & (kind == "list"),
         F.substr(key, F.lit(len(prefix) + len("queue:") + 1)),
@@ -200,54 +205,58 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
     process = F.when(at("processes", "set"), F.col("value")).when(
         kind == "hash", F.substr(key, F.lit(len(prefix) + 1))
     )
-    info = F.from_json("value", "concurrency bigint, busy bigint, _corrupt_record string")
-    good = F.when(
-        (kind == "hash") & F.col("value").isNotNull() & info["_corrupt_record"].isNull(), info
-    )
-    scalars = mine.groupBy(*KEYS).agg(
-        *[
-            F.coalesce(
-                F.max(F.when(at(f"stat:{s}", "string"), F.col("value").try_cast("bigint"))),
-                F.lit(0),
-            ).alias(s)
-            for s in ("processed", "failed")
-        ],
-        *[
-            F.coalesce(F.max(F.when(at(k, "zset"), size)), F.lit(0)).alias(c)
-            for k, c in SIDEKIQ_SETS.items()
-        ],
+    single = F.lit(False)
+    for name in SIDEKIQ_COUNTERS:
+        single = single | at(name, "string")
+    for name in SIDEKIQ_SETS:
+        single = single | at(name, "zset")
+    info = F.when(kind == "hash", F.from_json("value", SIDEKIQ_INFO, KEEP_FIELDS))
+    named = once(mine.where(kind.isin("set", "list", "hash", "string", "zset")), "info", info).select(
+        *KEYS,
+        queue.alias("queue"),
+        process.alias("process"),
+        F.when(single, F.substr(key, F.lit(len(prefix) + 1))).alias("single"),
+        (kind == "set").alias("listed"),
+        F.when(kind == "string", F.col("value").try_cast("bigint")).otherwise(size).alias("size"),
+        (kind == "set").alias("is_set"),
+        F.when(F.col("info._corrupt_record").isNull(), F.col("info")).alias("info"),
     )
+    what = F.when(F.col("queue").isNotNull(), "q").when(F.col("process").isNotNull(), "p")
     entities = (
-        mine.select(
-            *KEYS,
-            F.coalesce(F.when(queue.isNotNull(), "q"), F.when(process.isNotNull(), "p")).alias("what"),
-            F.coalesce(queue, process).alias("entity"),
-            (kind == "set").alias("listed"),
-            F.when(kind == "list", size).alias("size"),
-            good.alias("info"),
-        )
-        .where("what is not null")
+        named.where("queue is not null or process is not null or single is not null")
+        .withColumn("what", what.otherwise("s"))
+        .withColumn("entity", F.coalesce("queue", "process", "single"))
         .groupBy(*KEYS, "what", "entity")
         .agg(
             F.bool_or("listed").alias("listed"),
-            F.coalesce(F.max("size"), F.lit(0)).alias("size"),
+            F.bool_or(F.col("what") == "q").alias("is_queue"),
+            F.coalesce(F.max(F.when(~F.col("is_set"), F.col("size"))), F.lit(0)).alias("size"),
             F.coalesce(F.max("info.busy"), F.lit(0)).alias("busy"),
             F.coalesce(F.max("info.concurrency"), F.lit(0)).alias("concurrency"),
         )
-        .where("listed")
     )
+    # Both uses below keep the aggregate as it is, so its shuffle is shared: the conditions
+    # are on aggregated columns and cannot be pushed into the scan.
     shown = top_n(
-        entities.where("what = 'q'"), KEYS, [F.col("entity")], SIDEKIQ_SHOWN_CAP
-    ).select(*KEYS, "entity", "size")
-    is_queue, is_process = F.col("what") == "q", F.col("what") == "p"
+        entities.where(F.col("listed") & F.col("is_queue")),
+        KEYS,
+        [F.col("entity")],
+        SIDEKIQ_SHOWN_CAP,
+    )
+    is_process = F.col("listed") & (F.col("what") == "p")
+
+    def scalar(name: str, alias: str) -> Column:
+        hit = (F.col("what") == "s") & (F.col("entity") == name)
+        return F.coalesce(F.max(F.when(hit, F.col("size"))), F.lit(0)).alias(alias)
+
     counts = entities.groupBy(*KEYS).agg(
-        F.count_if(is_queue).alias("queues"),
+        F.count_if(F.col("listed") & F.col("is_queue")).alias("queues"),
         F.count_if(is_process).alias("processes"),
         F.coalesce(F.sum(F.when(is_process, F.col("busy"))), F.lit(0)).alias("busy"),
         F.coalesce(F.sum(F.when(is_process, F.col("concurrency"))), F.lit(0)).alias("concurrency"),
+        *[scalar(k, c) for k, c in {**SIDEKIQ_COUNTERS, **SIDEKIQ_SETS}.items()],
     )
-    enqueued = shown.groupBy(*KEYS).agg(F.sum("size").alias("enqueued"))
-    joined = counts.where("queues > 0").join(scalars, KEYS).join(enqueued, KEYS)
+    joined = counts.where("queues > 0")
     # Metric name, column, unit.
     specs = [
         ("messaging.sidekiq.processed", F.col("processed"), "{jobs}"),
@@ -259,12 +268,13 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
         ("messaging.sidekiq.processes", F.col("processes"), "{processes}"),
         ("messaging.sidekiq.busy", F.col("busy"), "{workers}"),
         ("messaging.sidekiq.concurrency", F.col("concurrency"), "{workers}"),
-        ("messaging.sidekiq.enqueued", F.col("enqueued"), "{jobs}"),
     ]
-    rows = to_metrics(
-        shown,
-        [("messaging.sidekiq.queue.size", F.col("size"), "{jobs}")],
-        base_attrs("sidekiq", {"messaging.destination.name": F.col("entity")}),
+    sizes = [("messaging.sidekiq.queue.size", F.col("size"), "{jobs}")]
+    enqueued = [("messaging.sidekiq.enqueued", F.col("sum_size"), "{jobs}")]
+    attrs = base_attrs("sidekiq", {"messaging.destination.name": F.col("entity")})
+    rows = to_metric_groups(
+        _with_totals(shown, F.lit(True), ["size"]),
+        [(None, sizes, attrs), (F.col("rank") == 1, enqueued, base_attrs("sidekiq"))],
     )
     return rows.unionByName(to_metrics(joined, specs, base_attrs("sidekiq")))
 
@@ -287,7 +297,6 @@ def sqs_queues(df: DataFrame, region: Column | None = None) -> DataFrame:
         "cloud.region": F.col("instance") if region is None else region,
     }
     shown = top_n(df, KEYS, [F.col("pos")], SQS_CAP)
-    count = shown.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
     specs = [
         (
             name,
@@ -302,10 +311,11 @@ def sqs_queues(df: DataFrame, region: Column | None = None) -> DataFrame:
     attrs = base_attrs(
         "sqs", {**place, "messaging.destination.name": url_tail(F.col("queue_url"))}
     )
-    total = to_metrics(
-        count, [("messaging.sqs.queues.count", F.col("n"), "{queues}")], base_attrs("sqs", place)
+    count = [("messaging.sqs.queues.count", F.col("n"), "{queues}")]
+    return to_metric_groups(
+        _with_totals(shown, F.lit(True), []),
+        [(None, specs, attrs), (F.col("rank") == 1, count, base_attrs("sqs", place))],
     )
-    return to_metrics(shown, specs, attrs).unionByName(total)
 
 
 # ---- Beanstalkd
