@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from gaugeworks.functions.attrs import base_attrs, make_attrs
 from gaugeworks.functions.numbers import kib_to_pages, num_prefix, num_strict, ratio
 from gaugeworks.operators.aggregate import count_sum
-from gaugeworks.operators.ordered import last_per_key
 from gaugeworks.operators.shape import emit, keep_keys, map_names, to_metrics
 from gaugeworks.schema import KEYS
 
@@ -63,16 +62,16 @@ def instance_info(df: DataFrame) -> DataFrame:
 def mysql_status(df: DataFrame) -> DataFrame:
     """Mapped status gauges and the buffer pool hit ratio; the last listed value of a key counts.
 
-    One aggregate per scrape: each wanted key is a conditional last value, parsed to a
-    number first so that the aggregate keeps fixed-width buffers.
+    One aggregate per scrape: each wanted key is a conditional last value. Values are parsed
+    to numbers first, so the buffers are fixed width and the hash aggregate combines a scrape
+    on the map side before its single shuffle.
     """
     keys = [m[0] for m in MYSQL_STATUS] + [POOL_REQUESTS, POOL_READS]
     parsed = keep_keys(df, keys, "name").select(
         *KEYS, "pos", "name", num_strict(F.col("value")).alias("num")
     )
-    last = last_per_key(parsed, [*KEYS, "name"], "pos", ["num"])
-    wide = last.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("name") == k, F.col("num"))).alias(k) for k in keys]
+    wide = parsed.groupBy(*KEYS).agg(
+        *[F.max_by("num", F.when(F.col("name") == k, F.col("pos"))).alias(k) for k in keys]
     )
     requests, reads = F.col(POOL_REQUESTS), F.col(POOL_READS)
     specs = [(name, F.col(key), unit) for key, name, unit in MYSQL_STATUS]
