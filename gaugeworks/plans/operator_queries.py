@@ -396,7 +396,7 @@ def otlp_points(spark, sf):
     "'[{\"key\":\"deployment.environment\",\"value\":{\"stringValue\":\"prod\"}},"
     "{\"key\":\"service.name\",\"value\":{\"stringValue\":\"infra\"}}]' AS resource, "
     "'{\"name\":\"infra-agent\",\"version\":\"2.0.0\"}' AS scope, "
-    "true AS split_up FROM orders GROUP BY o_orderkey % 100",
+    "count(*) > 50 AS split_up FROM orders GROUP BY o_orderkey % 100",
 )
 def otlp(spark, sf):
     docs = _documents(spark, sf)

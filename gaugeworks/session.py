@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -46,14 +47,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new sub-folder name in the shared folder for one run."""
-    import uuid
-
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so a lost executor does not lose the result."""
-    spark = df.sparkSession
-    folder = run_dir(spark, "cut")
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)

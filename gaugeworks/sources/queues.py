@@ -20,6 +20,7 @@ from gaugeworks.operators.aggregate import distinct_names
 from gaugeworks.operators.ordered import top_n
 from gaugeworks.operators.shape import keyed, kv_specs, once, to_metric_groups, to_metrics
 from gaugeworks.schema import KEYS
+from gaugeworks.sources.documents import KEEP_FIELDS
 
 # ---- BullMQ
 
@@ -180,7 +181,6 @@ def celery_tasks(df: DataFrame) -> DataFrame:
 
 SIDEKIQ_SHOWN_CAP = 100
 SIDEKIQ_INFO = "concurrency bigint, busy bigint, _corrupt_record string"
-KEEP_FIELDS = {"mode": "PERMISSIVE"}
 # Sorted-set key, column.
 SIDEKIQ_SETS = {"schedule": "scheduled", "retry": "retries", "dead": "dead"}
 # Counter key, column.
