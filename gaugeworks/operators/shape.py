@@ -47,67 +47,49 @@ def emit(df: DataFrame, rows: Column, attrs: Column) -> DataFrame:
     )
 
 
-def spec_rows(specs: Sequence[Spec]) -> Column:
-    return F.array(
-        *[
-            record(name=F.lit(name), value=value.cast("double"), unit=F.lit(unit))
-            for name, value, unit in specs
-        ]
-    )
+def _constants(values: Sequence[str | int]) -> Column:
+    """Constant array in one expression."""
+    return F.expr(f"array({', '.join(repr(v) for v in values)})")
 
 
 def to_metrics(df: DataFrame, specs: Sequence[Spec], attrs: Column) -> DataFrame:
-    """One wide stat row becomes one metric row per spec, in a single pass."""
-    return emit(df, spec_rows(specs), attrs)
+    """One wide stat row becomes one metric row per spec, in a single pass.
+
+    Only the values are exploded; name and unit are looked up by position in constants.
+    """
+    return to_metric_groups(df, [(None, specs, attrs)])
 
 
 def to_metric_groups(
-    df: DataFrame, groups: Sequence[tuple[Column | None, Sequence[Spec] | Column, Column]]
+    df: DataFrame, groups: Sequence[tuple[Column | None, Sequence[Spec], Column]]
 ) -> DataFrame:
     """Several groups of metric rows out of one row, each with attributes of its own.
 
-    A group is (condition or None, specs, attributes). Instead of specs it may hold a ready
-    array of name, value, unit, attrs structs. One pass over the input serves all groups,
-    where a union of separate selections would read and shuffle it once per group.
+    A group is (condition or None, specs, attributes). One pass over the input serves all
+    groups, where a union of separate selections would read and shuffle it once per group.
     """
-    none = F.lit(None).cast("map<string,string>")
-    arrays, attrs = [], F.coalesce(F.col("own"), none)
-    for number, (condition, specs, shared) in enumerate(groups):
-        if isinstance(specs, Column):
-            rows = F.transform(
-                specs,
-                lambda r: record(
-                    g=F.lit(number), name=r["name"], value=r["value"], unit=r["unit"], own=r["attrs"]
-                ),
-            )
-        else:
-            rows = F.array(
-                *[
-                    record(
-                        g=F.lit(number),
-                        name=F.lit(name),
-                        value=value.cast("double"),
-                        unit=F.lit(unit),
-                        own=none,
-                    )
-                    for name, value, unit in specs
-                ]
-            )
-            attrs = F.when(F.col("g") == number, shared).otherwise(attrs)
-        empty = F.array().cast(
-            "array<struct<g: int, name: string, value: double, unit: string, own: map<string,string>>>"
-        )
-        arrays.append(rows if condition is None else F.when(condition, rows).otherwise(empty))
+    flat = [
+        (number, name, value if condition is None else F.when(condition, value), unit)
+        for number, (condition, specs, _) in enumerate(groups)
+        for name, value, unit in specs
+    ]
+    values = F.array(*[value.cast("double") for _, _, value, _ in flat])
+    pos = F.col("__pos")
+    attrs = groups[0][2]
+    if len(groups) > 1:
+        number = F.get(_constants([f[0] for f in flat]), pos)
+        for n, (_, _, own) in enumerate(groups[1:], 1):
+            attrs = F.when(number == n, own).otherwise(attrs)
     return (
-        df.select("*", F.inline(F.concat(*arrays)))
-        .where(F.col("value").isNotNull())
+        df.select("*", F.posexplode(values).alias("__pos", "__value"))
+        .where(F.col("__value").isNotNull())
         .select(
             F.col("collected_at").alias("ts"),
             "cycle_id",
             F.col("target_name").alias("target"),
-            "name",
-            "value",
-            "unit",
+            F.get(_constants([f[1] for f in flat]), pos).alias("name"),
+            F.col("__value").alias("value"),
+            F.get(_constants([f[3] for f in flat]), pos).alias("unit"),
             attrs.alias("attrs"),
         )
     )

@@ -464,22 +464,23 @@ def ibmmq_channels(df: DataFrame) -> DataFrame:
         },
     )
     states = F.transform("items", lambda q: F.coalesce(q["status"]["state"], F.lit("")))
-    by_state = F.transform(
-        count_states(states),
-        lambda c: record(
-            name=F.lit("messaging.ibmmq.channels.by_state"),
-            value=c["n"].cast("double"),
-            unit=F.lit("{channels}"),
-            attrs=base_attrs("ibmmq", {"messaging.ibmmq.channel.state": c["state"]}),
-        ),
-    )
     count = [("messaging.ibmmq.channels.count", F.size("items"), "{channels}")]
-    each = parsed.select("*", F.posexplode_outer("items").alias("pos", "q"))
+    by_state = [("messaging.ibmmq.channels.by_state", F.col("c.n"), "{channels}")]
+    # One list for both kinds of rows: first the channels, then the counted states.
+    entry = "array<struct<q: " + MQ_CHANNEL + ", c: struct<state: string, n: int>>>"
+    listed = F.concat(
+        F.transform("items", lambda q: record(q=q, c=F.lit(None))).cast(entry),
+        F.transform(count_states(states), lambda c: record(q=F.lit(None), c=c)).cast(entry),
+    )
+    each = parsed.select("*", F.posexplode_outer(listed).alias("pos", "e")).select(
+        "*", "e.q", "e.c"
+    )
+    state_attrs = base_attrs("ibmmq", {"messaging.ibmmq.channel.state": F.col("c.state")})
     return to_metric_groups(
         each,
         [
             (F.col("q").isNotNull(), specs, attrs),
             (_first(), count, base_attrs("ibmmq")),
-            (_first(), by_state, F.lit(None)),
+            (F.col("c").isNotNull(), by_state, state_attrs),
         ],
     )

@@ -18,12 +18,10 @@ from gaugeworks.functions.text import (
 )
 from gaugeworks.operators.ordered import DAY_US, counter_delta, first_per_key, share_of_delta
 from gaugeworks.operators.shape import (
-    emit,
     keyed,
     kv_num,
     once,
     real_mount,
-    spec_rows,
     to_metrics,
 )
 from gaugeworks.schema import KEYS
@@ -183,4 +181,4 @@ def load(df: DataFrame) -> DataFrame:
     split = once(df, "f", fields(F.col("body"))).where(F.size("f") >= 3)
     names = ["host.load.1m", "host.load.5m", "host.load.15m"]
     specs = [(n, num_zero(F.get("f", F.lit(i))), "1") for i, n in enumerate(names)]
-    return emit(split, spec_rows(specs), base_attrs("host"))
+    return to_metrics(split, specs, base_attrs("host"))
