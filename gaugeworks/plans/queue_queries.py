@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeworks.functions.records import record
 from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.schema import KEYS
 from gaugeworks.sources import queues
@@ -13,17 +14,16 @@ c = F.col
 
 
 def item_keys(spark, sf, key: Column, kind: Column, size: Column, value: Column | None = None):
-    """One key row per lineitem, with the supplier as the target."""
-    return land(
-        spread(table(spark, sf, "lineitem")),
-        1,
-        s("s", c("l_suppkey")),
-        F.lit("r"),
-        key=key,
-        kind=kind,
-        size=size.cast("bigint"),
-        value=F.lit(None).cast("string") if value is None else value,
-    )
+    """One key row per lineitem, with the supplier as the target.
+
+    The generator keeps later filters above the rendering of the keys, as they would be above
+    the scan of a stored listing.
+    """
+    none = F.lit(None).cast("string")
+    row = record(key=key, kind=kind, size=size.cast("bigint"), value=none if value is None else value)
+    items = spread(table(spark, sf, "lineitem")).select("l_suppkey", F.inline(F.array(row)))
+    names = ("key", "kind", "size", "value")
+    return land(items, 1, s("s", c("l_suppkey")), F.lit("r"), **{n: c(n) for n in names})
 
 
 ITEM_SRC = (

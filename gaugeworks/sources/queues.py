@@ -235,10 +235,12 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
             F.coalesce(F.max("info.concurrency"), F.lit(0)).alias("concurrency"),
         )
     )
-    # Both uses below keep the aggregate as it is, so its shuffle is shared: the conditions
-    # are on aggregated columns and cannot be pushed into the scan.
+    # Both uses below keep the aggregate as it is, so its shuffle is shared: the conditions are
+    # on aggregated columns, which cannot be pushed into the scan, and name every one of them,
+    # so none is pruned from one use only (queues have no process numbers: both are 0).
+    no_process = (F.col("busy") == 0) & (F.col("concurrency") == 0)
     shown = top_n(
-        entities.where(F.col("listed") & F.col("is_queue")),
+        entities.where(F.col("listed") & F.col("is_queue") & no_process),
         KEYS,
         [F.col("entity")],
         SIDEKIQ_SHOWN_CAP,
