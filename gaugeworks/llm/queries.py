@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import jaccard  # noqa: F401
+from gaugeworks.llm import jaccard, line_rules  # noqa: F401
 from gaugeworks.llm.common import ORACLES, QUERIES  # noqa: F401
