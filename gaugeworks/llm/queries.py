@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import decontaminate, jaccard, line_rules  # noqa: F401
+from gaugeworks.llm import decontaminate, jaccard, licenses, line_rules, secrets  # noqa: F401
 from gaugeworks.llm.common import ORACLES, QUERIES  # noqa: F401
