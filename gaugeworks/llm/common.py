@@ -59,21 +59,47 @@ class Shared:
 
 
 def pieces(
-    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 30
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with about ``limit`` bytes of text."""
+    """Cut batches into runs of rows with about ``limit`` bytes of text, and ``rows`` rows at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = batch.column(column).nbytes
-        if sizes <= limit:
+        if sizes <= limit and batch.num_rows <= rows:
             yield batch
             continue
         lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         begin = held = 0
         for i, n in enumerate(lengths):
-            if held and held + n > limit:
+            if (held and held + n > limit) or i - begin >= rows:
                 yield batch.slice(begin, i - begin)
                 begin, held = i, 0
             held += int(n)
         yield batch.slice(begin)
+
+
+def labelled_sample(labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int) -> DataFrame:
+    """(doc_id, y) of about ``per_class`` labelled rows of each class, outside the held-out fold.
+
+    Rows are chosen by a hash of their id below a share of the class's size, so the choice takes
+    no sort and is the same on every run. Null ids and labels are left out. The size is bounded
+    by ``per_class`` (within the square root of it), whatever the table's size.
+    """
+    own = labels.where(fold(modulus) != held_out).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    own = own.where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+    sizes = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
+    if not sizes:
+        return own
+    share = F.lit(0.0)
+    for y, n in sizes.items():
+        share = F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return own.where(place < share)
+
+
+def class_shares(labels: DataFrame, label: str, modulus: int, held_out: int) -> float:
+    """Share of label 1 among all labelled rows outside the held-out fold; 0.5 if there is none."""
+    own = labels.where(fold(modulus) != held_out).where(F.col(label).cast("int").isin(0, 1))
+    share = own.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    return 0.5 if share is None else min(max(share, 1e-4), 1 - 1e-4)
