@@ -2,5 +2,13 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import decontaminate, jaccard, licenses, line_rules, secrets  # noqa: F401
+from gaugeworks.llm import (  # noqa: F401
+    decontaminate,
+    jaccard,
+    language_centroids,
+    licenses,
+    line_rules,
+    quality_net,
+    secrets,
+)
 from gaugeworks.llm.common import ORACLES, QUERIES  # noqa: F401
