@@ -10,5 +10,6 @@ from gaugeworks.llm import (  # noqa: F401
     line_rules,
     quality_net,
     secrets,
+    toxicity,
 )
 from gaugeworks.llm.common import ORACLES, QUERIES  # noqa: F401
