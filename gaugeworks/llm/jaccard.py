@@ -16,9 +16,10 @@ a corpus. The join therefore goes down in three steps, each exact for links:
    since linked sets then both have them.
 3. *Pivots inside a region.* Regions of two or more sets get a pivot set: the member of most
    regions, which is the middle of its copies. All members are measured against it. Those within
-   the join distance are its ball, already connected. Members outside recurse with a pivot of
-   their own. What is left are pairs of different balls inside every pivot's triangle window,
-   |d(x, p) - d(y, p)| <= 1 - percent / 100, which are measured one by one.
+   the join distance are its ball, already connected. Regions of one pivot recurse as one group:
+   members outside get a pivot of their own, and so on. What is left are pairs of different balls;
+   the triangle inequality on differences from the pivot (see ``_across_balls``) leaves few of
+   them, which are measured one by one.
 
 Shingles are compared by 64-bit hashes. No size, bucket or candidate is capped.
 """
@@ -184,6 +185,74 @@ def _measure(n_words: int):
     return each
 
 
+def _differences(n_words: int, percent: int):
+    """Rows (a, b, ball, text_a, text_b): where b differs from its group's pivot a, words added
+    first, as far as a partner can need."""
+
+    def each(batches):
+        last, own = None, None
+        for whole in batches:
+            for batch in pieces(pieces(iter([whole]), "text_b"), "text_a"):
+                a = batch.column("a").to_pylist()
+                elements, at, owner, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+                for i, other in enumerate(shingle_sets(split(batch.column("text_b")), n_words)):
+                    if a[i] != last:
+                        last, own = a[i], next(iter(shingle_sets(split(batch.column("text_a").slice(i, 1)), n_words)))
+                    both = np.intersect1d(own, other, assume_unique=True)
+                    delta = np.concatenate([np.setdiff1d(other, both, assume_unique=True), np.setdiff1d(own, both, assume_unique=True)])
+                    sizes.append((len(delta), len(other)))
+                    delta = delta[: len(other) * (100 - percent) // percent + 1]
+                    elements.append(delta)
+                    at.append(np.arange(len(delta)))
+                    owner.append(np.full(len(delta), i))
+                rows = np.concatenate(owner)
+                size = np.array(sizes, np.int64).reshape(-1, 2)[rows]
+                of = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("a").take(of), batch.column("b").take(of), batch.column("ball").take(of),
+                        pa.array(np.concatenate(elements).view(np.int64)), pa.array(np.concatenate(at)),
+                        pa.array(size[:, 0].copy()), pa.array(size[:, 1].copy()),
+                    ],
+                    ["group", "node", "ball", "element", "at", "differs", "n"],
+                )
+
+    return each
+
+
+def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of a group that are not in one ball.
+
+    Sets differ from each other where one of them alone differs from the pivot, so with d(x) the
+    number of shingles in which x differs from it, |x xor y| = d(x) + d(y) - 2 common. A pair
+    of different balls is beyond d(x) + d(y) <= t, which would put both into the pivot's ball, and
+    must have differences in common: (d(x) + d(y) - t) / 2 at least. Differences are put in one
+    order (words added, then words lost), so the first common one must leave that many in both.
+    """
+    left = state.select(F.col("group").alias("a"), F.col("node").alias("b"), "ball")
+    left = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    rows = (
+        left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .select("a", "b", "ball", "text_a", "text_b")
+        .mapInArrow(
+            _differences(n_words, percent),
+            "group long, node long, ball long, element long, at long, differs long, n long",
+        )
+    )
+    x, y = rows.alias("x"), rows.alias("y")
+    most = F.floor((F.col("x.n") + F.col("y.n")) * (100 - percent) / (100 + percent))
+    needed = F.col("x.differs") + F.col("y.differs") - most
+    condition = (
+        (F.col("x.group") == F.col("y.group"))
+        & (F.col("x.element") == F.col("y.element"))
+        & (F.col("x.node") < F.col("y.node"))
+        & ~F.coalesce(F.col("x.ball") == F.col("y.ball"), F.lit(False))
+        & (2 * (F.col("x.differs") - F.col("x.at")) >= needed)
+        & (2 * (F.col("y.differs") - F.col("y.at")) >= needed)
+    )
+    return x.join(y, condition).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def _distances(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
     """(a, b) to (a, b, inter, whole)."""
     left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -202,8 +271,8 @@ def jaccard_groups(
     ``component_id`` is the smallest doc_id that links reach, the row's own included. Texts
     without words (null too) have no node and are their own component. A null doc_id takes the
     component of its text and names none. With ``keyed`` the columns are (key, doc_id, root), root
-    naming the component or null for texts without words. ``levels`` is how often a region recurses before the
-    window pairs are measured; it changes the cost only.
+    naming the component or null for texts without words. ``levels`` is how often a region recurses before pairs
+    of different balls are measured; it changes the cost only.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("key", row_key())
@@ -225,62 +294,47 @@ def jaccard_groups(
         docs.select("key", "text").join(chosen, "key").groupBy("node").agg(F.first("text").alias("text")), "texts"
     )
 
-    # Pivots inside regions. `ball` is the pivot whose ball holds the member, at_k the distance
-    # to the pivot of level k.
+    # Level 0: each region's pivot. Regions with one pivot go on as one group. `ball` is the
+    # pivot whose ball holds the member.
     limit = F.lit(percent)
-    state = shared.keep(
-        regions.join(weights, "node").select("region", "node", "weight", F.lit(None).cast("long").alias("ball")), "level-0"
+    linked = F.col("inter") * 100 >= limit * F.col("whole")
+    pivots = (
+        regions.join(weights, "node")
+        .groupBy("region")
+        .agg(F.max(F.struct("weight", "node")).alias("best"))
+        .select("region", F.col("best.node").alias("a"))
     )
-    links = None
-    for level in range(levels):
+    pairs = regions.join(pivots, "region").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    far = shared.keep(_distances(pairs, texts, n_words), "measured-0")
+    links = far.where(linked).select("a", "b")
+    members_of = far.select(F.col("a").alias("group"), F.col("b").alias("node"), F.when(linked, F.col("a")).alias("ball"))
+    unsettled = members_of.where("ball IS NULL").select("group").distinct()
+    state = shared.keep(members_of.join(unsettled, "group", "left_semi").join(weights, "node"), "level-0")
+    # Further levels: the middle of what is outside all balls so far.
+    for level in range(1, levels):
         pivots = (
             state.where("ball IS NULL")
-            .groupBy("region")
+            .groupBy("group")
             .agg(F.max(F.struct("weight", "node")).alias("best"))
-            .select("region", F.col("best.node").alias("pivot"))
+            .select("group", F.col("best.node").alias("pivot"))
         )
-        open_rows = state.join(pivots, "region")
-        pairs = open_rows.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        around = state.join(pivots, "group", "left")
+        pairs = around.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         far = shared.keep(_distances(pairs, texts, n_words), f"measured-{level}")
-        own = far.where(F.col("inter") * 100 >= limit * F.col("whole")).select("a", "b")
-        links = own if links is None else links.union(own)
-        near = far.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "inter", "whole")
-        joined = open_rows.join(near, ["pivot", "node"], "left")
-        is_pivot = F.col("node") == F.col("pivot")
-        linked = is_pivot | (F.col("inter") * 100 >= limit * F.col("whole"))
+        links = links.union(far.where(linked).select("a", "b"))
+        near = far.where(linked).select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.lit(True).alias("near"))
+        inside = F.col("ball").isNull() & (F.col("near") | (F.col("node") == F.col("pivot")))
         state = shared.keep(
-            joined.select(
-                "region", "node", "weight",
-                F.when(F.col("ball").isNull() & linked, F.col("pivot")).otherwise(F.col("ball")).alias("ball"),
-                *[c for c in state.columns if c.startswith("at_")],
-                F.when(is_pivot, F.lit(0.0)).otherwise(1 - F.col("inter") / F.col("whole")).alias(f"at_{level}"),
+            around.join(near, ["pivot", "node"], "left").select(
+                "group", "node", F.when(inside, F.col("pivot")).otherwise(F.col("ball")).alias("ball"), "weight"
             ),
-            f"level-{level + 1}",
-        )
-        # A region whose members are all in one ball is done.
-        several = (
-            state.groupBy("region")
-            .agg(F.min("ball").alias("lo"), F.max("ball").alias("hi"), F.count("ball").alias("k"), F.count("*").alias("n"))
-            .where("k < n OR lo <> hi")
-            .select("region")
+            f"level-{level}",
         )
-        rest = shared.keep(state.join(several, "region", "left_semi"), f"rest-{level + 1}")
-        state = rest
-        if rest.where("ball IS NULL").isEmpty():
+        if state.where("ball IS NULL").isEmpty():
             break
-    # Pairs of different balls inside every window. Distances are rounded, so the window is a
-    # little wider than it need be; each pair is measured exactly.
-    at = [c for c in state.columns if c.startswith("at_")]
-    width = 1 - percent / 100 + 1e-9
-    x, y = state.alias("x"), state.alias("y")
-    near_pivots = [F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= width for c in at]
-    condition = (F.col("x.region") == F.col("y.region")) & (F.col("x.node") < F.col("y.node"))
-    for c in near_pivots:
-        condition &= c
-    apart = ~F.coalesce(F.col("x.ball") == F.col("y.ball"), F.lit(False))
-    left_over = x.join(y, condition & apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    left_over = _across_balls(state, texts, n_words, percent)
     far = _distances(left_over, texts, n_words)
-    links = links.union(far.where(F.col("inter") * 100 >= limit * F.col("whole")).select("a", "b"))
+    links = links.union(far.where(linked).select("a", "b"))
     roots = components(links, shared)
     grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if keyed:
