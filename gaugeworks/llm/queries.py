@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gaugeworks.llm import (  # noqa: F401
+    context_tree,
     decontaminate,
     jaccard,
     language_centroids,
