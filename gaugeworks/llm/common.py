@@ -79,15 +79,18 @@ def pieces(
         yield batch.slice(begin)
 
 
-def labelled_sample(labels: DataFrame, label: str, modulus: int, held_out: int, per_class: int) -> DataFrame:
+def labelled_sample(
+    labels: DataFrame, label: str | Column, modulus: int, held_out: int, per_class: int, classes: int = 2
+) -> DataFrame:
     """(doc_id, y) of about ``per_class`` labelled rows of each class, outside the held-out fold.
 
     Rows are chosen by a hash of their id below a share of the class's size, so the choice takes
     no sort and is the same on every run. Null ids and labels are left out. The size is bounded
     by ``per_class`` (within the square root of it), whatever the table's size.
     """
-    own = labels.where(fold(modulus) != held_out).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    own = own.where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+    label = F.col(label) if isinstance(label, str) else label
+    own = labels.where(fold(modulus) != held_out).select(F.col("doc_id").cast("long").alias("doc_id"), label.cast("int").alias("y"))
+    own = own.where(F.col("doc_id").isNotNull() & F.col("y").between(0, classes - 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
     if not sizes:
         return own
