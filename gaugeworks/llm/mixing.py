@@ -36,7 +36,7 @@ from gaugeworks.llm.tokens import split
 TARGETS = {"low": 0.10, "low_toxic": 0.01, "high": 0.87, "high_toxic": 0.02}
 PER_DOMAIN = 600
 RIDGE = 1e-3
-STEPS = 60
+STEPS = 300
 TOLERANCE = 1e-6
 #: The least target that a residual is divided by.
 LEAST_TARGET = 1e-3
