@@ -131,7 +131,7 @@ def exposition_samples(
             value=F.when(labelled, tail).otherwise(value),
         )
 
-    lines = F.transform(named_lines(body, names, r"[\s{].*"), trim_ws)
+    lines = F.transform(named_lines(body, names, r"[ \t\x0B\f\r{].*"), trim_ws)
     samples = F.transform(lines, cut)
     if mode == "p99":
         quantiles = F.filter(lines, lambda l: F.contains(l, F.lit(QUANTILE)) & l.like("%{%"))
@@ -143,20 +143,32 @@ def exposition_samples(
 
 
 def keep_last(pairs: Column) -> Column:
-    """The last pair of each key."""
-    return _keep_one(pairs, lambda keys, i: F.slice(keys, i + 2, F.size(keys)))
+    """The last pair of each key, by key."""
+    return _keep_one(pairs, -1)
 
 
 def keep_first(pairs: Column) -> Column:
-    """The first pair of each key."""
-    return _keep_one(pairs, lambda keys, i: F.slice(keys, F.lit(1), i))
+    """The first pair of each key, by key."""
+    return _keep_one(pairs, 1)
 
 
-def _keep_one(pairs: Column, rivals) -> Column:
-    # Bodies seldom repeat a key, and then there is nothing to compare.
-    keys = F.transform(pairs, lambda p: p["key"])
-    chosen = F.filter(pairs, lambda p, i: ~F.array_contains(rivals(keys, i), p["key"]))
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(chosen)
+def _keep_one(pairs: Column, step: int) -> Column:
+    # Sorted by key and then by place, the wanted pair is the one whose left neighbour has
+    # another key. Texts that repeat a name thousands of times are the rule.
+    placed = F.array_sort(
+        F.transform(
+            pairs,
+            lambda p, i: record(key=p["key"], at=i * step, value=p["value"], num=p["num"]),
+        )
+    )
+    left = F.concat(F.array(F.lit(None)), F.transform(placed, lambda p: p["key"]))
+    chosen = F.zip_with(
+        placed, left, lambda p, key: F.when(p.isNotNull() & ~F.equal_null(p["key"], key), p)
+    )
+    return F.transform(
+        F.filter(chosen, lambda p: p.isNotNull()),
+        lambda p: record(key=p["key"], value=p["value"], num=p["num"]),
+    )
 
 
 def pairs_map(pairs: Column) -> Column:

@@ -15,12 +15,10 @@ from gaugeworks.schema import METRIC_COLUMNS
 # Settings of the collection and send loops.
 MAX_ATTEMPTS = 3
 ATTEMPT_LIMIT_MS = 8000
-ATTEMPT_BACKOFF_MS = [0, 500, 2000]
 MAX_SENDS = 4
-SEND_BACKOFF_MS = [0, 1000, 2000, 3000]
 READY_GRACE_S = 30
-AGENT_TYPE = "infra-agent"
-AGENT_VERSION = "2.0.0"
+AGENT_TYPE = "gaugeworks"
+AGENT_VERSION = "1.0"
 
 
 def attempt_outcome(
@@ -58,9 +56,11 @@ def send_outcome(sends: DataFrame, keys: Sequence[str], max_sends: int = MAX_SEN
     )
 
 
-def heartbeat(cycles: DataFrame) -> DataFrame:
+def heartbeat(
+    cycles: DataFrame, agent_type: str = AGENT_TYPE, agent_version: str = AGENT_VERSION
+) -> DataFrame:
     """One ``agent.up`` row per cycle; ``cycles`` has ts, cycle_id and target (the agent)."""
-    attrs = make_attrs({"agent.type": F.lit(AGENT_TYPE), "agent.version": F.lit(AGENT_VERSION)})
+    attrs = make_attrs({"agent.type": F.lit(agent_type), "agent.version": F.lit(agent_version)})
     return cycles.select(
         "ts",
         "cycle_id",

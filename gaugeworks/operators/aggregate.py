@@ -65,9 +65,9 @@ def count_states(states: Column) -> Column:
 
 
 def count_sum(df: DataFrame, keys: Sequence[str], pred: Column, col: str) -> DataFrame:
-    """Row count and column sum over the rows that satisfy a predicate."""
-    return df.where(pred).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(col), F.lit(0)).alias("total")
+    """Row count and column sum over the rows that satisfy a predicate; 0 where none does."""
+    return df.groupBy(*keys).agg(
+        F.count_if(pred).alias("n"), F.coalesce(F.sum(F.when(pred, F.col(col))), F.lit(0)).alias("total")
     )
 
 

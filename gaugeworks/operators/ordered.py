@@ -126,17 +126,26 @@ def failure_runs(
     ok: str = "ok",
     error: str | None = None,
     slice_us: int = DAY_US,
+    seq: str | None = None,
 ) -> DataFrame:
     """Consecutive failures up to each attempt, time of the last success, last error.
 
-    A success resets the run and clears the error. Attempt times must be unique per key.
+    A success resets the run and clears the error; an unknown outcome is a failure. ``seq``
+    orders attempts of one time; without it they come in no set order. A key of very many
+    attempts in one slice is one task's work: ``slice_us`` is the way out.
     """
     keyed = [*keys, SLICE]
-    inside = Window.partitionBy(*keyed).orderBy(order)
-    good = F.col(ok)
+    at = [F.col(order)] if seq is None else [F.col(order), F.col(seq)]
+    inside = Window.partitionBy(*keyed).orderBy(*at).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    good = F.coalesce(F.col(ok), F.lit(False))
     fails = F.sum(F.when(good, 0).otherwise(1)).over(inside)
     counted = with_slice(attempts, order, slice_us).select(
-        "*", fails.alias("__f"), F.max(F.when(good, F.col(order))).over(inside).alias("__good")
+        "*",
+        F.row_number().over(inside).alias("__at"),
+        fails.alias("__f"),
+        F.max(F.when(good, F.col(order))).over(inside).alias("__good"),
     )
     # Failures counted when the last success of this slice came; NULL before the first one.
     based = counted.withColumn("__base", F.max(F.when(good, F.col("__f"))).over(inside))
@@ -144,7 +153,7 @@ def failure_runs(
     marked = based.withColumn("__run", run)
 
     slices = marked.groupBy(*keyed).agg(
-        F.max_by("__run", order).alias("tail"), F.max("__good").alias("good")
+        F.max_by("__run", "__at").alias("tail"), F.max("__good").alias("good")
     )
     over_slices = Window.partitionBy(*keys).orderBy(SLICE)
     before = over_slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -170,23 +179,35 @@ def failure_runs(
 
 
 def latest_run(
-    attempts: DataFrame, keys: Sequence[str], order: str, ok: str = "ok", error: str | None = None
+    attempts: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    ok: str = "ok",
+    error: str | None = None,
+    seq: str | None = None,
 ) -> DataFrame:
     """Current run length, last success and last error per key, by plain aggregation.
 
-    Two passes with partial aggregation and no window, so a busy key costs nothing extra.
+    Two passes with partial aggregation and no window, so a busy key costs nothing extra. An
+    unknown outcome is a failure; ``seq`` orders attempts of one time.
     """
-    goods = attempts.groupBy(*keys).agg(
-        F.max(F.when(F.col(ok), F.col(order))).alias("last_success")
-    )
-    since = F.col("last_success").isNull() | (F.col(order) > F.col("last_success"))
-    failed = attempts.where(~F.col(ok)).join(goods, list(keys)).where(since)
+    good = F.coalesce(F.col(ok), F.lit(False))
+    tie = F.lit(0).cast("bigint") if seq is None else F.col(seq).cast("bigint")
+    at = F.struct(F.col(order).alias("at"), tie.alias("seq"))
+    goods = attempts.groupBy(*keys).agg(F.max(F.when(good, at)).alias("__last"))
+    since = F.col("__last").isNull() | (at > F.col("__last"))
+    failed = attempts.where(~good).join(goods, list(keys)).where(since)
     picks = [F.count(F.lit(1)).alias("consecutive_failures")]
     if error is not None:
-        picks.append(redact_userinfo(F.max_by(error, order)).alias("last_error"))
+        picks.append(redact_userinfo(F.max_by(F.col(error), at)).alias("last_error"))
     runs = failed.groupBy(*keys).agg(*picks)
-    return goods.join(runs, list(keys), "left").withColumn(
-        "consecutive_failures", F.coalesce("consecutive_failures", F.lit(0)).cast("bigint")
+    return (
+        goods.withColumn("last_success", F.col("__last.at"))
+        .drop("__last")
+        .join(runs, list(keys), "left")
+        .withColumn(
+            "consecutive_failures", F.coalesce("consecutive_failures", F.lit(0)).cast("bigint")
+        )
     )
 
 

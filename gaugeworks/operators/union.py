@@ -20,23 +20,22 @@ def union_metrics(*parts: DataFrame) -> DataFrame:
     return frames[0]
 
 
-def dedupe_series(
-    metrics: DataFrame, prefer: Column | None = None, levels: int = 2
-) -> DataFrame:
-    """One row per (cycle, target, name, attributes); the highest preference wins.
-
-    ``prefer`` is an integer from 0 to ``levels - 1``; equal preferences are settled by
-    the larger value. The attribute map itself is the grouping key (entry order does not
-    matter) and every aggregate is fixed width, so this is a hash aggregate that folds
-    copies on the map side: a series emitted many times does not travel as many rows.
+def dedupe_series(metrics: DataFrame, prefer: Column | None = None) -> DataFrame:
+    """One row per (cycle, target, name, attributes): a finite value before any other, then the
+    highest ``prefer`` (an integer), then the larger value; time and unit are that row's own.
+
+    The attribute map itself is the grouping key (entry order does not matter), and copies are
+    folded on the map side: a series emitted many times does not travel as many rows.
     """
     rank = F.lit(0) if prefer is None else prefer
-    per_level = [
-        F.max(F.when(rank == level, F.col("value"))) for level in reversed(range(levels))
-    ]
+    best = F.max(F.struct(is_finite(F.col("value")), rank.cast("int"), "value", "ts", "unit"))
     return (
-        metrics.groupBy("cycle_id", "target", "name", "unit", "attrs")
-        .agg(F.max("ts").alias("ts"), F.coalesce(*per_level).alias("value"))
+        metrics.groupBy("cycle_id", "target", "name", "attrs")
+        .agg(best.alias("best"))
+        .select(
+            F.col("best.ts").alias("ts"), "cycle_id", "target", "name",
+            F.col("best.value").alias("value"), F.col("best.unit").alias("unit"), "attrs",
+        )
         .select(*METRIC_COLUMNS)
     )
 

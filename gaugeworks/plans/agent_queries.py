@@ -15,7 +15,6 @@ from gaugeworks.operators.agent import (
     readiness,
     send_outcome,
 )
-from gaugeworks.operators.folds import breaker, discovery_cache
 from gaugeworks.operators.ordered import collector_health, failure_runs, latest_run, status_of
 from gaugeworks.plans.common import flat, query, s, table
 
@@ -71,108 +70,6 @@ def health(spark, sf):
     return collector_health(latest_run(probes(spark, sf), ["user_id"], "ts", error="error"))
 
 
-# ---- Circuit breaker
-
-
-def breaker_log(spark, sf) -> DataFrame:
-    return table(spark, sf, "events").select(
-        "event_id", "user_id", "ts", (c("value") >= 30).alias("ok")
-    )
-
-
-BREAKER_HOURS = 24
-BREAKER_SQL = (
-    "WITH RECURSIVE log AS (SELECT *, value >= 30 AS ok, row_number() OVER "
-    "(PARTITION BY user_id ORDER BY ts) AS rn FROM events), "
-    "fold AS (SELECT event_id, user_id, rn, ts, false AS skipped, "
-    "CASE WHEN ok THEN 0 ELSE 1 END AS fails, CAST(NULL AS TIMESTAMP) AS until_ts FROM log WHERE rn = 1 "
-    "UNION ALL SELECT l.event_id, l.user_id, l.rn, l.ts, (f.fails >= 5 AND l.ts < f.until_ts) AS skipped, "
-    "CASE WHEN f.fails >= 5 AND l.ts < f.until_ts THEN f.fails WHEN l.ok THEN 0 ELSE f.fails + 1 END, "
-    "CASE WHEN f.fails >= 5 AND l.ts < f.until_ts THEN f.until_ts "
-    f"WHEN NOT l.ok AND f.fails >= 4 THEN l.ts + INTERVAL {BREAKER_HOURS} HOUR END "
-    "FROM fold f JOIN log l ON l.user_id = f.user_id AND l.rn = f.rn + 1) "
-    "SELECT event_id, skipped, CAST(fails AS BIGINT) AS consecutive_failures, until_ts AS open_until, "
-    f"{_STATUS.format(f='fails')} AS status FROM fold"
-)
-
-
-@query("breaker_batch", BREAKER_SQL)
-def breaker_batch(spark, sf):
-    # Seven-day slices: state crosses slice borders for every user.
-    folded = breaker(
-        breaker_log(spark, sf),
-        ["user_id"],
-        "ts",
-        cooldown_us=BREAKER_HOURS * HOUR_US,
-        slice_us=7 * 24 * HOUR_US,
-    )
-    return folded.select("event_id", "skipped", "consecutive_failures", "open_until", "status")
-
-
-# ---- Discovery cache
-
-
-def discovery_rows(events: DataFrame) -> DataFrame:
-    """Errors stand for failed discoveries, purchases for an empty listing."""
-    found = F.when(c("event_type") == "error", F.lit(None)).when(
-        c("event_type") == "purchase", F.array().cast("array<string>")
-    ).otherwise(F.array(s("q", c("event_id")), F.lit("mail")))
-    return events.select("event_id", "user_id", "ts", found.alias("queues"))
-
-
-TTL_HOURS = 8
-
-
-def _discovery_sql(takes_empty: bool, stand_in: str) -> str:
-    empty = "true" if takes_empty else "l.kind <> 'purchase'"
-    first = "kind <> 'error'" + ("" if takes_empty else " AND kind <> 'purchase'")
-    usable = f"(l.kind <> 'error' AND {empty})"
-    due = (
-        "(f.stamp IS NULL OR f.cached = '' OR l.ts > f.stamp + "
-        f"INTERVAL {TTL_HOURS} HOUR)"
-    )
-    listed = "CASE WHEN {a}kind = 'purchase' THEN '' ELSE 'q' || {a}event_id || ',mail' END"
-    return (
-        "WITH RECURSIVE log AS (SELECT *, event_type AS kind, row_number() OVER "
-        "(PARTITION BY user_id ORDER BY ts) AS rn FROM events), "
-        f"fold AS (SELECT event_id, user_id, rn, ({first}) AS renewed, "
-        f"CASE WHEN {first} THEN {listed.format(a='')} END AS cached, "
-        f"CASE WHEN {first} THEN ts END AS stamp FROM log WHERE rn = 1 "
-        f"UNION ALL SELECT l.event_id, l.user_id, l.rn, ({due} AND {usable}), "
-        f"CASE WHEN {due} AND {usable} THEN {listed.format(a='l.')} ELSE f.cached END, "
-        f"CASE WHEN {due} AND {usable} THEN l.ts ELSE f.stamp END "
-        "FROM fold f JOIN log l ON l.user_id = f.user_id AND l.rn = f.rn + 1) "
-        "SELECT event_id, renewed, CASE WHEN renewed OR (cached IS NOT NULL AND cached <> '') "
-        f"THEN cached ELSE {stand_in} END AS in_force FROM fold"
-    )
-
-
-def _discovery(spark, sf, policy: str) -> DataFrame:
-    folded = discovery_cache(
-        discovery_rows(table(spark, sf, "events")),
-        ["user_id"],
-        "ts",
-        policy=policy,
-        ttl_us=TTL_HOURS * HOUR_US,
-        slice_us=7 * 24 * HOUR_US,
-    )
-    return folded.select(
-        "event_id",
-        "renewed",
-        F.when(c("in_force").isNotNull(), F.array_join("in_force", ",")).alias("in_force"),
-    )
-
-
-@query("discovery_cache", _discovery_sql(True, "NULL"))
-def discovery_bullmq(spark, sf):
-    return _discovery(spark, sf, "bullmq")
-
-
-@query("discovery_stand_in", _discovery_sql(False, "'celery'"))
-def discovery_celery(spark, sf):
-    return _discovery(spark, sf, "celery")
-
-
 # ---- Attempts and sends
 
 # Three consecutive events form the attempts of one collection.
@@ -232,7 +129,7 @@ def sends_outcome(spark, sf):
 @query(
     "heartbeat",
     "SELECT cycle_id, target, 'agent.up' AS name, CAST(1 AS DOUBLE) AS value, '1' AS unit, "
-    "'agent.type=infra-agent;agent.version=2.0.0' AS attrs FROM "
+    "'agent.type=gaugeworks;agent.version=1.0' AS attrs FROM "
     "(SELECT DISTINCT CAST(date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts)) AS BIGINT) "
     "AS cycle_id, 'agent' || user_id AS target FROM events) UNION ALL "
     "SELECT event_id, 'u' || user_id, 'agent.collector.health', "

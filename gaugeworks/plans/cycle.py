@@ -5,16 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.operators.union import dedupe_series, quarantine_nonfinite, union_metrics
+from gaugeworks.schema import KEYS
 from gaugeworks.sources import queues
 from gaugeworks.sources.landing import route
-from gaugeworks.sources.registry import REPLY_JOBS, TABLE_JOBS
-
-RANK = "__rank"
-
-
-def _ranked(metrics: DataFrame, rank: int) -> DataFrame:
-    return metrics.withColumn(RANK, F.lit(rank))
-
+from gaugeworks.sources.registry import BY_DATABASE, REPLY_JOBS, TABLE_JOBS, TWICE, TWICE_FROM, WITH_SCRAPES
 
 def reply_metrics(snapshots: DataFrame) -> DataFrame:
     """Every job over raw replies. Each one reads its own endpoint partition only."""
@@ -28,19 +22,55 @@ def reply_metrics(snapshots: DataFrame) -> DataFrame:
     return union_metrics(*parts, tubes)
 
 
+def _scrapes(scrapes: DataFrame, name: str) -> DataFrame:
+    return scrapes.where(F.col("table_name") == name)
+
+
 def collect(
     tables: dict[str, DataFrame], agent: list[DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of all landed tables given, without duplicate series, and the rejected rows.
 
     ``tables`` maps landed table names to frames; jobs whose tables are not given are left
-    out. ``agent`` adds ready metric tables such as heartbeat and health rows.
+    out. ``pg_current_database`` names the monitored database of a scrape; without it every
+    database is reported under its name. ``scrapes`` lists scrapes (``table_name`` says of what),
+    so that one that found nothing reports zeros. ``agent`` adds ready metric tables such as heartbeat and health rows. Rows that are no
+    numbers are set apart first, so they never stand for a finite one. Only names that two jobs
+    emit are deduped; all other rows go through untouched.
     """
-    parts = [_ranked(m, 1) for m in agent or []]
+    current = tables.get("pg_current_database")
+    if current is not None:
+        monitored = current.select(*KEYS, "datname").distinct()
+        tables = tables | {
+            t: tables[t].join(monitored, [*KEYS, "datname"], "left_semi")
+            for t in BY_DATABASE
+            if t in tables
+        }
+    sure, shared = list(agent or []), []
     if "raw_snapshots" in tables:
-        parts.append(_ranked(reply_metrics(tables["raw_snapshots"]), 1))
+        sure.append(reply_metrics(tables["raw_snapshots"]))
     for needed, rank, job in TABLE_JOBS:
         if all(t in tables for t in needed):
-            parts.append(_ranked(job(*[tables[t] for t in needed]), rank))
-    unique = dedupe_series(union_metrics(*parts), prefer=F.col(RANK))
-    return quarantine_nonfinite(unique)
+            asked = {}
+            if needed[0] in WITH_SCRAPES and "scrapes" in tables:
+                asked["scrapes"] = _scrapes(tables["scrapes"], needed[0])
+            if needed[0] in BY_DATABASE and current is None:
+                asked["named"] = True
+            rows = job(*[tables[t] for t in needed], **asked)
+            if needed[0] in TWICE_FROM:
+                shared.append((rank, rows))
+            else:
+                sure.append(rows)
+    good, rejected = [], []
+    for rows in sure:
+        fine, bad = quarantine_nonfinite(rows)
+        good.append(fine)
+        rejected.append(bad)
+    if shared:
+        ranked = union_metrics(*[rows.withColumn("__rank", F.lit(rank)) for rank, rows in shared])
+        fine, bad = quarantine_nonfinite(ranked)
+        twice = F.col("name").isin(TWICE)
+        good.append(dedupe_series(fine.where(twice), prefer=F.col("__rank")))
+        good.append(fine.where(~twice).drop("__rank"))
+        rejected.append(bad.drop("__rank"))
+    return union_metrics(*good), union_metrics(*rejected)

@@ -8,8 +8,6 @@ from gaugeworks.operators.agent import heartbeat
 from gaugeworks.plans.common import base_sql, land, long_sql, query, s, table
 from gaugeworks.plans.cycle import collect
 from gaugeworks.schema import METRIC_COLUMNS
-from gaugeworks.session import run_dir
-from gaugeworks.sources.landing import read_snapshots, write_snapshots
 
 c = F.col
 
@@ -86,10 +84,40 @@ def tables(spark, sf) -> dict[str, DataFrame]:
         replicas=F.array(F.lit(1), F.lit(2)),
         isr=F.array(F.lit(1)),
     )
+    # Scrapes that found nothing: a server without sessions, a log without entries.
+    idle = land(
+        table(spark, sf, "region"), 1, s("idle", c("r_regionkey")), F.lit("pg"), table_name=F.lit("pg_stat_activity")
+    )
+    quiet = land(
+        table(spark, sf, "region"), 1, s("q", c("r_regionkey")), F.lit("r"), table_name=F.lit("redis_slowlog")
+    )
+    keys = land(
+        table(spark, sf, "nation").withColumn("kind", F.explode(F.array(F.lit("meta"), F.lit("wait")))),
+        1,
+        F.lit("bull"),
+        F.lit("r"),
+        key=s("bull:q", c("n_nationkey"), ":", c("kind")),
+        kind=F.when(c("kind") == "meta", "hash").otherwise("list"),
+        size=c("n_nationkey"),
+        value=F.lit(None).cast("string"),
+    )
     return {
         "pg_stat_database": land(
-            per_db, 1, db, F.lit("pg"), datname=db, **{x: c("n") * 3 for x in stats}
+            per_db.withColumn("other", F.explode(F.array(F.lit(False), F.lit(True)))),
+            1,
+            db,
+            F.lit("pg"),
+            # A second database on each target, which is not the monitored one.
+            datname=F.when(c("other"), F.lit("postgres")).otherwise(db),
+            **{x: F.when(c("other"), F.lit(10**9)).otherwise(c("n") * 3) for x in stats},
+        ),
+        "pg_current_database": land(per_db, 1, db, F.lit("pg"), datname=db),
+        "scrapes": idle.unionByName(quiet),
+        "redis_slowlog": land(
+            table(spark, sf, "region").where("r_regionkey < 2"), 1, s("q", c("r_regionkey")), F.lit("r"),
+            entry_id=c("r_regionkey"), duration_us=c("r_regionkey") + 5,
         ),
+        "bullmq_keys": keys,
         "pg_stat_activity": sessions,
         "ch_parts": parts,
         "kafka_partitions": partitions,
@@ -97,16 +125,16 @@ def tables(spark, sf) -> dict[str, DataFrame]:
 
 
 def cycle(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Land the replies, run every job, and give back good and rejected metric rows."""
-    landed = run_dir(spark, "landed")
-    write_snapshots(replies(spark, sf), landed)
+    """Run every job over the replies and tables: good and rejected metric rows."""
     cycles = table(spark, sf, "region").select(
         F.lit("2002-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
         c("r_regionkey").cast("bigint").alias("cycle_id"),
         F.lit("agent").alias("target"),
     )
-    snapshots = read_snapshots(spark, landed)
-    return collect({"raw_snapshots": snapshots, **tables(spark, sf)}, [heartbeat(cycles)])
+    up = heartbeat(cycles)
+    # A copy of each row that is no number must not stand for the finite one.
+    broken = up.withColumn("value", F.lit(float("nan")))
+    return collect({"raw_snapshots": replies(spark, sf), **tables(spark, sf)}, [up, broken])
 
 
 def summary(metrics: DataFrame) -> DataFrame:
@@ -221,6 +249,30 @@ _ROWS = [
             ("messaging.kafka.under_replicated.total", "n", "{partitions}"),
         ],
     ),
+    (
+        "(SELECT *, 1 AS cycle_id, '' AS target, '' AS instance FROM region)",
+        [(f"db.postgres.connections.{n}", "0", "{connections}") for n in ("idle", "active", "waiting")]
+        + [
+            ("db.postgres.longest_query_seconds", "0", "s"),
+            ("db.redis.slowlog.count", "CASE WHEN r_regionkey < 2 THEN 1 ELSE 0 END", "{entries}"),
+            ("db.redis.slowlog.latest_duration_us", "CASE WHEN r_regionkey < 2 THEN r_regionkey + 5 END", "us"),
+        ],
+    ),
+    (
+        "(SELECT *, 1 AS cycle_id, '' AS target, '' AS instance FROM nation)",
+        [
+            (f"messaging.bullmq.queue.{n}", "n_nationkey" if n == "waiting" else "0", "{jobs}")
+            for n in ("waiting", "active", "delayed", "failed", "completed", "paused")
+        ],
+    ),
+    (
+        "(SELECT 1 AS cycle_id, '' AS target, '' AS instance, count(*) AS n, sum(n_nationkey) AS w FROM nation)",
+        [("messaging.bullmq.queues.count", "n", "{queues}")]
+        + [
+            (f"messaging.bullmq.jobs.{n}", "w" if n == "waiting" else "0", "{jobs}")
+            for n in ("waiting", "active", "delayed", "failed", "completed")
+        ],
+    ),
     ("(SELECT r_regionkey AS cycle_id, '' AS target, '' AS instance FROM region)",
      [("agent.up", "1", "1")]),
 ]

@@ -9,7 +9,6 @@ from gaugeworks.operators.aggregate import weighted_avg
 from gaugeworks.operators.join import replica_lag as replica_lag_op
 from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.sources import activemq, documents, exposition
-from gaugeworks.sources.landing import spread
 
 c = F.col
 
@@ -17,7 +16,7 @@ c = F.col
 def customer_replies(spark, sf, body: Column, endpoint: Column | str = "e") -> DataFrame:
     """One raw reply per customer."""
     return land(
-        spread(table(spark, sf, "customer")),
+        table(spark, sf, "customer"),
         c("c_custkey"),
         c("c_name"),
         c("c_mktsegment"),
@@ -97,8 +96,15 @@ def nested_server_status(spark, sf):
 )
 def replset_members(spark, sf):
     def at(second: Column) -> Column:
-        return F.concat(
-            F.lit('"2024-01-01T00:00:'), F.lpad(second.cast("string"), 2, "0"), F.lit('"')
+        # The forms in which servers and tools write a time.
+        text = F.concat(F.lit("2024-01-01T00:00:"), F.lpad(second.cast("string"), 2, "0"))
+        millis = F.unix_millis(F.lit("2024-01-01T00:00:00Z").cast("timestamp")) + second * 1000
+        return (
+            F.when(k() % 5 == 0, s('"', text, '"'))
+            .when(k() % 5 == 1, s('"', text, 'Z"'))
+            .when(k() % 5 == 2, s('"', text, '.000+00:00"'))
+            .when(k() % 5 == 3, s('{"$date":"', text, 'Z"}'))
+            .otherwise(s('{"$date":', millis, "}"))
         )
 
     body = s(
@@ -307,7 +313,7 @@ def overview_json(spark, sf):
 
 def supplier_replies(spark, sf, body: Column) -> DataFrame:
     return land(
-        spread(table(spark, sf, "supplier")),
+        table(spark, sf, "supplier"),
         c("s_suppkey"),
         c("s_name"),
         s("s", c("s_nationkey")),
@@ -320,7 +326,7 @@ def supplier_replies(spark, sf, body: Column) -> DataFrame:
 _supplier_queues = (
     "(SELECT s_suppkey AS cycle_id, s_name AS target, 's' || s_nationkey AS instance, i, "
     "s_suppkey * 1000 + i AS v FROM supplier, generate_series(1, 150) AS g(i) "
-    "WHERE i <= s_suppkey % 151 AND i <= 100)"
+    "WHERE i <= s_suppkey % 151)"
 )
 
 
@@ -636,7 +642,7 @@ def qmgr_json(spark, sf):
     + " UNION ALL "
     + long_sql(
         "(SELECT s_suppkey AS cycle_id, s_name AS target, 's' || s_nationkey AS instance, "
-        "s_suppkey % 151 AS total, least(s_suppkey % 151, 100) AS m, s_suppkey AS k FROM supplier)",
+        "s_suppkey % 151 AS total, s_suppkey % 151 AS m, s_suppkey AS k FROM supplier)",
         [
             ("messaging.ibmmq.queues.count", "total", "{queues}"),
             ("messaging.ibmmq.queues.total_depth", "k * 1000 * m + m * (m + 1) // 2", "{messages}"),

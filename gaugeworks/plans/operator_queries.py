@@ -12,8 +12,9 @@ from gaugeworks.operators.ordered import cap_per_key, first_per_key, last_per_ke
 from gaugeworks.operators.shape import classify_targets, map_names, to_metrics
 from gaugeworks.operators.union import dedupe_series, quarantine_nonfinite, union_metrics
 from gaugeworks.plans.common import attrs_sql, flat, land, query, s, table
-from gaugeworks.sources.landing import load_targets, spread
-from gaugeworks.sources.sinks import otlp_batches
+from gaugeworks.sources.landing import load_targets
+from gaugeworks.session import run_dir
+from gaugeworks.sources.sinks import otlp_batches, write_metrics
 
 c = F.col
 
@@ -151,7 +152,7 @@ def resource_attributes(spark, sf):
 )
 def clip(spark, sf):
     text = c("text")
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         "doc_id",
         (F.octet_length(text) > 256).alias("clipped"),
         clip_bytes(text).alias("clip"),
@@ -395,8 +396,8 @@ def otlp_points(spark, sf):
     "SELECT CAST(o_orderkey % 100 AS BIGINT) AS cycle_id, count(*) AS n_metrics, "
     "'[{\"key\":\"deployment.environment\",\"value\":{\"stringValue\":\"prod\"}},"
     "{\"key\":\"service.name\",\"value\":{\"stringValue\":\"infra\"}}]' AS resource, "
-    "'{\"name\":\"infra-agent\",\"version\":\"2.0.0\"}' AS scope, "
-    "count(*) > 50 AS split_up FROM orders GROUP BY o_orderkey % 100",
+    "'{\"name\":\"gaugeworks\",\"version\":\"1.0\"}' AS scope, "
+    "count(*) > 50 AS split_up, true AS bounded FROM orders GROUP BY o_orderkey % 100",
 )
 def otlp(spark, sf):
     docs = _documents(spark, sf)
@@ -407,4 +408,19 @@ def otlp(spark, sf):
         ),
         F.max(F.get_json_object("body", "$.resourceMetrics[0].scopeMetrics[0].scope")).alias("scope"),
         (F.count(F.lit(1)) > 1).alias("split_up"),
+        (F.max("n_metrics") <= 50).alias("bounded"),
+    )
+
+
+@query(
+    "written_metrics",
+    "SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n, CAST(sum(o_orderkey) AS DOUBLE) AS total FROM orders "
+    "GROUP BY CAST(o_orderdate AS DATE)",
+)
+def written_metrics(spark, sf):
+    """The metric table, written by date and read back."""
+    path = run_dir(spark, "metric-table")
+    write_metrics(order_metrics(spark, sf, "m", c("o_orderkey")), path)
+    return spark.read.parquet(path).groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")
     )

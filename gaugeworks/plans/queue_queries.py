@@ -8,7 +8,6 @@ from gaugeworks.functions.records import record
 from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.schema import KEYS
 from gaugeworks.sources import queues
-from gaugeworks.sources.landing import spread
 
 c = F.col
 
@@ -21,7 +20,7 @@ def item_keys(spark, sf, key: Column, kind: Column, size: Column, value: Column
     """
     none = F.lit(None).cast("string")
     row = record(key=key, kind=kind, size=size.cast("bigint"), value=none if value is None else value)
-    items = spread(table(spark, sf, "lineitem")).select("l_suppkey", F.inline(F.array(row)))
+    items = table(spark, sf, "lineitem").select("l_suppkey", F.inline(F.array(row)))
     names = ("key", "kind", "size", "value")
     return land(items, 1, s("s", c("l_suppkey")), F.lit("r"), **{n: c(n) for n in names})
 
@@ -59,14 +58,13 @@ def bull_keys(spark, sf) -> DataFrame:
 
 
 _bull = (
-    "(SELECT *, row_number() OVER (PARTITION BY target ORDER BY q) AS rn FROM "
     "(SELECT cycle_id, target, instance, q, "
     + ", ".join(
         f"coalesce(sum(qty) FILTER (WHERE l_linenumber = {i} AND l_partkey % 4 <> 0), 0) AS {n}"
         for i, n in BULL_STATE.items()
     )
     + f" FROM {ITEM_SRC} GROUP BY cycle_id, target, instance, q "
-    "HAVING count(*) FILTER (WHERE l_linenumber = 7) > 0))"
+    "HAVING count(*) FILTER (WHERE l_linenumber = 7) > 0)"
 )
 _summed = [n for n in BULL_STATE.values() if n != "paused"]
 
@@ -74,15 +72,15 @@ _summed = [n for n in BULL_STATE.values() if n != "paused"]
 @query(
     "queue_sizes",
     long_sql(
-        f"(SELECT * FROM {_bull} WHERE rn <= 200)",
+        f"(SELECT * FROM {_bull})",
         [(f"messaging.bullmq.queue.{n}", n, "{jobs}") for n in BULL_STATE.values()],
         base_sql("bullmq", {"messaging.destination.name": "q"}),
     )
     + " UNION ALL "
     + long_sql(
         "(SELECT cycle_id, target, instance, count(*) AS n, "
-        + ", ".join(f"sum({n}) FILTER (WHERE rn <= 200) AS {n}" for n in _summed)
-        + f" FROM {_bull} WHERE rn <= 500 GROUP BY cycle_id, target, instance)",
+        + ", ".join(f"sum({n}) AS {n}" for n in _summed)
+        + f" FROM {_bull} GROUP BY cycle_id, target, instance)",
         [("messaging.bullmq.queues.count", "n", "{queues}")]
         + [(f"messaging.bullmq.jobs.{n}", n, "{jobs}") for n in _summed],
         base_sql("bullmq"),
@@ -122,8 +120,7 @@ def celery_keys(spark, sf) -> DataFrame:
 
 _named = "CASE WHEN l_partkey % 50 = 0 THEN 'celery' ELSE q END"
 _celery = (
-    "(SELECT *, CASE WHEN z = 0 THEN l ELSE z END AS reserved, "
-    "row_number() OVER (PARTITION BY target ORDER BY nm) AS rn FROM "
+    "(SELECT *, CASE WHEN z = 0 THEN l ELSE z END AS reserved FROM "
     "(SELECT cycle_id, target, instance, nm, coalesce(sum(qty) FILTER (WHERE l_linenumber IN (2, 3)), 0) "
     "AS pending, coalesce(sum(qty) FILTER (WHERE l_linenumber = 4), 0) AS z, "
     "coalesce(sum(qty) FILTER (WHERE l_linenumber = 5), 0) AS l FROM "
@@ -135,7 +132,7 @@ _celery = (
 @query(
     "celery_tasks",
     long_sql(
-        f"(SELECT * FROM {_celery} WHERE rn <= 100)",
+        f"(SELECT * FROM {_celery})",
         [
             ("messaging.celery.queue.pending", "pending", "{tasks}"),
             ("messaging.celery.queue.reserved", "reserved", "{tasks}"),
@@ -145,8 +142,8 @@ _celery = (
     + " UNION ALL "
     + long_sql(
         "(SELECT cycle_id, target, instance, count(*) AS n, "
-        "sum(pending) FILTER (WHERE rn <= 100) AS p, sum(reserved) FILTER (WHERE rn <= 100) AS r "
-        f"FROM {_celery} WHERE rn <= 200 GROUP BY cycle_id, target, instance)",
+        "sum(pending) AS p, sum(reserved) AS r "
+        f"FROM {_celery} GROUP BY cycle_id, target, instance)",
         [
             ("messaging.celery.queues.count", "n", "{queues}"),
             ("messaging.celery.tasks.pending", "p", "{tasks}"),
@@ -157,7 +154,7 @@ _celery = (
     + " UNION ALL "
     + long_sql(
         "(SELECT cycle_id, target, instance, "
-        "least(count(*) FILTER (WHERE l_linenumber = 6), 10000) AS n "
+        "count(*) FILTER (WHERE l_linenumber = 6) AS n "
         f"FROM {ITEM_SRC} GROUP BY cycle_id, target, instance)",
         [("messaging.celery.results.count", "n", "{results}")],
         base_sql("celery"),
@@ -208,11 +205,10 @@ def sidekiq_keys(spark, sf) -> DataFrame:
 
 
 _queues = (
-    "(SELECT *, row_number() OVER (PARTITION BY target ORDER BY q) AS rn FROM "
     "(SELECT cycle_id, target, instance, q, "
     "coalesce(max(qty) FILTER (WHERE l_linenumber = 2), 0) AS size "
     f"FROM {ITEM_SRC} GROUP BY cycle_id, target, instance, q "
-    "HAVING count(*) FILTER (WHERE l_linenumber = 1) > 0))"
+    "HAVING count(*) FILTER (WHERE l_linenumber = 1) > 0)"
 )
 _processes = (
     "(SELECT cycle_id, target, instance, q, "
@@ -227,14 +223,14 @@ _by = "GROUP BY cycle_id, target, instance"
 @query(
     "sidekiq_state",
     long_sql(
-        f"(SELECT * FROM {_queues} WHERE rn <= 100)",
+        f"(SELECT * FROM {_queues})",
         [("messaging.sidekiq.queue.size", "size", "{jobs}")],
         base_sql("sidekiq", {"messaging.destination.name": "q"}),
     )
     + " UNION ALL "
     + long_sql(
         f"(SELECT cycle_id, target, instance, count(*) AS n, "
-        f"sum(size) FILTER (WHERE rn <= 100) AS e FROM {_queues} {_by})",
+        f"sum(size) AS e FROM {_queues} {_by})",
         [
             ("messaging.sidekiq.queues.count", "n", "{queues}"),
             ("messaging.sidekiq.enqueued", "e", "{jobs}"),
@@ -274,16 +270,16 @@ def sidekiq_state(spark, sf):
 # ---- SQS
 
 _sqs = (
-    "(SELECT *, row_number() OVER (PARTITION BY target ORDER BY p_partkey) AS rn FROM "
-    "(SELECT *, 1 AS cycle_id, p_type AS target, 'eu-west-1' AS instance FROM part))"
+    "(SELECT *, 1 AS cycle_id, p_type AS target, "
+    "CASE WHEN p_type LIKE '%STEEL' THEN 'sqs.local:4566' ELSE 'eu-west-1' END AS instance FROM part)"
 )
-_place = {"cloud.provider": "'aws'", "cloud.region": "instance"}
+_place = {"cloud.provider": "'aws'", "cloud.region": "CASE WHEN instance LIKE '%:%' THEN 'local' ELSE instance END"}
 
 
 @query(
     "sqs_queues",
     long_sql(
-        f"(SELECT * FROM {_sqs} WHERE rn <= 200)",
+        f"(SELECT * FROM {_sqs})",
         [
             ("messaging.sqs.queue.visible", "p_size", "{messages}"),
             ("messaging.sqs.queue.in_flight", "CASE WHEN p_size % 3 <> 0 THEN p_partkey END", "{messages}"),
@@ -297,7 +293,7 @@ _place = {"cloud.provider": "'aws'", "cloud.region": "instance"}
     )
     + " UNION ALL "
     + long_sql(
-        f"(SELECT cycle_id, target, instance, least(count(*), 200) AS n FROM {_sqs} GROUP BY ALL)",
+        f"(SELECT cycle_id, target, instance, count(*) AS n FROM {_sqs} GROUP BY ALL)",
         [("messaging.sqs.queues.count", "n", "{queues}")],
         base_sql("sqs", _place),
     ),
@@ -317,7 +313,7 @@ def sqs_queues(spark, sf):
         table(spark, sf, "part"),
         1,
         c("p_type"),
-        F.lit("eu-west-1"),
+        F.when(c("p_type").endswith("STEEL"), "sqs.local:4566").otherwise("eu-west-1"),
         pos=key,
         queue_url=s("https://h/1/", c("p_name"), "-", key),
         attributes=given,
@@ -328,7 +324,7 @@ def sqs_queues(spark, sf):
 @query(
     "tube_list",
     "SELECT s_suppkey, CAST(i - 1 AS BIGINT) AS pos, 'tube ' || i AS tube FROM supplier, "
-    "generate_series(1, 90) AS g(i) WHERE i <= s_suppkey % 91 AND i <= 50",
+    "generate_series(1, 90) AS g(i) WHERE i <= s_suppkey % 91",
 )
 def tube_list(spark, sf):
     some = F.slice(F.sequence(F.lit(1), F.lit(90)), F.lit(1), (c("s_suppkey") % 91).cast("int"))

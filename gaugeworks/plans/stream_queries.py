@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.plans import agent_queries, text_queries
+from gaugeworks.plans import text_queries
 from gaugeworks.plans.common import ORACLES, SCRAPED, flat, query, table
 from gaugeworks.session import run_dir
 from gaugeworks.sources import landing, redis
 from gaugeworks.streaming.run import metric_stream, run_stream, state_settings
-from gaugeworks.streaming.stateful import breaker_stream, counter_delta_stream, discovery_stream
+from gaugeworks.streaming.stateful import counter_delta_stream
 
 c = F.col
 
@@ -41,25 +41,6 @@ def cpu_stream(spark, sf):
     return drained(spark, "cpu", kept)
 
 
-@query("breaker_stream", ORACLES["breaker_batch"])
-def breaker_twin(spark, sf):
-    log = events_stream(spark, sf).select("event_id", "user_id", "ts", (c("value") >= 30).alias("ok"))
-    cooldown = agent_queries.BREAKER_HOURS * agent_queries.HOUR_US
-    folded = breaker_stream(log, ["user_id"], "ts", cooldown_us=cooldown)
-    kept = folded.select("event_id", "skipped", "consecutive_failures", "open_until", "status")
-    return drained(spark, "breaker", kept)
-
-
-@query("discovery_stream", ORACLES["discovery_cache"])
-def discovery_twin(spark, sf):
-    log = agent_queries.discovery_rows(events_stream(spark, sf))
-    ttl = agent_queries.TTL_HOURS * agent_queries.HOUR_US
-    folded = discovery_stream(log, ["user_id"], "ts", ttl_us=ttl)
-    listed = F.when(c("in_force").isNotNull(), F.array_join("in_force", ","))
-    kept = folded.select("event_id", "renewed", listed.alias("in_force"))
-    return drained(spark, "discovery", kept)
-
-
 @query("replicated_log", ORACLES["info_text"])
 def replicated_log(spark, sf):
     """Replies are landed, streamed in, turned into metrics, written and read back."""

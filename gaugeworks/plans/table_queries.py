@@ -165,7 +165,7 @@ def user_tables_top10(spark, sf):
         "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target, instance "
         "ORDER BY n_chars DESC NULLS LAST, qid) AS rn FROM "
         "(SELECT 1 AS cycle_id, lang AS target, source AS instance, CAST(doc_id AS VARCHAR) AS qid, "
-        "left(text, 100) AS stmt, n_chars, doc_id FROM documents d WHERE EXISTS "
+        "text AS stmt, n_chars, doc_id FROM documents d WHERE EXISTS "
         "(SELECT 1 FROM documents e JOIN labels l ON l.doc_id = e.doc_id "
         "WHERE l.quality = 1 AND e.lang = d.lang AND e.source = d.source))) WHERE rn <= 10)",
         [
@@ -370,9 +370,10 @@ def event_key_map(spark, sf):
 @query(
     "count_sum",
     long_sql(
-        "(SELECT 1 AS cycle_id, 'supplier' || l_suppkey AS target, 'ch' AS instance, count(*) AS n, "
-        "CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem WHERE l_returnflag = 'N' "
-        "GROUP BY l_suppkey)",
+        "(SELECT 1 AS cycle_id, 'supplier' || l_suppkey AS target, 'ch' AS instance, "
+        "count(*) FILTER (WHERE l_returnflag = 'N' AND l_suppkey % 5 <> 0) AS n, "
+        "CAST(coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = 'N' AND l_suppkey % 5 <> 0), 0) AS BIGINT) "
+        "AS total FROM lineitem GROUP BY l_suppkey)",
         [
             ("db.clickhouse.parts.active", "n", "{parts}"),
             ("db.clickhouse.parts.total_bytes", "total", "By"),
@@ -386,7 +387,7 @@ def count_sum(spark, sf):
         1,
         s("supplier", c("l_suppkey")),
         F.lit("ch"),
-        active=(c("l_returnflag") == "N").cast("int"),
+        active=((c("l_returnflag") == "N") & (c("l_suppkey") % 5 != 0)).cast("int"),
         bytes_on_disk=c("l_quantity").cast("bigint"),
     )
     return flat(databases.clickhouse_parts(parts))
@@ -460,7 +461,8 @@ def slowlog_head(spark, sf):
     "broker_count",
     long_sql(
         "(SELECT 1 AS cycle_id, 'n' || s_nationkey AS target, 'k' AS instance, count(*) AS n, "
-        "max(CASE WHEN s_acctbal > 5000 THEN s_name || ':' || (9000 + s_nationkey) END) AS ctl "
+        "max(CASE WHEN s_acctbal > 5000 THEN CASE WHEN s_suppkey % 3 = 0 THEN '[fe80::' || s_suppkey || ']' "
+        "ELSE s_name END || ':' || (9000 + s_nationkey) END) AS ctl "
         "FROM supplier GROUP BY s_nationkey)",
         [("messaging.kafka.brokers.count", "n", "{brokers}")],
         base_sql("kafka", {"messaging.kafka.controller": "ctl"}),
@@ -472,7 +474,7 @@ def broker_count(spark, sf):
         1,
         s("n", c("s_nationkey")),
         F.lit("k"),
-        host=c("s_name"),
+        host=F.when(c("s_suppkey") % 3 == 0, s("fe80::", c("s_suppkey"))).otherwise(c("s_name")),
         port=c("s_nationkey") + 9000,
         is_controller=c("s_acctbal") > 5000,
     )
@@ -563,11 +565,10 @@ def topic_rollup(spark, sf):
     "consumer_lag",
     long_sql(
         "(SELECT 1 AS cycle_id, 'cluster' AS target, 'k' AS instance, g, lag FROM (SELECT g, "
-        "sum(CASE WHEN off >= 0 THEN greatest(0, coalesce(last - off, 0)) ELSE 0 END) AS lag, "
-        "row_number() OVER (ORDER BY g) AS rn FROM "
+        "sum(CASE WHEN off >= 0 THEN greatest(0, coalesce(last - off, 0)) ELSE 0 END) AS lag FROM "
         "(SELECT 'g' || (o_custkey % 60) AS g, o_orderkey, o_orderkey % 1000 - 5 AS off FROM orders) "
         "LEFT JOIN (SELECT l_orderkey, max(l_linenumber * 100 + CAST(l_quantity AS BIGINT)) AS last "
-        "FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey GROUP BY g) WHERE rn <= 50)",
+        "FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey GROUP BY g))",
         [("messaging.kafka.consumer_group.lag", "lag", "{messages}")],
         base_sql("kafka", {"messaging.kafka.consumer_group": "g"}),
     ),

@@ -9,7 +9,6 @@ from gaugeworks.functions.numbers import num_prefix, num_strict, num_zero
 from gaugeworks.operators.ordered import counter_delta
 from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.sources import exposition, host, queues, redis
-from gaugeworks.sources.landing import spread
 
 c = F.col
 
@@ -23,7 +22,7 @@ def order_replies(spark, sf, body: Column, endpoint: Column | str = "e") -> Data
     """One raw reply per order."""
     end = F.lit(endpoint) if isinstance(endpoint, str) else endpoint
     return land(
-        spread(table(spark, sf, "orders")),
+        table(spark, sf, "orders"),
         c("o_orderkey"),
         s("c", c("o_custkey")),
         c("o_orderpriority"),
@@ -145,6 +144,7 @@ def prom_first(spark, sf):
     key, cust = order_cols()
     body = lines(
         "# TYPE cassandra_storage_load gauge",
+        "cassandra_storage_load",  # a bare name takes nothing from the next line
         s("cassandra_storage_load ", key * 1024, " 1700000000"),
         s("cassandra_storage_load ", key),
         'cassandra_client_connectednativeclients{h="a"} none',
@@ -164,6 +164,7 @@ def prom_first(spark, sf):
 def _crdb_body() -> Column:
     key, cust = order_cols()
     return lines(
+        "capacity_used",
         s("ranges ", cust),
         s("ranges ", key),
         F.when(key % 4 == 0, s("sql_service_latency_p99 ", key)),
@@ -263,7 +264,7 @@ def yaml_stats(spark, sf):
     long_sql(
         "(SELECT s_suppkey AS cycle_id, s_name AS target, 's' || s_nationkey AS instance, "
         "'tube' || i AS tube, s_suppkey * 100 + i AS ready FROM supplier, "
-        "generate_series(1, 90) AS g(i) WHERE i <= s_suppkey % 90 AND i <= 50 AND i % 4 <> 0)",
+        "generate_series(1, 90) AS g(i) WHERE i <= s_suppkey % 90 AND i % 4 <> 0)",
         [
             ("messaging.beanstalkd.tube.ready", "ready", "{jobs}"),
             ("messaging.beanstalkd.tube.total_jobs", "ready * 2", "{jobs}"),
@@ -319,7 +320,7 @@ def cpu_replies(spark, sf) -> DataFrame:
         F.lit("\ncpu0 1 2 3\ncpu1 1 2 3\nintr 5\n"),
     )
     return land(
-        spread(table(spark, sf, "events")),
+        table(spark, sf, "events"),
         c("event_id"),
         s("u", c("user_id")),
         F.lit("localhost"),

@@ -14,6 +14,8 @@ METRIC_DDL = (
 )
 METRIC_COLUMNS = ["ts", "cycle_id", "target", "name", "value", "unit", "attrs"]
 
+KEY_LISTING = "key string, kind string, size bigint, value string"
+
 # Columns of each landed table, after the key columns.
 LANDED = {
     "raw_snapshots": "target_type string, endpoint string, body string",
@@ -47,7 +49,12 @@ LANDED = {
     "kafka_groups": "group_id string, state string",
     "kafka_committed": "group_id string, topic string, partition int, committed_offset bigint",
     "kafka_end_offsets": "topic string, partition int, last_offset bigint",
-    "redis_keys": "key string, kind string, size bigint, value string",
+    "redis_keys": KEY_LISTING,
+    "bullmq_keys": KEY_LISTING,
+    "celery_keys": KEY_LISTING,
+    "sidekiq_keys": KEY_LISTING,
+    "pg_current_database": "datname string",
+    "scrapes": "table_name string",
     "sqs_queues": "pos bigint, queue_url string, attributes map<string,string>",
     "mounts": (
         "pos bigint, device string, mountpoint string, fstype string, blocks bigint, "

@@ -12,9 +12,14 @@ STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench. On a cluster the caller brings the session."""
-    return (
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and the bench. On a cluster the caller brings the session.
+
+    ``checkpoint_dir`` is the folder that streams and written tables use.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("gaugeworks")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -24,8 +29,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         # Call-site capture asks the JVM several times per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    if checkpoint_dir is not None:
+        builder = builder.config(CHECKPOINT_KEY, checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:

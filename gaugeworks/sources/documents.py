@@ -18,7 +18,6 @@ BAD = "_corrupt_record string"
 # Spark trims the schema of a call without options to the fields in use, and would then
 # overlook a misfit in the others.
 KEEP_FIELDS = {"mode": "PERMISSIVE"}
-QUEUE_CAP = 100
 
 
 def _first() -> Column:
@@ -81,14 +80,34 @@ def mongo_server_status(df: DataFrame) -> DataFrame:
     return to_metrics(doc, specs, base_attrs("mongodb"))
 
 
+def _mongo_time(text: Column) -> Column:
+    """A reply's time in UTC: text with or without a zone, ``{"$date": text}``, or
+    ``{"$date": milliseconds}`` (plain or as ``$numberLong``)."""
+    inner = F.get_json_object(text, "$.$date")
+    millis = F.coalesce(F.get_json_object(inner, "$.$numberLong"), inner).try_cast("bigint")
+    written = F.coalesce(inner, text)
+    zoned = written.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    read = F.when(zoned, written).otherwise(F.concat(written, F.lit("Z"))).try_cast("timestamp")
+    # Both are instants; the lag is their difference, so the session's zone does not matter.
+    return F.coalesce(F.timestamp_millis(millis), read)
+
+
 def mongo_replset(df: DataFrame) -> DataFrame:
     """Seconds the own member trails the primary, when both are known."""
-    fields = "members array<struct<stateStr: string, self: boolean, optimeDate: timestamp_ntz>>"
+    fields = "members array<struct<stateStr: string, self: boolean, optimeDate: string>>"
     parsed = once(df, "j", F.from_json(F.col("body"), fields))
-    members = F.filter("j.members", lambda m: m["optimeDate"].isNotNull())
+    members = F.filter(
+        F.transform(
+            "j.members",
+            lambda m: record(
+                stateStr=m["stateStr"], self=m["self"], optime=_mongo_time(m["optimeDate"])
+            ),
+        ),
+        lambda m: m["optime"].isNotNull(),
+    )
 
     def last_optime(kept: Column) -> Column:
-        return F.try_element_at(kept, F.lit(-1))["optimeDate"]
+        return F.try_element_at(kept, F.lit(-1))["optime"]
 
     primary = last_optime(F.filter(members, lambda m: m["stateStr"] == "PRIMARY"))
     own = last_optime(F.filter(members, lambda m: m["self"]))
@@ -220,15 +239,15 @@ def rabbit_overview(df: DataFrame) -> DataFrame:
     return to_metrics(parsed, specs, attrs)
 
 
-def rabbit_queues(df: DataFrame, cap: int = QUEUE_CAP) -> DataFrame:
-    """The first queues of a listing, in listing order."""
+def rabbit_queues(df: DataFrame) -> DataFrame:
+    """The queues of a listing, in listing order."""
     parsed = read_json_list(
         df,
         "name: string, vhost: string, messages: bigint, messages_ready: bigint, "
         "messages_unacknowledged: bigint, consumers: bigint, memory: bigint, "
         f"message_stats: struct<{RATES}>, state: string",
     )
-    listed = parsed.withColumn("q", F.explode(F.slice("items", 1, cap)))
+    listed = parsed.withColumn("q", F.explode("items"))
     specs = _zeros(
         [
             ("messaging.rabbitmq.queue.messages", "q.messages", "{messages}"),
@@ -400,14 +419,13 @@ MQ_QUEUE = (
 )
 
 
-def ibmmq_queues(df: DataFrame, cap: int = QUEUE_CAP) -> DataFrame:
-    """Gauges of the first queues; the count covers all queues, the depth only the first ones."""
+def ibmmq_queues(df: DataFrame) -> DataFrame:
+    """Gauges of the queues, their count and total depth."""
     parsed = read_json(df, f"queue array<{MQ_QUEUE}>").withColumn(
         "items", F.coalesce("j.queue", F.array().cast(f"array<{MQ_QUEUE}>"))
     )
-    first = F.slice("items", 1, cap)
     depth = F.aggregate(
-        first,
+        "items",
         F.lit(0).cast("bigint"),
         lambda acc, q: acc + F.coalesce(q["status"]["currentDepth"], F.lit(0)),
     )
@@ -431,7 +449,7 @@ def ibmmq_queues(df: DataFrame, cap: int = QUEUE_CAP) -> DataFrame:
             "messaging.ibmmq.queue.type": F.col("q.type"),
         },
     )
-    each = parsed.select("*", F.posexplode_outer(first).alias("pos", "q"))
+    each = parsed.select("*", F.posexplode_outer("items").alias("pos", "q"))
     return to_metric_groups(
         each, [(F.col("q").isNotNull(), specs, attrs), (_first(), totals, base_attrs("ibmmq"))]
     )

@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.operators.aggregate import cluster_rollup, count_by, topic_rollup
 from gaugeworks.operators.join import consumer_lag
-from gaugeworks.operators.ordered import top_n
 from gaugeworks.operators.shape import is_internal_topic, to_metric_groups, to_metrics
 from gaugeworks.schema import KEYS
 
-GROUP_CAP = 50
 
 
 def brokers(df: DataFrame) -> DataFrame:
     """Broker count; the controller is an attribute."""
-    address = F.concat_ws(":", "host", F.col("port").cast("string"))
+    six = F.col("host").contains(":")  # an IPv6 address stands in brackets before a port
+    host = F.when(six, F.concat(F.lit("["), F.col("host"), F.lit("]"))).otherwise(F.col("host"))
+    address = F.concat_ws(":", host, F.col("port").cast("string"))
     counted = df.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.when(F.col("is_controller"), address)).alias("controller"),
@@ -56,10 +56,13 @@ def topics(df: DataFrame) -> DataFrame:
     return rows.unionByName(totals)
 
 
-def group_states(df: DataFrame) -> DataFrame:
-    """Group count and the count by state."""
+def group_states(df: DataFrame, scrapes: DataFrame | None = None) -> DataFrame:
+    """Group count and the count by state. ``scrapes`` lists scrapes by the key columns, so that
+    a cluster without groups still reports 0."""
     by_state = count_by(df, KEYS, "state")
     total = by_state.groupBy(*KEYS).agg(F.sum("n").alias("n"))
+    if scrapes is not None:
+        total = scrapes.select(*KEYS).join(total, KEYS, "full").fillna(0)
     return to_metrics(
         by_state,
         [("messaging.kafka.consumer_groups.by_state", F.col("n"), "{groups}")],
@@ -73,11 +76,9 @@ def group_states(df: DataFrame) -> DataFrame:
     )
 
 
-def group_lag(
-    groups: DataFrame, committed: DataFrame, ends: DataFrame, cap: int = GROUP_CAP
-) -> DataFrame:
-    """Unread messages of the first groups by id."""
-    listed = top_n(groups.select(*KEYS, "group_id"), KEYS, [F.col("group_id")], cap).drop("rank")
+def group_lag(groups: DataFrame, committed: DataFrame, ends: DataFrame) -> DataFrame:
+    """Unread messages of the listed groups."""
+    listed = groups.select(*KEYS, "group_id").distinct()
     lag = consumer_lag(committed, ends, listed, KEYS)
     attrs = base_attrs("kafka", {"messaging.kafka.consumer_group": F.col("group_id")})
     return to_metrics(

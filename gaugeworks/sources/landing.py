@@ -64,12 +64,3 @@ def route(snapshots: DataFrame, target_type: str, endpoint: str | None = None) -
     """Replies of one source family, and of one endpoint where asked."""
     kept = snapshots.where(F.col("target_type") == target_type)
     return kept if endpoint is None else kept.where(F.col("endpoint") == endpoint)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work when the input has few splits.
-
-    Input that already has a split per core, as any large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -22,7 +22,13 @@ def only_database(df: DataFrame, dbname: Column | None) -> DataFrame:
     return df if dbname is None else df.where(F.col("datname") == dbname)
 
 
-def stat_database(df: DataFrame, dbname: Column | None = None) -> DataFrame:
+def database_attrs(named: bool) -> Column:
+    """Attributes of a database's rows; ``named`` adds its name, so that several databases of a
+    target stay several series."""
+    return base_attrs("postgres", {"db.postgres.database": F.col("datname")} if named else None)
+
+
+def stat_database(df: DataFrame, dbname: Column | None = None, named: bool = False) -> DataFrame:
     """13 metrics per database row; the cache hit ratio is 0 when no block was touched."""
     hits = ratio(F.col("blks_hit"), F.col("blks_hit") + F.col("blks_read"), on_zero="zero")
     # Metric name, column, unit.
@@ -41,16 +47,19 @@ def stat_database(df: DataFrame, dbname: Column | None = None) -> DataFrame:
         ("db.postgres.deadlocks", F.col("deadlocks"), "{deadlocks}"),
         ("db.postgres.temp_bytes", F.col("temp_bytes"), "By"),
     ]
-    return to_metrics(only_database(df, dbname), specs, base_attrs("postgres"))
+    return to_metrics(only_database(df, dbname), specs, database_attrs(named))
 
 
-def database_size(df: DataFrame, dbname: Column | None = None) -> DataFrame:
+def database_size(df: DataFrame, dbname: Column | None = None, named: bool = False) -> DataFrame:
     specs = [("db.postgres.database_size_bytes", F.col("size_bytes"), "By")]
-    return to_metrics(only_database(df, dbname), specs, base_attrs("postgres"))
+    return to_metrics(only_database(df, dbname), specs, database_attrs(named))
 
 
 def stat_activity(
-    df: DataFrame, dbname: Column | None = None, scrapes: DataFrame | None = None
+    df: DataFrame,
+    dbname: Column | None = None,
+    scrapes: DataFrame | None = None,
+    named: bool = False,
 ) -> DataFrame:
     """Session counts by state and the longest active query.
 
@@ -58,16 +67,17 @@ def stat_activity(
     reports zeros.
     """
     age = (micros(F.col("collected_at")) - micros(F.col("query_start"))) / F.lit(1e6)
-    rolled = activity_rollup(only_database(df, dbname).withColumn("age_s", age), KEYS)
+    by = [*KEYS, "datname"] if named else KEYS
+    rolled = activity_rollup(only_database(df, dbname).withColumn("age_s", age), by)
     if scrapes is not None:
-        rolled = scrapes.select(*KEYS).join(rolled, KEYS, "left").fillna(0)
+        rolled = scrapes.select(*KEYS).join(rolled, KEYS, "full").fillna(0)
     specs = [
         ("db.postgres.connections.idle", F.col("idle"), "{connections}"),
         ("db.postgres.connections.active", F.col("active"), "{connections}"),
         ("db.postgres.connections.waiting", F.col("waiting"), "{connections}"),
         ("db.postgres.longest_query_seconds", F.col("longest_s"), "s"),
     ]
-    return to_metrics(rolled, specs, base_attrs("postgres"))
+    return to_metrics(rolled, specs, database_attrs(named))
 
 
 def user_tables(df: DataFrame, n: int = TOP) -> DataFrame:
@@ -87,13 +97,16 @@ def user_tables(df: DataFrame, n: int = TOP) -> DataFrame:
     return to_metrics(top, specs, base_attrs("postgres", {"db.sql.table": table}))
 
 
-def statements(df: DataFrame, extensions: DataFrame, n: int = TOP) -> DataFrame:
-    """Slowest statements, for targets that have the statements extension."""
+def statements(
+    df: DataFrame, extensions: DataFrame, n: int = TOP, clip: int | None = None
+) -> DataFrame:
+    """Slowest statements, for targets that have the statements extension. ``clip`` cuts the
+    statement text to so many characters."""
     gated = semi_gate(df, extensions, KEYS, STATEMENTS)
     top = top_desc(gated, KEYS, "mean_exec_time", ["queryid"], n)
     attrs = base_attrs(
         "postgres",
-        {"db.statement": clip_chars(F.col("query"), 100), "db.query_id": F.col("queryid")},
+        {"db.statement": F.col("query") if clip is None else clip_chars(F.col("query"), clip), "db.query_id": F.col("queryid")},
     )
     specs = [
         ("db.postgres.query.avg_time_ms", F.col("mean_exec_time"), "ms"),

@@ -10,24 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import num_zero
 from gaugeworks.functions.records import record
 from gaugeworks.functions.text import key_part, strip_prefix, url_tail, yaml_items, yaml_pairs
 from gaugeworks.operators.aggregate import distinct_names
-from gaugeworks.operators.ordered import top_n
-from gaugeworks.operators.shape import keyed, kv_specs, once, to_metric_groups, to_metrics
+from gaugeworks.operators.shape import keyed, kv_specs, once, to_metrics
 from gaugeworks.schema import KEYS
 from gaugeworks.sources.documents import KEEP_FIELDS
 
 # ---- BullMQ
 
-# Caps on queue listings, key spellings and suffixes.
+# Key spellings and suffixes.
 BULL_PREFIX = "bull"
-BULL_FOUND_CAP = 500
-BULL_SHOWN_CAP = 200
 BULL_STATES = ["waiting", "active", "delayed", "failed", "completed", "paused"]
 BULL_SUFFIX = {"waiting": "wait"}
 BULL_LISTS = ["waiting", "active", "paused"]
@@ -62,39 +59,34 @@ def _bull_sizes(df: DataFrame) -> DataFrame:
     return named.groupBy(*KEYS, "queue").agg(found, *[total(s) for s in BULL_STATES]).where("found")
 
 
-def _with_totals(df: DataFrame, shown: Column, cols: Sequence[str]) -> DataFrame:
-    """Add ``n`` and ``sum_*`` over the queues of a scrape; at most a few hundred rows each."""
-    whole = Window.partitionBy(*KEYS)
-    sums = [F.sum(F.when(shown, F.col(c))).over(whole).alias(f"sum_{c}") for c in cols]
-    return df.select("*", F.count(F.lit(1)).over(whole).alias("n"), *sums)
+def _totals(queues: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Number of queues of a scrape as ``n``, and ``sum_*`` over all of them."""
+    return queues.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in cols]
+    )
 
 
 def bullmq_jobs(df: DataFrame) -> DataFrame:
-    """Six gauges per queue and the totals over the shown queues."""
-    found = top_n(_bull_sizes(df), KEYS, [F.col("queue")], BULL_FOUND_CAP)
-    shown = F.col("rank") <= BULL_SHOWN_CAP
+    """Six gauges per queue and the totals over all queues."""
+    sizes = _bull_sizes(df)
     summed = [s for s in BULL_STATES if s != "paused"]
     rows = [(f"messaging.bullmq.queue.{s}", F.col(s), "{jobs}") for s in BULL_STATES]
     totals = [("messaging.bullmq.queues.count", F.col("n"), "{queues}")]
     totals += [(f"messaging.bullmq.jobs.{s}", F.col(f"sum_{s}"), "{jobs}") for s in summed]
     attrs = base_attrs("bullmq", {"messaging.destination.name": F.col("queue")})
-    return to_metric_groups(
-        _with_totals(found, shown, summed),
-        [(shown, rows, attrs), (F.col("rank") == 1, totals, base_attrs("bullmq"))],
+    return to_metrics(sizes, rows, attrs).unionByName(
+        to_metrics(_totals(sizes, summed), totals, base_attrs("bullmq"))
     )
 
 
 # ---- Celery
 
-# Key spellings, the queue that always exists, and caps.
+# Key spellings, and the queue that always exists.
 CELERY_BINDING = "_kombu.binding."
 CELERY_RESULT = "celery-task-meta-"
 CELERY_DEFAULT = "celery"
 CELERY_UNACKED = "\x06\x16\x06\x16"
 CELERY_RESERVED = ":reserved"
-CELERY_FOUND_CAP = 200
-CELERY_SHOWN_CAP = 100
-CELERY_RESULT_CAP = 10_000
 
 
 def celery_discovery(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -125,9 +117,7 @@ def celery_tasks(df: DataFrame) -> DataFrame:
         record(queue=F.when(reserved, cut(CELERY_RESERVED)), role=F.lit("list")),
     )
     per_scrape = df.groupBy(*KEYS).agg(
-        F.least(
-            F.count_if(key.startswith(CELERY_RESULT)), F.lit(CELERY_RESULT_CAP).cast("bigint")
-        ).alias("results")
+        F.count_if(key.startswith(CELERY_RESULT)).alias("results")
     )
     default = per_scrape.select(
         *KEYS,
@@ -157,8 +147,6 @@ def celery_tasks(df: DataFrame) -> DataFrame:
         .where("found")
         .withColumn("reserved", F.when(F.col("z") == 0, F.col("l")).otherwise(F.col("z")))
     )
-    found = top_n(sized, KEYS, [F.col("queue")], CELERY_FOUND_CAP)
-    shown = F.col("rank") <= CELERY_SHOWN_CAP
     rows = [
         ("messaging.celery.queue.pending", F.col("pending"), "{tasks}"),
         ("messaging.celery.queue.reserved", F.col("reserved"), "{tasks}"),
@@ -169,9 +157,8 @@ def celery_tasks(df: DataFrame) -> DataFrame:
         ("messaging.celery.tasks.reserved", F.col("sum_reserved"), "{tasks}"),
     ]
     attrs = base_attrs("celery", {"messaging.destination.name": F.col("queue")})
-    queues = to_metric_groups(
-        _with_totals(found, shown, ["pending", "reserved"]),
-        [(shown, rows, attrs), (F.col("rank") == 1, totals, base_attrs("celery"))],
+    queues = to_metrics(sized, rows, attrs).unionByName(
+        to_metrics(_totals(sized, ["pending", "reserved"]), totals, base_attrs("celery"))
     )
     results = [("messaging.celery.results.count", F.col("results"), "{results}")]
     return queues.unionByName(to_metrics(per_scrape, results, base_attrs("celery")))
@@ -179,7 +166,6 @@ def celery_tasks(df: DataFrame) -> DataFrame:
 
 # ---- Sidekiq
 
-SIDEKIQ_SHOWN_CAP = 100
 SIDEKIQ_INFO = "concurrency bigint, busy bigint, _corrupt_record string"
 # Sorted-set key, column.
 SIDEKIQ_SETS = {"schedule": "scheduled", "retry": "retries", "dead": "dead"}
@@ -239,12 +225,7 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
     # on aggregated columns, which cannot be pushed into the scan, and name every one of them,
     # so none is pruned from one use only (queues have no process numbers: both are 0).
     no_process = (F.col("busy") == 0) & (F.col("concurrency") == 0)
-    shown = top_n(
-        entities.where(F.col("listed") & F.col("is_queue") & no_process),
-        KEYS,
-        [F.col("entity")],
-        SIDEKIQ_SHOWN_CAP,
-    )
+    queues = entities.where(F.col("listed") & F.col("is_queue") & no_process)
     is_process = F.col("listed") & (F.col("what") == "p")
 
     def scalar(name: str, alias: str) -> Column:
@@ -253,6 +234,7 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
 
     counts = entities.groupBy(*KEYS).agg(
         F.count_if(F.col("listed") & F.col("is_queue")).alias("queues"),
+        F.sum(F.when(F.col("listed") & F.col("is_queue"), F.col("size"))).alias("enqueued"),
         F.count_if(is_process).alias("processes"),
         F.coalesce(F.sum(F.when(is_process, F.col("busy"))), F.lit(0)).alias("busy"),
         F.coalesce(F.sum(F.when(is_process, F.col("concurrency"))), F.lit(0)).alias("concurrency"),
@@ -264,6 +246,7 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
         ("messaging.sidekiq.processed", F.col("processed"), "{jobs}"),
         ("messaging.sidekiq.failed", F.col("failed"), "{jobs}"),
         ("messaging.sidekiq.queues.count", F.col("queues"), "{queues}"),
+        ("messaging.sidekiq.enqueued", F.col("enqueued"), "{jobs}"),
         ("messaging.sidekiq.scheduled", F.col("scheduled"), "{jobs}"),
         ("messaging.sidekiq.retries", F.col("retries"), "{jobs}"),
         ("messaging.sidekiq.dead", F.col("dead"), "{jobs}"),
@@ -272,33 +255,31 @@ def sidekiq(df: DataFrame, namespace: str = "") -> DataFrame:
         ("messaging.sidekiq.concurrency", F.col("concurrency"), "{workers}"),
     ]
     sizes = [("messaging.sidekiq.queue.size", F.col("size"), "{jobs}")]
-    enqueued = [("messaging.sidekiq.enqueued", F.col("sum_size"), "{jobs}")]
     attrs = base_attrs("sidekiq", {"messaging.destination.name": F.col("entity")})
-    rows = to_metric_groups(
-        _with_totals(shown, F.lit(True), ["size"]),
-        [(None, sizes, attrs), (F.col("rank") == 1, enqueued, base_attrs("sidekiq"))],
-    )
-    return rows.unionByName(to_metrics(joined, specs, base_attrs("sidekiq")))
+    return to_metrics(queues, sizes, attrs).unionByName(to_metrics(joined, specs, base_attrs("sidekiq")))
 
 
 # ---- SQS
 
-# Queue attribute, metric name; and the listing cap.
+# Queue attribute, metric name.
 SQS_ATTRIBUTES = [
     ("ApproximateNumberOfMessages", "messaging.sqs.queue.visible"),
     ("ApproximateNumberOfMessagesNotVisible", "messaging.sqs.queue.in_flight"),
     ("ApproximateNumberOfMessagesDelayed", "messaging.sqs.queue.delayed"),
 ]
-SQS_CAP = 200
+
+
+def _region() -> Column:
+    """The landed instance names the region; an endpoint of its own (host and port) is local."""
+    return F.when(F.col("instance").contains(":"), "local").otherwise(F.col("instance"))
 
 
 def sqs_queues(df: DataFrame, region: Column | None = None) -> DataFrame:
     """Queue count, and the message counts a queue reports."""
     place = {
         "cloud.provider": F.lit("aws"),
-        "cloud.region": F.col("instance") if region is None else region,
+        "cloud.region": _region() if region is None else region,
     }
-    shown = top_n(df, KEYS, [F.col("pos")], SQS_CAP)
     specs = [
         (
             name,
@@ -314,9 +295,8 @@ def sqs_queues(df: DataFrame, region: Column | None = None) -> DataFrame:
         "sqs", {**place, "messaging.destination.name": url_tail(F.col("queue_url"))}
     )
     count = [("messaging.sqs.queues.count", F.col("n"), "{queues}")]
-    return to_metric_groups(
-        _with_totals(shown, F.lit(True), []),
-        [(None, specs, attrs), (F.col("rank") == 1, count, base_attrs("sqs", place))],
+    return to_metrics(df, specs, attrs).unionByName(
+        to_metrics(df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), count, base_attrs("sqs", place))
     )
 
 
@@ -350,7 +330,6 @@ BEANSTALKD_TUBE = [
     ("current-waiting", "messaging.beanstalkd.tube.waiting", "{consumers}"),
     ("total-jobs", "messaging.beanstalkd.tube.total_jobs", "{jobs}"),
 ]
-TUBE_CAP = 50
 TUBE_COMMAND = "stats-tube "
 
 
@@ -364,15 +343,15 @@ def beanstalkd_stats(df: DataFrame) -> DataFrame:
     return _stats(df, BEANSTALKD_STATS, base_attrs("beanstalkd"))
 
 
-def beanstalkd_tube_list(df: DataFrame, cap: int = TUBE_CAP) -> DataFrame:
-    """First tubes of the list reply, in listing order."""
-    tubes = F.slice(yaml_items(F.col("body")), 1, cap)
+def beanstalkd_tube_list(df: DataFrame) -> DataFrame:
+    """Tubes of the list reply, in listing order."""
+    tubes = yaml_items(F.col("body"))
     return df.select(*KEYS, F.posexplode(tubes).alias("pos", "tube"))
 
 
-def beanstalkd_tubes(lists: DataFrame, replies: DataFrame, cap: int = TUBE_CAP) -> DataFrame:
-    """Gauges of the first tubes; each tube has a stats reply under its own endpoint."""
-    listed = beanstalkd_tube_list(lists, cap).select(*KEYS, "tube").distinct()
+def beanstalkd_tubes(lists: DataFrame, replies: DataFrame) -> DataFrame:
+    """Gauges of the listed tubes; each tube has a stats reply under its own endpoint."""
+    listed = beanstalkd_tube_list(lists).select(*KEYS, "tube").distinct()
     named = replies.withColumn("tube", strip_prefix(F.col("endpoint"), TUBE_COMMAND))
     shown = named.join(listed, [*KEYS, "tube"], "left_semi")
     attrs = base_attrs("beanstalkd", {"messaging.destination.name": F.col("tube")})

@@ -60,7 +60,7 @@ def slowlog(df: DataFrame, scrapes: DataFrame | None = None) -> DataFrame:
     """Number of recent slow entries and the duration of the latest one."""
     head = log_head(df, KEYS, "entry_id", "duration_us", SLOWLOG_ENTRIES)
     if scrapes is not None:
-        head = scrapes.select(*KEYS).join(head, KEYS, "left")
+        head = scrapes.select(*KEYS).join(head, KEYS, "full")
     specs = [
         ("db.redis.slowlog.count", F.coalesce("n", F.lit(0)), "{entries}"),
         ("db.redis.slowlog.latest_duration_us", F.col("latest"), "us"),

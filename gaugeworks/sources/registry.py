@@ -47,8 +47,6 @@ REPLY_JOBS: list[tuple[str, str | None, Callable[[DataFrame], DataFrame]]] = [
     ("host", "proc/net/dev", host.network),
     ("host", "proc/loadavg", host.load),
 ]
-# The row-local ones among them also run on a stream as they are.
-STATEFUL_REPLY_JOBS = {host.cpu}
 
 # Landed tables: (tables read, preference among series emitted twice, job). Session counts
 # give way to the backend count of the statistics table.
@@ -75,3 +73,10 @@ TABLE_JOBS: list[tuple[tuple[str, ...], int, Callable[..., DataFrame]]] = [
     (("sqs_queues",), 1, queues.sqs_queues),
     (("mounts",), 1, host.disk),
 ]
+
+# Names that two of these jobs emit, and the tables they come from; only these are deduped.
+TWICE = ["db.postgres.connections.active"]
+TWICE_FROM = {"pg_stat_database", "pg_stat_activity"}
+# Tables with a row per database, and those whose jobs report zeros for quiet scrapes.
+BY_DATABASE = ("pg_stat_database", "pg_database_size", "pg_stat_activity")
+WITH_SCRAPES = ("pg_stat_activity", "redis_slowlog", "kafka_groups")

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.functions.numbers import micros
 from gaugeworks.functions.records import record
 from gaugeworks.functions.text import clip_bytes
 from gaugeworks.schema import METRIC_COLUMNS
 
-SCOPE_NAME = "infra-agent"
-SCOPE_VERSION = "2.0.0"
+SCOPE_NAME = "gaugeworks"
+SCOPE_VERSION = "1.0"
 ROWS_PER_DOCUMENT = 1000
 
 
@@ -25,10 +25,10 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("date").parquet(path)
 
 
-def otlp_attributes(attrs: Column, clip: bool = True) -> Column:
-    """Attribute list sorted by key; values of data points are cut at 256 bytes."""
+def otlp_attributes(attrs: Column, clip: int | None = None) -> Column:
+    """Attribute list sorted by key; ``clip`` cuts values to so many bytes."""
     def text(value: Column) -> Column:
-        return clip_bytes(value) if clip else value
+        return value if clip is None else clip_bytes(value, clip)
 
     return F.transform(
         F.array_sort(F.map_entries(attrs)),
@@ -36,11 +36,13 @@ def otlp_attributes(attrs: Column, clip: bool = True) -> Column:
     )
 
 
-def otlp_metric(ts: Column | None = None) -> Column:
+def otlp_metric(ts: Column | None = None, clip: int | None = None) -> Column:
     """One gauge with one data point as a struct."""
     nanos = (micros(F.col("ts") if ts is None else ts) * 1000).cast("string")
     point = record(
-        timeUnixNano=nanos, asDouble=F.col("value"), attributes=otlp_attributes(F.col("attrs"))
+        timeUnixNano=nanos,
+        asDouble=F.col("value"),
+        attributes=otlp_attributes(F.col("attrs"), clip),
     )
     return record(name=F.col("name"), unit=F.col("unit"), gauge=record(dataPoints=F.array(point)))
 
@@ -48,33 +50,39 @@ def otlp_metric(ts: Column | None = None) -> Column:
 def number_documents(
     metrics: DataFrame, batch_keys: Sequence[str], max_rows: int, unique: bool = False
 ) -> DataFrame:
-    """Assign each row a document number so that a document holds about ``max_rows`` rows.
+    """Assign each row a document (``lane``, ``part``) of its batch with ``max_rows`` at most.
 
-    The number of documents of a batch follows from its row count. Copies of one row are
-    counted together first and travel as (row, count) pieces of at most ``max_rows``, each
-    with its own document, so neither a huge batch nor a huge group of copies lands in one
-    document. ``unique`` skips the counting for rows that went through ``dedupe_series``.
+    The number of lanes of a batch follows from its row count, and a hash of the whole row picks
+    the lane; inside a lane a document is closed at exactly ``max_rows``. Copies of one row are
+    counted together first and travel as pieces of at most ``max_rows``, each with a lane of its
+    own, so neither a huge batch nor a huge group of copies meets in one task. ``unique`` skips
+    that for rows that went through ``dedupe_series``.
     """
     sizes = metrics.groupBy(*batch_keys).agg(F.count(F.lit(1)).alias("__rows"))
     zero = F.lit(0).cast("bigint")
     if unique:
-        pieces = metrics.withColumn("__piece", zero).withColumn("copies", F.lit(1))
+        pieces = metrics.withColumn("__piece", zero).withColumn("__copies", F.lit(1))
     else:
-        folded = metrics.groupBy(*metrics.columns).agg(F.count(F.lit(1)).alias("__copies"))
-        last = F.floor((F.col("__copies") - 1) / max_rows)
-        left = F.col("__copies") - F.col("__piece") * max_rows
+        folded = metrics.groupBy(*metrics.columns).agg(F.count(F.lit(1)).alias("__all"))
+        last = F.floor((F.col("__all") - 1) / max_rows)
+        left = F.col("__all") - F.col("__piece") * max_rows
         pieces = (
             folded.withColumn("__piece", F.explode(F.sequence(zero, last)))
-            .withColumn("copies", F.least(left, F.lit(max_rows)).cast("int"))
-            .drop("__copies")
+            .withColumn("__copies", F.least(left, F.lit(max_rows)).cast("int"))
+            .drop("__all")
         )
-    docs = F.ceil(F.col("__rows") / F.lit(max_rows)).cast("bigint")
-    spread = F.xxhash64("target", "name", F.to_json(F.map_entries("attrs")), "value", "__piece")
-    return (
+    lanes = F.ceil(F.col("__rows") / F.lit(max_rows)).cast("bigint")
+    whole = [F.to_json(F.map_entries("attrs")) if c == "attrs" else F.col(c) for c in METRIC_COLUMNS]
+    spread = F.xxhash64(*whole, "__piece")
+    laned = (
         pieces.join(sizes, list(batch_keys))
-        .withColumn("document", F.pmod(spread, docs))
-        .drop("__rows", "__piece")
+        .withColumn("lane", F.pmod(spread, lanes))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     )
+    inside = Window.partitionBy(*batch_keys, "lane").orderBy("name", "target", "ts")
+    return laned.withColumn(
+        "part", F.floor((F.row_number().over(inside) - 1) / F.lit(max_rows)).cast("bigint")
+    ).drop("__rows", "__piece", "__copies", "__copy")
 
 
 def otlp_batches(
@@ -85,29 +93,25 @@ def otlp_batches(
     unique: bool = False,
     batch_time: Column | None = None,
     scope: tuple[str, str] = (SCOPE_NAME, SCOPE_VERSION),
+    clip: int | None = None,
 ) -> DataFrame:
     """One JSON document per batch, or several when a batch is large.
 
     ``resource`` is the map of resource attributes. Rows keep their own time unless
-    ``batch_time`` is given. Pass rows through ``quarantine_nonfinite`` first.
+    ``batch_time`` is given. ``clip`` cuts attribute values of data points to so many bytes. Pass rows through ``quarantine_nonfinite`` first.
     """
     numbered = number_documents(metrics.select(*METRIC_COLUMNS), batch_keys, max_rows, unique)
     grouped = (
-        numbered.select(*batch_keys, "document", otlp_metric(batch_time).alias("m"), "copies")
-        .groupBy(*batch_keys, "document")
-        .agg(F.collect_list(F.struct("m", "copies")).alias("__pieces"))
-        .withColumn(
-            "metrics",
-            F.array_sort(
-                F.flatten(F.transform("__pieces", lambda p: F.array_repeat(p["m"], p["copies"])))
-            ),
-        )
+        numbered.select(*batch_keys, "lane", "part", otlp_metric(batch_time, clip).alias("m"))
+        .groupBy(*batch_keys, "lane", "part")
+        .agg(F.array_sort(F.collect_list("m")).alias("metrics"))
+        .withColumn("document", F.concat_ws("-", "lane", "part"))
     )
     scoped = record(
         scope=record(name=F.lit(scope[0]), version=F.lit(scope[1])), metrics=F.col("metrics")
     )
     batch = record(
-        resource=record(attributes=otlp_attributes(resource, clip=False)),
+        resource=record(attributes=otlp_attributes(resource)),
         scopeMetrics=F.array(scoped),
     )
     body = record(resourceMetrics=F.array(batch))

@@ -13,7 +13,6 @@ from gaugeworks.session import ROCKSDB, STATE_STORE_KEY
 # Collection interval in milliseconds.
 MIN_INTERVAL_MS = 1000
 DEFAULT_INTERVAL_MS = 15_000
-PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 
 
 def interval_ms(asked: int) -> int:
@@ -71,9 +70,7 @@ def each_batch(
 @contextmanager
 def state_settings(spark: SparkSession) -> Iterator[None]:
     """Settings that stateful operators need at start; the session gets its own back."""
-    partitions = int(spark.conf.get(PARTITIONS_KEY))
-    cores = spark.sparkContext.defaultParallelism
-    wanted = {STATE_STORE_KEY: ROCKSDB, PARTITIONS_KEY: str(min(partitions, 2 * cores))}
+    wanted = {STATE_STORE_KEY: ROCKSDB}
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():

@@ -1,53 +1,30 @@
-"""Stateful streams: counter deltas, circuit breaker, discovery cache.
+"""Stateful streams: counter deltas.
 
-The twins of the batch operators. State per key is one small row in the state store, and
-rows of a micro-batch are taken in time order.
+The twin of the batch operator. State per key is one small row in the state store, and rows of a
+micro-batch are taken in time order. One key's rows of a micro-batch meet in one task, so bound
+the micro-batch: ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` on the source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gaugeworks.functions.numbers import micros
-from gaugeworks.operators.folds import (
-    COOLDOWN_US,
-    NEVER,
-    POLICIES,
-    THRESHOLD,
-    TTL_US,
-    BreakerSlice,
-    DiscoverySlice,
-    open_until,
-)
-from gaugeworks.operators.ordered import status_of
 
 
-def _run(
-    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, extra: str
-) -> DataFrame:
-    kept = [f for f in df.schema.fields if not f.name.startswith("__")]
-    out = T.StructType([*kept, *T.StructType.fromDDL(extra).fields])
-    processor.names = df.columns
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="None"
-    )
-
-
-def _timed(df: DataFrame, order: str, seq: str | None = None) -> DataFrame:
-    tie = F.lit(0) if seq is None else F.col(seq)
-    return df.select("*", micros(F.col(order)).alias("__us"), tie.cast("bigint").alias("__seq"))
-
-
-class _Processor(StatefulProcessor):
-    """One state row per key; subclasses say how rows move it on."""
+class _Delta(StatefulProcessor):
+    """Last time and counters of each key. Whole numbers stay whole numbers."""
 
-    schema = ""
-    names: list[str] = []
+    def __init__(self, names: list[str], cols: list[str], whole: list[bool], prefix: str):
+        self.names, self.cols, self.prefix = names, cols, prefix
+        self.kinds = ["Int64" if w else "Float64" for w in whole]
+        self.types = [int if w else float for w in whole]
+        kinds = ["bigint" if w else "double" for w in whole]
+        self.schema = ", ".join(["us bigint", *[f"c{i} {k}" for i, k in enumerate(kinds)]])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", self.schema)
@@ -55,112 +32,44 @@ class _Processor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Rows arrive as tuples, which lose the names of columns that start with "_".
         batch = pd.concat(part.set_axis(self.names, axis=1) for part in rows)
-        batch = batch.sort_values(["__us", "__seq"], ignore_index=True)
+        batch = batch.sort_values("__us", kind="stable", ignore_index=True)
         before = self.state.get() if self.state.exists() else None
-        added, after = self.step(batch, before)
-        self.state.update(after)
-        kept = batch[[c for c in batch.columns if not c.startswith("__")]]
-        yield pd.concat([kept, added], axis=1)
-
-    def step(self, batch: pd.DataFrame, before: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        raise NotImplementedError
+        # Rows older than the state come too late: they get no delta and do not move it.
+        late = batch["__us"] < before[0] if before else pd.Series(False, index=batch.index)
+        now = pd.DataFrame({c: batch[c].astype(k) for c, k in zip(self.cols, self.kinds)})
+        timely = now[~late]
+        prior = timely.shift(1)
+        if before is not None and len(timely):
+            for c, v in zip(self.cols, before[1:]):
+                prior.loc[timely.index[0], c] = pd.NA if v is None else v
+        delta = (timely - prior).reindex(batch.index).add_prefix(self.prefix)
+        if len(timely):
+            last = [None if pd.isna(v) else t(v) for v, t in zip(timely.iloc[-1], self.types)]
+            self.state.update((int(batch["__us"].iloc[-1]), *last))
+        yield pd.concat([batch[[c for c in batch.columns if c != "__us"]], delta], axis=1)
 
     def close(self) -> None:
         pass
 
 
-class _Delta(_Processor):
-    def __init__(self, cols: list[str], prefix: str):
-        self.cols, self.prefix = cols, prefix
-        self.schema = ", ".join(f"c{i} double" for i in range(len(cols)))
-
-    def step(self, batch, before):
-        now = batch[self.cols].astype("float64")
-        first = pd.DataFrame([list(before)], columns=self.cols) if before else None
-        prior = now.shift(1)
-        if first is not None:
-            prior.iloc[0] = first.iloc[0]
-        return (now - prior).add_prefix(self.prefix), tuple(float(v) for v in now.iloc[-1])
-
-
 def counter_delta_stream(
     df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], prefix: str = "d_"
 ) -> DataFrame:
-    """Difference of each counter to the previous sample of its key; NULL on the first one."""
-    extra = ", ".join(f"`{prefix}{c}` double" for c in cols)
-    return _run(_timed(df, order), keys, _Delta(list(cols), prefix), extra)
-
-
-class _Breaker(_Processor):
-    schema = "failures bigint, until bigint"
-
-    def __init__(self, threshold: int, cooldown: int):
-        self.threshold, self.cooldown = threshold, cooldown
-
-    def step(self, batch, before):
-        log = BreakerSlice(
-            batch["__us"].to_numpy(), batch["__ok"].to_numpy(dtype=bool), self.threshold, self.cooldown
-        )
-        fails, skipped, ends = log.play(*(before or (0, NEVER)))
-        added = pd.DataFrame({"skipped": skipped, "consecutive_failures": fails, "end_us": ends})
-        return added, (int(fails[-1]), int(ends[-1]))
-
-
-def breaker_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    ok: str = "ok",
-    seq: str | None = None,
-    threshold: int = THRESHOLD,
-    cooldown_us: int = COOLDOWN_US,
-) -> DataFrame:
-    """Circuit breaker over a stream of probe outcomes."""
-    flagged = _timed(df, order, seq).withColumn("__ok", F.coalesce(F.col(ok), F.lit(False)))
-    extra = "skipped boolean, consecutive_failures bigint, end_us bigint"
-    played = _run(flagged, keys, _Breaker(threshold, cooldown_us), extra)
-    return (
-        played.withColumn("open_until", open_until(F.col("end_us")))
-        .withColumn("status", status_of(F.col("consecutive_failures"), threshold))
-        .drop("end_us")
+    """Difference of each counter to the previous sample of its key; NULL on the first one.
+
+    Integer counters stay integers at any size. A sample older than the newest one of an earlier
+    micro-batch gets NULL and is passed over.
+    """
+    timed = df.select("*", micros(F.col(order)).alias("__us"))
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    whole = [isinstance(df.schema[c].dataType, integral) for c in cols]
+    extra = [
+        T.StructField(f"{prefix}{c}", T.LongType() if w else T.DoubleType())
+        for c, w in zip(cols, whole)
+    ]
+    return timed.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Delta(timed.columns, list(cols), whole, prefix),
+        outputStructType=T.StructType([*df.schema.fields, *extra]),
+        outputMode="Append",
+        timeMode="None",
     )
-
-
-class _Discovery(_Processor):
-    schema = "stale bigint, known boolean, cached array<string>"
-
-    def __init__(self, policy: str, ttl: int):
-        self.policy, self.ttl = policy, ttl
-
-    def step(self, batch, before):
-        takes_empty, stand_in = POLICIES[self.policy]
-        stale, known, cached = before or (NEVER, False, [])
-        carried = list(cached) if known else None
-        lists = [None if q is None else [str(x) for x in q] for q in batch["__queues"]]
-        sizes = np.array([-1 if q is None else len(q) for q in lists], dtype=np.int64)
-        log = DiscoverySlice(batch["__us"].to_numpy(), sizes, takes_empty, self.ttl)
-        renewals = set(log.renewals(int(stale)))
-        in_force = []
-        for i, found in enumerate(lists):
-            if i in renewals:
-                carried = found
-                stale = int(log.ts[i]) + self.ttl if found else NEVER
-            in_force.append(carried if carried or i in renewals else stand_in)
-        added = pd.DataFrame(
-            {"renewed": [i in renewals for i in range(len(lists))], "in_force": in_force}
-        )
-        return added, (int(stale), carried is not None, carried or [])
-
-
-def discovery_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    queues: str = "queues",
-    policy: str = "bullmq",
-    ttl_us: int = TTL_US,
-) -> DataFrame:
-    """Queue list in force at each try of a stream."""
-    listed = _timed(df, order).withColumn("__queues", F.col(queues))
-    extra = "renewed boolean, in_force array<string>"
-    return _run(listed, keys, _Discovery(policy, ttl_us), extra)

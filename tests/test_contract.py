@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from gaugeworks.plans import bindings
 
 SF = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -18,7 +19,7 @@ SAMPLE = [
     "stat_wide_to_long", "status_kv", "consumer_lag", "topic_rollup", "info_text", "prom_p99",
     "yaml_stats", "cpu_shares", "node_stats_sum", "mq_channels", "jmx_params", "queue_sizes",
     "celery_tasks", "sidekiq_state", "dsn_instance", "clip_bytes", "dedupe_union", "otlp_points",
-    "failure_runs", "breaker_batch", "discovery_cache", "heartbeat",
+    "failure_runs", "heartbeat", "array_cap", "prom_first", "count_sum", "sqs_queues",
 ]
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="benchmark tables are not here")
@@ -42,7 +43,9 @@ def rows(names, data):
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(bindings.ORACLES) == set(bindings.QUERIES)
+    assert set(bindings.QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -69,11 +69,11 @@ def test_es_nodes(spark):
     assert len(idle) == 8 and set(idle.values()) == {0.0}
 
 
-def test_rabbit_queues_are_capped(spark):
+def test_rabbit_queues_are_all_listed(spark):
     body = json.dumps([{"name": f"q{i}", "vhost": "/", "messages": i} for i in range(101)])
     rows = documents.rabbit_queues(replies(spark, "rabbitmq", body)).collect()
-    assert len(rows) == 700
-    assert {r["attrs"]["messaging.destination.name"] for r in rows} == {f"q{i}" for i in range(100)}
+    assert len(rows) == 707
+    assert {r["attrs"]["messaging.destination.name"] for r in rows} == {f"q{i}" for i in range(101)}
 
 
 def test_rabbit_nodes_and_overview(spark):
@@ -115,7 +115,7 @@ def test_ibmmq(spark):
     totals = {r["name"]: r["value"] for r in got if "total" in r["name"] or "count" in r["name"]}
     assert totals == {
         "messaging.ibmmq.queues.count": 101.0,
-        "messaging.ibmmq.queues.total_depth": 100.0,
+        "messaging.ibmmq.queues.total_depth": 101.0,
     }
     channels = json.dumps(
         {"channel": [{"name": c, "status": {"state": s}} for c, s in

@@ -174,7 +174,7 @@ def test_quarantine_and_documents(spark, tmp_path):
     points = []
     for row in spark.read.text(str(tmp_path / "docs")).collect():
         scope = json.loads(row[0])["resourceMetrics"][0]["scopeMetrics"][0]
-        assert scope["scope"] == {"name": "infra-agent", "version": "2.0.0"}
+        assert scope["scope"] == {"name": "gaugeworks", "version": "1.0"}
         points += [m["gauge"]["dataPoints"][0] for m in scope["metrics"]]
     assert len(points) == 430
     assert {p["timeUnixNano"] for p in points} == {"1704153600000000000"}
@@ -242,3 +242,29 @@ def test_settings():
     assert interval_ms(500) == 15_000 and interval_ms(1000) == 1000
     assert landed_schema("attempts").fieldNames()[0] == "cycle_id"
     assert landed_schema("mounts").fieldNames()[:2] == ["cycle_id", "collected_at"]
+
+
+def test_runs_with_equal_times_and_unknown_outcomes(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("a", at, 1, False), ("a", at, 2, None), ("a", at, 3, False), ("b", at, 1, False), ("b", at, 2, True)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, n long, ok boolean")
+    got = failure_runs(df, ["k"], "ts", seq="n").orderBy("k", "n").collect()
+    assert [r["consecutive_failures"] for r in got] == [1, 2, 3, 1, 0]
+    last = {r["k"]: r["consecutive_failures"] for r in latest_run(df, ["k"], "ts", seq="n").collect()}
+    assert last == {"a": 3, "b": 0}
+
+
+def test_finite_value_wins_and_keeps_its_time(spark):
+    rows = [(datetime(2024, 1, 1, h), 1, "t", "m", v, "1", {}) for h, v in ((3, float("nan")), (1, 5.0), (2, 4.0))]
+    df = spark.createDataFrame(rows, METRIC_DDL)
+    (row,) = dedupe_series(df).collect()
+    assert (row["value"], row["ts"]) == (5.0, datetime(2024, 1, 1, 1))
+
+
+def test_documents_are_bounded_for_any_batch_keys(spark):
+    rows = [(datetime(2024, 1, 1) + timedelta(minutes=i), i, "t", "agent.up", 1.0, "1", {}) for i in range(950)]
+    rows += [rows[0]] * 333
+    df = spark.createDataFrame(rows, METRIC_DDL)
+    docs = otlp_batches(df, F.create_map(F.lit("a"), F.lit("b")), ["target"], max_rows=100).collect()
+    assert max(r["n_metrics"] for r in docs) <= 100 and sum(r["n_metrics"] for r in docs) == 1283
+    assert len({r["document"] for r in docs}) == len(docs)

@@ -4,11 +4,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.folds import breaker, discovery_cache
 from gaugeworks.operators.ordered import counter_delta
 from gaugeworks.sources import postgres
 from gaugeworks.streaming.run import each_batch, run_stream, state_settings
-from gaugeworks.streaming.stateful import breaker_stream, counter_delta_stream, discovery_stream
+from gaugeworks.streaming.stateful import counter_delta_stream
 from helpers import landed
 
 T0 = datetime(2024, 1, 1)
@@ -53,17 +52,6 @@ def test_counter_stream(spark, tmp_path):
     same(counter_delta(df, ["k"], "ts", ["n"]), got, ["k", "ts", "d_n"])
 
 
-def test_breaker_stream(spark, tmp_path):
-    df, got = drain(spark, tmp_path, "b", lambda s: breaker_stream(s, ["k"], "ts"))
-    cols = ["k", "ts", "skipped", "consecutive_failures", "open_until", "status"]
-    same(breaker(df, ["k"], "ts"), got, cols)
-
-
-def test_discovery_stream(spark, tmp_path):
-    df, got = drain(spark, tmp_path, "d", lambda s: discovery_stream(s, ["k"], "ts"))
-    same(discovery_cache(df, ["k"], "ts"), got, ["k", "ts", "renewed", "in_force"])
-
-
 def test_each_batch_ranks_inside_a_batch(spark, tmp_path):
     rows = [("s", f"t{i:02d}", i, None, 1, 2) for i in range(12)]
     df = landed(spark, "pg_stat_user_tables", rows)

@@ -48,13 +48,15 @@ def test_pg_user_tables(spark):
     assert got[("db.postgres.table.idx_scan", "s.t11")] == 0.0
 
 
-def test_pg_statements_are_gated_and_clipped(spark):
+def test_pg_statements_are_gated(spark):
     rows = [(str(i), "q" * 150, float(i), i) for i in range(12)]
     df = landed(spark, "pg_stat_statements", rows)
     have = landed(spark, "pg_extension", [("pg_stat_statements",), ("plpgsql",)])
     got = postgres.statements(df, have).collect()
     assert len(got) == 20
-    assert {len(r["attrs"]["db.statement"]) for r in got} == {100}
+    assert {len(r["attrs"]["db.statement"]) for r in got} == {150}
+    cut = postgres.statements(df, have, clip=100).collect()
+    assert {len(r["attrs"]["db.statement"]) for r in cut} == {100}
     assert {r["attrs"]["db.query_id"] for r in got} == {str(i) for i in range(2, 12)}
     lacking = landed(spark, "pg_extension", [("plpgsql",)])
     assert postgres.statements(df, lacking).count() == 0
@@ -171,8 +173,9 @@ def test_kafka_groups(spark):
     ends = landed(spark, "kafka_end_offsets", [("t", 0, 9), ("t", 1, 50), ("t", 2, 6)])
     lag = values(kafka.group_lag(groups, committed, ends), "messaging.kafka.consumer_group")
     assert {k[1]: v for k, v in lag.items()} == {"g": 4.0, "h": 0.0, "i": 0.0}
-    capped = kafka.group_lag(groups, committed, ends, cap=1).collect()
-    assert [r["attrs"]["messaging.kafka.consumer_group"] for r in capped] == ["g"]
+    none = landed(spark, "kafka_groups", []).limit(0)
+    scrapes = landed(spark, "scrapes", [("kafka_groups",)])
+    assert values(kafka.group_states(none, scrapes)) == {base + "count": 0.0}
 
 
 DEST = "messaging.destination.name"

@@ -136,7 +136,7 @@ def test_stats_yaml_ignores_an_unclosed_line(spark):
     assert values(queues.beanstalkd_stats(df)) == {"messaging.beanstalkd.cmd.put": 1.0}
 
 
-def test_tubes_are_capped_in_listing_order(spark):
+def test_all_tubes_are_listed(spark):
     names = [f"tube{i:03d}" for i in range(60)][::-1]
     listing = "OK 9\n---\n" + "".join(f"- {n}\n" for n in names)
     stats = [(f"stats-tube {n}", "OK 1\ncurrent-jobs-ready: 1\n") for n in names]
@@ -146,7 +146,7 @@ def test_tubes_are_capped_in_listing_order(spark):
         ),
         "messaging.destination.name",
     )
-    assert {k[1] for k in got} == set(names[:50])
+    assert {k[1] for k in got} == set(names)
 
 
 def test_cpu(spark):
@@ -228,3 +228,21 @@ def test_disk(spark):
         ("host.disk.free", "/"): 300.0,
         ("host.disk.utilization", "/"): 60.0,
     }
+
+
+def test_long_exposition_reply_is_read_in_linear_time(spark):
+    """16,000 labelled lines of few names, as servers write them."""
+    import time
+
+    from gaugeworks.sources import exposition
+
+    def seconds(n):
+        body = "".join(f'capacity_used{{store="{i}"}} {i}\nranges{{store="{i}"}} {i}\n' for i in range(n // 2))
+        df = replies(spark, "cockroachdb", body)
+        start = time.perf_counter()
+        got = values(exposition.cockroach_vars(df))
+        assert got["db.cockroachdb.ranges.total"] == 0.0
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(16_000) < 10
