@@ -36,7 +36,7 @@ from gaugeworks.llm.tokens import NOT_BLANK, Words, mix, split
 DEPTH = 5
 END = 255  #: not a byte of UTF-8
 END_KEY = int(mix(np.array([END], np.uint64))[0].astype(np.int64))
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: Grams of one shard of the tree, about.
 SHARD_GRAMS = 100_000
 #: Bytes of text in a chunk where the caller names none.
