@@ -10,10 +10,10 @@ a corpus. The join therefore goes down in three steps, each exact for links:
    own size. Sizes are cut into ranges, and a set within the triangle window of a range above
    is replicated into it.
 2. *Regions in hash ranges.* In a size range, linked sets differ in at most t shingles. The hash
-   space is cut into t + 3 ranges; at least three ranges hold no difference. The part of a set
-   in one range is a pivot, and its region is every set with exactly that part (radius 0), so
-   linked sets share a region. Empty parts count only for sets with three or more of them,
-   since linked sets then both have them.
+   space is cut into t + s ranges, so at least s ranges hold no difference. The part of a set in
+   one range is a pivot, and its region is every set with exactly that part (radius 0), so linked
+   sets share a region. Empty parts count only for sets with s or more of them, since linked sets
+   then both have them; s is chosen so that hardly any set has.
 3. *Pivots inside a region.* Regions of two or more sets get a pivot set: the member of most
    regions, which is the middle of its copies. All members are measured against it. Those within
    the join distance are its ball, already connected. Regions of one pivot recurse as one group:
@@ -75,6 +75,16 @@ _BOUNDS = size_ranges()
 _edges: dict[int, np.ndarray] = {}
 
 
+def spare_ranges(t: int, percent: int) -> int:
+    """Hash ranges beyond the t that may differ: more than a set leaves empty, as good as always.
+
+    The smallest sets of a size range have two thirds of its top, so with 1.3 t ranges about
+    1.3 t exp(-(2 / 3) / (1.3 r)) are empty, r = (100 - percent) / percent.
+    """
+    r = (100 - percent) / percent
+    return SLACK + int(2 * t * np.exp(-(2 / 3) / (1.3 * r)))
+
+
 def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
     """Region numbers of one set (sorted hashes)."""
     n, sums, out = len(own), None, []
@@ -82,7 +92,8 @@ def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
     while n and _BOUNDS[k] <= n * 100 // percent:
         t = int(_BOUNDS[k + 1] - 1) * (100 - percent) // percent
         if t:  # else only equal sets link
-            m = t + SLACK
+            slack = spare_ranges(t, percent)
+            m = t + slack
             if m not in _edges:
                 _edges[m] = np.array([i * (1 << 64) // m for i in range(1, m)], _U)
             if sums is None:
@@ -94,7 +105,7 @@ def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
             part = np.diff(sums[at])
             full = np.diff(at) > 0
             keys = mix(part + mix(np.arange(m, dtype=_U) + _U(k << 44)))
-            out.append(keys if m - full.sum() >= SLACK else keys[full])
+            out.append(keys if m - full.sum() >= slack else keys[full])
         k += 1
     return np.concatenate(out) if out else np.zeros(0, _U)
 
