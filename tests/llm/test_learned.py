@@ -109,7 +109,7 @@ def test_block_bounds_skip_but_lose_nothing():
 
 def test_rates_equal_plain_descent(spark, tables):
     docs, labels = tables
-    targets = {"a": 0.25, "b": 0.08, "c": 0.55, "d": 0.12}
+    targets = {"a": 0.4, "b": 0.1, "c": 0.4, "d": 0.1}
     got = mixing.mix(cases.with_extra(docs), labels, Shared(spark, "t"), targets).toPandas()
     assert len(got) == docs.count() and (got.rate >= 0).all()
     p, w = np.array(got.posterior.tolist()), (got.n_tokens / got.n_tokens.sum()).to_numpy()
