@@ -11,7 +11,8 @@ cosines the example with the smaller number comes first.
 Each neighbour votes for its label with weight 1 / (distance + 0.05). The vote is turned into a
 probability by a logistic curve fitted on the examples themselves, each left out of its own vote,
 with the classes weighted to their shares among all labelled rows. Texts without any term of the
-index have no neighbours; they get the share of label 1 among such examples.
+index have no neighbours; they get the share of label 1 among such examples. Where no word tells
+the classes apart (few labels), that holds for all texts.
 
 Null and empty texts have no words. Without labelled rows of both classes all scores are the
 share of label 1. Repeated rows and ids get a row each; labels repeated for an id count as 1 if
@@ -100,7 +101,8 @@ class Index:
             vectors[i, at] = weights
         some = vectors.any(axis=1)
         # Examples with the same strongest term side by side make blocks with sharp bounds.
-        order = np.lexsort((np.arange(len(texts)), vectors.argmax(axis=1)))
+        strongest = vectors.argmax(axis=1) if len(terms) else np.zeros(len(texts), np.int64)
+        order = np.lexsort((np.arange(len(texts)), strongest))
         order = order[some[order]]
         self.y, self.ids = y[order].astype(np.float64), [ids[i] for i in order]
         self.weight = np.where(y == 1, share / max((y == 1).mean(), 1e-9), (1 - share) / max((y == 0).mean(), 1e-9))

@@ -94,6 +94,15 @@ def test_neighbours_are_exact_and_held_out_texts_found(spark, tables, monkeypatc
     assert toxicity.fit(docs, labels.where("toxic = 0"), "toxic", 4, 2) is None
 
 
+def test_no_term_tells_classes_apart(spark):
+    docs = cases.frame(spark, [cases.doc(i, text(i)) for i in range(12)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    index = toxicity.fit(docs, labels, "toxic", 4, 2)
+    schema = "doc_id long, held_out boolean, score double, cosine double, evidence string"
+    got = rows_of(docs, 4).mapInArrow(toxicity._score(spark.sparkContext.broadcast(index), 0.1), schema).collect()
+    assert len(got) == 12 and len({r["score"] for r in got}) == 1 and not any(r["evidence"] for r in got)
+
+
 def test_block_bounds_skip_but_lose_nothing():
     r = np.random.default_rng(4)
     texts = [" ".join(f"t{r.integers(40)}" for _ in range(12)) for _ in range(400)]
