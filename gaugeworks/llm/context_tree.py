@@ -36,7 +36,9 @@ from gaugeworks.llm.tokens import NOT_BLANK, Words, mix, split
 DEPTH = 5
 END = 255  #: not a byte of UTF-8
 END_KEY = int(mix(np.array([END], np.uint64))[0].astype(np.int64))
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Keys that a chunk gathers before they are folded into its distinct ones.
+FOLD = 1 << 19
 #: Grams of one shard of the tree, about.
 SHARD_GRAMS = 100_000
 #: Bytes of text in a chunk where the caller names none.
@@ -91,12 +93,14 @@ class _Gathered:
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.pending = 0
 
     def add(self, keys: np.ndarray, trained: bool) -> None:
         found, counts = np.unique(keys, return_counts=True)
         self.parts.append((found, counts if trained else np.zeros(len(found), np.int64)))
-        if len(self.parts) >= 16:
-            self.parts = [self.all()]
+        self.pending += len(found)
+        if self.pending >= FOLD:
+            self.parts, self.pending = [self.all()], 0
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         return _summed(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
