@@ -312,13 +312,21 @@ def jaccard_groups(
     pivots = (
         regions.join(weights, "node")
         .groupBy("region")
-        .agg(F.max(F.struct("weight", "node")).alias("best"))
-        .select("region", F.col("best.node").alias("a"))
+        .agg(F.max(F.struct("weight", "node")).alias("best"), F.count("*").alias("size"))
+        .select("region", F.col("best.node").alias("a"), "size")
+    )
+    pairs = shared.keep(
+        regions.join(pivots, "region")
+        .where("node <> a")
+        .groupBy("a", F.col("node").alias("b"))
+        .agg(F.max("size").alias("size")),
+        "pairs",
     )
-    pairs = regions.join(pivots, "region").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     far = shared.keep(_distances(pairs, texts, n_words), "measured-0")
     links = far.where(linked).select("a", "b")
-    members_of = far.select(F.col("a").alias("group"), F.col("b").alias("node"), F.when(linked, F.col("a")).alias("ball"))
+    # A pair without the pivot lies in a region of three at least.
+    others = far.join(pairs.where("size > 2").select("a", "b"), ["a", "b"], "left_semi")
+    members_of = others.select(F.col("a").alias("group"), F.col("b").alias("node"), F.when(linked, F.col("a")).alias("ball"))
     unsettled = members_of.where("ball IS NULL").select("group").distinct()
     state = shared.keep(members_of.join(unsettled, "group", "left_semi").join(weights, "node"), "level-0")
     # Further levels: the middle of what is outside all balls so far.
