@@ -3,7 +3,7 @@
 Words are lower-cased runs of ASCII letters and digits and of non-ASCII characters. Each rule is
 a regular expression over the words joined by single blanks, gated by the words it cannot do
 without: a document's words are looked up by hash, and only rules whose gate words it has all are
-run. Of detections, one that lies inside the range of another of higher rank (priority, then
+run. A gate word stands for its other spellings too (``SPELLINGS``). Of detections, one that lies inside the range of another of higher rank (priority, then
 length, then order) is dropped. A fixed list of base phrases is always reported.
 
 The rules are every known license (name patterns and versions below) in every form of notice
@@ -99,6 +99,10 @@ FORMS = (
 )
 
 
+#: Words that open a gate as another word does: spellings that the patterns take as well.
+SPELLINGS = {"licence": "license", "freebsd": "bsd"}
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -137,10 +141,10 @@ def _hash(words: str) -> np.ndarray:
 class Scanner:
     def __init__(self):
         self.rules = rules()
-        names = sorted({w for r in self.rules for w in r.gate})
+        names = sorted({w for r in self.rules for w in r.gate} | set(SPELLINGS))
         hashes = np.concatenate([_hash(w) for w in names])
         order = np.argsort(hashes)
-        self.gate_hashes, self.gate_words = hashes[order], [names[i] for i in order]
+        self.gate_hashes, self.gate_words = hashes[order], [SPELLINGS.get(names[i], names[i]) for i in order]
         self.base = [(_hash(p), p.encode().split(), label) for p, label in BASE]
 
     def base_places(self, words: Words, hashes: np.ndarray) -> list[tuple[int, int, str]]:

@@ -1,6 +1,11 @@
 import re
+from itertools import product
+from re import _parser as parser
 
-from gaugeworks.llm.licenses import contained_out, license_labels, rules
+import pyarrow as pa
+
+from gaugeworks.llm.licenses import FAMILIES, Scanner, contained_out, license_labels, rules
+from gaugeworks.llm.tokens import ALNUM, split
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -42,3 +47,45 @@ def test_rules_are_hundreds_and_ordered():
 def test_containment():
     ranked = [(5, 9, "a", 1.0), (6, 8, "b", 1.0), (4, 9, "c", 1.0), (5, 9, "d", 1.0), (8, 12, "e", 1.0), (8, 9, "f", 1.0), (0, 4, "g", 1.0)]
     assert [x[2] for x in contained_out(ranked)] == ["a", "c", "e", "g"]
+
+
+def spellings(pattern):
+    """Every text that a name pattern takes."""
+
+    def each(node):
+        kind, value = str(node[0]), node[1]
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "IN":
+            return [chr(v) for _, v in value]
+        if kind == "BRANCH":
+            return [t for part in value[1] for t in whole(part)]
+        if kind == "SUBPATTERN":
+            return whole(value[-1])
+        assert kind == "MAX_REPEAT" and tuple(value[:2]) == (0, 1)
+        return ["", *whole(value[2])]
+
+    def whole(nodes):
+        return ["".join(t) for t in product(*map(each, nodes))]
+
+    return whole(parser.parse(pattern))
+
+
+def labels_of(spark, texts):
+    return [r["labels"] for r in sorted(license_labels(cases.frame(spark, [cases.doc(i, t) for i, t in enumerate(texts)])).collect())]
+
+
+def test_british_and_joined_spellings(spark):
+    texts = ["MIT licence", "Mozilla Public Licence 2.0", "GNU General Public Licence v3", "the FreeBSD License", "under the FreeBSD Licence"]
+    assert labels_of(spark, texts) == ["mit", "mpl-2.0", "gpl-3.0", "bsd-2-clause", "bsd-2-clause"]
+
+
+def test_gates_lose_nothing():
+    scanner = Scanner()
+    forms = ("{}", "licensed under the {}", "terms of the {}", "see {}", "spdx license identifier {}")
+    names = sorted({t for f in FAMILIES for t in spellings(f[2])} | {f[3] for f in FAMILIES})
+    texts = [f.format(n) for n in names for f in forms]
+    words = split(pa.array(texts), ALNUM)
+    present, every = scanner.gates(words, words.hashes()), {w for r in scanner.rules for w in r.gate}
+    for d, text in enumerate(texts):
+        assert scanner.detect(words, d, present.get(d, set())) == scanner.detect(words, d, every), text
