@@ -3,10 +3,11 @@
 Strong kinds are reported wherever they stand: assignments of a named secret, access key ids, and
 long runs of hex digits. Weak candidates say little alone: account identifiers, values of short
 secret names and mixed random tokens, and endpoints. They are joined as intervals inside their
-scope (a run of lines without an empty line between), within ``REACH`` code points; a weak
-candidate is reported only when complementary parts stand there: a secret with an identifier or
-an endpoint. Strong spans take part in the join. The work is linear in the text: candidates are
-sorted and the join looks them up by position.
+scope (a run of lines without an empty line between), with ``REACH`` code points at most from the
+end of one to the start of the other; a weak candidate is reported only when complementary parts
+stand there: a secret with an identifier or an endpoint. Names may have a prefix that ends in an
+underscore (``DB_USER``). Strong spans take part in the join. The work is linear in the text:
+candidates are sorted and the join looks them up by position.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Repeated rows and
 ids get a row each.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +35,21 @@ KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+# From the start of a word, so that each word is tried once.
+PREFIX = r"(?<![A-Za-z0-9_])(?:[A-Za-z0-9]*+_)*"
 WEAK = {
     "identifier": re.compile(
-        r"""\b(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?|email)["']?\x20*[:=]\x20*["']?([^\s"',;]{3,})""",
+        PREFIX + r"""(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?|email)["']?\x20*[:=]\x20*["']?([^\s"',;]{3,})""",
         re.I | re.A,
     ),
     "secret": re.compile(
-        r"""\b(?:pwd|pass|pw|passphrase|private_?key|credentials?|auth(?:orization)?|bearer|access_?key|client_?secret)["']?\x20*[:=]\x20*["']?([^\s"',;]{6,})"""
+        PREFIX + r"""(?:pwd|pass|pw|passphrase|private_?key|credentials?|auth(?:orization)?|bearer|access_?key|client_?secret)["']?\x20*[:=]\x20*["']?([^\s"',;]{6,})"""
         r"""|(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[a-z])(?=[A-Za-z0-9+/_-]*[A-Z])([A-Za-z0-9+/_-]{20,})(?![A-Za-z0-9+/_-])""",
         re.I | re.A,
     ),
     "endpoint": re.compile(
         r"""\b(?:https?|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3|ftp|ssh)://[^\s"'<>]+"""
-        r"""|\b(?:host(?:name)?|server|endpoint|url|region|bucket)["']?\x20*[:=]\x20*["']?[^\s"',;]{3,}"""
+        "|" + PREFIX + r"""(?:host(?:name)?|server|endpoint|url|region|bucket)["']?\x20*[:=]\x20*["']?[^\s"',;]{3,}"""
         r"""|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{2,5})?\b""",
         re.I | re.A,
     ),
@@ -98,8 +102,9 @@ def _covered(base: list[Span]) -> list[list[int]]:
 def linked(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     """Weak spans that have a complementary part in reach within their scope.
 
-    Spans of one side are sorted by start; the join looks up those whose start lies in the
-    window and needs only one of them.
+    Spans of one side are sorted by start, with the furthest end up to each; the join looks up
+    the first that starts no earlier, and the end that reaches furthest before it. Spans hold no
+    line ends, so one that ends behind the start of a scope lies in it.
     """
     weak = weak_spans(text)
     if not weak:
@@ -112,21 +117,27 @@ def linked(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
         if not (k and covered[k - 1][1] > s[1]):
             free.append(s)
     cuts = [m.start() for m in EMPTY_LINE.finditer(text)]
-    sides: dict[str, list[int]] = {"identifier": [], "secret": [], "endpoint": []}
-    for kind, start, _, _ in base + free:
+    sides: dict[str, list[tuple[int, int]]] = {"identifier": [], "secret": [], "endpoint": []}
+    for kind, start, end, _ in base + free:
         side = {"assign": "secret", "hex": "secret", "access": "identifier"}.get(kind, kind)
-        sides[side].append(start)
-    for positions in sides.values():
-        positions.sort()
-
-    def near(start: int, *kinds: str) -> bool:
-        k = bisect_right(cuts, start)
-        low = max(start - reach, cuts[k - 1] if k else 0)
-        high = min(start + reach, cuts[k] if k < len(cuts) else len(text))
-        return any(bisect_left(sides[x], low) < bisect_right(sides[x], high) for x in kinds)
+        sides[side].append((start, end))
+    furthest = {}
+    for kind, spans in sides.items():
+        spans.sort()
+        furthest[kind] = list(accumulate((end for _, end in spans), max))
+
+    def near(start: int, end: int, *kinds: str) -> bool:
+        c = bisect_right(cuts, start)
+        low = max(start - reach, cuts[c - 1] + 1 if c else 0)
+        high = min(end + reach, cuts[c] if c < len(cuts) else len(text))
+        for x in kinds:
+            k = bisect_left(sides[x], (start, 0))
+            if k < len(sides[x]) and sides[x][k][0] <= high or k and furthest[x][k - 1] >= low:
+                return True
+        return False
 
     partners = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
-    return [s for s in free if near(s[1], *partners[s[0]])]
+    return [s for s in free if near(s[1], s[2], *partners[s[0]])]
 
 
 def scan(text: str, low: bytes, reach: int = REACH) -> tuple[list[Span], list[Span]]:

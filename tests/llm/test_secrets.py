@@ -1,7 +1,9 @@
+import random
 import re
 
 import pytest
 
+from gaugeworks.llm import secrets
 from gaugeworks.llm.secrets import MASK, mask_secrets, scan, secret_spans
 from tests.llm import cases
 
@@ -58,3 +60,45 @@ def test_masking(spark):
     assert out[1]["text"] == f'a token = "{MASK}" b' and out[1]["n_chars"] == len(out[1]["text"])
     assert out[2]["text"] == "clean" and out[3]["text"] is None
     assert mask_secrets(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("DB_HOST=db1.local\nDB_USER=app\nDB_PASS=hunter22", {"endpoint", "identifier", "secret"}),
+        ("MYSQL_PWD: hunter22\nSMTP_LOGIN: bob", {"identifier", "secret"}),
+        ('{"aws_access_key_id": "abc123", "__pw": "hunter22"}', {"identifier", "secret"}),
+        ("DB_USER=app\n\nDB_PASS=hunter22", set()),
+        ("bypass=hunter22 superuser=bob", set()),  # no prefix without its underscore
+        (f"user={'u' * 600} pwd=hunter22", {"identifier", "secret"}),  # adjacent, starts far apart
+        (f"pwd={'p' * 600} {'x ' * 150} user=bob", {"identifier", "secret"}),
+        (f"user={'u' * 600} {'x ' * 250} pwd=hunter22", set()),
+        (f"user={'u' * 600}\n\npwd=hunter22", set()),
+    ],
+)
+def test_prefixed_names_and_long_parts(text, kinds):
+    assert {s[0] for s in scan(text, text.encode().lower())[1]} == kinds
+
+
+def test_links_equal_all_pairs():
+    r = random.Random(3)
+    parts = ["DB_USER=app", "pwd=hunter22", "host=db1.local", "user=" + "u" * 90, "MY_PASS=" + "p" * 90, "\n\n", "\n", "x " * 20, "token: abcdefghij"]
+    sides = {"assign": "secret", "hex": "secret", "access": "identifier"}
+    for _ in range(300):
+        text = " ".join(r.choice(parts) for _ in range(12))
+        base = secrets.base_spans(text, text.encode().lower())
+        weak = [s for s in secrets.weak_spans(text) if not any(b[1] < s[2] and s[1] < b[2] for b in base)]
+        want = [
+            s for s in weak
+            if any(
+                (sides.get(s[0], s[0]) == "secret") != (sides.get(t[0], t[0]) == "secret")
+                and max(t[1] - s[2], s[1] - t[2]) <= 60 and "\n\n" not in text[min(s[1], t[1]) : max(s[1], t[1])].replace(" ", "")
+                for t in base + weak
+            )
+        ]
+        assert secrets.linked(text, base, 60) == want
+
+
+def test_long_names_take_linear_time():
+    text = "a_" * 200_000 + "b=" + "_" * 200_000
+    assert scan(text, text.encode().lower()) == ([], [])
