@@ -30,8 +30,8 @@ from gaugeworks.llm.common import class_shares, fold, labelled_sample, pieces, q
 from gaugeworks.llm.tokens import ALNUM, split
 
 PER_CLASS = 2000
-#: Five in 100 for the best of a million words by chance.
-CHI2 = 30.0
+#: With full classes a word of toxic texts only must be in some 15 of them.
+CHI2 = 15.0
 MIN_TEXTS = 5
 TERMS = 2048
 NEIGHBOURS = 15

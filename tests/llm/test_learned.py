@@ -103,6 +103,12 @@ def test_no_term_tells_classes_apart(spark):
     assert len(got) == 12 and len({r["score"] for r in got}) == 1 and not any(r["evidence"] for r in got)
 
 
+def test_rarer_insults_are_terms():
+    texts = [f"a b w{i % 50}" + (" grok" if i < 40 and i % 2 else "") for i in range(4000)]
+    terms = toxicity.choose_terms(texts, np.array([i % 2 for i in range(4000)], float))
+    assert toxicity._terms_of(pa.array(["grok"]))[0][0] in terms  # in 20 of 2,000 toxic texts
+
+
 def test_block_bounds_skip_but_lose_nothing():
     r = np.random.default_rng(4)
     texts = [" ".join(f"t{r.integers(40)}" for _ in range(12)) for _ in range(400)]
