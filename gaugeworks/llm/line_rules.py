@@ -88,7 +88,8 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(keyed: DataFrame, max_documents: int) -> DataFrame:
-    """(key, lost_words, lost_lines): what each document loses. Absent: nothing."""
+    """(key, lost_words, all_lost_words, lost_lines): what each document loses. Absent: nothing.
+    ``lost_words`` has each line once, ``all_lost_words`` every occurrence in all rows of the key."""
     lines = (
         keyed.select("key", "source", F.xxhash64("text").alias("same"), F.explode(F.split("text", "\n")).alias("line"))
         .select("key", "same", _line_hash(F.col("source"), F.col("line")).alias("line"), F.size(_words(F.col("line"))).alias("w"))
@@ -102,7 +103,11 @@ def frequent_lines(keyed: DataFrame, max_documents: int) -> DataFrame:
     return (
         lines.join(frequent, "line")
         .groupBy("key")
-        .agg(F.sum("w").alias("lost_words"), F.collect_set("line").alias("lost_lines"))
+        .agg(
+            F.sum("w").alias("lost_words"),
+            F.sum(F.col("w") * F.col("times")).alias("all_lost_words"),
+            F.collect_set("line").alias("lost_lines"),
+        )
     )
 
 
@@ -123,7 +128,8 @@ def line_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_lost_per
 
 def clean(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
     """Rows of ``docs``, all columns, that the rules keep; their text goes without the lines
-    above the limit and ``n_chars`` follows it. Other rows stay as they are."""
+    above the limit and ``n_chars`` follows it. Other rows stay as they are. The share of words a
+    document loses counts every occurrence of a line, as every one is cut."""
     keyed = _with_key(docs)
     verdict = base_columns(keyed.drop("source")).select(
         "key", ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("failed"), "n_words"
@@ -133,7 +139,8 @@ def clean(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_lost_percent:
         verdict.join(lost, "key", "left")
         .groupBy("key")
         .agg(
-            F.max(F.col("failed") | (100 * F.coalesce("lost_words", F.lit(0)) > max_lost_percent * F.col("n_words"))).alias("rejected"),
+            # both sums are over all rows of the key, which have the same text
+            (F.max("failed") | (100 * F.coalesce(F.max("all_lost_words"), F.lit(0)) > max_lost_percent * F.sum("n_words"))).alias("rejected"),
             F.first("lost_lines", ignorenulls=True).alias("lost_lines"),
         )
         .where("rejected OR lost_lines IS NOT NULL")

@@ -44,6 +44,15 @@ def test_clean_cuts_lines_and_drops_rejected(spark):
     assert 300 not in out and 100 in out and out[100]["text"].endswith("and there")
 
 
+def test_every_occurrence_of_a_line_is_lost(spark):
+    data = [cases.doc(i, f"Share this page\n{cases.words(i, 30)}") for i in range(4)]
+    page = "\n".join(f"Share this page\n{cases.words(50 + i, 2)}" for i in range(40))  # 120 of 200 words go
+    less = "\n".join(f"Share this page\n{cases.words(150 + i, 4)}" for i in range(40))  # 120 of 280 words go
+    data += [cases.doc(10, page), cases.doc(11, less), cases.doc(11, less), cases.doc(11, less)]
+    out = [r["doc_id"] for r in clean(cases.frame(spark, data), 3, 50).collect()]
+    assert sorted(out) == [0, 1, 2, 3, 11, 11, 11]
+
+
 def test_empty_table(spark):
     docs = cases.frame(spark, [])
     assert line_rules(docs).collect() == [] and clean(docs).collect() == []
