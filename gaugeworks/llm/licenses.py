@@ -6,8 +6,9 @@ without: a document's words are looked up by hash, and only rules whose gate wor
 run. A gate word stands for its other spellings too (``SPELLINGS``). Of detections, one that lies inside the range of another of higher rank (priority, then
 length, then order) is dropped. A fixed list of base phrases is always reported.
 
-The rules are every known license (name patterns and versions below) in every form of notice
-below; their number is the product of the two.
+The rules are of two kinds: every known license (name patterns and versions below) in every form
+of notice below, whose number is the product of the two; and sentences of license texts, headers
+and notices, each written by hand, which need no name.
 
 Null and empty texts have no words, no labels and score 0. Repeated rows and ids get a row each.
 """
@@ -99,6 +100,65 @@ FORMS = (
 )
 
 
+#: Sentences of license texts: label; gate words; pattern. Fixed values. A sentence that several
+#: licenses share has the label of the family, with "-style".
+SENTENCES = (
+    ("mit", "permission charge associated", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "substantial portions", "the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
+    ("mit", "holders liable", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("mit-style", "permission charge", "permission is hereby granted free of charge"),
+    ("mit-style", "permission agreement", "permission is hereby granted without written agreement"),
+    ("json", "good evil", "the software shall be used for good not evil"),
+    ("x11-style", "advertising authorization", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization"),
+    ("isc", "permission fee appear", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc-style", "permission fee hereby", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc-style", "disclaims warranties", "the author disclaims all warranties with regard to this software"),
+    ("hpnd", "permission supporting documentation", "that copyright notice and this permission notice appear in supporting documentation"),
+    ("bsd-style", "redistribution binary", "redistribution and use in source and binary forms(?: of the software)?(?: as well as documentation)? with or without modification(?: are permitted)?"),
+    ("bsd-style", "redistributions retain", "redistributions of source code must retain the(?: above)? copyright notice"),
+    ("bsd-style", "redistributions reproduce", "redistributions in binary form must reproduce the(?: above)? copyright notice"),
+    ("bsd-style", "express implied warranties", "this software is provided by the (?:copyright holders and contributors|regents and contributors|authors?) as is and any express or implied warranties"),
+    ("bsd-3-clause", "endorse products", "neither the names? of(?: [^ ]+){1,20} (?:may|shall) be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
+    ("zlib", "altered misrepresented", "altered source versions must be plainly marked as such and must not be misrepresented"),
+    ("zlib", "held arising", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("apache-2.0", "compliance license", "you may not use this (?:file|software|work) except in compliance with the licen[sc]e"),
+    ("apache-2.0", "contributor worldwide", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable"),
+    ("apache", "apache product", "this product includes software developed by the apache (?:software foundation|group)"),
+    ("gpl", "redistribute modify general", "you can redistribute it and or modify it under the terms of(?: version [0-9]+(?: [0-9]+)? of)? the gnu general public licen[sc]e"),
+    ("gpl", "received along general", "you should have received a copy of the gnu general public licen[sc]e along with"),
+    ("lgpl", "redistribute modify lesser", "you can redistribute it and or modify it under the terms of(?: version [0-9]+(?: [0-9]+)? of)? the gnu lesser general public licen[sc]e"),
+    ("lgpl", "redistribute modify library", "you can redistribute it and or modify it under the terms of(?: version [0-9]+(?: [0-9]+)? of)? the gnu library general public licen[sc]e"),
+    ("agpl", "redistribute modify affero", "you can redistribute it and or modify it under the terms of(?: version [0-9]+(?: [0-9]+)? of)? the gnu affero general public licen[sc]e"),
+    ("agpl-3.0", "interacting remotely", "all users interacting with it remotely through a computer network"),
+    ("gpl-style", "distributed hope useful", "is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl-style", "verbatim copies", "everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed"),
+    ("gpl-style", "freedom share change", "the licen[sc]es for most software are designed to take away your freedom to share and change it"),
+    ("gpl-style", "copyleft", "is a free copyleft licen[sc]e for software and other kinds of works"),
+    ("gfdl", "invariant sections", "with no invariant sections(?: with)? no front cover texts and(?: with)? no back cover texts"),
+    ("mpl-2.0", "source subject mozilla", "this source code form is subject to the terms of the mozilla public licen[sc]e"),
+    ("mpl-2.0", "incompatible secondary", "this source code form is incompatible with secondary licen[sc]es"),
+    ("mpl", "contents subject", "the contents of this file are subject to the mozilla public licen[sc]e"),
+    ("epl", "accompanying materials eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e"),
+    ("cddl", "contents common development", "the contents of this file are subject to the terms of the common development and distribution licen[sc]e"),
+    ("bsl-1.0", "permission obtaining organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "publish compile", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("cc0", "waived neighboring", "has waived all copyright and related or neighboring rights"),
+    ("cc0", "affirmer waives", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("wtfpl", "fuck", "you just do what the fuck you want to"),
+    ("beerware", "beer", "you can buy me a beer in return"),
+    ("ofl-1.1", "font reserved", "no modified version of the font software may use the reserved font name s"),
+    ("artistic", "semblance package", "the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("openssl", "openssl product", "this product includes software developed by the openssl project"),
+    ("ncsa", "deal restriction", "to deal with the software without restriction including without limitation the rights to use copy modify merge publish"),
+    ("ms-pl", "accompanying accept", "this licen[sc]e governs use of the accompanying software if you use the software you accept this licen[sc]e"),
+    ("public-domain", "public domain", "(?:released|placed|dedicated|is|are) (?:in|into|to) the public domain"),
+    ("proprietary", "unauthorized prohibited", "unauthorized (?:copying|reproduction|use|distribution|duplication)(?: [^ ]+){0,12} is strictly prohibited"),
+    ("proprietary", "confidential proprietary", "(?:is|are|contains?) (?:the )?(?:confidential and proprietary|proprietary and confidential)(?: information)?"),
+)
+
 #: Words that open a gate as another word does: spellings that the patterns take as well.
 SPELLINGS = {"licence": "license", "freebsd": "bsd"}
 
@@ -131,6 +191,8 @@ def rules() -> tuple[Rule, ...]:
                         confidence + (0.01 if version else 0.0),
                     )
                 )
+    for label, gate, body in SENTENCES:
+        out.append(Rule(label, tuple(sorted(gate.split())), re.compile(f"(?<= ){body}(?= )".encode()), 65, 0.9))
     return tuple(sorted(out, key=lambda r: -r.priority))
 
 

@@ -4,7 +4,7 @@ from re import _parser as parser
 
 import pyarrow as pa
 
-from gaugeworks.llm.licenses import FAMILIES, Scanner, contained_out, license_labels, rules
+from gaugeworks.llm.licenses import FAMILIES, SENTENCES, Scanner, contained_out, license_labels, rules
 from gaugeworks.llm.tokens import ALNUM, split
 from tests.llm import cases
 
@@ -89,3 +89,24 @@ def test_gates_lose_nothing():
     present, every = scanner.gates(words, words.hashes()), {w for r in scanner.rules for w in r.gate}
     for d, text in enumerate(texts):
         assert scanner.detect(words, d, present.get(d, set())) == scanner.detect(words, d, every), text
+
+
+def test_license_texts_without_a_name(spark):
+    texts = [
+        "/* Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\") */",
+        "# Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "The origin of this software must not be misrepresented; you must not claim", "free of charge, in source and binary forms",
+    ]
+    assert labels_of(spark, texts) == ["mit", "bsd-style", "isc-style", "zlib", ""]
+
+
+def test_gates_of_sentences():
+    scanner = Scanner()
+    by = {r.pattern.pattern: r for r in scanner.rules}
+    for _, gate, body in SENTENCES:  # every gate word is in every way to write the sentence
+        rule = by[f"(?<= ){body}(?= )".encode()]
+        plain = re.sub(r"\(\?: \[\^ \]\+\)\{\d+,\d+\}", " of", body).replace("[0-9]+", "2")
+        for text in spellings(plain):
+            words = split(pa.array([text]), ALNUM)
+            assert scanner.gates(words, words.hashes())[0] >= set(rule.gate) and rule.pattern.search(f" {text} ".encode()), (text, gate)
