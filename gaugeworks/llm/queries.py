@@ -9,6 +9,7 @@ from gaugeworks.llm import (  # noqa: F401
     language_centroids,
     licenses,
     line_rules,
+    merkle,
     mixing,
     quality_net,
     secrets,
