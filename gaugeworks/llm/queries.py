@@ -7,6 +7,7 @@ from gaugeworks.llm import (  # noqa: F401
     decontaminate,
     jaccard,
     language_centroids,
+    lexical,
     licenses,
     line_rules,
     merkle,
