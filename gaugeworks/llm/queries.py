@@ -12,6 +12,7 @@ from gaugeworks.llm import (  # noqa: F401
     line_rules,
     merkle,
     mixing,
+    packing,
     quality_net,
     secrets,
     toxicity,
