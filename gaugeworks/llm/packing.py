@@ -11,8 +11,9 @@ bounded number, dealt by a hash of the row:
    for two. Every step makes the sum of squared fills grow; a sequence that loses its last piece is
    gone. The search ends when there are no more sequences than there must be, or when a sweep over
    all sequences has emptied none.
-3. Sequences that are not full are taken apart and dealt again, together with those of other
-   groups, until one group holds all that is left or there is hardly less of it than before.
+3. Sequences with room for the group's shortest piece are taken apart and dealt again, together
+   with those of other groups, until one group holds all that is left or there is hardly less of
+   it than before.
 
 Only piece lengths and keys are shuffled, never tokens or texts. Null and empty texts are the
 closing 0 alone. Repeated rows are packed each. An empty table has no rows.
@@ -20,7 +21,9 @@ closing 0 alone. Repeated rows are packed each. An empty table has no rows.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import zlib
 from itertools import chain
 
@@ -36,8 +39,12 @@ CAPACITY = 2048
 GROUP = 16_384
 #: A round has to leave less than this share of its pieces to be followed by another one.
 LEFT = 0.9
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, about.
 REMEMBERED = 1_000_000
+#: Letters of ASCII and Latin-1, with ASCII signs behind an ASCII letter; an apostrophe is none of
+#: them, since it may belong to the letters that follow.
+LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)(?:(?<=[A-Za-z])([!-&(-/:-@\[-`{-~]+))?").fullmatch
+SIGNS = re.compile(rb"[!-&(-/:-@\[-`{-~]+").fullmatch
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -45,30 +52,96 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # ---- tokens
 
 
+class _Places(dict):
+    """Words to their numbers; an unknown one gets the next number and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = n = len(self)
+        return n
+
+
+def _wide() -> dict[int, str]:
+    """Bytes that a byte-level vocabulary does not write as the character of their number: these take
+    the characters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in shown)}
+
+
 class Encoder:
     """Token ids of many texts. No rule of the tokenizer reaches over ASCII blanks, so the ids of
-    words between them are remembered; words are forgotten when there are too many."""
+    words between them are remembered; words are forgotten when there are too many.
+
+    Most words are letters, or letters and signs behind them. Where the tokenizer lowers case, cuts
+    before such signs and is byte-level (tried out on ``SAMPLES``), these are put together from the
+    ids of their parts, and a part goes straight to the model. Others, and all words of other
+    tokenizers, go through the whole tokenizer.
+    """
+
+    SAMPLES = ("the", "Strength", "x" * 40, "zqxjkvb", "ÉCOLE,", "straße", "ÿñandú?!", "ÄÖÜ...", "a#&(", "Won))", "été-", "ab;", "àâ/")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.wide, self.direct = _wide(), True
         self._forget()
+        samples = [w.encode() for w in self.SAMPLES]
+        ids, _ = self(samples)
+        self.direct = ids.tolist() == [i for own in self._encoded(samples) for i in (*own, 0)]
+        self._forget()
+
+    def _encoded(self, words: list[bytes]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = _Places()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start = np.zeros(1, np.int64)  #: where each remembered word's ids begin, and the end
 
-    def _learn(self, words: list[bytes]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    def _learn(self) -> None:
+        place, base = self.place, len(self.start) - 1
+        if not place.new:
+            return
+        tokenize, wide = self.tokenizer.model.tokenize, self.wide
+        found: list[list[int]] = []
+        made, whole = [], []
+        for word in place.new:  # grows by parts of its words
+            own = None
+            if self.direct:
+                m = LETTERS(word.decode())
+                if m and m[2]:
+                    made.append((len(found), place[m[1].lower().encode()], place[m[2].encode()]))
+                elif m and (low := m[1].lower()) != m[1]:
+                    made.append((len(found), place[low.encode()], None))
+                elif m or SIGNS(word):
+                    own = [t.id for t in tokenize(word.decode("latin-1").translate(wide))]
+                else:
+                    whole.append(len(found))
+            else:
+                whole.append(len(found))
+            found.append(own)
+        for i, own in zip(whole, self._encoded([place.new[i] for i in whole]), strict=True):
+            found[i] = own
+
+        def known(k: int | None) -> list[int]:
+            if k is None:
+                return []
+            return found[k - base] if k >= base else self.ids[self.start[k] : self.start[k + 1]].tolist()
+
+        for i, a, b in made:
+            found[i] = known(a) + known(b)
+        place.new = []
         size = np.fromiter(map(len, found), np.int64, len(found))
         n = int(size.sum())
         if self.used + n > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(n, len(self.ids)), np.uint32)])
         self.ids[self.used : self.used + n] = np.fromiter(chain.from_iterable(found), np.uint32, n)
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
         self.start = np.concatenate([self.start, self.used + np.cumsum(size)])
         self.used += n
 
@@ -76,15 +149,10 @@ class Encoder:
         """Ids of all texts, one after the other with a 0 after each, and their numbers."""
         words = [t.split() for t in texts]
         count = np.fromiter(map(len, words), np.int64, len(words))
-        flat = list(chain.from_iterable(words))
-        distinct = set(flat)
-        new = distinct.difference(self.place)
-        if len(self.place) + len(new) > REMEMBERED:
+        if len(self.place) > REMEMBERED:
             self._forget()
-            new = distinct
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, int(count.sum()))
+        self._learn()
         begin = self.start[at]
         n = self.start[at + 1] - begin
         upto = np.concatenate([[0], np.cumsum(n)])
@@ -106,7 +174,11 @@ def _cut(path: str, capacity: int):
     def each(batches):
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         for batch in pieces(batches):
-            ids, total = encoder([(t or "").encode() for t in batch.column("text").to_pylist()])
+            gc.disable()  # many small lists and no cycles: looking for some takes a sixth of the time
+            try:
+                ids, total = encoder([(t or "").encode() for t in batch.column("text").to_pylist()])
+            finally:
+                gc.enable()
             count = (total + capacity - 1) // capacity
             owner = np.repeat(np.arange(len(total)), count)
             piece = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
@@ -278,7 +350,7 @@ def pack(size: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def _pack_group(capacity: int, number: int):
-    """Pieces of a group with their place. ``full`` tells whether the sequence is full."""
+    """Pieces of a group with their place, and whether their sequence is closed."""
 
     def each(group: pa.Table) -> pa.Table:
         size = group.column("length").to_numpy()
@@ -288,10 +360,11 @@ def _pack_group(capacity: int, number: int):
         _, first, own = np.unique(held, return_index=True, return_inverse=True)
         upto = np.cumsum(size) - size
         offset = upto - upto[first][own]
-        full = np.bincount(own, weights=size)[own] == capacity
+        # Closed where no piece of the group fits in any more.
+        closed = capacity - np.bincount(own, weights=size)[own] < size.min()
         sequence = np.int64(number) << 56 | group.column("part")[0].as_py() << 24 | own
         out = group.select(["row", "doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array(order))
-        for name, values in (("sequence_id", pa.array(sequence.astype(np.int64))), ("offset", pa.array(offset)), ("full", pa.array(full))):
+        for name, values in (("sequence_id", pa.array(sequence.astype(np.int64))), ("offset", pa.array(offset)), ("closed", pa.array(closed))):
             out = out.append_column(name, values)
         return out
 
@@ -315,15 +388,15 @@ def packed(
         part = F.pmod(F.xxhash64("row", F.lit(number)), F.lit(parts)).alias("part")
         rows = left.select("row", *columns[:5], part)
         done = shared.keep(
-            rows.groupBy("part").applyInArrow(_pack_group(capacity, number), f"row long, {PIECES}, sequence_id long, offset long, full boolean"),
+            rows.groupBy("part").applyInArrow(_pack_group(capacity, number), f"row long, {PIECES}, sequence_id long, offset long, closed boolean"),
             f"round-{number}",
         )
-        open_ = done.where(~F.col("full"))
+        open_ = done.where(~F.col("closed"))
         remaining = open_.count()
         number += 1
         if parts == 1 or remaining > LEFT * n:
             return out.union(done.select(*columns))
-        out, left, n = out.union(done.where("full").select(*columns)), open_, remaining
+        out, left, n = out.union(done.where("closed").select(*columns)), open_, remaining
     return out
 
 
