@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import pieces, query, table
 from gaugeworks.llm.tokens import LOWER, buffers
 
-REACH = 400
 MASK = "[SECRET]"
 
 #: Kinds in the order in which spans of one start are listed. Fixed values.
@@ -54,6 +52,8 @@ WEAK = {
         re.I | re.A,
     ),
 }
+#: Sides that complement a weak span.
+PARTNERS = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
 # The random-token part must tell cases apart.
 TOKEN = re.compile(r"(?=[^\s]*[0-9])(?=[^\s]*[a-z])(?=[^\s]*[A-Z])")
 NAMED = (b"passw", b"secret", b"token", b"apikey", b"api_key")
@@ -99,12 +99,12 @@ def _covered(base: list[Span]) -> list[list[int]]:
     return out
 
 
-def linked(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak spans that have a complementary part in reach within their scope.
+def linked(text: str, base: list[Span]) -> list[Span]:
+    """Weak spans that have a complementary part in their scope, apart from them.
 
-    Spans of one side are sorted by start, with the furthest end up to each; the join looks up
-    the first that starts no earlier, and the end that reaches furthest before it. Spans hold no
-    line ends, so one that ends behind the start of a scope lies in it.
+    Spans hold no line ends, so each lies in one scope. Some part of a side is apart from a span
+    just when the side's last start is not before the span's end, or its first end not behind
+    the span's start.
     """
     weak = weak_spans(text)
     if not weak:
@@ -117,35 +117,27 @@ def linked(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
         if not (k and covered[k - 1][1] > s[1]):
             free.append(s)
     cuts = [m.start() for m in EMPTY_LINE.finditer(text)]
-    sides: dict[str, list[tuple[int, int]]] = {"identifier": [], "secret": [], "endpoint": []}
+    ends: dict[tuple[int, str], tuple[int, int]] = {}  # of scope and side: first end, last start
     for kind, start, end, _ in base + free:
         side = {"assign": "secret", "hex": "secret", "access": "identifier"}.get(kind, kind)
-        sides[side].append((start, end))
-    furthest = {}
-    for kind, spans in sides.items():
-        spans.sort()
-        furthest[kind] = list(accumulate((end for _, end in spans), max))
-
-    def near(start: int, end: int, *kinds: str) -> bool:
-        c = bisect_right(cuts, start)
-        low = max(start - reach, cuts[c - 1] + 1 if c else 0)
-        high = min(end + reach, cuts[c] if c < len(cuts) else len(text))
-        for x in kinds:
-            k = bisect_left(sides[x], (start, 0))
-            if k < len(sides[x]) and sides[x][k][0] <= high or k and furthest[x][k - 1] >= low:
-                return True
-        return False
-
-    partners = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
-    return [s for s in free if near(s[1], s[2], *partners[s[0]])]
-
-
-def scan(text: str, low: bytes, reach: int = REACH) -> tuple[list[Span], list[Span]]:
+        at = (bisect_right(cuts, start), side)
+        first, last = ends.get(at, (end, start))
+        ends[at] = (min(first, end), max(last, start))
+
+    def has(s: Span) -> bool:
+        scope = bisect_right(cuts, s[1])
+        parts = (ends.get((scope, side)) for side in PARTNERS[s[0]])
+        return any(p is not None and (p[1] >= s[2] or p[0] <= s[1]) for p in parts)
+
+    return [s for s in free if has(s)]
+
+
+def scan(text: str, low: bytes) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans, each by start and then kind."""
     base = base_spans(text, low)
     more = []
     if any(x in low for x in SIGNS) or RANDOM.search(low):
-        more = linked(text, base, reach)
+        more = linked(text, base)
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return sorted(base, key=order), sorted(base + more, key=order)
 
@@ -161,28 +153,25 @@ def _listed(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b, _ in spans)
 
 
-def _report(reach: int):
-    def each(batches):
-        for batch in pieces(batches):
-            rows = []
-            for text, low in _texts(batch.column("text")):
-                base, spans = scan(text, low, reach)
-                count = [sum(s[0] == k for s in base) for k in KINDS[:3]]
-                rows.append((*count, len(spans) - len(base), _listed(base), _listed(spans)))
-            columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:4]], *[pa.array(c, pa.string()) for c in columns[4:]]],
-                ["doc_id", "n_assign", "n_access", "n_hex", "n_linked", "base", "spans"],
-            )
-
-    return each
+def _report(batches):
+    for batch in pieces(batches):
+        rows = []
+        for text, low in _texts(batch.column("text")):
+            base, spans = scan(text, low)
+            count = [sum(s[0] == k for s in base) for k in KINDS[:3]]
+            rows.append((*count, len(spans) - len(base), _listed(base), _listed(spans)))
+        columns = list(zip(*rows, strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:4]], *[pa.array(c, pa.string()) for c in columns[4:]]],
+            ["doc_id", "n_assign", "n_access", "n_hex", "n_linked", "base", "spans"],
+        )
 
 
-def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secret_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text) to counts of each strong kind, linked weak spans, and both span lists."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(
-        _report(reach), "doc_id long, n_assign long, n_access long, n_hex long, n_linked long, base string, spans string"
+        _report, "doc_id long, n_assign long, n_access long, n_hex long, n_linked long, base string, spans string"
     )
 
 
@@ -202,25 +191,22 @@ def masked(text: str, spans: list[Span], mask: str = MASK) -> str:
     return "".join(out) + text[at:]
 
 
-def _mask(reach: int):
-    def each(batches):
-        for batch in pieces(batches, "gw_text"):
-            texts = []
-            for text, low in _texts(batch.column("gw_text")):
-                spans = scan(text, low, reach)[1]
-                texts.append(masked(text, spans) if spans else None)
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "gw_text" else batch.column(n) for n in names], names
-            )
-
-    return each
+def _mask(batches):
+    for batch in pieces(batches, "gw_text"):
+        texts = []
+        for text, low in _texts(batch.column("gw_text")):
+            spans = scan(text, low)[1]
+            texts.append(masked(text, spans) if spans else None)
+        names = batch.schema.names
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(texts, pa.string()) if n == "gw_text" else batch.column(n) for n in names], names
+        )
 
 
-def mask_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs``, all rows and columns, with secret values masked and ``n_chars`` following."""
     rows = docs.select(F.struct("*").alias("gw_row"), F.col("text").cast("string").alias("gw_text"))
-    done = rows.mapInArrow(_mask(reach), rows.schema)
+    done = rows.mapInArrow(_mask, rows.schema)
     changed = F.col("gw_text").isNotNull()
     return done.select(
         *[
