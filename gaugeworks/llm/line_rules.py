@@ -88,8 +88,8 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(keyed: DataFrame, max_documents: int) -> DataFrame:
-    """(key, lost_words, all_lost_words, lost_lines): what each document loses. Absent: nothing.
-    ``lost_words`` has each line once, ``all_lost_words`` every occurrence in all rows of the key."""
+    """(key, all_lost_words, lost_lines): what each document loses. Absent: nothing.
+    ``all_lost_words`` has every occurrence in all rows of the key."""
     lines = (
         keyed.select("key", "source", F.xxhash64("text").alias("same"), F.explode(F.split("text", "\n")).alias("line"))
         .select("key", "same", _line_hash(F.col("source"), F.col("line")).alias("line"), F.size(_words(F.col("line"))).alias("w"))
@@ -104,7 +104,6 @@ def frequent_lines(keyed: DataFrame, max_documents: int) -> DataFrame:
         lines.join(frequent, "line")
         .groupBy("key")
         .agg(
-            F.sum("w").alias("lost_words"),
             F.sum(F.col("w") * F.col("times")).alias("all_lost_words"),
             F.collect_set("line").alias("lost_lines"),
         )
@@ -113,14 +112,16 @@ def frequent_lines(keyed: DataFrame, max_documents: int) -> DataFrame:
 
 def line_rules(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
     """(doc_id, text, source) to one row per input row: the base counts, ``base_failed``,
-    ``lost_words`` (words in lines above the limit, each line of a text once), ``kept``."""
+    ``lost_words`` (words in lines above the limit, every occurrence of a line), ``kept``."""
     keyed = _with_key(docs)
     stats = base_columns(keyed.drop("source"))
-    lost = frequent_lines(keyed, max_documents).select("key", "lost_words")
+    lost = frequent_lines(keyed, max_documents).select("key", "all_lost_words")
+    # Rows of one key have the same text, so each has its share of what they lose together.
+    own = F.expr("all_lost_words div count(*) OVER (PARTITION BY key)")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return (
         stats.join(lost, "key", "left")
-        .withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
+        .withColumn("lost_words", F.coalesce(own, F.lit(0)).cast("long"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (100 * F.col("lost_words") <= max_lost_percent * F.col("n_words")))
     )
@@ -181,11 +182,11 @@ g AS (SELECT k, unnest(range(1, len(w) - 3)) AS i, w FROM w WHERE len(w) >= 5),
 g5 AS (SELECT k, i, array_to_string(w[i:i + 4], ' ') AS five FROM g),
 hit AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, five) AS n FROM g5) WHERE n > 1),
 rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS p FROM hit) GROUP BY k),
-l AS (SELECT DISTINCT k, text, source, line FROM (
+l AS (SELECT k, text, source, line, count(*) AS times FROM (
   SELECT k, text, source, array_to_string({_SPLIT.format('lower(line)')}, ' ') AS line
-  FROM (SELECT k, text, source, unnest(string_split(text, chr(10))) AS line FROM d)) WHERE line <> ''),
+  FROM (SELECT k, text, source, unnest(string_split(text, chr(10))) AS line FROM d)) WHERE line <> '' GROUP BY k, text, source, line),
 f AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT text) > {{max_documents}}),
-lost AS (SELECT k, sum(len(string_split(l.line, ' '))) AS n FROM l JOIN f ON f.line = l.line AND f.source IS NOT DISTINCT FROM l.source GROUP BY k),
+lost AS (SELECT k, sum(times * len(string_split(l.line, ' '))) AS n FROM l JOIN f ON f.line = l.line AND f.source IS NOT DISTINCT FROM l.source GROUP BY k),
 s AS (SELECT w.k, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,

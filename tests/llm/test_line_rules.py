@@ -15,6 +15,8 @@ def rows():
         out.append(cases.doc(100 + i, f"only here {cases.words(77, 20)}\nand there", source="a"))
         out.append(cases.doc(200 + i, "Shared header line of the host\nfew words of its own, ten or more all in all", source="b" if i < 5 else "a"))
     out.append(cases.doc(300, " ".join(["again and again it goes"] * 9), source="a"))
+    page = "\n".join(f"Shared header line of the host\nown {i} words" for i in range(9))
+    out += [cases.doc(310, page, source="a")] * 3 + [cases.doc(311, page + " and more of them here" * 9, source="a")]
     out.append(cases.doc(301, "a b c d e x a b c d e y a b c d e\nx\n \nx\n#$ %", source=None))
     return out + [(*r[:3], r[3] or "b", r[4]) for r in cases.odd(400) if r[0] != 408]
 
@@ -51,6 +53,9 @@ def test_every_occurrence_of_a_line_is_lost(spark):
     data += [cases.doc(10, page), cases.doc(11, less), cases.doc(11, less), cases.doc(11, less)]
     out = [r["doc_id"] for r in clean(cases.frame(spark, data), 3, 50).collect()]
     assert sorted(out) == [0, 1, 2, 3, 11, 11, 11]
+    rows = line_rules(cases.frame(spark, data), 3, 50).collect()  # the query's verdict is the stage's
+    assert sorted(r["doc_id"] for r in rows if r["kept"]) == sorted(out)
+    assert {r["lost_words"] for r in rows if r["doc_id"] in (10, 11)} == {120}
 
 
 def test_empty_table(spark):
