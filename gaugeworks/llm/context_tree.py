@@ -9,12 +9,15 @@ product of its eight mixed decisions, its code length the logarithm.
 
 How the corpus flows:
 
-1. Each *chunk* (rows of one read split) is boiled down to its distinct tokens and its distinct
-   (DEPTH + 1)-grams with their training counts; grams of texts that are not trained on count 0.
+1. Each *chunk* (rows dealt by hash, about ``CHUNK_BYTES`` of text) is boiled down to its distinct
+   tokens and its distinct (DEPTH + 1)-grams with their training counts; grams of texts that are
+   not trained on count 0.
 2. These rows are brought together by key, once: the key's count and the chunks that hold it.
-3. The tree is built in shards of contexts that end in the same two bytes, any number of them,
-   up to depth 2; depths 1 and 0 are at most 65,536 + 256 nodes, which the driver joins. A
-   second pass over the shards gives every gram its log-probability.
+3. The tree is built in shards of contexts that end in the same three bytes, any number of them,
+   up to depth 3. No more than 2 ** 24 grams end so, however large the corpus. Depths 2, 1 and 0
+   have at most 65,536 + 256 + 1 contexts of 255 nodes (of which text has some hundred thousand);
+   Spark sums up what they need, and the driver weighs them. A second pass over the shards gives
+   every gram its log-probability.
 4. Keys go back to the chunks that asked for them, with count or log-probability, and each chunk
    scores its texts. No model is broadcast whole and nothing is cut off.
 
@@ -41,8 +44,8 @@ PIECE = 1 << 18
 FOLD = 1 << 19
 #: Grams of one shard of the tree, about.
 SHARD_GRAMS = 100_000
-#: Bytes of text in a chunk where the caller names none.
-CHUNK_BYTES = 32 << 20
+#: Bytes of text in a chunk, about.
+CHUNK_BYTES = 12 << 20
 
 _U = np.uint64
 TOKEN, GRAM = 0, 1
@@ -107,32 +110,20 @@ class _Gathered:
 
 
 def _local(depth: int):
-    def each(batches):
-        chunk, held = None, {}
-
-        def out():
-            for kind, gathered in held.items():
-                keys, counts = gathered.all()
-                for i in range(0, len(keys), 1 << 17):
-                    k = keys[i : i + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(counts[i : i + (1 << 17)]), pa.array(np.full(len(k), chunk, np.int64))],
-                        ["kind", "key", "n", "chunk"],
-                    )
-
-        for whole in batches:
-            for number in pa.compute.unique(whole.column("chunk")).to_pylist():
-                rows = whole.filter(pa.compute.equal(whole.column("chunk"), number))
-                if number != chunk:
-                    yield from out()
-                    chunk, held = number, {TOKEN: _Gathered(), GRAM: _Gathered()}
-                for trained in (True, False):
-                    own = rows.filter(pa.compute.equal(rows.column("trained"), trained))
-                    for piece in pieces(iter([own]), limit=PIECE):
-                        words = split(piece.column("text"))
-                        held[TOKEN].add(token_keys(words)[0], trained)
-                        held[GRAM].add(gram_codes(words, depth)[0], trained)
-        yield from out()
+    def each(rows: pa.Table) -> pa.Table:
+        held = {TOKEN: _Gathered(), GRAM: _Gathered()}
+        for trained in (True, False):
+            own = rows.filter(pa.compute.equal(rows.column("trained"), trained)).combine_chunks()
+            for piece in pieces(iter(own.to_batches()), limit=PIECE):
+                words = split(piece.column("text"))
+                held[TOKEN].add(token_keys(words)[0], trained)
+                held[GRAM].add(gram_codes(words, depth)[0], trained)
+        out = []
+        for kind, gathered in held.items():
+            keys, counts = gathered.all()
+            same = [np.full(len(keys), kind, np.int32), keys, counts, np.full(len(keys), rows.column("chunk")[0].as_py(), np.int64)]
+            out.append(pa.table([pa.array(c) for c in same], ["kind", "key", "n", "chunk"]))
+        return pa.concat_tables(out)
 
     return each
 
@@ -201,10 +192,10 @@ def _backward(contexts: np.ndarray, depth: int) -> np.ndarray:
 
 
 def subtree(codes: np.ndarray, counts: np.ndarray, depth: int, upper=None):
-    """The tree above depth 2 for all grams of some two-byte contexts.
+    """The tree above depth 3 for all grams of some three-byte contexts.
 
-    Without ``upper``: arrays (last two bytes with the newest first, node, n0, n1, log weighted
-    probability) of depth 2. With it (the tables of depths 1 and 0): each gram's log10
+    Without ``upper``: arrays (last three bytes with the newest first, node, n0, n1, log weighted
+    probability) of depth 3. With it (the tables of depths 2 to 0): each gram's log10
     probability. Grams without counts weigh nothing.
     """
     backward = _backward(codes >> 8, depth)
@@ -219,7 +210,7 @@ def subtree(codes: np.ndarray, counts: np.ndarray, depth: int, upper=None):
         zeros = counts[order] - ones
         group = np.arange(len(key))
         way, deeper = [], None
-        for d in range(depth, 1, -1):
+        for d in range(depth, 2, -1):
             begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]))) if d == depth else np.flatnonzero(np.append(True, key[1:] >> 8 != key[:-1] >> 8))
             if d < depth:
                 key = key >> 8
@@ -233,13 +224,16 @@ def subtree(codes: np.ndarray, counts: np.ndarray, depth: int, upper=None):
             group = to[group]
             way.append((group, own, estimate))
         if upper is None:
-            found.append((key & 0xFFFF, key >> 16, zeros, ones, deeper))
+            found.append((key & 0xFFFFFF, key >> 24, zeros, ones, deeper))
             continue
-        own1, estimate1, own0, estimate0 = upper
+        places, own2, estimate2, own1, estimate1, own0, estimate0 = upper
         p = None
         for group, own, estimate in way:
             p = estimate[group] if p is None else own[group] * estimate[group] + (1 - own[group]) * p
-        newest, of = (backward[order] >> (8 * (depth - 1))).astype(np.int64), node[order]
+        newest, of = (backward[order] >> (8 * (depth - 2))).astype(np.int64), node[order]
+        at = np.searchsorted(places, newest << 8 | of)
+        p = own2[at] * estimate2[at] + (1 - own2[at]) * p
+        newest = newest >> 8
         p = own1[newest, of] * estimate1[newest, of] + (1 - own1[newest, of]) * p
         p = own0[of] * estimate0[of] + (1 - own0[of]) * p
         score[order] += np.log10(np.where(bit[order] == 1, p, 1 - p))
@@ -249,23 +243,27 @@ def subtree(codes: np.ndarray, counts: np.ndarray, depth: int, upper=None):
 def _rooted(depth: int):
     def each(group: pa.Table) -> pa.Table:
         context, node, n0, n1, weighted = subtree(group.column("key").to_numpy(), group.column("n").to_numpy(), depth)
-        # At most 256 newest bytes and 255 nodes: this shard's share of each.
-        place = (context >> 8) << 8 | node
-        seen, at = np.unique(place, return_inverse=True)
+        # This shard's share of each context of two bytes.
+        seen, at = np.unique((context >> 8) << 8 | node, return_inverse=True)
         sums = [np.bincount(at, weights=x) for x in (n0, n1, weighted)]
         return pa.table({"place": pa.array(seen.astype(np.int64)), **{k: pa.array(v) for k, v in zip(("n0", "n1", "weighted"), sums, strict=True)}})
 
     return each
 
 
-def upper_tables(rows) -> tuple[np.ndarray, ...]:
-    """Tables of depths 1 and 0 from (newest byte << 8 | node, n0, n1, sum of log weights)."""
-    n0, n1, deeper = (np.zeros((256, 256)) for _ in range(3))
-    for place, a, b, w in rows:
-        n0[place >> 8, place & 255], n1[place >> 8, place & 255], deeper[place >> 8, place & 255] = a, b, w
+def upper_tables(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Tables of depths 2, 1 and 0 from (two newest bytes << 8 | node, n0, n1, sum of log weights); that
+    of depth 2 has just the places there are, in order."""
+    places = rows.column("place").to_numpy()
+    order = np.argsort(places)
+    places = places[order]
+    n0, n1, deeper = (rows.column(c).to_numpy()[order] for c in ("n0", "n1", "weighted"))
+    weighted, own2, estimate2 = weigh(n0, n1, deeper)
+    at = (places >> 16) << 8 | places & 255
+    n0, n1, deeper = (np.bincount(at, weights=x, minlength=1 << 16).reshape(256, 256) for x in (n0, n1, weighted))
     weighted, own1, estimate1 = weigh(n0, n1, deeper)
     _, own0, estimate0 = weigh(n0.sum(axis=0), n1.sum(axis=0), weighted.sum(axis=0))
-    return own1, estimate1, own0, estimate0
+    return places, own2, estimate2, own1, estimate1, own0, estimate0
 
 
 def _scored_grams(depth: int, upper):
@@ -328,10 +326,11 @@ SCORES = pa.schema(
 SCORES_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
 
-def hashed_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Column:
-    """A chunk for each row by a hash of it, so many that each has about ``chunk_bytes``."""
+def hashed_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, by: list[str] | None = None) -> Column:
+    """A chunk for each row by a hash of columns ``by``, so many that each has about ``chunk_bytes``.
+    By default the row's own id and text, which deals rows that are quite the same to one chunk."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // chunk_bytes + 1))
+    return F.pmod(F.xxhash64(*(by or ["doc_id", "text"])), F.lit(size // chunk_bytes + 1))
 
 
 def tree_scores(docs: DataFrame, shared: Shared, depth: int = DEPTH) -> DataFrame:
@@ -339,7 +338,7 @@ def tree_scores(docs: DataFrame, shared: Shared, depth: int = DEPTH) -> DataFram
 
     ``chunk`` (long) names a bounded number of rows and must be the same on every read.
     """
-    local = docs.select("text", "trained", "chunk").mapInArrow(_local(depth), "kind int, key long, n long, chunk long")
+    local = docs.select("text", "trained", "chunk").groupBy("chunk").applyInArrow(_local(depth), "kind int, key long, n long, chunk long")
     keys = shared.keep(
         local.repartition("kind", "key").sortWithinPartitions("kind", "key")
         .mapInArrow(_gather, "kind int, key long, n long, chunks array<long>"),
@@ -348,15 +347,15 @@ def tree_scores(docs: DataFrame, shared: Shared, depth: int = DEPTH) -> DataFram
     tokens = keys.where(F.col("kind") == TOKEN)
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n_grams = keys.where(F.col("kind") == GRAM).count()
-    # Contexts that end in the same two bytes stay together.
-    ends = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
+    # Contexts that end in the same three bytes stay together.
+    ends = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFFFF))
     grams = keys.where(F.col("kind") == GRAM).withColumn("shard", F.pmod(F.xxhash64(ends), F.lit(n_grams // SHARD_GRAMS + 8)))
     roots = (
         grams.select("shard", "key", "n").groupBy("shard")
         .applyInArrow(_rooted(depth), "place long, n0 double, n1 double, weighted double")
-        .groupBy("place").agg(F.sum("n0"), F.sum("n1"), F.sum("weighted"))
+        .groupBy("place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("weighted"))
     )
-    upper = upper_tables(roots.collect())  # 65,536 rows at most
+    upper = upper_tables(roots.toArrow())
     scored = grams.select("shard", "key", "n", "chunks").groupBy("shard").applyInArrow(
         _scored_grams(depth, upper), "key long, value double, chunks array<long>"
     )
@@ -370,9 +369,12 @@ def tree_scores(docs: DataFrame, shared: Shared, depth: int = DEPTH) -> DataFram
 
 @query("op1_context_tree")
 def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents; chunks are the splits of the files. Tests hold it against plain code."""
-    docs = table(spark, sf_dir, "documents").select(
+    """Whole documents; chunks go by a row's file and its place in it, which no read changes. Tests
+    hold it against plain code."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("chunk", hashed_chunks(docs, by=["_metadata.file_path", "_metadata.row_index"]))
+    docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        (fold(10) != 0).alias("trained"), F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("chunk"),
+        (fold(10) != 0).alias("trained"), "chunk",
     )
     return tree_scores(docs, Shared(spark, "op1"))

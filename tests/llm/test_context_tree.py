@@ -7,8 +7,8 @@ from functools import lru_cache
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import Shared
-from gaugeworks.llm.context_tree import END, hashed_chunks, tree_scores
+from gaugeworks.llm.common import Shared, fold
+from gaugeworks.llm.context_tree import END, hashed_chunks, op1_context_tree, tree_scores
 from tests.llm import cases
 
 DEPTH = 3
@@ -105,3 +105,33 @@ def test_odd_rows_and_an_empty_table(spark):
     untrained = docs.withColumn("trained", F.lit(False)).where("doc_id = 5")
     (row,) = tree_scores(untrained, Shared(spark, "t"), 5).collect()
     assert row["score"] == pytest.approx(9 * 8 * math.log10(0.5)) and row["n_known"] == 0
+
+
+def test_the_query_with_clashing_columns(spark, tmp_path):
+    """Its own chunks, by file and row, also of rows that are quite the same."""
+    rows = [cases.doc(i, cases.words(i, 30, 9)) for i in range(30)] + [cases.doc(40, cases.words(1, 20, 9))] * 9 + cases.odd(100)
+    docs = cases.with_extra(cases.frame(spark, rows))
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op1_context_tree(spark, str(tmp_path)).collect()
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold(10) != 0).alias("trained"), F.lit(0).cast("long").alias("chunk"))
+    want = tree_scores(plain, Shared(spark, "t")).collect()
+    one = lambda r: (str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["score"], 6))
+    assert sorted(map(one, got)) == sorted(map(one, want))
+
+
+def test_upper_tables_are_those_of_one_shard():
+    """Depths 2 to 0 from shards equal the tree of all grams in one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from gaugeworks.llm import context_tree as t
+
+    r = np.random.default_rng(4)
+    codes = np.unique(r.integers(0, 6, (4000, 6)) @ (256 ** np.arange(5, -1, -1)))
+    counts = r.integers(0, 9, len(codes))
+    ends = codes >> 8 & 0xFFFFFF
+    parts = [t._rooted(5)(pa.table({"key": codes[ends % 7 == k], "n": counts[ends % 7 == k]})) for k in range(7)]
+    both = pa.concat_tables(parts).group_by("place").aggregate([("n0", "sum"), ("n1", "sum"), ("weighted", "sum")])
+    both = both.rename_columns(["place", "n0", "n1", "weighted"])
+    many, one = t.upper_tables(both), t.upper_tables(t._rooted(5)(pa.table({"key": codes, "n": counts})))
+    assert all(np.allclose(a, b) for a, b in zip(many, one, strict=True))
