@@ -40,16 +40,26 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
+#: Spark's setting by which the shuffle files of a query go when it ends.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Shared:
     """Tables of one run in the shared folder. Reading one back cuts the lineage, and lost
-    executors cost nothing that was written before."""
+    executors cost nothing that was written before. So the shuffle files of a table go as soon as
+    it is written: a run of many steps holds those of one step only."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder = spark, run_dir(spark, name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(FILE_CLEANUP, None)
+        self.spark.conf.set(FILE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(FILE_CLEANUP) if before is None else self.spark.conf.set(FILE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

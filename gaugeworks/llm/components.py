@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import Shared
 
 
-def components(links: DataFrame, shared: Shared, rounds: int = 64) -> DataFrame:
+def components(links: DataFrame, shared: Shared) -> DataFrame:
     """``links`` (a, b bigint) to (node, root): root is the smallest node that links reach.
 
     Each round joins every node to the smallest one next to it (large star), then its smaller
     neighbours to the smallest of them (small star); only minima are grouped, so a node with
-    very many links is no list anywhere. Each round's table is written to the shared folder.
+    very many links is no list anywhere; rounds grow with the logarithm of the nodes. Each round's table is written to the shared folder.
     Nodes without links are absent.
     """
     step = shared.keep(
@@ -22,7 +24,7 @@ def components(links: DataFrame, shared: Shared, rounds: int = 64) -> DataFrame:
         .distinct(),
         "star-0",
     )
-    for k in range(1, rounds + 1):
+    for k in count(1):
         both = step.select("u", "v").union(step.select(F.col("v"), F.col("u")).toDF("u", "v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m")
@@ -45,8 +47,6 @@ def components(links: DataFrame, shared: Shared, rounds: int = 64) -> DataFrame:
         unsettled = ends.groupBy("node").agg(F.sum("below").alias("b"), F.max("above").alias("a"))
         if unsettled.where("b > 1 OR (b = 1 AND a = 1)").isEmpty():
             break
-    else:
-        raise RuntimeError("components did not settle")
     return step.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
         step.select(F.col("u"), F.col("u")).distinct()
     )

@@ -1,7 +1,8 @@
 """N-gram Jaccard join in the metric space of shingle sets, exact.
 
 Two texts link when ``100 * |A and B| >= percent * |A or B|`` for their sets of distinct word
-shingles. Equal sets are one point, named by a 64-bit digest, so copies cost one row each.
+shingles. Equal sets are one point, named by a 64-bit digest, so copies cost one row each; a second
+digest tells whether two sets have one name, and all are named anew then.
 
 Distances between unrelated texts are all close to 1, so whole documents as pivots cannot part
 a corpus. The join therefore goes down in three steps, each exact for links:
@@ -28,10 +29,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import Shared, pieces, query, table
+from gaugeworks.llm.common import PIECE_BYTES, Shared, pieces, query, table
 from gaugeworks.llm.components import components
 from gaugeworks.llm.tokens import mix, shingle_sets, split
 
@@ -52,6 +54,10 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.c) AS component_id
 
 _U = np.uint64
 SLACK = 3
+#: Pairs of one pivot that a task measures, about.
+PART = 1000
+#: Parts into which the rows of one component are dealt.
+SALTS = 16
 
 
 def row_key() -> Column:
@@ -59,9 +65,9 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
 
 
-def digest(own: np.ndarray) -> int:
-    """Name of a set, as a signed 64-bit number."""
-    return int((np.add.reduce(mix(own)) ^ _U(len(own))).view(np.int64))
+def digest(own: np.ndarray, salt: int = 0) -> int:
+    """Name of a set, as a signed 64-bit number; each salt gives names of its own."""
+    return int((np.add.reduce(mix(own ^ mix(np.array([salt], _U)))) ^ _U(len(own))).view(np.int64))
 
 
 def size_ranges(top: int = 1 << 40) -> np.ndarray:
@@ -110,29 +116,43 @@ def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
-def _members(n_words: int):
+def _members(n_words: int, salt: int):
     def each(batches):
         for batch in pieces(batches):
             sets = list(shingle_sets(split(batch.column("text")), n_words))
+            names = [[digest(s, k) if len(s) else None for s in sets] for k in (salt, salt + 1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     batch.column("doc_id"),
-                    pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
+                    *[pa.array(n, pa.int64()) for n in names],
                     pa.array([len(s) for s in sets], pa.int64()),
                 ],
-                ["key", "doc_id", "node", "n_shingles"],
+                ["key", "doc_id", "node", "other", "n_shingles"],
             )
 
     return each
 
 
-def _regions(n_words: int, percent: int):
+def _named(docs: DataFrame, shared: Shared, n_words: int) -> tuple[DataFrame, int]:
+    """(key, doc_id, node, n_shingles), and the salt of the names: the first under which no two
+    different sets have one name, as far as another name tells them apart."""
+    salt = 0
+    while True:
+        made = docs.mapInArrow(_members(n_words, salt), "key long, doc_id long, node long, other long, n_shingles long")
+        members = shared.keep(made, f"members-{salt}")
+        names = members.where("node IS NOT NULL").groupBy("node").agg(F.min("other").alias("a"), F.max("other").alias("b"))
+        if names.where("a <> b").isEmpty():
+            return members.drop("other"), salt
+        salt += 2
+
+
+def _regions(n_words: int, percent: int, salt: int):
     def each(batches):
         for batch in pieces(batches):
             keys, nodes, seen = [np.zeros(0, _U)], [np.zeros(0, np.int64)], set()
             for own in shingle_sets(split(batch.column("text")), n_words):
-                if len(own) and (node := digest(own)) not in seen:
+                if len(own) and (node := digest(own, salt)) not in seen:
                     seen.add(node)
                     keys.append(region_keys(own, percent))
                     nodes.append(np.full(len(keys[-1]), node, np.int64))
@@ -171,62 +191,97 @@ def _shared_regions(batches):
         yield out(held)
 
 
+def _packed(batches):
+    """Texts as compressed bytes: they go through several shuffles."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = [pack((t or "").encode()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.binary())], ["key", "packed"])
+
+
+def _unpacked(batches):
+    """Short batches with ``packed`` made ``text`` again."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in pieces(batches, "packed", PIECE_BYTES // 4, 256):
+        at = batch.schema.get_field_index("packed")
+        texts = pa.array([unpack(t) for t in batch.column(at).to_pylist()], pa.large_binary())
+        yield batch.set_column(at, "text", texts.cast(pa.large_string()))
+
+
+def _beside(pairs: DataFrame, texts: DataFrame, *more: str) -> DataFrame:
+    """Pairs (a, b, ...) with the text of b, dealt by a; a's own text stands before, as the pair
+    (a, a). Each member's text travels once a pair and the pivot's once a task: pivots of many
+    members are dealt out in parts of about ``PART`` pairs."""
+    counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    members = pairs.join(counted, "a").select("a", "b", F.expr("pmod(xxhash64(b), parts)").cast("int").alias("part"), *more)
+    own = counted.select(
+        "a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in more],
+    )
+    rows = members.union(own).join(texts.select(F.col("node").alias("b"), "packed"), "b")
+    return (
+        rows.select("a", "part", F.expr("a <> b").alias("member"), "b", *more, "packed")
+        .repartition("a", "part").sortWithinPartitions("a", "part", "member")
+    )
+
+
 def _measure(n_words: int):
-    """Rows (a, b, text_a, text_b) to the sizes of both sets and of what they share."""
+    """Rows of ``_beside`` to (a, b) with the sizes of what both sets share and of both."""
 
     def each(batches):
-        last, own = None, None
-        for whole in batches:
-            for batch in pieces(pieces(iter([whole]), "text_b"), "text_a"):
-                a = batch.column("a").to_pylist()
-                texts = batch.column("text_a")
-                found = []
-                right = shingle_sets(split(batch.column("text_b")), n_words)
-                for i, other in enumerate(right):
-                    if a[i] != last:
-                        last, own = a[i], next(iter(shingle_sets(split(texts.slice(i, 1)), n_words)))
-                    both = len(own) + len(other) - len(np.union1d(own, other))
-                    found.append((both, len(own) + len(other) - both))
-                inter, union = np.array(found, np.int64).reshape(-1, 2).T
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a"), batch.column("b"), pa.array(inter), pa.array(union)],
-                    ["a", "b", "inter", "whole"],
-                )
+        own = None
+        for batch in _unpacked(batches):
+            found, members = [], []
+            sets = shingle_sets(split(batch.column("text")), n_words)
+            for i, (other, member) in enumerate(zip(sets, batch.column("member").to_pylist(), strict=True)):
+                if not member:
+                    own = other
+                    continue
+                both = len(own) + len(other) - len(np.union1d(own, other))
+                found.append((both, len(own) + len(other) - both))
+                members.append(i)
+            inter, union = np.array(found, np.int64).reshape(-1, 2).T
+            rows = pa.array(members, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").take(rows), batch.column("b").take(rows), pa.array(inter), pa.array(union)],
+                ["a", "b", "inter", "whole"],
+            )
 
     return each
 
 
 def _differences(n_words: int, percent: int):
-    """Rows (a, b, ball, text_a, text_b): where b differs from its group's pivot a, words added
-    first, as far as a partner can need."""
+    """Rows of ``_beside`` with ``ball``: where each member b differs from its group's pivot a, words
+    added first, as far as a partner can need. The pivot itself differs nowhere."""
 
     def each(batches):
-        last, own = None, None
-        for whole in batches:
-            for batch in pieces(pieces(iter([whole]), "text_b"), "text_a"):
-                a = batch.column("a").to_pylist()
-                elements, at, owner, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-                for i, other in enumerate(shingle_sets(split(batch.column("text_b")), n_words)):
-                    if a[i] != last:
-                        last, own = a[i], next(iter(shingle_sets(split(batch.column("text_a").slice(i, 1)), n_words)))
-                    both = np.intersect1d(own, other, assume_unique=True)
-                    delta = np.concatenate([np.setdiff1d(other, both, assume_unique=True), np.setdiff1d(own, both, assume_unique=True)])
-                    sizes.append((len(delta), len(other)))
-                    delta = delta[: len(other) * (100 - percent) // percent + 1]
-                    elements.append(delta)
-                    at.append(np.arange(len(delta)))
-                    owner.append(np.full(len(delta), i))
-                rows = np.concatenate(owner)
-                size = np.array(sizes, np.int64).reshape(-1, 2)[rows]
-                of = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("a").take(of), batch.column("b").take(of), batch.column("ball").take(of),
-                        pa.array(np.concatenate(elements).view(np.int64)), pa.array(np.concatenate(at)),
-                        pa.array(size[:, 0].copy()), pa.array(size[:, 1].copy()),
-                    ],
-                    ["group", "node", "ball", "element", "at", "differs", "n"],
-                )
+        own = None
+        for batch in _unpacked(batches):
+            elements, at, owner, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            sets = shingle_sets(split(batch.column("text")), n_words)
+            for i, (other, member) in enumerate(zip(sets, batch.column("member").to_pylist(), strict=True)):
+                if not member:
+                    own = other
+                    sizes.append((0, 0))
+                    continue
+                both = np.intersect1d(own, other, assume_unique=True)
+                delta = np.concatenate([np.setdiff1d(other, both, assume_unique=True), np.setdiff1d(own, both, assume_unique=True)])
+                sizes.append((len(delta), len(other)))
+                delta = delta[: len(other) * (100 - percent) // percent + 1]
+                elements.append(delta)
+                at.append(np.arange(len(delta)))
+                owner.append(np.full(len(delta), i))
+            rows = np.concatenate(owner)
+            size = np.array(sizes, np.int64).reshape(-1, 2)[rows]
+            of = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("a").take(of), batch.column("b").take(of), batch.column("ball").take(of),
+                    pa.array(np.concatenate(elements).view(np.int64)), pa.array(np.concatenate(at)),
+                    pa.array(size[:, 0].copy()), pa.array(size[:, 1].copy()),
+                ],
+                ["group", "node", "ball", "element", "at", "differs", "n"],
+            )
 
     return each
 
@@ -240,15 +295,10 @@ def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int
     must have differences in common: (d(x) + d(y) - t) / 2 at least. Differences are put in one
     order (words added, then words lost), so the first common one must leave that many in both.
     """
-    left = state.select(F.col("group").alias("a"), F.col("node").alias("b"), "ball")
-    left = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = (
-        left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "ball", "text_a", "text_b")
-        .mapInArrow(
-            _differences(n_words, percent),
-            "group long, node long, ball long, element long, at long, differs long, n long",
-        )
+    left = state.where("group <> node").select(F.col("group").alias("a"), F.col("node").alias("b"), "ball")
+    rows = _beside(left, texts, "ball").mapInArrow(
+        _differences(n_words, percent),
+        "group long, node long, ball long, element long, at long, differs long, n long",
     )
     x, y = rows.alias("x"), rows.alias("y")
     most = F.floor((F.col("x.n") + F.col("y.n")) * (100 - percent) / (100 + percent))
@@ -266,12 +316,7 @@ def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int
 
 def _distances(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
     """(a, b) to (a, b, inter, whole)."""
-    left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return (
-        left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_measure(n_words), "a long, b long, inter long, whole long")
-    )
+    return _beside(pairs.select("a", "b"), texts).mapInArrow(_measure(n_words), "a long, b long, inter long, whole long")
 
 
 def jaccard_groups(
@@ -287,12 +332,10 @@ def jaccard_groups(
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("key", row_key())
-    members = shared.keep(
-        docs.mapInArrow(_members(n_words), "key long, doc_id long, node long, n_shingles long"), "members"
-    )
+    members, salt = _named(docs, shared, n_words)
     regions = shared.keep(
         docs.select("text")
-        .mapInArrow(_regions(n_words, percent), "region long, node long")
+        .mapInArrow(_regions(n_words, percent, salt), "region long, node long")
         .repartition("region")
         .sortWithinPartitions("region", "node")
         .mapInArrow(_shared_regions, "region long, node long"),
@@ -301,9 +344,8 @@ def jaccard_groups(
     # One text for each set that has a neighbour in some region.
     weights = regions.groupBy("node").agg(F.count("*").alias("weight"))
     chosen = members.groupBy("node").agg(F.min("key").alias("key")).join(weights, "node").select("node", "key")
-    texts = shared.keep(
-        docs.select("key", "text").join(chosen, "key").groupBy("node").agg(F.first("text").alias("text")), "texts"
-    )
+    packed = docs.select("key", "text").mapInArrow(_packed, "key long, packed binary")
+    texts = shared.keep(packed.join(chosen, "key").groupBy("node").agg(F.first("packed").alias("packed")), "texts")
 
     # Level 0: each region's pivot. Regions with one pivot go on as one group. `ball` is the
     # pivot whose ball holds the member.
@@ -358,8 +400,11 @@ def jaccard_groups(
     grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if keyed:
         return grouped.select("key", "doc_id", "root")
+    # A root may be that of very many rows, so its least id is there once for each salt.
     least = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return grouped.join(least, "root", "left").select(
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt_of = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    return grouped.withColumn("salt", salt_of).join(salted, ["root", "salt"], "left").select(
         "doc_id", "node", "n_shingles",
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
