@@ -17,10 +17,11 @@ a corpus. The join therefore goes down in three steps, each exact for links:
    then both have them; s is chosen so that hardly any set has.
 3. *Pivots inside a region.* Regions of two or more sets get a pivot set: the member of most
    regions, which is the middle of its copies. All members are measured against it. Those within
-   the join distance are its ball, already connected. Regions of one pivot recurse as one group:
-   members outside get a pivot of their own, and so on. What is left are pairs of different balls;
-   the triangle inequality on differences from the pivot (see ``_across_balls``) leaves few of
-   them, which are measured one by one.
+   the join distance are its ball, already connected. Regions of one pivot go on as one group. What
+   is left are pairs that are not in the ball together; the triangle inequality on differences from
+   the pivot (see ``_across_balls``) leaves few of them, which are measured one by one. A group of
+   up to ``PART`` members does all this inside a task. A larger one recurses over the cluster:
+   members outside get a pivot of their own, and so on for some levels.
 
 Shingles are compared by 64-bit hashes. No size, bucket or candidate is capped.
 """
@@ -54,8 +55,10 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.c) AS component_id
 
 _U = np.uint64
 SLACK = 3
-#: Pairs of one pivot that a task measures, about.
-PART = 1000
+#: Members of a group that a task holds; larger groups are dealt out in parts of about so many.
+PART = 500
+#: Steps in which the small groups are worked on: each holds its shuffles only.
+SLICES = 2
 #: Parts into which the rows of one component are dealt.
 SALTS = 16
 
@@ -286,6 +289,102 @@ def _differences(n_words: int, percent: int):
     return each
 
 
+def inside(s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which elements of the sorted set ``s`` are in ``own``, and which of ``own`` in ``s``."""
+    at = np.searchsorted(own, s)
+    at[at == len(own)] = 0
+    here = own[at] == s
+    there = np.zeros(len(own), bool)
+    there[at[here]] = True
+    return here, there
+
+
+def group_links(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links inside one group as pairs of numbers, -1 for the pivot: all to the pivot, and of the
+    others all that are not in its ball together (these are connected through it).
+
+    Pairs are found by common differences from the pivot, as in ``_across_balls``.
+    """
+    near, differs, elements, at, owner = [], [], [], [], []
+    for i, s in enumerate(sets):
+        here, there = inside(s, pivot)
+        both = int(here.sum())
+        near.append(100 * both >= percent * (len(pivot) + len(s) - both))
+        delta = np.concatenate([s[~here], pivot[~there]])
+        differs.append(len(delta))
+        delta = delta[: len(s) * (100 - percent) // percent + 1]
+        elements.append(delta)
+        at.append(np.arange(len(delta)))
+        owner.append(np.full(len(delta), i))
+    links = [(-1, i) for i, x in enumerate(near) if x]
+    if len(sets) < 2 or all(near):
+        return links
+    near, differs, size = np.array(near), np.array(differs), np.array([len(s) for s in sets])
+    elements, at, owner = np.concatenate(elements), np.concatenate(at), np.concatenate(owner)
+    order = np.argsort(elements, kind="stable")
+    elements, at, owner = elements[order], at[order], owner[order]
+    begin = np.flatnonzero(np.append(True, elements[1:] != elements[:-1])) if len(elements) else np.zeros(0, np.int64)
+    count = np.diff(np.append(begin, len(elements)))
+    found = [np.zeros(0, np.int64)]
+    for r in np.unique(count[count > 1]).tolist():  # runs of one element, those of one length together
+        x, y = np.triu_indices(r, 1)
+        runs = begin[count == r]
+        for k in range(0, len(runs), max(1, (1 << 20) // (r * r))):
+            rows = runs[k : k + max(1, (1 << 20) // (r * r)), None] + np.arange(r)
+            i, j = rows[:, x].ravel(), rows[:, y].ravel()
+            a, b = owner[i], owner[j]
+            needed = differs[a] + differs[b] - (size[a] + size[b]) * (100 - percent) // (100 + percent)
+            kept = ~(near[a] & near[b]) & (2 * (differs[a] - at[i]) >= needed) & (2 * (differs[b] - at[j]) >= needed)
+            found.append(np.unique(np.minimum(a[kept], b[kept]) * len(sets) + np.maximum(a[kept], b[kept])))
+    for key in np.unique(np.concatenate(found)).tolist():
+        i, j = divmod(key, len(sets))
+        both = int(inside(sets[i], sets[j])[0].sum())
+        if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            links.append((i, j))
+    return links
+
+
+def _group_links(n_words: int, percent: int):
+    """Rows of ``_beside`` whose groups are whole to links (a, b)."""
+
+    def each(batches):
+        pivot, own, names, sets = None, None, [], []
+        out: list[tuple[int, int]] = []
+
+        def close():
+            for i, j in group_links(own, sets, percent):
+                out.append((pivot if i < 0 else names[i], names[j]))
+            names.clear()
+            sets.clear()
+
+        def ready():
+            rows = np.array(out, np.int64).reshape(-1, 2)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], ["a", "b"])
+
+        for batch in _unpacked(batches):
+            rows = zip(
+                shingle_sets(split(batch.column("text")), n_words), batch.column("member").to_pylist(), batch.column("b").to_pylist(),
+                strict=True,
+            )
+            for s, member, b in rows:
+                if member:
+                    names.append(b)
+                    sets.append(s)
+                    continue
+                if sets:
+                    close()
+                pivot, own = b, s
+            if len(out) > 10_000:
+                yield ready()
+        if sets:
+            close()
+        if out:
+            yield ready()
+
+    return each
+
+
 def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of a group that are not in one ball.
 
@@ -319,6 +418,46 @@ def _distances(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
     return _beside(pairs.select("a", "b"), texts).mapInArrow(_measure(n_words), "a long, b long, inter long, whole long")
 
 
+def _large_links(
+    pairs: DataFrame, weights: DataFrame, texts: DataFrame, shared: Shared, n_words: int, percent: int, levels: int
+) -> DataFrame:
+    """Links (a, b) of groups that are too large for a task, (a, b, size): level by level over the
+    cluster. `ball` is the pivot whose ball holds the member."""
+    linked = F.col("inter") * 100 >= F.lit(percent) * F.col("whole")
+    far = shared.keep(_distances(pairs, texts, n_words), "measured-0")
+    links = far.where(linked).select("a", "b")
+    # A pair without the pivot lies in a region of three at least.
+    others = far.join(pairs.where("size > 2").select("a", "b"), ["a", "b"], "left_semi")
+    members_of = others.select(F.col("a").alias("group"), F.col("b").alias("node"), F.when(linked, F.col("a")).alias("ball"))
+    unsettled = members_of.where("ball IS NULL").select("group").distinct()
+    state = shared.keep(members_of.join(unsettled, "group", "left_semi").join(weights, "node"), "level-0")
+    # Further levels: the middle of what is outside all balls so far.
+    for level in range(1, levels):
+        pivots = (
+            state.where("ball IS NULL")
+            .groupBy("group")
+            .agg(F.max(F.struct("weight", "node")).alias("best"))
+            .select("group", F.col("best.node").alias("pivot"))
+        )
+        around = state.join(pivots, "group", "left")
+        beside = around.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        far = shared.keep(_distances(beside, texts, n_words), f"measured-{level}")
+        links = links.union(far.where(linked).select("a", "b"))
+        near = far.where(linked).select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.lit(True).alias("near"))
+        within = F.col("ball").isNull() & (F.col("near") | (F.col("node") == F.col("pivot")))
+        state = shared.keep(
+            around.join(near, ["pivot", "node"], "left").select(
+                "group", "node", F.when(within, F.col("pivot")).otherwise(F.col("ball")).alias("ball"), "weight"
+            ),
+            f"level-{level}",
+        )
+        if state.where("ball IS NULL").isEmpty():
+            break
+    left_over = shared.keep(_across_balls(state, texts, n_words, percent), "across")
+    far = shared.keep(_distances(left_over, texts, n_words), "measured-across")
+    return links.union(far.where(linked).select("a", "b"))
+
+
 def jaccard_groups(
     docs: DataFrame, shared: Shared, n_words: int = 5, percent: int = 80, levels: int = 3, keyed: bool = False
 ) -> DataFrame:
@@ -347,10 +486,7 @@ def jaccard_groups(
     packed = docs.select("key", "text").mapInArrow(_packed, "key long, packed binary")
     texts = shared.keep(packed.join(chosen, "key").groupBy("node").agg(F.first("packed").alias("packed")), "texts")
 
-    # Level 0: each region's pivot. Regions with one pivot go on as one group. `ball` is the
-    # pivot whose ball holds the member.
-    limit = F.lit(percent)
-    linked = F.col("inter") * 100 >= limit * F.col("whole")
+    # Each region's pivot. Regions with one pivot go on as one group.
     pivots = (
         regions.join(weights, "node")
         .groupBy("region")
@@ -364,38 +500,16 @@ def jaccard_groups(
         .agg(F.max("size").alias("size")),
         "pairs",
     )
-    far = shared.keep(_distances(pairs, texts, n_words), "measured-0")
-    links = far.where(linked).select("a", "b")
-    # A pair without the pivot lies in a region of three at least.
-    others = far.join(pairs.where("size > 2").select("a", "b"), ["a", "b"], "left_semi")
-    members_of = others.select(F.col("a").alias("group"), F.col("b").alias("node"), F.when(linked, F.col("a")).alias("ball"))
-    unsettled = members_of.where("ball IS NULL").select("group").distinct()
-    state = shared.keep(members_of.join(unsettled, "group", "left_semi").join(weights, "node"), "level-0")
-    # Further levels: the middle of what is outside all balls so far.
-    for level in range(1, levels):
-        pivots = (
-            state.where("ball IS NULL")
-            .groupBy("group")
-            .agg(F.max(F.struct("weight", "node")).alias("best"))
-            .select("group", F.col("best.node").alias("pivot"))
-        )
-        around = state.join(pivots, "group", "left")
-        pairs = around.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        far = shared.keep(_distances(pairs, texts, n_words), f"measured-{level}")
-        links = links.union(far.where(linked).select("a", "b"))
-        near = far.where(linked).select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.lit(True).alias("near"))
-        inside = F.col("ball").isNull() & (F.col("near") | (F.col("node") == F.col("pivot")))
-        state = shared.keep(
-            around.join(near, ["pivot", "node"], "left").select(
-                "group", "node", F.when(inside, F.col("pivot")).otherwise(F.col("ball")).alias("ball"), "weight"
-            ),
-            f"level-{level}",
-        )
-        if state.where("ball IS NULL").isEmpty():
-            break
-    left_over = _across_balls(state, texts, n_words, percent)
-    far = _distances(left_over, texts, n_words)
-    links = links.union(far.where(linked).select("a", "b"))
+    sizes = shared.keep(pairs.groupBy("a").count(), "sizes")
+    links = docs.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).limit(0)
+    # Groups of up to PART members recurse inside a task, some of the groups at a time.
+    small = pairs.join(sizes.where(F.col("count") <= PART).select("a"), "a", "left_semi")
+    for k in range(SLICES):
+        own = small.where(F.pmod(F.xxhash64("a"), F.lit(SLICES)) == k).select("a", "b")
+        links = links.union(shared.keep(_beside(own, texts).mapInArrow(_group_links(n_words, percent), "a long, b long"), f"links-{k}"))
+    if not sizes.where(F.col("count") > PART).isEmpty():
+        large = pairs.join(sizes.where(F.col("count") > PART).select("a"), "a", "left_semi")
+        links = links.union(_large_links(large, weights, texts, shared, n_words, percent, levels))
     roots = components(links, shared)
     grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if keyed:

@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from gaugeworks.llm import jaccard
 from gaugeworks.llm.common import Shared
+from gaugeworks.llm.components import components
 from gaugeworks.llm.jaccard import drop_near_duplicates, jaccard_groups
 from tests.llm import cases
 
@@ -64,8 +67,9 @@ def family(spark_seed):
     return rows
 
 
-@pytest.mark.parametrize(("n", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (1, 60, 3)])
-def test_components_equal_all_pairs(spark, n, percent, seed):
+@pytest.mark.parametrize(("n", "percent", "seed", "part"), [(3, 90, 1, 500), (5, 80, 2, 500), (1, 60, 3, 500), (5, 80, 4, 3), (1, 60, 5, 7)])
+def test_components_equal_all_pairs(spark, monkeypatch, n, percent, seed, part):
+    monkeypatch.setattr(jaccard, "PART", part)  # groups above it go over the cluster
     rows = family(seed)
     got = jaccard_groups(cases.frame(spark, rows), Shared(spark, "t"), n, percent)
     want, _ = plain(rows, n, percent)
@@ -94,3 +98,43 @@ def test_one_of_each_group_stays(spark):
         else:
             want.append(min((r[0] for r in some if r[0] is not None), default=None))
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_links_of_a_group_equal_all_pairs(percent):
+    r = np.random.default_rng(percent)
+    for _ in range(60):
+        centres = [r.choice(400, 60, replace=False) for _ in range(3)]
+        sets = []
+        for _ in range(20):
+            own = set(centres[r.integers(3)].tolist())
+            for x in r.choice(400, r.integers(0, 14)):
+                own ^= {int(x)}
+            sets.append(np.array(sorted(own), np.uint64))
+        pivot, others = sets[0], sets[1:]
+
+        def linked(a, b):
+            both = len(set(a.tolist()) & set(b.tolist()))
+            return 100 * both >= percent * (len(a) + len(b) - both)
+
+        ball = {i for i, s in enumerate(others) if linked(pivot, s)}
+        want = {(-1, i) for i in ball} | {
+            (i, j) for i in range(len(others)) for j in range(i + 1, len(others)) if not {i, j} <= ball and linked(others[i], others[j])
+        }
+        assert set(jaccard.group_links(pivot, others, percent)) == want
+
+
+def test_names_that_two_sets_share_are_made_anew(spark, monkeypatch):
+    """With names cut to a few bits sets meet, and another salt is tried until none do."""
+    rows = [cases.doc(i, cases.words(i, 12)) for i in range(6)]
+    docs = cases.frame(spark, rows).withColumn("key", jaccard.row_key()).select("key", "doc_id", "text")
+    whole = jaccard.digest
+    monkeypatch.setattr(jaccard, "digest", lambda own, salt=0: whole(own, salt) % 32 if salt % 2 == 0 else whole(own, salt))
+    members, _ = jaccard._named(docs, Shared(spark, "t"), 3)
+    assert len({r["node"] for r in members.collect()}) == 6
+
+
+def test_a_long_chain_settles(spark):
+    links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
+    got = components(links, Shared(spark, "t")).collect()
+    assert len(got) == 301 and {r["root"] for r in got} == {0}
