@@ -45,7 +45,7 @@ FOLD = 1 << 19
 #: Grams of one shard of the tree, about.
 SHARD_GRAMS = 100_000
 #: Bytes of text in a chunk, about.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 20 << 20
 
 _U = np.uint64
 TOKEN, GRAM = 0, 1
