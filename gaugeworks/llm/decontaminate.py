@@ -1,8 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, in lower case. The items
-go into automata of a bounded number of words each (``BLOCK_WORDS``), which are broadcast; every
-document streams its words through each block's automaton, which tells at each word the longest
+go into automata of a bounded number of words each (``BLOCK_WORDS``), which are built in tasks,
+written, and broadcast one after the other; every document streams its words through each block's automaton, which tells at each word the longest
 match that ends there. A window is ``window`` consecutive words of an item, or a whole item of
 fewer words; every word inside an occurrence of a window is hit.
 
@@ -16,6 +16,7 @@ once.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,19 +161,27 @@ class Automaton:
         return longest, spans, items
 
 
-def blocks(items: DataFrame, window: int, block_words: int) -> Iterator[Automaton]:
-    """Automata over all items (item_id, text), of about ``block_words`` words each."""
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string"))
-    automaton, held = Automaton(window), 0
-    for item, text in rows.toLocalIterator():
-        hashes = split(pa.array([text], pa.string()), ALNUM).hashes()
-        if held and held + len(hashes) > block_words:
-            yield automaton.finish()
-            automaton, held = Automaton(window), 0
-        automaton.add(item, hashes)
-        held += len(hashes)
-    if held:
-        yield automaton.finish()
+def _build(window: int):
+    def each(group: pa.Table) -> pa.Table:
+        automaton = Automaton(window)
+        for item, text in sorted(zip(group.column("item_id").to_pylist(), group.column("text").to_pylist(), strict=True), key=str):
+            automaton.add(item, split(pa.array([text], pa.string()), ALNUM).hashes())
+        data = pickle.dumps(automaton.finish(), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"block": group.column("block").slice(0, 1), "automaton": pa.array([data], pa.binary())})
+
+    return each
+
+
+def blocks(items: DataFrame, shared: Shared, window: int, block_words: int) -> Iterator[bytes]:
+    """Automata, pickled, over all items (item_id, text), of about ``block_words`` words each."""
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
+    words = F.regexp_count("text", F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
+    n_blocks = (rows.agg(F.sum(words)).first()[0] or 0) // block_words + 1
+    numbered = rows.where("text IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)))
+    built = shared.keep(numbered.groupBy("block").applyInArrow(_build(window), "block long, automaton binary"), "automata")
+    for number in range(n_blocks):
+        for row in built.where(F.col("block") == number).select("automaton").collect():  # one
+            yield bytes(row[0])
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[int]:
@@ -200,7 +209,7 @@ def _matches(words: Words, automaton: Automaton) -> dict[int, tuple[int, list, s
 
 def _scan(shared_automaton):
     def each(batches):
-        automaton = shared_automaton.value
+        automaton = pickle.loads(shared_automaton.value)
         for batch in pieces(batches, "gw_text"):
             words = split(batch.column("gw_text"), ALNUM)
             found = _matches(words, automaton) if len(words.start) else {}
@@ -236,13 +245,15 @@ def matches(
             "gw_longest": F.lit(0).cast("long"),
         }
     )
-    sc, k = rows.sparkSession.sparkContext, 0
-    for k, automaton in enumerate(blocks(items, window, block_words), 1):
-        if k > 1:
-            state = shared.keep(state, f"block-{k - 1}")
-        state = state.mapInArrow(_scan(sc.broadcast(automaton)), state.schema)
-    if not k:  # no items: only words are counted
-        state = state.mapInArrow(_scan(sc.broadcast(Automaton(window).finish())), state.schema)
+    sc, last = rows.sparkSession.sparkContext, None
+    for k, automaton in enumerate(blocks(items, shared, window, block_words)):
+        if last is not None:
+            state = shared.keep(state, f"block-{k}")
+            last.destroy()
+        last = sc.broadcast(automaton)
+        state = state.mapInArrow(_scan(last), state.schema)
+    if last is None:  # no items: only words are counted
+        state = state.mapInArrow(_scan(sc.broadcast(pickle.dumps(Automaton(window).finish()))), state.schema)
     hit = F.expr(
         "aggregate(gw_spans, named_struct('n', 0L, 's', -1L), (a, x) -> IF(a.s < 0, "
         "named_struct('n', a.n, 's', x), named_struct('n', a.n + x - a.s, 's', -1L)), a -> a.n)"
