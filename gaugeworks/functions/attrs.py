@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 
 def make_attrs(pairs: dict[str, Column]) -> Column:
@@ -14,7 +14,9 @@ def make_attrs(pairs: dict[str, Column]) -> Column:
 
 
 def base_attrs(family: str, extra: dict[str, Column] | None = None) -> Column:
-    """Attributes every row of a source family carries, with per-entity ones on top."""
+    """Attributes every row of a source family carries, with per-entity ones on top.
+
+    Those of hosts come from the columns of ``host.with_facts``."""
     kind, system = FAMILIES[family]
     name, instance = F.col("target_name"), F.col("instance")
     if kind == "db":
@@ -26,16 +28,14 @@ def base_attrs(family: str, extra: dict[str, Column] | None = None) -> Column:
             "messaging.name": name,
         }
     else:
-        pairs = {"host.name": name, "host.arch": F.lit("amd64"), "os.type": F.lit("linux")}
+        pairs = {
+            "host.name": F.coalesce(F.col("host_name"), name),
+            "host.arch": F.col("arch"),
+            "os.type": F.col("os_type"),
+        }
     return make_attrs({**pairs, **(extra or {})})
 
 
-def with_attrs(
-    df: DataFrame, family: str, extra: dict[str, Column] | None = None
-) -> DataFrame:
-    return df.withColumn("attrs", base_attrs(family, extra))
-
-
 def extend_attrs(attrs: Column, extra: Column) -> Column:
     """Copy of a map with the entries of another on top, free of duplicate keys."""
     kept = F.map_filter(attrs, lambda k, v: ~F.map_contains_key(extra, k))
@@ -63,11 +63,6 @@ def attrs_text(attrs: Column) -> Column:
     )
 
 
-def series_key(attrs: Column) -> Column:
-    """Sorted-entries JSON of a map, safe as a grouping, join or sort key."""
-    return F.to_json(F.array_sort(F.map_entries(attrs)))
-
-
 # Attribute convention and system label of each source family.
 FAMILIES = {
     "postgres": ("db", "postgres"),

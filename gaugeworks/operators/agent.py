@@ -98,9 +98,13 @@ def health_rows(status: DataFrame) -> DataFrame:
 
 
 def health_summary(
-    status: DataFrame, sends: DataFrame, keys: Sequence[str]
+    status: DataFrame, sends: DataFrame, keys: Sequence[str], starts: DataFrame | None = None
 ) -> DataFrame:
-    """Agent health: degraded when any collector is open, last good send, last send error."""
+    """Agent health: degraded when any collector is open, last good send, last send error.
+
+    With ``starts`` (the keys, started_at, asked_at) also ``uptime_s``, the seconds the agent had
+    been up when it was asked; NULL where its start is unknown.
+    """
     collectors = status.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("collectors"),
         F.count_if(F.col("status") == "open").alias("open_collectors"),
@@ -109,12 +113,16 @@ def health_summary(
     sent = sends.groupBy(*keys).agg(
         F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_send_ok"), last.alias("__last")
     )
-    return (
+    summary = (
         collectors.join(sent, list(keys), "left")
         .withColumn("status", F.when(F.col("open_collectors") > 0, "degraded").otherwise("ok"))
         .withColumn("last_send_error", F.when(~F.col("__last.ok"), F.col("__last.error")))
         .drop("__last")
     )
+    if starts is None:
+        return summary
+    up = (micros(F.col("asked_at")) - micros(F.col("started_at"))) / F.lit(1e6)
+    return summary.join(starts.select(*keys, up.alias("uptime_s")), list(keys), "left")
 
 
 def readiness(
@@ -130,5 +138,3 @@ def readiness(
     return starts.join(sent, list(keys), "left").select(
         *starts.columns, (~(never & over)).alias("ready")
     )
-
-

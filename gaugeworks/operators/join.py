@@ -1,12 +1,13 @@
-"""Joins: consumer lag, replica lag, capability gates."""
+"""Joins: consumer lag, replica lag, facts as of a time, capability gates."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.functions.numbers import lag_seconds
+from gaugeworks.operators.ordered import DAY_US, PART, over_slices, sliced
 
 
 def consumer_lag(
@@ -54,6 +55,43 @@ def replica_lag(
     )
 
 
+def as_of(
+    samples: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    cols: Sequence[str],
+    slice_us: int = DAY_US,
+) -> DataFrame:
+    """Each sample with the facts that held at its time: those of its key's newest fact row at or
+    before it, NULL before the first one. Of fact rows of one time the last in order of ``cols`` holds.
+
+    Both sides are cut into time slices of a key. A slice finds facts among its own rows, and
+    what held when it began in the summaries of the slices before it, so neither a key of very
+    many samples nor one whose facts change all the time is one task's work.
+    """
+    def typed(df: DataFrame, name: str) -> Column:
+        return F.lit(None).cast(df.schema[name].dataType).alias(name)
+
+    sample = samples.select(*keys, order, F.struct("*").alias("__sample"))
+    fact = facts.select(*keys, order, F.struct(*cols).alias("__fact"))
+    both = sample.select("*", typed(fact, "__fact")).unionByName(fact.select("*", typed(sample, "__sample")))
+    rows = sliced(both, keys, order, slice_us)
+    age = F.when(F.col("__fact").isNotNull(), F.struct(order, "__fact"))
+    ends = rows.groupBy(PART).agg(F.max_by(F.struct(order, "__sample", "__fact"), age).alias("__end"))
+    before = over_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(PART, F.last("__end", ignorenulls=True).over(before)["__fact"].alias("__held"))
+    # Facts of a sample's own time come before it.
+    inside = Window.partitionBy(PART).orderBy(order, F.col("__sample").isNotNull(), "__fact").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    own = rows.withColumn("__own", F.last("__fact", ignorenulls=True).over(inside)).where("__sample IS NOT NULL")
+    held = F.coalesce("__own", "__held")
+    return own.join(carried, PART, "left").select(
+        *[F.col("__sample")[c].alias(c) for c in samples.columns], *[held[c].alias(c) for c in cols]
+    )
+
+
 def semi_gate(
     df: DataFrame, extensions: DataFrame, keys: Sequence[str], name: str
 ) -> DataFrame:

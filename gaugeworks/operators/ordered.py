@@ -2,25 +2,42 @@
 
 Operators that follow one key through time cut each key into time slices. A slice is
 worked on independently and takes what it needs from earlier slices out of a small
-per-slice summary, so one key that holds most rows still spreads over many tasks.
+per-slice summary, so one key that holds most rows still spreads over many tasks. Rows and
+summaries start from one shuffle by key and slice (``sliced``), so the input is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from gaugeworks.functions.numbers import enum_code, micros
 from gaugeworks.functions.text import redact_userinfo
 
-SLICE = "__slice"
+SLICE, PART = "__slice", "__part"
 DAY_US = 86_400_000_000
 
 
-def with_slice(df: DataFrame, order: str, slice_us: int) -> DataFrame:
-    """Add the time slice number of a row; it depends on the row alone."""
-    return df.withColumn(SLICE, F.floor(micros(F.col(order)) / F.lit(slice_us)).cast("bigint"))
+def sliced(df: DataFrame, keys: Sequence[str], order: str, slice_us: int) -> DataFrame:
+    """Rows dealt by key and time slice, the struct ``__part``. What is derived from it in two ways
+    shares the shuffle, as long as both ways need every column: summaries take whole rows for that.
+
+    The struct is never NULL, whatever the keys are, so a join on it adds no filter to one side
+    only, and absent keys meet.
+    """
+    number = F.floor(micros(F.col(order)) / F.lit(slice_us)).cast("bigint")
+    part = F.struct(*keys, number.alias(SLICE)).alias(PART)
+    return df.select("*", part).repartition(PART)
+
+
+def part_keys(keys: Sequence[str]) -> list[Column]:
+    """Keys of a summary of parts."""
+    return [F.col(PART)[k] for k in keys]
+
+
+def over_slices(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*part_keys(keys)).orderBy(F.col(PART)[SLICE])
 
 
 def top_n(
@@ -86,27 +103,23 @@ def counter_delta(
 ) -> DataFrame:
     """Difference of each counter to the previous sample of its key; NULL on the first one.
 
-    Sample times must be unique per key.
+    Sample times must be unique per key. The last row of each slice is carried to the next one.
     """
-    rows = with_slice(df, order, slice_us)
-    keyed = [*keys, SLICE]
-    tails = rows.groupBy(*keyed).agg(*[F.max_by(c, order).alias(f"__in_{c}") for c in cols])
-    over_slices = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = tails.select(
-        *keyed, *[F.lag(f"__in_{c}").over(over_slices).alias(f"__in_{c}") for c in cols]
+    rows = sliced(df, keys, order, slice_us)
+    tails = rows.groupBy(PART).agg(F.max_by(F.struct(*df.columns), order).alias("__tail"))
+    carried = tails.select(PART, F.lag("__tail").over(over_slices(keys)).alias("__before"))
+    inside = Window.partitionBy(PART).orderBy(order)
+    local = rows.select(
+        "*",
+        F.row_number().over(inside).alias("__at"),
+        *[F.lag(c).over(inside).alias(f"__lag_{c}") for c in cols],
     )
-    inside = Window.partitionBy(*keyed).orderBy(order)
-    return rows.join(carried, keyed, "left").select(
-        *df.columns,
-        *[
-            (
-                F.col(c)
-                - F.when(F.row_number().over(inside) == 1, F.col(f"__in_{c}")).otherwise(
-                    F.lag(c).over(inside)
-                )
-            ).alias(f"{prefix}{c}")
-            for c in cols
-        ],
+
+    def prior(c: str) -> Column:
+        return F.when(F.col("__at") == 1, F.col("__before")[c]).otherwise(F.col(f"__lag_{c}"))
+
+    return local.join(carried, PART, "left").select(
+        *df.columns, *[(F.col(c) - prior(c)).alias(f"{prefix}{c}") for c in cols]
     )
 
 
@@ -119,6 +132,39 @@ def share_of_delta(deltas: Sequence[Column], part: Column) -> Column:
     return F.lit(100.0) * part / moved
 
 
+def _runs(
+    attempts: DataFrame, keys: Sequence[str], order: str, ok: str, slice_us: int, seq: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """Run lengths inside each slice, and a row for each slice with the run that leaves it.
+
+    Rows get ``__at``, ``__run``, ``__good`` (time of the last success) and ``__base`` (NULL before
+    the first success), all of the slice alone. Slices have ``tail`` and ``end`` (run that leaves
+    the slice, without and with what came in), ``good`` (last success) and ``last`` (last row).
+    """
+    good = F.coalesce(F.col(ok), F.lit(False))
+    # Without a sequence number, failures of one time come before its successes.
+    at = [F.col(order), good if seq is None else F.col(seq)]
+    inside = Window.partitionBy(PART).orderBy(*at).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    counted = sliced(attempts, keys, order, slice_us).select(
+        "*",
+        F.row_number().over(inside).alias("__at"),
+        F.sum(F.when(good, 0).otherwise(1)).over(inside).alias("__f"),
+        F.max(F.when(good, F.col(order))).over(inside).alias("__good"),
+    )
+    # Failures counted when the last success of this slice came; NULL before the first one.
+    based = counted.withColumn("__base", F.max(F.when(good, F.col("__f"))).over(inside))
+    rows = based.withColumn("__run", F.col("__f") - F.coalesce("__base", F.lit(0)))
+    last = F.max_by(F.struct(*attempts.columns, "__run", "__good"), "__at")
+    slices = rows.groupBy(PART).agg(last.alias("last")).select(
+        PART, "last", F.col("last.__run").alias("tail"), F.col("last.__good").alias("good")
+    )
+    island = slices.withColumn("__island", F.count("good").over(over_slices(keys)))
+    run = Window.partitionBy(*part_keys(keys), "__island").orderBy(F.col(PART)[SLICE])
+    return rows, island.withColumn("end", F.sum("tail").over(run))
+
+
 def failure_runs(
     attempts: DataFrame,
     keys: Sequence[str],
@@ -131,39 +177,14 @@ def failure_runs(
     """Consecutive failures up to each attempt, time of the last success, last error.
 
     A success resets the run and clears the error; an unknown outcome is a failure. ``seq``
-    orders attempts of one time; without it they come in no set order. A key of very many
-    attempts in one slice is one task's work: ``slice_us`` is the way out.
+    orders attempts of one time; without it failures of one time come before its successes. A
+    key of very many attempts in one slice is one task's work: ``slice_us`` is the way out.
     """
-    keyed = [*keys, SLICE]
-    at = [F.col(order)] if seq is None else [F.col(order), F.col(seq)]
-    inside = Window.partitionBy(*keyed).orderBy(*at).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    good = F.coalesce(F.col(ok), F.lit(False))
-    fails = F.sum(F.when(good, 0).otherwise(1)).over(inside)
-    counted = with_slice(attempts, order, slice_us).select(
-        "*",
-        F.row_number().over(inside).alias("__at"),
-        fails.alias("__f"),
-        F.max(F.when(good, F.col(order))).over(inside).alias("__good"),
-    )
-    # Failures counted when the last success of this slice came; NULL before the first one.
-    based = counted.withColumn("__base", F.max(F.when(good, F.col("__f"))).over(inside))
-    run = F.col("__f") - F.coalesce("__base", F.lit(0))
-    marked = based.withColumn("__run", run)
-
-    slices = marked.groupBy(*keyed).agg(
-        F.max_by("__run", "__at").alias("tail"), F.max("__good").alias("good")
-    )
-    over_slices = Window.partitionBy(*keys).orderBy(SLICE)
-    before = over_slices.rowsBetween(Window.unboundedPreceding, -1)
-    island = slices.withColumn("__island", F.count("good").over(over_slices))
-    ended = island.withColumn(
-        "end", F.sum("tail").over(Window.partitionBy(*keys, "__island").orderBy(SLICE))
-    )
+    rows, ended = _runs(attempts, keys, order, ok, slice_us, seq)
+    before = over_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
     carried = ended.select(
-        *keyed,
-        F.lag("end").over(over_slices).alias("__in_run"),
+        PART,
+        F.lag("end").over(over_slices(keys)).alias("__in_run"),
         F.max("good").over(before).alias("__in_good"),
     )
     carry = F.when(F.col("__base").isNull(), F.coalesce("__in_run", F.lit(0))).otherwise(0)
@@ -172,10 +193,9 @@ def failure_runs(
         F.coalesce("__good", "__in_good").alias("last_success"),
     ]
     if error is not None:
-        out.append(F.when(~good, redact_userinfo(F.col(error))).alias("last_error"))
-    return marked.join(carried, keyed, "left").select(
-        *[F.col(c) for c in attempts.columns], *out
-    )
+        failed = ~F.coalesce(F.col(ok), F.lit(False))
+        out.append(F.when(failed, redact_userinfo(F.col(error))).alias("last_error"))
+    return rows.join(carried, PART, "left").select(*[F.col(c) for c in attempts.columns], *out)
 
 
 def latest_run(
@@ -185,30 +205,25 @@ def latest_run(
     ok: str = "ok",
     error: str | None = None,
     seq: str | None = None,
+    slice_us: int = DAY_US,
 ) -> DataFrame:
-    """Current run length, last success and last error per key, by plain aggregation.
+    """Current run length, last success and last error per key, out of the slices' summaries.
 
-    Two passes with partial aggregation and no window, so a busy key costs nothing extra. An
-    unknown outcome is a failure; ``seq`` orders attempts of one time.
+    An unknown outcome is a failure; ``seq`` orders attempts of one time, without it failures
+    of one time come before its successes.
     """
-    good = F.coalesce(F.col(ok), F.lit(False))
-    tie = F.lit(0).cast("bigint") if seq is None else F.col(seq).cast("bigint")
-    at = F.struct(F.col(order).alias("at"), tie.alias("seq"))
-    goods = attempts.groupBy(*keys).agg(F.max(F.when(good, at)).alias("__last"))
-    since = F.col("__last").isNull() | (at > F.col("__last"))
-    failed = attempts.where(~good).join(goods, list(keys)).where(since)
-    picks = [F.count(F.lit(1)).alias("consecutive_failures")]
-    if error is not None:
-        picks.append(redact_userinfo(F.max_by(F.col(error), at)).alias("last_error"))
-    runs = failed.groupBy(*keys).agg(*picks)
-    return (
-        goods.withColumn("last_success", F.col("__last.at"))
-        .drop("__last")
-        .join(runs, list(keys), "left")
-        .withColumn(
-            "consecutive_failures", F.coalesce("consecutive_failures", F.lit(0)).cast("bigint")
-        )
+    _, ended = _runs(attempts, keys, order, ok, slice_us, seq)
+    # The slice is null where the time is; such attempts come first.
+    number = F.coalesce(F.col(PART)[SLICE], F.lit(-(1 << 63)))
+    latest = ended.groupBy(*[k.alias(n) for k, n in zip(part_keys(keys), keys)]).agg(
+        F.max("good").alias("last_success"), F.max_by(F.struct("end", "last"), number).alias("__l")
     )
+    run = F.col("__l.end").cast("bigint")
+    out = [F.col(k) for k in keys] + [F.col("last_success"), run.alias("consecutive_failures")]
+    if error is not None:
+        text = redact_userinfo(F.col("__l.last")[error])
+        out.append(F.when(run > 0, text).alias("last_error"))
+    return latest.select(*out)
 
 
 # Failures that open a circuit, and the code of each status.

@@ -70,6 +70,44 @@ def health(spark, sf):
     return collector_health(latest_run(probes(spark, sf), ["user_id"], "ts", error="error"))
 
 
+# Several attempts of one time, ordered by their number, and outcomes that nobody knows.
+_TIES = (
+    "(SELECT event_id, user_id, date_trunc('day', ts) AS ts, "
+    "CASE WHEN event_id % 4 <> 0 THEN event_type <> 'error' END AS ok FROM events)"
+)
+_TIED = (
+    "(SELECT *, count(*) FILTER (WHERE ok IS NOT TRUE) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS fails, "
+    "max(CASE WHEN ok THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS good FROM "
+    "(SELECT *, count(*) FILTER (WHERE ok) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island "
+    f"FROM {_TIES}))"
+)
+
+
+@query(
+    "failure_ties",
+    "SELECT r.event_id, CAST(r.fails AS BIGINT) AS consecutive_failures, r.good AS last_success, "
+    "CAST(l.fails AS BIGINT) AS latest_failures, l.good AS latest_success "
+    f"FROM {_TIED} r JOIN (SELECT * FROM {_TIED} "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) l USING (user_id)",
+)
+def ties(spark, sf):
+    """Each attempt's run next to its collector's latest one."""
+    tries = table(spark, sf, "events").select(
+        "event_id",
+        "user_id",
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"),
+        F.when(c("event_id") % 4 != 0, c("event_type") != "error").alias("ok"),
+    )
+    latest = latest_run(tries, ["user_id"], "ts", seq="event_id").select(
+        "user_id",
+        c("consecutive_failures").alias("latest_failures"),
+        c("last_success").alias("latest_success"),
+    )
+    return failure_runs(tries, ["user_id"], "ts", seq="event_id").join(latest, "user_id").select(
+        "event_id", "consecutive_failures", "last_success", "latest_failures", "latest_success"
+    )
+
+
 # ---- Attempts and sends
 
 # Three consecutive events form the attempts of one collection.
@@ -167,12 +205,14 @@ _SENT = (
     "health_summary",
     "SELECT grp, n AS collectors, bad AS open_collectors, last_ok AS last_send_ok, "
     "CASE WHEN bad > 0 THEN 'degraded' ELSE 'ok' END AS status, "
-    "CASE WHEN NOT last_flag THEN 'e' || last_id END AS last_send_error FROM "
+    "CASE WHEN NOT last_flag THEN 'e' || last_id END AS last_send_error, uptime_s FROM "
     "(SELECT user_id % 7 AS grp, count(*) AS n, "
     "count(*) FILTER (WHERE fails >= 2) AS bad FROM (SELECT * FROM "
     f"{_RUNS} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1) GROUP BY 1) "
     "JOIN (SELECT user_id % 7 AS grp, max(ts) FILTER (WHERE ok) AS last_ok, arg_max(ok, ts) AS last_flag, "
-    f"arg_max(event_id, ts) AS last_id FROM {_SENT} GROUP BY 1) USING (grp)",
+    f"arg_max(event_id, ts) AS last_id FROM {_SENT} GROUP BY 1) USING (grp) "
+    "JOIN (SELECT user_id % 7 AS grp, CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1000000 AS uptime_s "
+    "FROM events GROUP BY 1) USING (grp)",
 )
 def summary(spark, sf):
     latest = latest_run(probes(spark, sf), ["user_id"], "ts")
@@ -186,7 +226,8 @@ def summary(spark, sf):
         (c("event_type") != "error").alias("ok"),
         s("e", c("event_id")).alias("error"),
     )
-    return health_summary(status, sends, ["grp"])
+    starts = sends.groupBy("grp").agg(F.min("ts").alias("started_at"), F.max("ts").alias("asked_at"))
+    return health_summary(status, sends, ["grp"], starts)
 
 
 @query(

@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A base table's rows dealt by key over the session's shuffle partitions, before wide bodies
+    are built from them: a table may be one row group, and building and parsing is the work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def land(
     df: DataFrame,
     cycle: Column | int,
@@ -86,7 +92,7 @@ def base_sql(family: str, extra: dict[str, str] | None = None) -> str:
             "messaging.instance": "instance",
         }
     else:
-        pairs = {"host.name": "target", "host.arch": "'amd64'", "os.type": "'linux'"}
+        pairs = {"host.name": "target", "host.arch": "''", "os.type": "''"}
     return attrs_sql({**pairs, **(extra or {})})
 
 

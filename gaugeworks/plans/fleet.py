@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.operators.agent import heartbeat
-from gaugeworks.plans.common import base_sql, land, long_sql, query, s, table
-from gaugeworks.plans.cycle import collect
+from gaugeworks.operators.union import GOOD, OUTCOME
+from gaugeworks.plans.common import base_sql, land, long_sql, query, s, spread, table
+from gaugeworks.plans.cycle import collect_marked
 from gaugeworks.schema import METRIC_COLUMNS
+from gaugeworks.session import run_dir
+from gaugeworks.sources.sinks import write_outcomes
 
 c = F.col
 
@@ -39,7 +42,7 @@ def replies(spark, sf) -> DataFrame:
         return F.element_at(F.array(*values), which)
 
     return land(
-        table(spark, sf, "orders"),
+        spread(table(spark, sf, "orders"), "o_orderkey"),
         key,
         s("t", cust),
         c("o_orderpriority"),
@@ -124,8 +127,8 @@ def tables(spark, sf) -> dict[str, DataFrame]:
     }
 
 
-def cycle(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Run every job over the replies and tables: good and rejected metric rows."""
+def cycle(spark, sf) -> DataFrame:
+    """Run every job over the replies and tables: metric rows with their outcome."""
     cycles = table(spark, sf, "region").select(
         F.lit("2002-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
         c("r_regionkey").cast("bigint").alias("cycle_id"),
@@ -134,7 +137,7 @@ def cycle(spark, sf) -> tuple[DataFrame, DataFrame]:
     up = heartbeat(cycles)
     # A copy of each row that is no number must not stand for the finite one.
     broken = up.withColumn("value", F.lit(float("nan")))
-    return collect({"raw_snapshots": replies(spark, sf), **tables(spark, sf)}, [up, broken])
+    return collect_marked({"raw_snapshots": replies(spark, sf), **tables(spark, sf)}, [up, broken])
 
 
 def summary(metrics: DataFrame) -> DataFrame:
@@ -278,12 +281,29 @@ _ROWS = [
 ]
 
 
+_CYCLE = " UNION ALL ".join(long_sql(src, rows, base_sql("redis")) for src, rows in _ROWS)
+
+
 @query(
     "fleet_cycle",
-    "SELECT name, unit, count(*) AS series, CAST(sum(value) AS DOUBLE) AS total FROM ("
-    + " UNION ALL ".join(long_sql(src, rows, base_sql("redis")) for src, rows in _ROWS)
-    + ") GROUP BY name, unit",
+    "SELECT name, unit, count(*) AS series, CAST(sum(value) AS DOUBLE) AS total "
+    f"FROM ({_CYCLE}) GROUP BY name, unit",
 )
 def fleet_cycle(spark, sf):
-    good, _ = cycle(spark, sf)
-    return summary(good)
+    return summary(cycle(spark, sf).where(c(OUTCOME) == GOOD))
+
+
+@query(
+    "written_outcomes",
+    "SELECT 'good' AS outcome, CAST(year(TIMESTAMP '2002-01-01') AS INTEGER) AS year, name, unit, count(*) AS series, "
+    f"CAST(sum(value) AS DOUBLE) AS total FROM ({_CYCLE}) GROUP BY name, unit "
+    "UNION ALL SELECT 'rejected', 2002, 'agent.up', '1', count(*), NULL FROM region",
+)
+def written_outcomes(spark, sf):
+    """A whole cycle, good and rejected rows written in one pass and read back."""
+    path = run_dir(spark, "outcomes")
+    write_outcomes(cycle(spark, sf), path)
+    finite = F.when(~F.isnan("value"), c("value"))
+    return spark.read.parquet(path).groupBy(
+        OUTCOME, F.year("date").alias("year"), "name", "unit"
+    ).agg(F.count(F.lit(1)).alias("series"), F.sum(finite).alias("total"))

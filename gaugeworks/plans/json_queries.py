@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeworks.functions.numbers import num_json
 from gaugeworks.operators.aggregate import weighted_avg
 from gaugeworks.operators.join import replica_lag as replica_lag_op
-from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
+from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, spread, table
 from gaugeworks.sources import activemq, documents, exposition
 
 c = F.col
@@ -16,7 +16,7 @@ c = F.col
 def customer_replies(spark, sf, body: Column, endpoint: Column | str = "e") -> DataFrame:
     """One raw reply per customer."""
     return land(
-        table(spark, sf, "customer"),
+        spread(table(spark, sf, "customer"), "c_custkey"),
         c("c_custkey"),
         c("c_name"),
         c("c_mktsegment"),
@@ -313,7 +313,7 @@ def overview_json(spark, sf):
 
 def supplier_replies(spark, sf, body: Column) -> DataFrame:
     return land(
-        table(spark, sf, "supplier"),
+        spread(table(spark, sf, "supplier"), "s_suppkey"),
         c("s_suppkey"),
         c("s_name"),
         s("s", c("s_nationkey")),
@@ -730,6 +730,6 @@ def json_numbers(spark, sf):
         .when(key % 5 == 3, F.lit("true"))
         .otherwise("[1]")
     )
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         "o_orderkey", num_json(F.parse_json(text)).alias("num")
     )

@@ -356,7 +356,7 @@ def quarantine(spark, sf):
 def _documents(spark, sf):
     metrics = order_metrics(spark, sf, "m", c("o_orderkey"))
     resource = resource_attrs(F.lit("infra"), F.lit("prod"), {"cloud.region": F.lit("")})
-    return otlp_batches(metrics, resource, ["cycle_id"], max_rows=50, unique=False)
+    return otlp_batches(metrics, resource, ["cycle_id"], max_rows=50)
 
 
 # What each document carries: rows and points are counted again after reading the JSON back.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.records import record
-from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
+from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, spread, table
 from gaugeworks.schema import KEYS
 from gaugeworks.sources import queues
 
@@ -310,7 +310,7 @@ def sqs_queues(spark, sf):
         F.map_from_arrays(F.array(*names), F.array(*values)), lambda a, v: v.isNotNull()
     )
     listed = land(
-        table(spark, sf, "part"),
+        spread(table(spark, sf, "part"), "p_partkey"),
         1,
         c("p_type"),
         F.when(c("p_type").endswith("STEEL"), "sqs.local:4566").otherwise("eu-west-1"),
@@ -332,7 +332,7 @@ def tube_list(spark, sf):
         F.lit("OK 9\r\n---\r\n"), F.array_join(F.transform(some, lambda i: s("- tube ", i, "\r\n")), "")
     )
     lists = land(
-        table(spark, sf, "supplier"),
+        spread(table(spark, sf, "supplier"), "s_suppkey"),
         c("s_suppkey"),
         c("s_name"),
         F.lit("b"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.plans.common import attrs_sql, base_sql, flat, land, long_sql, query, s, table
 from gaugeworks.sources import databases, host, kafka, postgres, redis
@@ -382,15 +382,19 @@ def event_key_map(spark, sf):
     ),
 )
 def count_sum(spark, sf):
-    parts = land(
+    return flat(databases.clickhouse_parts(part_rows(spark, sf)))
+
+
+def part_rows(spark, sf) -> DataFrame:
+    return land(
         table(spark, sf, "lineitem"),
         1,
         s("supplier", c("l_suppkey")),
         F.lit("ch"),
+        pos=c("l_orderkey"),
         active=((c("l_returnflag") == "N") & (c("l_suppkey") % 5 != 0)).cast("int"),
         bytes_on_disk=c("l_quantity").cast("bigint"),
     )
-    return flat(databases.clickhouse_parts(parts))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.numbers import num_prefix, num_strict, num_zero
 from gaugeworks.operators.ordered import counter_delta
-from gaugeworks.plans.common import base_sql, flat, land, long_sql, query, s, table
+from gaugeworks.plans.common import attrs_sql, base_sql, flat, land, long_sql, query, s, spread, table
 from gaugeworks.sources import exposition, host, queues, redis
 
 c = F.col
@@ -22,7 +22,7 @@ def order_replies(spark, sf, body: Column, endpoint: Column | str = "e") -> Data
     """One raw reply per order."""
     end = F.lit(endpoint) if isinstance(endpoint, str) else endpoint
     return land(
-        table(spark, sf, "orders"),
+        spread(table(spark, sf, "orders"), "o_orderkey"),
         c("o_orderkey"),
         s("c", c("o_custkey")),
         c("o_orderpriority"),
@@ -275,7 +275,7 @@ def yaml_stats(spark, sf):
 def yaml_tubes(spark, sf):
     key = c("s_suppkey")
     tubes = F.slice(F.sequence(F.lit(1), F.lit(90)), F.lit(1), (key % 90).cast("int"))
-    suppliers = table(spark, sf, "supplier").withColumn("tubes", tubes)
+    suppliers = spread(table(spark, sf, "supplier"), "s_suppkey").withColumn("tubes", tubes)
     place = (key, c("s_name"), s("s", c("s_nationkey")))
     listing = F.concat(
         F.lit("OK 1\n---\n"),
@@ -320,7 +320,7 @@ def cpu_replies(spark, sf) -> DataFrame:
         F.lit("\ncpu0 1 2 3\ncpu1 1 2 3\nintr 5\n"),
     )
     return land(
-        table(spark, sf, "events"),
+        spread(table(spark, sf, "events"), "event_id"),
         c("event_id"),
         s("u", c("user_id")),
         F.lit("localhost"),
@@ -477,6 +477,43 @@ def load(spark, sf):
     return flat(host.load(order_replies(spark, sf, body)))
 
 
+# What hosts are changes in 1995; some hosts are unknown before that.
+_FACTS = (
+    "(SELECT DISTINCT 'c' || o_custkey AS target, o_orderpriority AS instance, TIMESTAMP '1992-01-01' AS at, "
+    "NULL AS host_name, 'amd64' AS arch, 'linux' AS os FROM orders WHERE o_custkey % 5 <> 0 UNION ALL "
+    "SELECT DISTINCT 'c' || o_custkey, o_orderpriority, TIMESTAMP '1995-06-17', 'h' || o_custkey, "
+    "CASE WHEN o_custkey % 2 = 0 THEN 'arm64' ELSE 'amd64' END, 'linux' FROM orders)"
+)
+
+
+@query(
+    "host_facts",
+    long_sql(
+        f"(SELECT o.*, f.host_name, f.arch, f.os FROM {ORDER_SRC} o ASOF LEFT JOIN {_FACTS} f "
+        "ON o.target = f.target AND o.instance = f.instance AND o.o_orderdate >= f.at)",
+        [("host.load.1m", "o_custkey", "1"), ("host.load.5m", "o_orderkey", "1"), ("host.load.15m", "0", "1")],
+        attrs_sql({"host.name": "coalesce(host_name, target)", "host.arch": "arch", "os.type": "os"}),
+    ),
+)
+def host_facts(spark, sf):
+    """Load averages with what their host was at the time."""
+    key, cust = order_cols()
+    replies = order_replies(spark, sf, s(cust, " ", key, " x\n"))
+    hosts = table(spark, sf, "orders").select("o_custkey", "o_orderpriority").distinct()
+
+    def landed(at: str, name: Column, arch: Column | str, some: DataFrame) -> DataFrame:
+        return land(
+            some, 1, s("c", cust), c("o_orderpriority"), F.lit(at).cast("timestamp_ntz"),
+            host_name=name, arch=F.lit(arch) if isinstance(arch, str) else arch, os_type=F.lit("linux"),
+        )
+
+    late = F.when(cust % 2 == 0, "arm64").otherwise("amd64")
+    facts = landed("1992-01-01", F.lit(None).cast("string"), "amd64", hosts.where(cust % 5 != 0)).unionByName(
+        landed("1995-06-17", s("h", cust), late, hosts)
+    )
+    return flat(host.load(replies, facts=facts))
+
+
 # ---- Number rules
 
 
@@ -508,7 +545,7 @@ def number_rules(spark, sf):
         .when(form == 7, F.lit("9e999"))
         .otherwise("x")
     )
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         "o_orderkey",
         num_strict(text).alias("strict"),
         num_zero(text).alias("zeroed"),

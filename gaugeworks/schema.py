@@ -55,6 +55,7 @@ LANDED = {
     "sidekiq_keys": KEY_LISTING,
     "pg_current_database": "datname string",
     "scrapes": "table_name string",
+    "host_facts": "host_name string, arch string, os_type string",
     "sqs_queues": "pos bigint, queue_url string, attributes map<string,string>",
     "mounts": (
         "pos bigint, device string, mountpoint string, fstype string, blocks bigint, "

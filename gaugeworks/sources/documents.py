@@ -80,41 +80,52 @@ def mongo_server_status(df: DataFrame) -> DataFrame:
     return to_metrics(doc, specs, base_attrs("mongodb"))
 
 
-def _mongo_time(text: Column) -> Column:
-    """A reply's time in UTC: text with or without a zone, ``{"$date": text}``, or
-    ``{"$date": milliseconds}`` (plain or as ``$numberLong``)."""
-    inner = F.get_json_object(text, "$.$date")
-    millis = F.coalesce(F.get_json_object(inner, "$.$numberLong"), inner).try_cast("bigint")
-    written = F.coalesce(inner, text)
-    zoned = written.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    read = F.when(zoned, written).otherwise(F.concat(written, F.lit("Z"))).try_cast("timestamp")
+def _mongo_times(members: Column) -> Column:
+    """Members with ``optime``, a time in UTC: text with or without a zone, ``{"$date": text}``, or
+    ``{"$date": milliseconds}`` (plain or as ``$numberLong``). Steps, so each text is read once."""
+    opened = F.transform(
+        members,
+        lambda m: record(
+            stateStr=m["stateStr"], self=m["self"], text=m["optimeDate"],
+            inner=F.when(m["optimeDate"].startswith("{"), F.get_json_object(m["optimeDate"], "$.$date")),
+        ),
+    )
+    numbered = F.transform(
+        opened,
+        lambda m: record(
+            stateStr=m["stateStr"], self=m["self"],
+            written=F.coalesce(m["inner"], m["text"]),
+            millis=F.when(m["inner"].startswith("{"), F.get_json_object(m["inner"], "$.$numberLong"))
+            .otherwise(m["inner"]).try_cast("bigint"),
+        ),
+    )
+
+    def read(written: Column) -> Column:
+        zoned = written.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+        return F.when(zoned, written).otherwise(F.concat(written, F.lit("Z"))).try_cast("timestamp")
+
     # Both are instants; the lag is their difference, so the session's zone does not matter.
-    return F.coalesce(F.timestamp_millis(millis), read)
+    return F.transform(
+        numbered,
+        lambda m: record(
+            stateStr=m["stateStr"], self=m["self"],
+            optime=F.when(m["millis"].isNotNull(), F.timestamp_millis(m["millis"])).otherwise(read(m["written"])),
+        ),
+    )
 
 
 def mongo_replset(df: DataFrame) -> DataFrame:
     """Seconds the own member trails the primary, when both are known."""
     fields = "members array<struct<stateStr: string, self: boolean, optimeDate: string>>"
     parsed = once(df, "j", F.from_json(F.col("body"), fields))
-    members = F.filter(
-        F.transform(
-            "j.members",
-            lambda m: record(
-                stateStr=m["stateStr"], self=m["self"], optime=_mongo_time(m["optimeDate"])
-            ),
-        ),
-        lambda m: m["optime"].isNotNull(),
-    )
+    timed = once(parsed, "m", F.filter(_mongo_times(F.col("j.members")), lambda m: m["optime"].isNotNull()))
 
     def last_optime(kept: Column) -> Column:
         return F.try_element_at(kept, F.lit(-1))["optime"]
 
-    primary = last_optime(F.filter(members, lambda m: m["stateStr"] == "PRIMARY"))
-    own = last_optime(F.filter(members, lambda m: m["self"]))
-    timed = parsed.select("*", primary.alias("primary"), own.alias("own")).where(
-        "primary is not null and own is not null"
-    )
-    lag = lag_seconds(F.col("primary"), F.col("own"))
+    primary = last_optime(F.filter("m", lambda m: m["stateStr"] == "PRIMARY"))
+    own = last_optime(F.filter("m", lambda m: m["self"]))
+    lag = F.when(primary.isNotNull() & own.isNotNull(), lag_seconds(primary, own))
     return to_metrics(
         timed, [("db.mongodb.replication.lag_seconds", lag, "s")], base_attrs("mongodb")
     )

@@ -16,6 +16,7 @@ from gaugeworks.functions.text import (
     split_lines,
     with_numbers,
 )
+from gaugeworks.operators.join import as_of
 from gaugeworks.operators.ordered import DAY_US, counter_delta, first_per_key, share_of_delta
 from gaugeworks.operators.shape import (
     keyed,
@@ -26,6 +27,18 @@ from gaugeworks.operators.shape import (
 )
 from gaugeworks.schema import KEYS
 
+#: What a host is; landed when it changes.
+FACTS = ["host_name", "arch", "os_type"]
+
+
+def with_facts(df: DataFrame, facts: DataFrame | None) -> DataFrame:
+    """Rows with the facts of their host as of their time; unknown ones are absent. Join parsed
+    rows, not replies: they are shuffled."""
+    if facts is None:
+        return df.withColumns({c: F.lit(None).cast("string") for c in FACTS})
+    return as_of(df, facts, ["target_name", "instance"], "collected_at", FACTS)
+
+
 # Columns of the cpu line in file order.
 CPU_TIMES = ["user", "nice", "system", "idle", "iowait", "irq", "softirq", "steal"]
 
@@ -74,19 +87,23 @@ def cpu_rows(deltas: DataFrame) -> DataFrame:
     return to_metrics(shown, specs, base_attrs("host"))
 
 
-def cpu(df: DataFrame, cores: Column | None = None, slice_us: int = DAY_US) -> DataFrame:
+def cpu(
+    df: DataFrame,
+    cores: Column | None = None,
+    slice_us: int = DAY_US,
+    facts: DataFrame | None = None,
+) -> DataFrame:
     """CPU shares between consecutive snapshots of a host."""
     samples = cpu_samples(df, cores)
-    return cpu_rows(
-        counter_delta(samples, ["target_name", "instance"], "collected_at", CPU_TIMES, slice_us)
-    )
+    deltas = counter_delta(samples, ["target_name", "instance"], "collected_at", CPU_TIMES, slice_us)
+    return cpu_rows(with_facts(deltas, facts))
 
 
 # Meminfo keys.
 MEM_KEYS = ["MemTotal", "MemAvailable", "Buffers", "Cached", "SwapTotal", "SwapFree"]
 
 
-def memory(df: DataFrame) -> DataFrame:
+def memory(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Memory gauges in bytes; utilisation and swap only where there is any."""
     def number(l: Column) -> Column:
         return record(
@@ -116,7 +133,7 @@ def memory(df: DataFrame) -> DataFrame:
         ("host.memory.swap_total", F.when(swap > 0, swap), "By"),
         ("host.memory.swap_used", F.when(swap > 0, swap - F.col("SwapFree")), "By"),
     ]
-    return to_metrics(wide, specs, base_attrs("host"))
+    return to_metrics(with_facts(wide, facts), specs, base_attrs("host"))
 
 
 # Field number, metric name, unit.
@@ -134,7 +151,7 @@ NET_HEADER = 2
 NET_MIN_FIELDS = 12
 
 
-def network(df: DataFrame) -> DataFrame:
+def network(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Interface counters without the loopback."""
     lines = split_lines(F.col("body"))
     rows = F.slice(lines, NET_HEADER + 1, F.greatest(F.size(lines) - NET_HEADER, F.lit(0)))
@@ -147,11 +164,11 @@ def network(df: DataFrame) -> DataFrame:
     )
     specs = [(name, num_zero(F.get("f", F.lit(i - 1))), unit) for i, name, unit in NET_FIELDS]
     return to_metrics(
-        shown, specs, base_attrs("host", {"host.network.interface": F.col("iface")})
+        with_facts(shown, facts), specs, base_attrs("host", {"host.network.interface": F.col("iface")})
     )
 
 
-def disk(mounts: DataFrame) -> DataFrame:
+def disk(mounts: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Size gauges per device. The first mount of a device counts, readable or not."""
     real = mounts.where(real_mount(F.col("device"), F.col("fstype")))
     cols = ["mountpoint", "blocks", "bsize", "bfree", "bavail", "statfs_ok"]
@@ -173,12 +190,14 @@ def disk(mounts: DataFrame) -> DataFrame:
         "host",
         {"host.disk.device": F.col("device"), "host.disk.mountpoint": F.col("mountpoint")},
     )
-    return to_metrics(first, specs, attrs)
+    return to_metrics(with_facts(first, facts), specs, attrs)
 
 
-def load(df: DataFrame) -> DataFrame:
+def load(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Load averages; a text with fewer than three fields gives no rows."""
     split = once(df, "f", fields(F.col("body"))).where(F.size("f") >= 3)
     names = ["host.load.1m", "host.load.5m", "host.load.15m"]
     specs = [(n, num_zero(F.get("f", F.lit(i))), "1") for i, n in enumerate(names)]
-    return to_metrics(split, specs, base_attrs("host"))
+    # Narrow before facts are joined: a reply is not shuffled.
+    narrow = split.select(*KEYS, "f")
+    return to_metrics(with_facts(narrow, facts), specs, base_attrs("host"))

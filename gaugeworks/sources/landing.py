@@ -8,6 +8,8 @@ from gaugeworks.functions.records import record
 from gaugeworks.schema import landed_schema
 
 TARGET = "struct<type: string, dsn: string, name: string>"
+#: Bytes of a row group of landed replies.
+ROW_GROUP_BYTES = 8 << 20
 # Spellings that switch the host target on.
 HOST_ON = ["true", "1"]
 
@@ -55,9 +57,14 @@ def read_snapshots(
 
 
 def write_snapshots(snapshots: DataFrame, path: str, mode: str = "append") -> None:
-    """Land raw replies partitioned so that each job reads its own endpoint only."""
+    """Land raw replies partitioned so that each job reads its own endpoint only.
+
+    Parsing is the work of the jobs that read them, and a row group is the least a task can be
+    given, so row groups are small.
+    """
     spread = snapshots.hint("rebalance", "target_type", "endpoint")
-    spread.write.mode(mode).partitionBy("target_type", "endpoint").parquet(path)
+    writer = spread.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
+    writer.partitionBy("target_type", "endpoint").parquet(path)
 
 
 def route(snapshots: DataFrame, target_type: str, endpoint: str | None = None) -> DataFrame:

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.functions.attrs import base_attrs
 from gaugeworks.functions.numbers import num_zero
 from gaugeworks.functions.records import record
 from gaugeworks.functions.text import key_part, strip_prefix, url_tail, yaml_items, yaml_pairs
 from gaugeworks.operators.aggregate import distinct_names
-from gaugeworks.operators.shape import keyed, kv_specs, once, to_metrics
+from gaugeworks.operators.shape import keyed, kv_specs, once, to_metric_groups, to_metrics
 from gaugeworks.schema import KEYS
 from gaugeworks.sources.documents import KEEP_FIELDS
 
@@ -100,7 +100,7 @@ def celery_discovery(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def celery_tasks(df: DataFrame) -> DataFrame:
-    """Pending and reserved tasks per queue, their totals, and the number of results."""
+    """Pending and reserved tasks per queue, their totals, and the number of results, in one pass."""
     key, kind, size = F.col("key"), F.col("kind"), F.coalesce("size", F.lit(0))
     bound = key.startswith(CELERY_BINDING)
     unacked = key.endswith(CELERY_UNACKED) & (kind == "zset")
@@ -109,43 +109,42 @@ def celery_tasks(df: DataFrame) -> DataFrame:
     def cut(tail: str) -> Column:
         return F.left(key, F.length(key) - F.lit(len(tail)))
 
-    # A list that ends in ":reserved" may be a reserved list or a queue of that name.
+    # A list that ends in ":reserved" may be a reserved list or a queue of that name. Every key
+    # also stands for its scrape (no queue) and for the default queue, which is always there.
     roles = F.array(
         record(queue=F.when(bound, strip_prefix(key, CELERY_BINDING)), role=F.lit("bound")),
         record(queue=F.when(kind == "list", key), role=F.lit("pending")),
         record(queue=F.when(unacked, cut(CELERY_UNACKED)), role=F.lit("zset")),
         record(queue=F.when(reserved, cut(CELERY_RESERVED)), role=F.lit("list")),
+        record(queue=F.lit(CELERY_DEFAULT), role=F.lit("bound")),
     )
-    per_scrape = df.groupBy(*KEYS).agg(
-        F.count_if(key.startswith(CELERY_RESULT)).alias("results")
-    )
-    default = per_scrape.select(
-        *KEYS,
-        F.lit(CELERY_DEFAULT).alias("queue"),
-        F.lit("bound").alias("role"),
-        F.lit(0).cast("bigint").alias("size"),
-    )
-    named = (
-        df.where(bound | kind.isin("list", "zset"))
-        .select(*KEYS, size.alias("size"), F.inline(roles))
-        .where("queue <> ''")
-        .select(*KEYS, "queue", "role", "size")
-        .unionByName(default)
+    named = F.filter(roles, lambda r: r["queue"] != "")
+    scrape = record(
+        queue=F.lit(None).cast("string"),
+        role=F.when(key.startswith(CELERY_RESULT), "result").otherwise("other"),
     )
+    listed = df.select(*KEYS, size.alias("size"), F.inline(F.concat(named, F.array(scrape))))
 
     def sum_of(role: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("role") == role, F.col("size"))), F.lit(0))
 
-    sized = (
-        named.groupBy(*KEYS, "queue")
-        .agg(
-            F.bool_or(F.col("role") == "bound").alias("found"),
-            sum_of("pending").alias("pending"),
-            sum_of("zset").alias("z"),
-            sum_of("list").alias("l"),
-        )
-        .where("found")
-        .withColumn("reserved", F.when(F.col("z") == 0, F.col("l")).otherwise(F.col("z")))
+    grouped = listed.groupBy(*KEYS, "queue").agg(
+        F.bool_or(F.col("role") == "bound").alias("found"),
+        sum_of("pending").alias("pending"),
+        sum_of("zset").alias("z"),
+        sum_of("list").alias("l"),
+        F.count_if(F.col("role") == "result").alias("results"),
+    )
+    whole = Window.partitionBy(*KEYS)
+    found = F.col("found")
+    sized = grouped.withColumn(
+        "reserved", F.when(F.col("z") == 0, F.col("l")).otherwise(F.col("z"))
+    ).withColumns(
+        {
+            "n": F.count_if(found).over(whole),
+            "sum_pending": F.sum(F.when(found, F.col("pending"))).over(whole),
+            "sum_reserved": F.sum(F.when(found, F.col("reserved"))).over(whole),
+        }
     )
     rows = [
         ("messaging.celery.queue.pending", F.col("pending"), "{tasks}"),
@@ -155,13 +154,12 @@ def celery_tasks(df: DataFrame) -> DataFrame:
         ("messaging.celery.queues.count", F.col("n"), "{queues}"),
         ("messaging.celery.tasks.pending", F.col("sum_pending"), "{tasks}"),
         ("messaging.celery.tasks.reserved", F.col("sum_reserved"), "{tasks}"),
+        ("messaging.celery.results.count", F.col("results"), "{results}"),
     ]
     attrs = base_attrs("celery", {"messaging.destination.name": F.col("queue")})
-    queues = to_metrics(sized, rows, attrs).unionByName(
-        to_metrics(_totals(sized, ["pending", "reserved"]), totals, base_attrs("celery"))
+    return to_metric_groups(
+        sized, [(found, rows, attrs), (F.col("queue").isNull(), totals, base_attrs("celery"))]
     )
-    results = [("messaging.celery.results.count", F.col("results"), "{results}")]
-    return queues.unionByName(to_metrics(per_scrape, results, base_attrs("celery")))
 
 
 # ---- Sidekiq

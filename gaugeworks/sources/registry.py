@@ -80,3 +80,5 @@ TWICE_FROM = {"pg_stat_database", "pg_stat_activity"}
 # Tables with a row per database, and those whose jobs report zeros for quiet scrapes.
 BY_DATABASE = ("pg_stat_database", "pg_database_size", "pg_stat_activity")
 WITH_SCRAPES = ("pg_stat_activity", "redis_slowlog", "kafka_groups")
+# Tables whose jobs tell what host a row is of.
+WITH_FACTS = ("mounts",)

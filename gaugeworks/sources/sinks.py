@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from gaugeworks.functions.numbers import micros
 from gaugeworks.functions.records import record
 from gaugeworks.functions.text import clip_bytes
-from gaugeworks.schema import METRIC_COLUMNS
+from gaugeworks.operators.union import OUTCOME
+from gaugeworks.schema import METRIC_DDL
 
 SCOPE_NAME = "gaugeworks"
 SCOPE_VERSION = "1.0"
 ROWS_PER_DOCUMENT = 1000
+# Rows whose documents a task hands on together.
+ROWS_AT_ONCE = 10_000
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
@@ -25,6 +30,31 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("date").parquet(path)
 
 
+def write_outcomes(marked: DataFrame, path: str, mode: str = "append") -> None:
+    """Write good and rejected rows (``mark_nonfinite``) in one pass, apart by outcome and date."""
+    dated = marked.withColumn("date", F.to_date("ts")).hint("rebalance", OUTCOME, "date")
+    dated.write.mode(mode).partitionBy(OUTCOME, "date").parquet(path)
+
+
+def write_batch(metrics: DataFrame, path: str, number: int) -> None:
+    """Write one micro-batch of metrics under its number, in place of what an earlier try of the
+    same number has left, whole or half-written. Its mark of success comes last."""
+    dated = metrics.withColumn("date", F.to_date("ts"))
+    dated.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={number}")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Metric rows of all batches that were written to the end, with ``date`` and ``batch``."""
+    schema = T.StructType.fromDDL(f"{METRIC_DDL}, date date, batch bigint")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS"))
+    whole = [str(m.getPath().getParent()) for m in marks or []]
+    if not whole:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*whole)
+
+
 def otlp_attributes(attrs: Column, clip: int | None = None) -> Column:
     """Attribute list sorted by key; ``clip`` cuts values to so many bytes."""
     def text(value: Column) -> Column:
@@ -47,42 +77,46 @@ def otlp_metric(ts: Column | None = None, clip: int | None = None) -> Column:
     return record(name=F.col("name"), unit=F.col("unit"), gauge=record(dataPoints=F.array(point)))
 
 
-def number_documents(
-    metrics: DataFrame, batch_keys: Sequence[str], max_rows: int, unique: bool = False
-) -> DataFrame:
-    """Assign each row a document (``lane``, ``part``) of its batch with ``max_rows`` at most.
-
-    The number of lanes of a batch follows from its row count, and a hash of the whole row picks
-    the lane; inside a lane a document is closed at exactly ``max_rows``. Copies of one row are
-    counted together first and travel as pieces of at most ``max_rows``, each with a lane of its
-    own, so neither a huge batch nor a huge group of copies meets in one task. ``unique`` skips
-    that for rows that went through ``dedupe_series``.
-    """
-    sizes = metrics.groupBy(*batch_keys).agg(F.count(F.lit(1)).alias("__rows"))
-    zero = F.lit(0).cast("bigint")
-    if unique:
-        pieces = metrics.withColumn("__piece", zero).withColumn("__copies", F.lit(1))
-    else:
-        folded = metrics.groupBy(*metrics.columns).agg(F.count(F.lit(1)).alias("__all"))
-        last = F.floor((F.col("__all") - 1) / max_rows)
-        left = F.col("__all") - F.col("__piece") * max_rows
-        pieces = (
-            folded.withColumn("__piece", F.explode(F.sequence(zero, last)))
-            .withColumn("__copies", F.least(left, F.lit(max_rows)).cast("int"))
-            .drop("__all")
-        )
-    lanes = F.ceil(F.col("__rows") / F.lit(max_rows)).cast("bigint")
-    whole = [F.to_json(F.map_entries("attrs")) if c == "attrs" else F.col(c) for c in METRIC_COLUMNS]
-    spread = F.xxhash64(*whole, "__piece")
-    laned = (
-        pieces.join(sizes, list(batch_keys))
-        .withColumn("lane", F.pmod(spread, lanes))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    )
-    inside = Window.partitionBy(*batch_keys, "lane").orderBy("name", "target", "ts")
-    return laned.withColumn(
-        "part", F.floor((F.row_number().over(inside) - 1) / F.lit(max_rows)).cast("bigint")
-    ).drop("__rows", "__piece", "__copies", "__copy")
+def _closed(keys: Sequence[str], max_rows: int):
+    """Rows sorted by batch to documents: a running count closes one at ``max_rows``."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        key, head, texts, number = None, None, [], 0
+        done: list[tuple[pa.RecordBatch, str, int, str]] = []
+
+        def ready() -> pa.RecordBatch:
+            heads = pa.Table.from_batches([d[0] for d in done]).combine_chunks()
+            columns = [heads.column(k).combine_chunks() for k in keys]
+            names, sizes, bodies = (list(c) for c in zip(*[d[1:] for d in done]))
+            done.clear()
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(names), pa.array(sizes, pa.int64()), pa.array(bodies)],
+                [*keys, "document", "n_metrics", "metrics"],
+            )
+
+        def close() -> None:
+            nonlocal number
+            done.append((head, f"{task}-{number}", len(texts), ",".join(texts)))
+            number += 1
+            texts.clear()
+
+        for batch in batches:
+            metric = batch.column("m").to_pylist()
+            for i, own in enumerate(zip(*[batch.column(k).to_pylist() for k in keys])):
+                if own != key or len(texts) == max_rows:
+                    if texts:
+                        close()
+                    key, head = own, batch.slice(i, 1).select(list(keys))
+                texts.append(metric[i])
+            if sum(d[2] for d in done) >= ROWS_AT_ONCE:
+                yield ready()
+        if texts:
+            close()
+        if done:
+            yield ready()
+
+    return each
 
 
 def otlp_batches(
@@ -90,37 +124,36 @@ def otlp_batches(
     resource: Column,
     batch_keys: Sequence[str] = ("cycle_id",),
     max_rows: int = ROWS_PER_DOCUMENT,
-    unique: bool = False,
     batch_time: Column | None = None,
     scope: tuple[str, str] = (SCOPE_NAME, SCOPE_VERSION),
     clip: int | None = None,
 ) -> DataFrame:
-    """One JSON document per batch, or several when a batch is large.
+    """One JSON document per batch, or several of ``max_rows`` at most when a batch is large.
+
+    One shuffle, no counting beforehand: rows are rebalanced by batch, so a batch lies in one
+    task unless it is so large that adaptive execution splits it, and each task closes its
+    documents by a running count over its sorted rows. Copies of a row are rows like any other.
 
-    ``resource`` is the map of resource attributes. Rows keep their own time unless
-    ``batch_time`` is given. ``clip`` cuts attribute values of data points to so many bytes. Pass rows through ``quarantine_nonfinite`` first.
+    ``resource`` is the map of resource attributes, out of the batch keys. Rows keep their own
+    time unless ``batch_time`` is given. ``clip`` cuts attribute values of data points to so many
+    bytes. Pass rows through ``quarantine_nonfinite`` first.
     """
-    numbered = number_documents(metrics.select(*METRIC_COLUMNS), batch_keys, max_rows, unique)
-    grouped = (
-        numbered.select(*batch_keys, "lane", "part", otlp_metric(batch_time, clip).alias("m"))
-        .groupBy(*batch_keys, "lane", "part")
-        .agg(F.array_sort(F.collect_list("m")).alias("metrics"))
-        .withColumn("document", F.concat_ws("-", "lane", "part"))
-    )
-    scoped = record(
-        scope=record(name=F.lit(scope[0]), version=F.lit(scope[1])), metrics=F.col("metrics")
-    )
-    batch = record(
-        resource=record(attributes=otlp_attributes(resource)),
-        scopeMetrics=F.array(scoped),
-    )
-    body = record(resourceMetrics=F.array(batch))
-    return grouped.select(
-        *batch_keys,
-        "document",
-        F.size("metrics").cast("bigint").alias("n_metrics"),
-        F.to_json(body).alias("body"),
+    keys = list(batch_keys)
+    text = F.to_json(otlp_metric(batch_time, clip)).alias("m")
+    rows = metrics.select(*keys, text).hint("rebalance", *keys).sortWithinPartitions(*keys, "m")
+    fields = [metrics.schema[k] for k in keys] + [
+        T.StructField("document", T.StringType()),
+        T.StructField("n_metrics", T.LongType()),
+        T.StructField("metrics", T.StringType()),
+    ]
+    documents = rows.mapInArrow(_closed(keys, max_rows), T.StructType(fields))
+    about = F.to_json(record(attributes=otlp_attributes(resource)))
+    by = F.to_json(record(name=F.lit(scope[0]), version=F.lit(scope[1])))
+    body = F.concat(
+        F.lit('{"resourceMetrics":[{"resource":'), about, F.lit(',"scopeMetrics":[{"scope":'), by,
+        F.lit(',"metrics":['), F.col("metrics"), F.lit("]}]}]}"),
     )
+    return documents.select(*keys, "document", "n_metrics", body.alias("body"))
 
 
 def write_otlp(documents: DataFrame, path: str, mode: str = "append") -> None:

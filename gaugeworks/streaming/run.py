@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.session import ROCKSDB, STATE_STORE_KEY
+from gaugeworks.sources.sinks import write_batch
 
 # Collection interval in milliseconds.
 MIN_INTERVAL_MS = 1000
@@ -54,12 +55,14 @@ def each_batch(
 ) -> StreamingQuery:
     """Run a batch job on every micro-batch, for jobs that rank or group one scrape.
 
-    Each batch has a folder of its own that a repeated run replaces, so a batch that is
-    retried after a failure is not written twice.
+    A job sees what lies in one micro-batch: pass the stream through ``hold_scrapes`` where a
+    scrape may come in several files. Each batch has a folder of its own that a repeated run
+    replaces, so a batch that is retried after a failure is not written twice; ``read_batches``
+    leaves out one that was not written to its end.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        job(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        write_batch(job(batch), path, number)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if drain:

@@ -1,42 +1,84 @@
-"""Stateful streams: counter deltas.
+"""Stateful streams: counter deltas, and scrapes held until they are whole.
 
-The twin of the batch operator. State per key is one small row in the state store, and rows of a
-micro-batch are taken in time order. One key's rows of a micro-batch meet in one task, so bound
-the micro-batch: ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` on the source.
+State is kept in the state store, and no call holds all rows that a micro-batch has of one key: where
+they come in several pieces, the pieces are put aside in the store and taken out again one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gaugeworks.functions.numbers import micros
+from gaugeworks.operators.ordered import DAY_US
+
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_all().to_pandas()
 
 
 class _Delta(StatefulProcessor):
-    """Last time and counters of each key. Whole numbers stay whole numbers."""
+    """Last time and counters of each key. Whole numbers come as text, since a column with an
+    absent one would turn into doubles, and stay whole numbers."""
 
-    def __init__(self, names: list[str], cols: list[str], whole: list[bool], prefix: str):
-        self.names, self.cols, self.prefix = names, cols, prefix
-        self.kinds = ["Int64" if w else "Float64" for w in whole]
-        self.types = [int if w else float for w in whole]
+    def __init__(self, names: list[str], cols: list[str], whole: list[bool], prefix: str, slice_us: int):
+        self.names, self.cols, self.prefix, self.slice_us = names, cols, prefix, slice_us
+        self.whole = whole
         kinds = ["bigint" if w else "double" for w in whole]
         self.schema = ", ".join(["us bigint", *[f"c{i} {k}" for i, k in enumerate(kinds)]])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", self.schema)
+        self.aside = handle.getMapState("aside", "slice bigint, piece int", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Rows arrive as tuples, which lose the names of columns that start with "_".
-        batch = pd.concat(part.set_axis(self.names, axis=1) for part in rows)
+        parts = (part.set_axis(self.names, axis=1) for part in rows)
+        first, second = next(parts), next(parts, None)
+        if second is None:
+            yield self._deltas(first)
+            return
+        # Several pieces, not in order: cut by time slice, and taken out slice by slice.
+        held: dict[int, int] = {}
+        for part in chain([first, second], parts):
+            for number, own in part.groupby(part["__us"] // self.slice_us, sort=False):
+                number = int(number)
+                self.aside.updateValue((number, held.get(number, 0)), (packed(own),))
+                held[number] = held.get(number, 0) + 1
+        first = second = None
+        for number in sorted(held):
+            own = []
+            for piece in range(held[number]):
+                own.append(unpacked(self.aside.getValue((number, piece))[0]))
+                self.aside.removeKey((number, piece))
+            yield self._deltas(pd.concat(own))
+
+    def _deltas(self, batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("__us", kind="stable", ignore_index=True)
         before = self.state.get() if self.state.exists() else None
         # Rows older than the state come too late: they get no delta and do not move it.
         late = batch["__us"] < before[0] if before else pd.Series(False, index=batch.index)
-        now = pd.DataFrame({c: batch[c].astype(k) for c, k in zip(self.cols, self.kinds)})
+        now = pd.DataFrame(
+            {
+                c: pd.array([None if pd.isna(v) else int(v) for v in batch[f"__{c}"]], "Int64") if w else batch[c].astype("Float64")
+                for c, w in zip(self.cols, self.whole)
+            }
+        )
         timely = now[~late]
         prior = timely.shift(1)
         if before is not None and len(timely):
@@ -44,32 +86,102 @@ class _Delta(StatefulProcessor):
                 prior.loc[timely.index[0], c] = pd.NA if v is None else v
         delta = (timely - prior).reindex(batch.index).add_prefix(self.prefix)
         if len(timely):
-            last = [None if pd.isna(v) else t(v) for v, t in zip(timely.iloc[-1], self.types)]
+            kinds = [int if w else float for w in self.whole]
+            last = [None if pd.isna(v) else t(v) for v, t in zip(timely.iloc[-1], kinds)]
             self.state.update((int(batch["__us"].iloc[-1]), *last))
-        yield pd.concat([batch[[c for c in batch.columns if c != "__us"]], delta], axis=1)
+        kept = batch[[c for c in batch.columns if not c.startswith("__")]].copy()
+        for c, w in zip(self.cols, self.whole):
+            if w:
+                kept[c] = now[c]
+        return pd.concat([kept, delta], axis=1)
 
     def close(self) -> None:
         pass
 
 
 def counter_delta_stream(
-    df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], prefix: str = "d_"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    cols: Sequence[str],
+    prefix: str = "d_",
+    slice_us: int = DAY_US,
 ) -> DataFrame:
     """Difference of each counter to the previous sample of its key; NULL on the first one.
 
     Integer counters stay integers at any size. A sample older than the newest one of an earlier
-    micro-batch gets NULL and is passed over.
+    micro-batch gets NULL and is passed over. A task holds the rows that a key has in one time
+    slice of a micro-batch; ``slice_us`` bounds them.
     """
-    timed = df.select("*", micros(F.col(order)).alias("__us"))
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    whole = [isinstance(df.schema[c].dataType, integral) for c in cols]
+    whole = [isinstance(df.schema[c].dataType, INTEGRAL) for c in cols]
+    text = [F.col(c).cast("string").alias(f"__{c}") for c, w in zip(cols, whole) if w]
+    timed = df.select("*", *text, micros(F.col(order)).alias("__us"))
     extra = [
         T.StructField(f"{prefix}{c}", T.LongType() if w else T.DoubleType())
         for c, w in zip(cols, whole)
     ]
     return timed.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Delta(timed.columns, list(cols), whole, prefix),
+        statefulProcessor=_Delta(timed.columns, list(cols), whole, prefix, slice_us),
         outputStructType=T.StructType([*df.schema.fields, *extra]),
         outputMode="Append",
         timeMode="None",
     )
+
+
+class _Hold(StatefulProcessor):
+    """Rows of a scrape in the store, and how many there are."""
+
+    def __init__(self, names: list[str], expected: str, wait_ms: int | None):
+        self.names, self.expected, self.wait_ms = names, expected, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "rows binary")
+        self.count = handle.getValueState("count", "n bigint, of bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, of = self.count.get() if self.count.exists() else (0, 0)
+        if not n and self.wait_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+        for part in rows:
+            part = part.set_axis(self.names, axis=1)
+            self.rows.appendValue((packed(part),))
+            n, of = n + len(part), max(of, int(part[self.expected].max()))
+        if n < of:
+            self.count.update((n, of))
+            return
+        yield from self._out(True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.count.exists():
+            yield from self._out(False)
+
+    def _out(self, whole: bool) -> Iterator[pd.DataFrame]:
+        for (data,) in self.rows.get():
+            yield unpacked(data).assign(complete=whole)
+        self.rows.clear()
+        self.count.clear()
+        if self.wait_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+
+    def close(self) -> None:
+        pass
+
+
+def hold_scrapes(
+    df: DataFrame, keys: Sequence[str], expected: str, wait_ms: int | None = None
+) -> DataFrame:
+    """Rows of a stream, a scrape's only once all of them are there, then all in one micro-batch.
+
+    The scrape's ``keys`` name it and the column ``expected`` says on every row how many it has. A
+    scrape that is still incomplete ``wait_ms`` after its first row goes out as it is; the column
+    ``complete`` tells which is which. Without ``wait_ms`` it waits for ever. Rows beyond the
+    number that come later begin a scrape of their own.
+    """
+    return df.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Hold(df.columns, expected, wait_ms),
+        outputStructType=T.StructType([*df.schema.fields, T.StructField("complete", T.BooleanType())]),
+        outputMode="Append",
+        timeMode="None" if wait_ms is None else "ProcessingTime",
+    )

@@ -1,6 +1,7 @@
 """Shared operators on small inputs."""
 
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,6 +18,7 @@ from gaugeworks.operators.agent import (
     readiness,
     send_outcome,
 )
+from gaugeworks.operators.join import as_of
 from gaugeworks.operators.ordered import (
     cap_per_key,
     collector_health,
@@ -25,11 +27,16 @@ from gaugeworks.operators.ordered import (
     latest_run,
 )
 from gaugeworks.operators.shape import classify_targets
-from gaugeworks.operators.union import dedupe_series, quarantine_nonfinite, union_metrics
+from gaugeworks.operators.union import (
+    dedupe_series,
+    mark_nonfinite,
+    quarantine_nonfinite,
+    union_metrics,
+)
 from gaugeworks.plans.cycle import collect
 from gaugeworks.schema import METRIC_DDL, landed_schema
 from gaugeworks.sources.landing import load_targets
-from gaugeworks.sources.sinks import otlp_batches, write_metrics, write_otlp
+from gaugeworks.sources.sinks import otlp_batches, write_metrics, write_otlp, write_outcomes
 from gaugeworks.streaming.run import interval_ms
 from helpers import AT, landed, replies
 
@@ -268,3 +275,104 @@ def test_documents_are_bounded_for_any_batch_keys(spark):
     docs = otlp_batches(df, F.create_map(F.lit("a"), F.lit("b")), ["target"], max_rows=100).collect()
     assert max(r["n_metrics"] for r in docs) <= 100 and sum(r["n_metrics"] for r in docs) == 1283
     assert len({r["document"] for r in docs}) == len(docs)
+
+
+# ---- One shuffle for rows and summaries
+
+
+def scans(df):
+    """Scans in the plan that ran; a shuffle that is used again has none of its own."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    return plan.toString().split("== Initial Plan ==")[0].count("FileScan")
+
+
+def test_input_is_read_once(spark, tmp_path):
+    rows = [(f"k{i % 3}", T0 + timedelta(hours=7 * i), i, i % 4 != 0, f"e{i}") for i in range(200)]
+    spark.createDataFrame(rows, "k string, ts timestamp_ntz, n long, ok boolean, error string").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    facts = df.where("n % 20 = 0").select("k", "ts", F.col("error").alias("fact"))
+    for made, n in (
+        (counter_delta(df, ["k"], "ts", ["n"]), 1),
+        (failure_runs(df, ["k"], "ts", error="error"), 1),
+        (latest_run(df, ["k"], "ts", error="error"), 1),
+        (as_of(df, facts, ["k"], "ts", ["fact"]), 2),
+    ):
+        assert scans(made) == n
+
+
+def plain_runs(rows):
+    out, run, good = {}, {}, {}
+    for k, ts, n, ok, error in sorted(rows, key=lambda r: (r[1], r[2])):
+        run[k] = 0 if ok else run.get(k, 0) + 1
+        if ok:
+            good[k] = ts
+        out[k, n] = (run[k], good.get(k), None if ok else error)
+    return out
+
+
+@pytest.mark.parametrize("slice_us", [1, 3_600_000_000, 10**15])
+def test_runs_with_equal_times_and_unknown_outcomes(spark, slice_us):
+    r = random.Random(slice_us)
+    rows = [(f"k{r.randrange(3)}", T0 + timedelta(hours=r.randrange(30)), i, r.choice([True, False, False, None]), f"e{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, n long, ok boolean, error string")
+    want = plain_runs(rows)
+    got = failure_runs(df, ["k"], "ts", error="error", seq="n", slice_us=slice_us).collect()
+    assert {(x["k"], x["n"]): (x["consecutive_failures"], x["last_success"], x["last_error"]) for x in got} == want
+    last = {k: max((x for x in rows if x[0] == k), key=lambda x: (x[1], x[2]))[2] for k in {x[0] for x in rows}}
+    latest = latest_run(df, ["k"], "ts", error="error", seq="n", slice_us=slice_us).collect()
+    assert {x["k"]: (x["consecutive_failures"], x["last_success"], x["last_error"]) for x in latest} == {k: want[k, n] for k, n in last.items()}
+
+
+def test_without_numbers_a_success_of_the_same_time_counts_last(spark):
+    df = spark.createDataFrame([("a", T0, True), ("a", T0, False), ("a", T0, None)], "k string, ts timestamp_ntz, ok boolean")
+    assert latest_run(df, ["k"], "ts").first()["consecutive_failures"] == 0
+    assert sorted(x["consecutive_failures"] for x in failure_runs(df, ["k"], "ts").collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("slice_us", [1, 3_600_000_000, 10**15])
+def test_facts_as_of_a_time(spark, slice_us):
+    r = random.Random(slice_us)
+    facts = [(f"k{r.randrange(3)}", T0 + timedelta(minutes=17 * r.randrange(60)), f"f{r.randrange(9)}", r.choice([None, "x"])) for _ in range(40)]
+    samples = [(f"k{r.randrange(4)}", T0 + timedelta(minutes=17 * r.randrange(70) - 60), i, {"m": "1"}) for i in range(200)]
+    a = spark.createDataFrame(samples, "k string, ts timestamp_ntz, n long, attrs map<string,string>")
+    b = spark.createDataFrame(facts, "k string, ts timestamp_ntz, f string, g string")
+    want = {}
+    for k, ts, n, _ in samples:
+        held = [(t, f, g or "") for q, t, f, g in facts if q == k and t <= ts]
+        best = max(held, default=(None, None, ""))
+        want[n] = (best[1], best[2] or None)
+    got = as_of(a, b, ["k"], "ts", ["f", "g"], slice_us)
+    assert got.columns == ["k", "ts", "n", "attrs", "f", "g"]
+    assert {x["n"]: (x["f"], x["g"]) for x in got.collect()} == want
+
+
+def test_uptime(spark):
+    status = spark.createDataFrame([(1, "ok"), (2, "open")], "g int, status string")
+    sends = spark.createDataFrame([(1, T0, True, "e")], "g int, ts timestamp_ntz, ok boolean, error string")
+    starts = spark.createDataFrame([(1, T0, T0 + timedelta(seconds=90, milliseconds=250))], "g int, started_at timestamp_ntz, asked_at timestamp_ntz")
+    got = {x["g"]: x["uptime_s"] for x in health_summary(status, sends, ["g"], starts).collect()}
+    assert got == {1: 90.25, 2: None}
+
+
+def test_outcomes_in_one_pass(spark, tmp_path):
+    rows = [metric("m", 1.0), metric("m", float("nan")), metric("m", float("inf")), metric("n", 2.0), metric("n", None)]
+    write_outcomes(mark_nonfinite(spark.createDataFrame(rows, METRIC_DDL)), str(tmp_path / "o"))
+    back = spark.read.parquet(str(tmp_path / "o"))
+    assert {(x["outcome"], x["count"]) for x in back.groupBy("outcome").count().collect()} == {("good", 2), ("rejected", 3)}
+
+
+def test_documents_keep_batches_of_null_keys_and_copies(spark):
+    rows = [(T0, None if i % 3 == 0 else i % 2, "t", "m", float(i % 7), "1", {"a": "x"}) for i in range(500)]
+    docs = otlp_batches(spark.createDataFrame(rows, METRIC_DDL), F.create_map(F.lit("a"), F.lit("b")), ["cycle_id"], max_rows=40).collect()
+    sizes = {}
+    for d in docs:
+        scope = json.loads(d["body"])["resourceMetrics"][0]
+        points = [m["gauge"]["dataPoints"][0]["asDouble"] for m in scope["scopeMetrics"][0]["metrics"]]
+        assert len(points) == d["n_metrics"] <= 40
+        assert scope["resource"] == {"attributes": [{"key": "a", "value": {"stringValue": "b"}}]}
+        sizes.setdefault(d["cycle_id"], []).extend(points)
+    want = {}
+    for x in rows:
+        want.setdefault(x[1], []).append(x[4])
+    assert {k: sorted(v) for k, v in sizes.items()} == {k: sorted(v) for k, v in want.items()}
