@@ -41,7 +41,10 @@ def test_base_places_equal_plain_search(spark):
 
 def test_rules_are_hundreds_and_ordered():
     found = rules()
-    assert len(found) > 300 and [r.priority for r in found] == sorted((r.priority for r in found), reverse=True)
+    # Written by hand: names with their versions, and sentences; forms of notice multiply the former.
+    names = {(f[2], v) for f in FAMILIES for v in f[4].split(",")}
+    assert len(names) + len({body for _, _, body in SENTENCES}) > 320
+    assert [r.priority for r in found] == sorted((r.priority for r in found), reverse=True)
 
 
 def test_containment():
@@ -110,3 +113,29 @@ def test_gates_of_sentences():
         for text in spellings(plain):
             words = split(pa.array([text]), ALNUM)
             assert scanner.gates(words, words.hashes())[0] >= set(rule.gate) and rule.pattern.search(f" {text} ".encode()), (text, gate)
+
+
+def test_bodies_headers_and_notices(spark):
+    texts = {
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE.""": {"gpl", "gpl-2.0-or-later", "gpl-style"},
+        """ * Unless required by applicable law or agreed to in writing, software distributed under the License is
+        * distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+        * See the License for the specific language governing permissions and limitations under the License.""": {"apache-2.0"},
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+        was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""": {"mpl-2.0"},
+        """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""": {"bsd-3-clause"},
+        """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+        TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""": {"mit"},
+        "You must give appropriate credit, provide a link to the license, and indicate if changes were made.": {"cc-by"},
+        "The author disclaims copyright to this source code. In place of a legal notice, here is a blessing:": {"sqlite-blessing"},
+        "This software is based in part on the work of the Independent JPEG Group.": {"ijg"},
+        "You may not reverse engineer, decompile, or disassemble the Software.": {"proprietary"},
+        "The license of the source is in the file; the work may be used with permission of its authors.": set(),
+    }
+    got = labels_of(spark, list(texts))
+    assert [set(filter(None, g.split(","))) for g in got] == list(texts.values())
