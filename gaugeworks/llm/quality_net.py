@@ -6,7 +6,7 @@ bytes run through each chunk and are max-pooled; the maxima of all chunks are co
 maximum and by mean, and a logistic unit makes one probability of both.
 
 It is fitted on about ``PER_CLASS`` labelled rows of each class (the documented bound; the driver
-holds their texts), with the classes' true shares put back into the bias. Every document is scored
+holds their texts), both classes weighing the same. Every document is scored
 over its whole text. Null and empty texts are one chunk of zero bytes and get that chunk's
 probability. Without labelled rows every score is 0.5. Repeated rows and ids get a row each.
 """
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import class_shares, fold, labelled_sample, pieces, query, table
+from gaugeworks.llm.common import fold, labelled_sample, pieces, query, table
 from gaugeworks.llm.tokens import buffers
 
 WIDTH = 8
@@ -88,57 +88,68 @@ class Network:
         return self.combined(self.pooled(chunks), owner) @ self.out + self.level[0]
 
 
-def train(texts: list[bytes], y: np.ndarray, share: float, epochs: int = EPOCHS, seed: int = 7) -> Network:
-    """Adam on the logistic loss, each class weighing one half; then the bias moves to ``share``."""
+NAMES = ("taps", "bias", "out", "level")
+
+
+def gradients(net: Network, raw: np.ndarray, offsets: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean weighted logistic loss of some texts, by each of ``NAMES``."""
+    n = len(offsets) - 1
+    chunks, owner = chunked(raw, offsets)
+    peak = np.empty((len(chunks), FILTERS), np.int64)
+    best = np.empty((len(chunks), FILTERS), np.float32)
+    for i in range(0, len(chunks), 64):
+        r = net.responses(chunks[i : i + 64])
+        p = r.argmax(axis=1)
+        peak[i : i + 64] = p
+        best[i : i + 64] = np.take_along_axis(r, p[:, None, :], 1)[:, 0, :]
+    hidden = np.maximum(best + net.bias, 0)
+    features = net.combined(hidden, owner)
+    p = 1 / (1 + np.exp(-(features @ net.out + net.level[0])))
+    d = ((p - y) * weight / n).astype(np.float32)
+    grads = {"out": features.T @ d, "level": np.array([d.sum()], np.float32)}
+    counts = np.bincount(owner, minlength=n).astype(np.float32)
+    down = d[:, None] * net.out[None, :]
+    g = (down[:, FILTERS:] / counts[:, None])[owner]
+    top = (hidden == features[owner, :FILTERS]).astype(np.float32)
+    ties = np.zeros((n, FILTERS), np.float32)
+    np.add.at(ties, owner, top)
+    g += top * (down[:, :FILTERS] / ties)[owner]
+    g *= hidden > 0
+    grads["bias"] = g.sum(axis=0)
+    rows, filters = np.nonzero(g)
+    values, at = g[rows, filters], peak[rows, filters]
+    taps = np.zeros(WIDTH * 256 * FILTERS, np.float64)
+    for k in range(WIDTH):
+        index = (k * 256 + chunks[rows, at + k].astype(np.int64)) * FILTERS + filters
+        taps += np.bincount(index, weights=values, minlength=len(taps))
+    grads["taps"] = taps.reshape(net.taps.shape).astype(np.float32)
+    return grads
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+
+
+def train(texts: list[bytes], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
+    """Adam on the logistic loss, each class weighing one half, so that 0.5 lies between them
+    whatever their shares are."""
     net, rng = Network(seed), np.random.default_rng(seed)
-    names = ("taps", "bias", "out", "level")
-    first = {n: np.zeros_like(getattr(net, n)) for n in names}
-    second = {n: np.zeros_like(getattr(net, n)) for n in names}
+    first = {n: np.zeros_like(getattr(net, n)) for n in NAMES}
+    second = {n: np.zeros_like(getattr(net, n)) for n in NAMES}
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     step, batch = 0, 32
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
         for b in range(0, len(order), batch):
             own = order[b : b + batch]
-            raw = np.frombuffer(b"".join(texts[i] for i in own), np.uint8)
-            offsets = np.cumsum([0] + [len(texts[i]) for i in own])
-            chunks, owner = chunked(raw, offsets)
-            peak = np.empty((len(chunks), FILTERS), np.int64)
-            best = np.empty((len(chunks), FILTERS), np.float32)
-            for i in range(0, len(chunks), 64):
-                r = net.responses(chunks[i : i + 64])
-                p = r.argmax(axis=1)
-                peak[i : i + 64] = p
-                best[i : i + 64] = np.take_along_axis(r, p[:, None, :], 1)[:, 0, :]
-            hidden = np.maximum(best + net.bias, 0)
-            features = net.combined(hidden, owner)
-            p = 1 / (1 + np.exp(-(features @ net.out + net.level[0])))
-            d = ((p - y[own]) * weight[own] / len(own)).astype(np.float32)
-            grads = {"out": features.T @ d, "level": np.array([d.sum()], np.float32)}
-            counts = np.bincount(owner, minlength=len(own)).astype(np.float32)
-            down = d[:, None] * net.out[None, :]
-            g = (down[:, FILTERS:] / counts[:, None])[owner]
-            top = (hidden == features[owner, :FILTERS]).astype(np.float32)
-            ties = np.zeros((len(own), FILTERS), np.float32)
-            np.add.at(ties, owner, top)
-            g += top * (down[:, :FILTERS] / ties)[owner]
-            g *= hidden > 0
-            grads["bias"] = g.sum(axis=0)
-            rows, filters = np.nonzero(g)
-            values, at = g[rows, filters], peak[rows, filters]
-            taps = np.zeros(WIDTH * 256 * FILTERS, np.float64)
-            for k in range(WIDTH):
-                index = (k * 256 + chunks[rows, at + k].astype(np.int64)) * FILTERS + filters
-                taps += np.bincount(index, weights=values, minlength=len(taps))
-            grads["taps"] = taps.reshape(net.taps.shape).astype(np.float32)
+            grads = gradients(net, *joined([texts[i] for i in own]), y[own], weight[own])
             step += 1
             rate = 0.01 * (1 - 0.9 * epoch / epochs)
-            for n in names:
+            for n in NAMES:
                 first[n] = 0.9 * first[n] + 0.1 * grads[n]
                 second[n] = 0.999 * second[n] + 0.001 * grads[n] ** 2
                 move = (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
                 setattr(net, n, (getattr(net, n) - rate * move).astype(np.float32))
-    net.level = net.level + np.float32(np.log(share / (1 - share)))
     return net
 
 
@@ -168,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out:
     y = np.array([r["y"] for r in rows], np.float64)
     if len(set(y)) < 2:
         return None
-    return train([r["text"].encode() for r in rows], y, class_shares(labels, label, modulus, held_out))
+    return train([r["text"].encode() for r in rows], y)
 
 
 @query("op5_quality_net")
