@@ -76,10 +76,17 @@ def test_language_centroids(spark, tables):
     assert {r["lang_pred"] for r in nothing} == {"und"}
 
 
-def test_neighbours_are_exact_and_held_out_texts_found(spark, tables, monkeypatch):
+def dense(index):
+    """The examples' vectors out of the postings."""
+    out = np.zeros((len(index.ids), len(index.terms)))
+    out[index.example, np.repeat(np.arange(len(index.terms)), np.diff(index.start))] = index.posting
+    return out
+
+
+def test_neighbours_are_exact_and_held_out_texts_found(spark, tables):
     docs, labels = tables
     index = toxicity.fit(docs, labels, "toxic", 4, 2, per_class=120)
-    vectors = np.concatenate([b.T for b in index.blocks])
+    vectors = dense(index)
     for v in vectors[::7]:
         terms = np.flatnonzero(v)
         cosine = vectors @ v
@@ -95,27 +102,43 @@ def test_neighbours_are_exact_and_held_out_texts_found(spark, tables, monkeypatc
 
 
 def test_no_term_tells_classes_apart(spark):
-    docs = cases.frame(spark, [cases.doc(i, text(i)) for i in range(12)])
+    """Every text with a word of an example has neighbours and evidence all the same."""
+    docs = cases.frame(spark, [cases.doc(i, text(i)) for i in range(12)] + [cases.doc(50, "unheard"), cases.doc(51, None)])
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
     index = toxicity.fit(docs, labels, "toxic", 4, 2)
     schema = "doc_id long, held_out boolean, score double, cosine double, evidence string"
-    got = rows_of(docs, 4).mapInArrow(toxicity._score(spark.sparkContext.broadcast(index), 0.1), schema).collect()
-    assert len(got) == 12 and len({r["score"] for r in got}) == 1 and not any(r["evidence"] for r in got)
+    got = {r["doc_id"]: r for r in rows_of(docs, 4).mapInArrow(toxicity._score(spark.sparkContext.broadcast(index), 0.1), schema).collect()}
+    assert len(got) == 14 and all(0 <= r["score"] <= 1 for r in got.values())
+    assert all(got[i]["evidence"] for i in range(12))
+    assert got[50]["score"] == got[51]["score"] == index.floor and not got[50]["evidence"]
 
 
-def test_rarer_insults_are_terms():
+def test_insults_outweigh_chance_words():
     texts = [f"a b w{i % 50}" + (" grok" if i < 40 and i % 2 else "") for i in range(4000)]
-    terms = toxicity.choose_terms(texts, np.array([i % 2 for i in range(4000)], float))
-    assert toxicity._terms_of(pa.array(["grok"]))[0][0] in terms  # in 20 of 2,000 toxic texts
+    terms, weight = toxicity.term_weights(texts, np.array([i % 2 for i in range(4000)], float))
+    of = dict(zip(terms.tolist(), weight.tolist(), strict=True))
+    w = {x: of[int(toxicity._terms_of(pa.array([x]))[0][0])] for x in ("grok", "a", "w3")}
+    assert len(of) == 53 and w["grok"] > 0.5  # in 20 of 2,000 toxic texts
+    assert w["a"] == toxicity.LEAST  # in all texts
+    # Chi-squared of one word by hand: w3 stands in 80 texts of label 1 only.
+    chi2 = ((80 - 40) ** 2 / 40 + (0 - 40) ** 2 / 40) / (1 - 80 / 4000)
+    assert w["w3"] == pytest.approx(chi2**2 / (chi2**2 + toxicity.CHI2**2))
 
 
 def test_block_bounds_skip_but_lose_nothing():
     r = np.random.default_rng(4)
-    texts = [" ".join(f"t{r.integers(40)}" for _ in range(12)) for _ in range(400)]
-    y = np.array([i % 2 for i in range(400)], float)
+    texts = [" ".join(f"t{r.integers(40)}" for _ in range(12)) for _ in range(1500)]
+    y = np.array([i % 2 for i in range(1500)], float)
     terms = np.unique(toxicity._terms_of(pa.array([f"t{i}" for i in range(40)]))[0])
-    index = toxicity.Index(terms, 1 + r.random(len(terms)), texts, y, list(range(400)), 0.3)
-    vectors = np.concatenate([b.T for b in index.blocks])
+    index = toxicity.Index(terms, 1 + 9 * r.random(len(terms)) ** 4, texts, y, list(range(1500)), 0.3)
+    vectors = dense(index)
+    assert index.n_blocks == 24
+    # The bound of every block and term is the largest weight there.
+    for t in range(len(terms)):
+        entries = slice(index.block_start[t], index.block_start[t + 1])
+        most = {int(b): float(m) for b, m in zip(index.block[entries], index.most[entries], strict=True)}
+        column = vectors[:, t]
+        assert most == {b: pytest.approx(m) for b in range(24) if (m := float(column[b * 64 : b * 64 + 64].max(initial=0))) > 0}
     for v in vectors[::13]:
         want = sorted(-(vectors @ v))[:9]
         at = np.flatnonzero(v)
@@ -139,3 +162,146 @@ def test_rates_equal_plain_descent(spark, tables):
     assert none.collect() == []
     flat = mixing.mix(docs, labels.limit(0), Shared(spark, "t"))
     assert all(x == [0.25] * 4 for x in flat.toPandas().posterior.map(list))
+
+
+def test_network_equals_plain_loops():
+    """The whole forward pass, and the gradient against small differences."""
+    net = quality_net.Network(5)
+    net.bias[:] = np.linspace(-0.3, 0.3, quality_net.FILTERS)
+    texts = [b"", b"abc", bytes(range(60, 120)) * 9, b"x" * quality_net.CHUNK + b"!! end of it"]
+    raw, offsets = quality_net.joined(texts)
+
+    def plain(text):
+        chunks = []
+        for a in range(0, max(len(text), 1), quality_net.CHUNK):
+            own = text[a : a + quality_net.CHUNK + quality_net.WIDTH - 1].ljust(quality_net.CHUNK + quality_net.WIDTH - 1, b"\0")
+            sums = [
+                [sum(float(net.taps[k, own[i + k], f]) for k in range(quality_net.WIDTH)) for f in range(quality_net.FILTERS)]
+                for i in range(quality_net.CHUNK)
+            ]
+            chunks.append([max(0.0, max(s[f] for s in sums) + float(net.bias[f])) for f in range(quality_net.FILTERS)])
+        most = [max(c[f] for c in chunks) for f in range(quality_net.FILTERS)]
+        mean = [sum(c[f] for c in chunks) / len(chunks) for f in range(quality_net.FILTERS)]
+        return sum(a * float(b) for a, b in zip(most + mean, net.out, strict=True)) + float(net.level[0])
+
+    assert net.logits(raw, offsets) == pytest.approx([plain(t) for t in texts], abs=1e-4)
+    y, weight = np.array([0.0, 1.0, 1.0, 0.0]), np.array([0.5, 1.5, 1.0, 1.0])
+
+    def loss():
+        z = net.logits(raw, offsets).astype(float)
+        return float((weight * (np.logaddexp(0, z) - y * z)).mean())
+
+    grads = quality_net.gradients(net, raw, offsets, y, weight)
+    r = np.random.default_rng(2)
+    for name in quality_net.NAMES:
+        values, grad = getattr(net, name).reshape(-1), grads[name].reshape(-1)
+        some = np.flatnonzero(grad)
+        for i in r.choice(some, min(12, len(some)), replace=False):
+            kept = values[i]
+            values[i] = kept + 1e-2
+            up = loss()
+            values[i] = kept - 1e-2
+            down = loss()
+            values[i] = kept
+            assert (up - down) / 2e-2 == pytest.approx(grad[i], abs=2e-3), name
+
+
+def test_quality_query_on_an_empty_table_and_clashing_columns(spark, tables, tmp_path):
+    docs, labels = tables
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    cases.with_extra(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    for query in (quality_net.op5_quality_net, toxicity.op3_toxicity):
+        got = query(spark, str(tmp_path))
+        assert {"doc_id", "held_out", "score", "predicted"} <= set(got.columns) and got.count() == docs.count()
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    for query in (quality_net.op5_quality_net, toxicity.op3_toxicity):
+        assert query(spark, str(tmp_path)).collect() == []
+
+
+def plain_vector(text, idf):
+    low = (text or "").encode()
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in low)
+    tf = {}
+    for i in range(len(low) - 2):
+        gram = low[i] << 16 | low[i + 1] << 8 | low[i + 2]
+        bucket = (gram * 2654435761) % (1 << 32) >> 20
+        tf[bucket] = tf.get(bucket, 0) + 1
+    v = {b: np.log1p(n) * float(idf[b]) for b, n in tf.items()}
+    length = np.sqrt(sum(x * x for x in v.values()))
+    return {b: x / length for b, x in v.items()} if length else {}
+
+
+def dot(v, c):
+    return sum(x * float(c[b]) for b, x in v.items())
+
+
+def test_centroids_equal_plain_cosines_and_steps(spark, tables):
+    docs, _ = tables
+    learned = docs.select("doc_id", "text", "lang").where("doc_id < 240")
+    model = language_centroids.fit(learned)
+    texts = [r["text"] for r in learned.collect()]
+    # Document frequencies over all texts.
+    seen = np.zeros(language_centroids.BUCKETS)
+    for t in texts:
+        for b in plain_vector(t, np.ones(language_centroids.BUCKETS)):
+            seen[b] += 1
+    assert model.idf == pytest.approx(np.log((1 + len(texts)) / (1 + seen)) + 1, rel=1e-5)
+    got = {r["doc_id"]: r for r in language_centroids.predict(rows_of(docs, 4), model).collect()}
+    for r in docs.where("doc_id IS NOT NULL AND (doc_id % 9 = 0 OR doc_id > 1000)").dropDuplicates(["doc_id"]).collect():
+        if r["doc_id"] in (1006, 1007):
+            continue  # ids with two texts
+        cosines = [dot(plain_vector(r["text"], model.idf), c) for c in model.centroids]
+        mine = got[r["doc_id"]]
+        if mine["lang_pred"] == "und":
+            assert not any(c.isalpha() for c in r["text"] or "")
+            continue
+        names = sorted(set(model.langs))
+        by = [max(c for c, x in zip(cosines, model.langs) if x == name) for name in names]
+        assert mine["cosine"] == pytest.approx(max(cosines), abs=1e-4)
+        assert mine["lang_pred"] == names[int(np.argmax(by))]
+        weights = np.exp(language_centroids.SHARPNESS * (np.array(by) - max(by)))
+        assert mine["score"] == pytest.approx(weights.max() / weights.sum(), abs=1e-3)
+        near = int(np.argmax(cosines))
+        if abs(cosines[near] - model.radius[near]) > 1e-4:
+            assert mine["rejected"] == (cosines[near] < model.radius[near])
+
+
+def test_clusters_equal_plain_steps():
+    texts = [text(i) for i in range(0, 60, 2)]
+    idf = np.ones(language_centroids.BUCKETS, np.float32)
+    group = pa.table({"doc_id": list(range(30)), "text": texts, "lang": ["yy"] * 30})
+    made = language_centroids._cluster(idf, 3)(group)
+    vectors = [plain_vector(t, idf) for t in texts]
+    start = np.random.default_rng(11).permutation(30)[:3]
+    centre = [np.array([vectors[i].get(b, 0.0) for b in range(language_centroids.BUCKETS)]) for i in start]
+    for _ in range(12):
+        near = [int(np.argmax([dot(v, c) for c in centre])) for v in vectors]
+        sums = [np.zeros(language_centroids.BUCKETS) for _ in centre]
+        for v, c in zip(vectors, near, strict=True):
+            for b, x in v.items():
+                sums[c][b] += x
+        centre = [s / np.linalg.norm(s) if s.any() else c for s, c in zip(sums, centre, strict=True)]
+    got = [np.frombuffer(c, np.float32) for c in made.column("centroid").to_pylist()]
+    assert all(np.abs(a - b).max() < 1e-4 for a, b in zip(got, centre, strict=True))
+    own = [[dot(v, c) for c in centre] for v in vectors]
+    for k, radius in enumerate(made.column("radius").to_pylist()):
+        mine = [max(o) for o in own if int(np.argmax(o)) == k]
+        assert radius == pytest.approx(np.quantile(mine, language_centroids.OUTSIDE) if mine else 0.0, abs=1e-4)
+
+
+def test_equal_centroids_go_to_the_first_language(spark):
+    c = np.zeros((2, language_centroids.BUCKETS), np.float32)
+    c[:, :] = 1 / np.sqrt(language_centroids.BUCKETS)
+    model = language_centroids.Model(["aa", "bb"], c, np.zeros(2), np.ones(language_centroids.BUCKETS, np.float32), "bb", 0.5)
+    docs = cases.frame(spark, [cases.doc(1, "some text"), cases.doc(2, "x")])
+    got = {r["doc_id"]: r["lang_pred"] for r in language_centroids.predict(rows_of(docs, 4), model).collect()}
+    assert got == {1: "aa", 2: "bb"}  # a tie, and no vector
+
+
+def test_equal_cosines_go_to_the_first_example():
+    texts = ["t1 t2", "t1 t2", "t1 t3", "t1 t2"]
+    terms = np.unique(toxicity._terms_of(pa.array(["t1 t2 t3"]))[0])
+    index = toxicity.Index(terms, np.ones(3), texts, np.array([0.0, 1, 0, 1]), [7, 8, 9, 10], 0.3)
+    at, _ = toxicity._look_up(terms, *toxicity._terms_of(pa.array(["t1 t2"])))
+    near = index.nearest(*index.vector(at), 2)
+    assert [index.ids[i] for _, i in near] == [7, 8] and near[0][0] == near[1][0]
