@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -68,25 +69,37 @@ class Shared:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed. An idle worker would keep it, and an
+    executor has several."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 30
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``limit`` bytes of text, and ``rows`` rows at most."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sizes = batch.column(column).nbytes
-        if sizes <= limit and batch.num_rows <= rows:
-            yield batch
-            continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-        begin = held = 0
-        for i, n in enumerate(lengths):
-            if (held and held + n > limit) or i - begin >= rows:
-                yield batch.slice(begin, i - begin)
-                begin, held = i, 0
-            held += int(n)
-        yield batch.slice(begin)
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = batch.column(column).nbytes
+            if sizes <= limit and batch.num_rows <= rows:
+                yield batch
+                continue
+            lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+            begin = held = 0
+            for i, n in enumerate(lengths):
+                if (held and held + n > limit) or i - begin >= rows:
+                    yield batch.slice(begin, i - begin)
+                    begin, held = i, 0
+                held += int(n)
+            yield batch.slice(begin)
+    finally:
+        give_back()
 
 
 def labelled_sample(
