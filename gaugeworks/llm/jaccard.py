@@ -56,7 +56,9 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.c) AS component_id
 _U = np.uint64
 SLACK = 3
 #: Members of a group that a task holds; larger groups are dealt out in parts of about so many.
-PART = 500
+PART = 200
+#: Pairs of members that one numpy pass looks at.
+CELLS = 1 << 17
 #: Steps in which the small groups are worked on: each holds its shuffles only.
 SLICES = 2
 #: Parts into which the rows of one component are dealt.
@@ -329,8 +331,8 @@ def group_links(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> list
     for r in np.unique(count[count > 1]).tolist():  # runs of one element, those of one length together
         x, y = np.triu_indices(r, 1)
         runs = begin[count == r]
-        for k in range(0, len(runs), max(1, (1 << 20) // (r * r))):
-            rows = runs[k : k + max(1, (1 << 20) // (r * r)), None] + np.arange(r)
+        for k in range(0, len(runs), max(1, CELLS // (r * r))):
+            rows = runs[k : k + max(1, CELLS // (r * r)), None] + np.arange(r)
             i, j = rows[:, x].ravel(), rows[:, y].ravel()
             a, b = owner[i], owner[j]
             needed = differs[a] + differs[b] - (size[a] + size[b]) * (100 - percent) // (100 + percent)

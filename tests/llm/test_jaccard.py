@@ -67,7 +67,7 @@ def family(spark_seed):
     return rows
 
 
-@pytest.mark.parametrize(("n", "percent", "seed", "part"), [(3, 90, 1, 500), (5, 80, 2, 500), (1, 60, 3, 500), (5, 80, 4, 3), (1, 60, 5, 7)])
+@pytest.mark.parametrize(("n", "percent", "seed", "part"), [(3, 90, 1, 200), (5, 80, 2, 200), (1, 60, 3, 200), (5, 80, 4, 3), (1, 60, 5, 7)])
 def test_components_equal_all_pairs(spark, monkeypatch, n, percent, seed, part):
     monkeypatch.setattr(jaccard, "PART", part)  # groups above it go over the cluster
     rows = family(seed)
