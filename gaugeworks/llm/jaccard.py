@@ -11,10 +11,11 @@ a corpus. The join therefore goes down in three steps, each exact for links:
    own size. Sizes are cut into ranges, and a set within the triangle window of a range above
    is replicated into it.
 2. *Regions in hash ranges.* In a size range, linked sets differ in at most t shingles. The hash
-   space is cut into t + s ranges, so at least s ranges hold no difference. The part of a set in
-   one range is a pivot, and its region is every set with exactly that part (radius 0), so linked
-   sets share a region. Empty parts count only for sets with s or more of them, since linked sets
-   then both have them; s is chosen so that hardly any set has.
+   space is cut into t + s ranges, so linked sets have s parts or more in common. The part of a set
+   in one range is a pivot, and its region is every set with exactly that part (radius 0). Parts
+   have one order for all sets, by how many shingles they hold. A set is only in the regions of its
+   last t + 1 parts in that order: the last common part of linked sets has s - 1 parts before it in
+   both, so they share its region. Small parts, which unrelated sets share by chance, fall away.
 3. *Pivots inside a region.* Regions of two or more sets get a pivot set: the member of most
    regions, which is the middle of its copies. All members are measured against it. Those within
    the join distance are its ball, already connected. Regions of one pivot go on as one group. What
@@ -78,7 +79,7 @@ def digest(own: np.ndarray, salt: int = 0) -> int:
 def size_ranges(top: int = 1 << 40) -> np.ndarray:
     bounds = [1]
     while bounds[-1] < top:
-        bounds.append(max(bounds[-1] + 1, bounds[-1] * 3 // 2))
+        bounds.append(max(bounds[-1] + 1, bounds[-1] * 5 // 4))
     return np.array(bounds, np.int64)
 
 
@@ -86,14 +87,10 @@ _BOUNDS = size_ranges()
 _edges: dict[int, np.ndarray] = {}
 
 
-def spare_ranges(t: int, percent: int) -> int:
-    """Hash ranges beyond the t that may differ: more than a set leaves empty, as good as always.
-
-    The smallest sets of a size range have two thirds of its top, so with 1.3 t ranges about
-    1.3 t exp(-(2 / 3) / (1.3 r)) are empty, r = (100 - percent) / percent.
-    """
-    r = (100 - percent) / percent
-    return SLACK + int(2 * t * np.exp(-(2 / 3) / (1.3 * r)))
+def spare_ranges(t: int) -> int:
+    """Hash ranges beyond the t that may differ. A set's smallest parts, one fewer than these, make
+    no region."""
+    return SLACK + t // 4
 
 
 def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
@@ -103,8 +100,8 @@ def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
     while n and _BOUNDS[k] <= n * 100 // percent:
         t = int(_BOUNDS[k + 1] - 1) * (100 - percent) // percent
         if t:  # else only equal sets link
-            slack = spare_ranges(t, percent)
-            m = t + slack
+            spare = spare_ranges(t)
+            m = t + spare
             if m not in _edges:
                 _edges[m] = np.array([i * (1 << 64) // m for i in range(1, m)], _U)
             if sums is None:
@@ -114,9 +111,8 @@ def region_keys(own: np.ndarray, percent: int) -> np.ndarray:
             at[0], at[-1] = 0, n
             at[1:-1] = np.searchsorted(own, _edges[m])
             part = np.diff(sums[at])
-            full = np.diff(at) > 0
             keys = mix(part + mix(np.arange(m, dtype=_U) + _U(k << 44)))
-            out.append(keys if m - full.sum() >= slack else keys[full])
+            out.append(keys[np.lexsort((keys, np.diff(at)))[spare - 1 :]])
         k += 1
     return np.concatenate(out) if out else np.zeros(0, _U)
 
@@ -482,11 +478,11 @@ def jaccard_groups(
         .mapInArrow(_shared_regions, "region long, node long"),
         "regions",
     )
-    # One text for each set that has a neighbour in some region.
+    # One text for each set that has a neighbour in some region; the join has dealt them by key.
     weights = regions.groupBy("node").agg(F.count("*").alias("weight"))
     chosen = members.groupBy("node").agg(F.min("key").alias("key")).join(weights, "node").select("node", "key")
     packed = docs.select("key", "text").mapInArrow(_packed, "key long, packed binary")
-    texts = shared.keep(packed.join(chosen, "key").groupBy("node").agg(F.first("packed").alias("packed")), "texts")
+    texts = shared.keep(packed.join(chosen, "key").groupBy("key", "node").agg(F.first("packed").alias("packed")).drop("key"), "texts")
 
     # Each region's pivot. Regions with one pivot go on as one group.
     pivots = (

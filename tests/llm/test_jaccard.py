@@ -138,3 +138,20 @@ def test_a_long_chain_settles(spark):
     links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     got = components(links, Shared(spark, "t")).collect()
     assert len(got) == 301 and {r["root"] for r in got} == {0}
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_small_parts_make_no_regions(percent):
+    """A set has one region more than its sets may differ, in each size range, and linked sets share one."""
+    r = np.random.default_rng(percent)
+    for _ in range(60):
+        n = int(r.integers(5, 400))
+        own = np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64))
+        k = [k for k in range(40) if jaccard._BOUNDS[k + 1] > n and jaccard._BOUNDS[k] <= n * 100 // percent]
+        allowed = [int(jaccard._BOUNDS[i + 1] - 1) * (100 - percent) // percent for i in k]
+        assert len(jaccard.region_keys(own, percent)) == sum(t + 1 for t in allowed if t)
+        lost = r.random(n) < r.random() * (100 - percent) / 100
+        other = np.unique(np.concatenate([own[~lost], r.integers(0, 1 << 64, int(lost.sum()) // 2, dtype=np.uint64)]))
+        both = len(np.intersect1d(own, other))
+        if 100 * both >= percent * (len(own) + len(other) - both) and both < max(n, len(other)):
+            assert len(np.intersect1d(jaccard.region_keys(own, percent), jaccard.region_keys(other, percent)))
