@@ -33,11 +33,14 @@ def delivered(
     spark: SparkSession, name: str, rows: DataFrame, transform: Callable[[DataFrame], DataFrame], start
 ) -> str:
     """Land rows in deliveries by their column ``arrival`` and drain the stream after each one, from
-    the checkpoint of the last; the folder that was written to."""
+    the checkpoint of the last; the folder that was written to. The rows are made once and lie
+    apart by delivery."""
     folder = run_dir(spark, name)
     landed = rows.drop("arrival")
+    rows.write.partitionBy("arrival").parquet(f"{folder}/rows")
+    made = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
     for number in range(DELIVERIES):
-        rows.where(c("arrival") == number).drop("arrival").write.mode("append").parquet(f"{folder}/in")
+        made.where(c("arrival") == number).select(*landed.columns).write.mode("append").parquet(f"{folder}/in")
         stream = transform(spark.readStream.schema(landed.schema).parquet(f"{folder}/in"))
         with state_settings(spark):
             start(stream, f"{folder}/out", f"{folder}/checkpoint", drain=True).awaitTermination()

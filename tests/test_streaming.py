@@ -251,3 +251,60 @@ def test_interval_trigger(spark, tmp_path, asked):
         assert len(at) >= 2 and all(b - a >= 1.3 for a, b in zip(at, at[1:]))
     else:
         assert interval_ms(asked) == DEFAULT_INTERVAL_MS and len(started) == 1
+
+
+# ---- Many keys in one call
+
+
+class Found(Map):
+    """A map state that has nothing under an unknown key, as the store's."""
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def removeKey(self, key):
+        self.rows.pop(key, None)
+
+
+class FoundHandle(Handle):
+    def getMapState(self, name, key, schema):
+        return Found()
+
+
+def test_deltas_of_a_bucket_come_together():
+    """One call and one frame for 300 keys; each has its own state, late rows and rows without a time."""
+    made = stateful._Delta(["k", "n", "__n", "__us", "__key"], ["n"], [True], "d_", 10**12)
+    made.init(FoundHandle())
+
+    def call(rows):
+        frame = pd.DataFrame(rows, columns=["k", "n", "__us"])
+        frame.insert(2, "__n", frame["n"].astype(str))
+        (out,) = made.handleInputRows((7,), iter([frame.assign(__key=frame["k"])]), None)
+        assert list(out.columns) == ["k", "n", "d_n"]
+        return {(k, int(n)): None if pd.isna(d) else int(d) for k, n, d in zip(out["k"], out["n"], out["d_n"])}
+
+    got = call([(f"k{i}", BIG + i * j, j) for j in (2, 1) for i in range(300)])
+    assert all(got[f"k{i}", BIG + 2 * i] == i and (i == 0 or got[f"k{i}", BIG + i] is None) for i in range(1, 300))
+    got = call([(f"k{i}", BIG + 5 * i, 3) for i in range(1, 300)] + [("k1", BIG, 1), ("k2", BIG, None), ("new", BIG, 0)])
+    assert all(got[f"k{i}", BIG + 5 * i] == 3 * i for i in range(1, 300))
+    assert got["k1", BIG] is None and got["k2", BIG] is None and got["new", BIG] is None
+
+
+@pytest.mark.parametrize("size", [10_000, 130])
+def test_scrapes_of_a_bucket_come_together(size):
+    """200 scrapes of one bucket, in one piece and in several: whole ones in one frame, the rest aside."""
+    made = stateful._Hold(["k", "v", "of", "__key"], "of", None)
+    made.init(FoundHandle())
+
+    def call(rows):
+        frame = pd.DataFrame(rows, columns=["k", "v", "of"]).assign(__key=lambda f: f["k"])
+        parts = (frame.iloc[i : i + size] for i in range(0, len(frame), size))
+        out = list(made.handleInputRows((7,), parts, None))
+        assert len(out) <= 1 and all(list(f.columns) == ["k", "v", "of", "complete"] and f["complete"].all() for f in out)
+        return sorted((k, v) for f in out for k, v in zip(f["k"], f["v"]))
+
+    assert call([(f"s{i}", j, 3) for j in range(2) for i in range(200)]) == []
+    assert call([(f"s{i}", 2, 3) for i in range(0, 200, 2)] + [("t", 0, 1)]) == sorted(
+        [(f"s{i}", j) for i in range(0, 200, 2) for j in range(3)] + [("t", 0)]
+    )
+    assert {k for k, _ in made.rows.rows} == {k for (k,) in made.counts.rows} == {f"s{i}" for i in range(1, 200, 2)}
