@@ -10,6 +10,7 @@ from gaugeworks.plans.common import base_sql, land, long_sql, query, s, spread,
 from gaugeworks.plans.cycle import collect_marked
 from gaugeworks.schema import METRIC_COLUMNS
 from gaugeworks.session import run_dir
+from gaugeworks.sources.landing import read_snapshots, write_snapshots
 from gaugeworks.sources.sinks import write_outcomes
 
 c = F.col
@@ -128,7 +129,10 @@ def tables(spark, sf) -> dict[str, DataFrame]:
 
 
 def cycle(spark, sf) -> DataFrame:
-    """Run every job over the replies and tables: metric rows with their outcome."""
+    """Run every job over the replies and tables: metric rows with their outcome. Replies are landed
+    first, so they are made once and a job reads those of its own endpoint only."""
+    landed = run_dir(spark, "replies")
+    write_snapshots(replies(spark, sf), landed)
     cycles = table(spark, sf, "region").select(
         F.lit("2002-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
         c("r_regionkey").cast("bigint").alias("cycle_id"),
@@ -137,7 +141,7 @@ def cycle(spark, sf) -> DataFrame:
     up = heartbeat(cycles)
     # A copy of each row that is no number must not stand for the finite one.
     broken = up.withColumn("value", F.lit(float("nan")))
-    return collect_marked({"raw_snapshots": replies(spark, sf), **tables(spark, sf)}, [up, broken])
+    return collect_marked({"raw_snapshots": read_snapshots(spark, landed), **tables(spark, sf)}, [up, broken])
 
 
 def summary(metrics: DataFrame) -> DataFrame:
