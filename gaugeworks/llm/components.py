@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import Shared
 
 
-def components(links: DataFrame, shared: Shared) -> DataFrame:
+def components(links: DataFrame, shared: Shared, name: str = "star") -> DataFrame:
     """``links`` (a, b bigint) to (node, root): root is the smallest node that links reach.
 
     Each round joins every node to the smallest one next to it (large star), then its smaller
     neighbours to the smallest of them (small star); only minima are grouped, so a node with
-    very many links is no list anywhere; rounds grow with the logarithm of the nodes. Each round's table is written to the shared folder.
-    Nodes without links are absent.
+    very many links is no list anywhere; rounds grow with the logarithm of the nodes. Each round's table is written to the shared folder
+    under ``name``. Nodes without links are absent.
     """
     step = shared.keep(
         links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
         .where("u < v")
         .distinct(),
-        "star-0",
+        f"{name}-0",
     )
     for k in count(1):
         both = step.select("u", "v").union(step.select(F.col("v"), F.col("u")).toDF("u", "v"))
@@ -39,8 +39,8 @@ def components(links: DataFrame, shared: Shared) -> DataFrame:
             .select(F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e"))
             .select("e.v", "e.u").where("u < v").distinct()
         )
-        step = shared.keep(small, f"star-{k}")
-        shared.drop(f"star-{k - 1}")
+        step = shared.keep(small, f"{name}-{k}")
+        shared.drop(f"{name}-{k - 1}")
         ends = step.select(F.col("v").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
             step.select("u", F.lit(0), F.lit(1)).distinct()
         )

@@ -20,9 +20,11 @@ a corpus. The join therefore goes down in three steps, each exact for links:
    regions, which is the middle of its copies. All members are measured against it. Those within
    the join distance are its ball, already connected. Regions of one pivot go on as one group. What
    is left are pairs that are not in the ball together; the triangle inequality on differences from
-   the pivot (see ``_across_balls``) leaves few of them, which are measured one by one. A group of
+   the pivot (see ``_across``) leaves few of them, which are measured one by one. A group of
    up to ``PART`` members does all this inside a task. A larger one recurses over the cluster:
-   members outside get a pivot of their own, and so on for some levels.
+   members outside get a pivot of their own, and so on for some levels. Pairs that the links found
+   so far connect, in whatever group, are then left out, and the others meet by their group's
+   rarest differences first.
 
 Shingles are compared by 64-bit hashes. No size, bucket or candidate is capped.
 """
@@ -62,6 +64,8 @@ PART = 200
 CELLS = 1 << 17
 #: Steps in which the small groups are worked on: each holds its shuffles only.
 SLICES = 2
+#: Bits of a difference's hash by which a large group counts its differences.
+BUCKET_BITS = 12
 #: Parts into which the rows of one component are dealt.
 SALTS = 16
 
@@ -209,19 +213,22 @@ def _unpacked(batches):
         yield batch.set_column(at, "text", texts.cast(pa.large_string()))
 
 
-def _beside(pairs: DataFrame, texts: DataFrame, *more: str) -> DataFrame:
+def _beside(pairs: DataFrame, texts: DataFrame, *more: str, heads: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, ...) with the text of b, dealt by a; a's own text stands before, as the pair
     (a, a). Each member's text travels once a pair and the pivot's once a task: pivots of many
-    members are dealt out in parts of about ``PART`` pairs."""
+    members are dealt out in parts of about ``PART`` pairs. Further columns of ``heads`` (a, ...)
+    stand in the pivot's rows only."""
     counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     members = pairs.join(counted, "a").select("a", "b", F.expr("pmod(xxhash64(b), parts)").cast("int").alias("part"), *more)
-    own = counted.select(
+    extra = [] if heads is None else [c for c in heads.columns if c != "a"]
+    members = members.select("*", *[F.lit(None).cast(heads.schema[c].dataType).alias(c) for c in extra])
+    own = (counted if heads is None else counted.join(heads, "a", "left")).select(
         "a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in more],
+        *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in more], *extra,
     )
     rows = members.union(own).join(texts.select(F.col("node").alias("b"), "packed"), "b")
     return (
-        rows.select("a", "part", F.expr("a <> b").alias("member"), "b", *more, "packed")
+        rows.select("a", "part", F.expr("a <> b").alias("member"), "b", *more, *extra, "packed")
         .repartition("a", "part").sortWithinPartitions("a", "part", "member")
     )
 
@@ -251,12 +258,68 @@ def _measure(n_words: int):
     return each
 
 
+def inside(s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which elements of the sorted set ``s`` are in ``own``, and which of ``own`` in ``s``."""
+    at = np.searchsorted(own, s)
+    at[at == len(own)] = 0
+    here = own[at] == s
+    there = np.zeros(len(own), bool)
+    there[at[here]] = True
+    return here, there
+
+
+def difference(s: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Elements of one of two sets only, those of ``s`` first."""
+    here, there = inside(s, own)
+    return np.concatenate([s[~here], own[~there]])
+
+
+def _bucket(elements: np.ndarray) -> np.ndarray:
+    return (elements >> _U(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _bucket_counts(n_words: int):
+    """Rows of ``_beside`` to (group, bucket, n): how many differences from the pivot the members
+    of a part have in each bucket of hashes."""
+
+    def each(batches):
+        group, own, counts = None, None, np.zeros(1 << BUCKET_BITS, np.int64)
+
+        def ready():
+            at = np.flatnonzero(counts)
+            columns = [pa.array(np.full(len(at), group, np.int64)), pa.array(at.astype(np.int32)), pa.array(counts[at])]
+            counts[:] = 0
+            return pa.RecordBatch.from_arrays(columns, ["group", "bucket", "n"])
+
+        for batch in _unpacked(batches):
+            rows = zip(
+                shingle_sets(split(batch.column("text")), n_words), batch.column("member").to_pylist(), batch.column("a").to_pylist(),
+                strict=True,
+            )
+            for s, member, a in rows:
+                if member:
+                    counts += np.bincount(_bucket(difference(s, own)), minlength=len(counts))
+                    continue
+                if counts.any():
+                    yield ready()
+                group, own = a, s
+        if counts.any():
+            yield ready()
+
+    return each
+
+
+def rarest_first(delta: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Differences in the one order of their group: by how many its bucket has, then by hash."""
+    return delta[np.lexsort((delta, counts[_bucket(delta)]))]
+
+
 def _differences(n_words: int, percent: int):
-    """Rows of ``_beside`` with ``ball``: where each member b differs from its group's pivot a, words
-    added first, as far as a partner can need. The pivot itself differs nowhere."""
+    """Rows of ``_beside`` with ``root`` and, in the pivot's rows, ``counts``: where each member b
+    differs from its group's pivot a, rarest first, as far as a partner can need."""
 
     def each(batches):
-        own = None
+        own, counts = None, np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in _unpacked(batches):
             elements, at, owner, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
             sets = shingle_sets(split(batch.column("text")), n_words)
@@ -264,11 +327,13 @@ def _differences(n_words: int, percent: int):
                 if not member:
                     own = other
                     sizes.append((0, 0))
+                    counts[:] = 0
+                    if (counted := batch.column("counts")[i].values) is not None:
+                        counts[counted.field("bucket").to_numpy()] = counted.field("n").to_numpy()
                     continue
-                both = np.intersect1d(own, other, assume_unique=True)
-                delta = np.concatenate([np.setdiff1d(other, both, assume_unique=True), np.setdiff1d(own, both, assume_unique=True)])
+                delta = difference(other, own)
                 sizes.append((len(delta), len(other)))
-                delta = delta[: len(other) * (100 - percent) // percent + 1]
+                delta = rarest_first(delta, counts)[: len(other) * (100 - percent) // percent + 1]
                 elements.append(delta)
                 at.append(np.arange(len(delta)))
                 owner.append(np.full(len(delta), i))
@@ -277,31 +342,21 @@ def _differences(n_words: int, percent: int):
             of = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("a").take(of), batch.column("b").take(of), batch.column("ball").take(of),
+                    batch.column("a").take(of), batch.column("b").take(of), batch.column("root").take(of),
                     pa.array(np.concatenate(elements).view(np.int64)), pa.array(np.concatenate(at)),
                     pa.array(size[:, 0].copy()), pa.array(size[:, 1].copy()),
                 ],
-                ["group", "node", "ball", "element", "at", "differs", "n"],
+                ["group", "node", "root", "element", "at", "differs", "n"],
             )
 
     return each
 
 
-def inside(s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which elements of the sorted set ``s`` are in ``own``, and which of ``own`` in ``s``."""
-    at = np.searchsorted(own, s)
-    at[at == len(own)] = 0
-    here = own[at] == s
-    there = np.zeros(len(own), bool)
-    there[at[here]] = True
-    return here, there
-
-
 def group_links(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links inside one group as pairs of numbers, -1 for the pivot: all to the pivot, and of the
     others all that are not in its ball together (these are connected through it).
 
-    Pairs are found by common differences from the pivot, as in ``_across_balls``.
+    Pairs are found by common differences from the pivot, as in ``_across``.
     """
     near, differs, elements, at, owner = [], [], [], [], []
     for i, s in enumerate(sets):
@@ -383,19 +438,27 @@ def _group_links(n_words: int, percent: int):
     return each
 
 
-def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of a group that are not in one ball.
+def _across(state: DataFrame, texts: DataFrame, shared: Shared, n_words: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of a group (group, node, root) that no links connect so far.
 
     Sets differ from each other where one of them alone differs from the pivot, so with d(x) the
     number of shingles in which x differs from it, |x xor y| = d(x) + d(y) - 2 common. A pair
-    of different balls is beyond d(x) + d(y) <= t, which would put both into the pivot's ball, and
+    of different roots is beyond d(x) + d(y) <= t, which would put both into the pivot's ball, and
     must have differences in common: (d(x) + d(y) - t) / 2 at least. Differences are put in one
-    order (words added, then words lost), so the first common one must leave that many in both.
+    order for the group, so the first common one must leave that many in both. What most members
+    of a group have in common against the pivot (it need not be the middle of all its regions) would
+    bring all of them together; so the rarest come first, as counted by buckets of hashes, which is a
+    bounded table for a group of any size.
     """
-    left = state.where("group <> node").select(F.col("group").alias("a"), F.col("node").alias("b"), "ball")
-    rows = _beside(left, texts, "ball").mapInArrow(
+    left = state.where("group <> node").select(F.col("group").alias("a"), F.col("node").alias("b"), "root")
+    counted = _beside(left.select("a", "b"), texts).mapInArrow(_bucket_counts(n_words), "group long, bucket int, n long")
+    counts = counted.groupBy("group", "bucket").agg(F.sum("n").alias("n"))
+    heads = shared.keep(
+        counts.groupBy(F.col("group").alias("a")).agg(F.collect_list(F.struct("bucket", "n")).alias("counts")), "counts"
+    )
+    rows = _beside(left, texts, "root", heads=heads).mapInArrow(
         _differences(n_words, percent),
-        "group long, node long, ball long, element long, at long, differs long, n long",
+        "group long, node long, root long, element long, at long, differs long, n long",
     )
     x, y = rows.alias("x"), rows.alias("y")
     most = F.floor((F.col("x.n") + F.col("y.n")) * (100 - percent) / (100 + percent))
@@ -404,7 +467,7 @@ def _across_balls(state: DataFrame, texts: DataFrame, n_words: int, percent: int
         (F.col("x.group") == F.col("y.group"))
         & (F.col("x.element") == F.col("y.element"))
         & (F.col("x.node") < F.col("y.node"))
-        & ~F.coalesce(F.col("x.ball") == F.col("y.ball"), F.lit(False))
+        & (F.col("x.root") != F.col("y.root"))
         & (2 * (F.col("x.differs") - F.col("x.at")) >= needed)
         & (2 * (F.col("y.differs") - F.col("y.at")) >= needed)
     )
@@ -417,10 +480,11 @@ def _distances(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
 
 
 def _large_links(
-    pairs: DataFrame, weights: DataFrame, texts: DataFrame, shared: Shared, n_words: int, percent: int, levels: int
+    pairs: DataFrame, weights: DataFrame, texts: DataFrame, found: DataFrame, shared: Shared, n_words: int, percent: int, levels: int
 ) -> DataFrame:
     """Links (a, b) of groups that are too large for a task, (a, b, size): level by level over the
-    cluster. `ball` is the pivot whose ball holds the member."""
+    cluster. `ball` is the pivot whose ball holds the member. The links of the other groups,
+    ``found``, are in the result as far as they connect anything."""
     linked = F.col("inter") * 100 >= F.lit(percent) * F.col("whole")
     far = shared.keep(_distances(pairs, texts, n_words), "measured-0")
     links = far.where(linked).select("a", "b")
@@ -451,9 +515,14 @@ def _large_links(
         )
         if state.where("ball IS NULL").isEmpty():
             break
-    left_over = shared.keep(_across_balls(state, texts, n_words, percent), "across")
+    # What is connected by now is named by its root; groups of one root are settled.
+    roots = shared.keep(components(found.union(links), shared, "found"), "roots")
+    state = state.select("group", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_groups = state.groupBy("group").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+    state = shared.keep(state.join(open_groups.select("group"), "group", "left_semi"), "open")
+    left_over = shared.keep(_across(state, texts, shared, n_words, percent), "across")
     far = shared.keep(_distances(left_over, texts, n_words), "measured-across")
-    return links.union(far.where(linked).select("a", "b"))
+    return roots.select("node", "root").toDF("a", "b").union(far.where(linked).select("a", "b"))
 
 
 def jaccard_groups(
@@ -507,7 +576,7 @@ def jaccard_groups(
         links = links.union(shared.keep(_beside(own, texts).mapInArrow(_group_links(n_words, percent), "a long, b long"), f"links-{k}"))
     if not sizes.where(F.col("count") > PART).isEmpty():
         large = pairs.join(sizes.where(F.col("count") > PART).select("a"), "a", "left_semi")
-        links = links.union(_large_links(large, weights, texts, shared, n_words, percent, levels))
+        links = _large_links(large, weights, texts, links, shared, n_words, percent, levels)
     roots = components(links, shared)
     grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if keyed:

@@ -155,3 +155,33 @@ def test_small_parts_make_no_regions(percent):
         both = len(np.intersect1d(own, other))
         if 100 * both >= percent * (len(own) + len(other) - both) and both < max(n, len(other)):
             assert len(np.intersect1d(jaccard.region_keys(own, percent), jaccard.region_keys(other, percent)))
+
+
+def test_copies_around_no_pivot_make_few_pairs(spark, monkeypatch):
+    """Copies of one text, most of them too far from every other to link: the pairs that are
+    measured do not grow with the square of the group, and no link is lost."""
+    monkeypatch.setattr(jaccard, "PART", 20)
+    r = random.Random(7)
+    base, common = cases.words(1, 150, 3000), [f"c{i}" for i in range(30)]
+
+    def copy():
+        w = base.split()
+        for at in r.sample(range(len(w)), r.randrange(2, 12)):
+            w[at] = r.choice(common)
+        return " ".join(w)
+
+    rows = [cases.doc(i, copy()) for i in range(300)]
+    shared = Shared(spark, "t")
+    got = jaccard_groups(cases.frame(spark, rows), shared, 5, 80)
+    want, groups = plain(rows, 5, 80)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == sorted(want)
+    assert len(groups) > 100
+    assert spark.read.parquet(f"{shared.folder}/across").count() < 10 * len(rows)
+
+
+def test_differences_come_rarest_first():
+    """Counted by buckets, what many members share stands behind what few have; ties by hash."""
+    common, rare = np.array([5 << 55, 9 << 55], np.uint64), np.array([1 << 60, 3 << 60], np.uint64)
+    counts = np.bincount(jaccard._bucket(np.concatenate([common, common, rare])), minlength=1 << jaccard.BUCKET_BITS)
+    assert jaccard.rarest_first(np.concatenate([common, rare]), counts).tolist() == [*rare.tolist(), *common.tolist()]
+    assert sorted(jaccard.difference(common, np.append(common[:1], rare)).tolist()) == sorted([int(common[1]), *rare.tolist()])
