@@ -4,6 +4,7 @@ import json
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ from gaugeworks.operators.union import (
 from gaugeworks.plans.cycle import collect
 from gaugeworks.schema import METRIC_DDL, landed_schema
 from gaugeworks.sources.landing import load_targets
-from gaugeworks.sources.sinks import otlp_batches, write_metrics, write_otlp, write_outcomes
+from gaugeworks.sources.sinks import _blocks, otlp_batches, write_metrics, write_otlp, write_outcomes
 from gaugeworks.streaming.run import interval_ms
 from helpers import AT, landed, replies
 
@@ -376,3 +377,21 @@ def test_documents_keep_batches_of_null_keys_and_copies(spark):
     for x in rows:
         want.setdefault(x[1], []).append(x[4])
     assert {k: sorted(v) for k, v in sizes.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_documents_are_sorted_as_blocks(spark):
+    """What is shuffled and sorted is compressed blocks of a batch's rows, none of them lost."""
+    text = '{"name":"m","gauge":{"dataPoints":[{"asDouble":%d.0,"attributes":[{"key":"a","value":{"stringValue":"x"}}]}]}}'
+    rows = pa.RecordBatch.from_pydict({"k": [i % 3 or None for i in range(6000)], "m": [text % (i % 50) for i in range(6000)]})
+    (blocks,) = _blocks(["k"])(iter([rows]))
+    assert sorted(blocks.column("k").to_pylist(), key=str) == [1, 2, None]
+    assert sum(len(b) for b in blocks.column("gw_block").to_pylist()) * 20 < sum(len(m) for m in rows.column("m").to_pylist())
+    df = spark.createDataFrame([(T0 + timedelta(seconds=i), i % 2, "t", "m", float(i % 97), "1", {"a": "x"}) for i in range(3000)], METRIC_DDL)
+    docs = otlp_batches(df, F.create_map(F.lit("a"), F.lit("b")), ["cycle_id"], max_rows=70)
+    got = docs.collect()
+    assert sorted((r["cycle_id"], r["n_metrics"]) for r in got) == [(k, n) for k in (0, 1) for n in [30] + [70] * 21]
+    metrics = [json.loads(r["body"])["resourceMetrics"][0]["scopeMetrics"][0]["metrics"] for r in got]
+    times = [[m["gauge"]["dataPoints"][0]["timeUnixNano"] for m in d] for d in metrics]
+    assert all(t == sorted(t) for t in times) and len({x for t in times for x in t}) == 3000
+    plan = docs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert all("gw_block" in line for line in plan.splitlines() if " Sort [" in line)
